@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, language_id, mixing, nearest, packing, quality_rules, token_files
+from lodestrata.llm import chat_format, language_id, mixing, near_dedup, nearest, packing, quality_rules, token_files
 from lodestrata.llm.storage import Workspace, load
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -18,6 +18,10 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -65,6 +69,24 @@ FROM marked GROUP BY conv_id
 """
 
 
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id::BIGINT AS doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w
+), u AS (SELECT doc_id, unnest(sh) AS x FROM s
+), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b WHERE 100 * c >= 75 * (len(sa.sh) + len(sb.sh) - c)
+), l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+), r(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.root = l.a
+), c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.measure_quality(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -93,6 +115,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_near_dedup": op2_near_dedup,
         "op3_token_files": op3_token_files,
         "op5_chat_format": op5_chat_format,
         "op6_quality_rules": op6_quality_rules,
@@ -104,4 +127,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL}
+    return {"op2_near_dedup": OP2_SQL, "op5_chat_format": OP5_SQL}
