@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm import wordhash as W
@@ -33,7 +33,7 @@ SMALL_SOURCES = 20_000
 """Up to so many sources, their table is broadcast; beyond it, it is joined by shuffle."""
 
 
-def size_of(text: str = "text"):
+def size_of(text: str = "text") -> Column:
     """Words of a text; none for a null."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
@@ -109,6 +109,10 @@ def _rounded(level: int, seed: int, last: bool):
     return run
 
 
+def _row_key(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", "text", "source")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP, seed: int = 7, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, size, source, source_size, target, copies`` of every document (and the columns in ``carry``).
 
@@ -116,11 +120,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = C
     spark = docs.sparkSession
     work = Workspace(spark, "mixing")
     base = work.table(
-        docs.select("doc_id", "source", size_of().alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("key_hash"), *carry), "sizes"
+        docs.select("doc_id", "source", size_of().alias("size"), _row_key(seed).alias("key_hash"), *carry), "sizes"
     )
     totals = base.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("docs")).collect()  # a row a source
     if not totals:
-        return base.select("doc_id", "size", "source", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("copies"), *carry)
+        return base.select("doc_id", "size", "source", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("copies"), "key_hash", *carry)
     docs_of = {r["source"]: r["docs"] for r in totals}
     rows = [(s, n, t, int(t // n) if n else 0, (t / n - t // n) if n else 0.0, max(1, -(-docs_of[s] // CHUNK))) for s, n, t in targets([(r["source"], r["n"]) for r in totals], weights, budget, cap)]
     plan = spark.createDataFrame(rows, "source string, source_size long, target double, whole long, part double, chunks long")
@@ -138,4 +142,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = C
             break
         current = step.where(loose).withColumn("chunk", F.floor(F.col("chunk") / CHUNK))
         deepest, level = -(-deepest // CHUNK), level + 1
-    return done.select("doc_id", "size", "source", "source_size", "target", (F.col("whole") + F.col("part").cast("long")).alias("copies"), *carry)
+    return done.select("doc_id", "size", "source", "source_size", "target", (F.col("whole") + F.col("part").cast("long")).alias("copies"), "key_hash", *carry)
+
+
+def take(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP, seed: int = 7) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, columns as they were.
+
+    Rows that repeat document, text and source stand for one another: their copies come from one of them."""
+    taken = mix(docs, weights, budget, cap, seed).groupBy("key_hash").agg(F.sum("copies").alias("__copies")).where("__copies > 0")
+    first = F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(0)))
+    met = docs.withColumn("__key", _row_key(seed)).join(taken.withColumnRenamed("key_hash", "__key"), "__key")
+    return met.withColumn("__first", first).where("__first = 1").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)

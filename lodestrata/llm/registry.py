@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, language_id, mixing, near_dedup, nearest, packing, quality_rules, token_files
+from lodestrata.llm import chat_format, html_text, language_id, mixing, near_dedup, nearest, packing, quality_model, quality_rules, token_files
 from lodestrata.llm.storage import Workspace, load
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -18,6 +19,10 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(load(spark, sf_dir, "pages"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
 
@@ -30,6 +35,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(Workspace(spark, "op3").table(segments, "segments"))
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    labels = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where(~held_out())
+    scored = quality_model.score_documents(docs, quality_model.learn(docs, labels))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     rows = load(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -115,14 +127,17 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_text": op1_html_text,
         "op2_near_dedup": op2_near_dedup,
         "op3_token_files": op3_token_files,
+        "op4_quality_model": op4_quality_model,
         "op5_chat_format": op5_chat_format,
         "op6_quality_rules": op6_quality_rules,
         "op7_mixing": op7_mixing,
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_nearest": op10_nearest,
+        "pipeline": corpus_pipeline.run,
     }
 
 
