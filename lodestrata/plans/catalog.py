@@ -30,3 +30,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return ORACLES
+
+
+def _load() -> None:
+    """Import the modules that register queries."""
+    from lodestrata.plans import classification, joining  # noqa: F401
+
+
+_load()
