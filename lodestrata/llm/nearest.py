@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.storage import Workspace
 
-BLOCK, QUERY_BLOCK, SEED, BOUND = 4096, 8192, 11, 4.5
+BLOCK, QUERY_BLOCK, SEED, BOUND = 4096, 8192, 11, 3.0
+QUERY_SLICE, SCORED = 64, 1 << 15
+"""Queries estimated at once, and pairs scored at once: they bound a task's memory."""
 SMALL_QUERIES = 1 << 22
 """Up to so many query components (32 MB), query blocks are broadcast; beyond it, blocks are joined by shuffle."""
 """BOUND: width of the error bound in standard deviations; a true neighbour is lost with a chance below 1e-5."""
@@ -103,24 +105,30 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def search_block(q_ids, q, c_ids, c, code, k, centre, turn):
-    """The k nearest of a block of candidates for each query of a block: (query ids, vec ids, scores)."""
+    """The k nearest of a block of candidates for each query of a block: (query ids, vec ids, scores).
+
+    The k best estimates are scored first; the k-th exact score is the bar that an upper bound must reach."""
     found = [[], [], []]
     unit_q = q / np.linalg.norm(q, axis=1, keepdims=True)
-    for lo in range(0, len(q), 256):
-        value, error = estimate(code, unit_q[lo : lo + 256], centre, turn)
-        own = q_ids[lo : lo + 256, None] == c_ids[None, :]
-        low = np.where(own, -np.inf, value - error)
-        place = max(0, low.shape[1] - k)
-        least = np.partition(low, place, axis=1)[:, place] if low.shape[1] > k else np.full(len(low), -np.inf)
-        picked = (value + error >= least[:, None]) & ~own
-        at_q, at_c = np.nonzero(picked)
+    for lo in range(0, len(q), QUERY_SLICE):
+        mine = slice(lo, min(lo + QUERY_SLICE, len(q)))
+        value, error = estimate(code, unit_q[mine], centre, turn)
+        own = q_ids[mine, None] == c_ids[None, :]
+        value[own] = -np.inf
+        n = value.shape[1]
+        bar = np.full(len(value), -np.inf)
+        if n > k:
+            first = np.argpartition(value, n - k, axis=1)[:, n - k :]
+            at = np.repeat(np.arange(len(value)), k)
+            exact = np.where(own[at, first.ravel()], -np.inf, cosine(q[lo + at], c[first.ravel()]))
+            bar = exact.reshape(len(value), k).min(axis=1)
+        at_q, at_c = np.nonzero((value + error >= bar[:, None]) & ~own)
         if not len(at_q):
             continue
-        score = cosine(q[lo + at_q], c[at_c])
+        score = np.concatenate([cosine(q[lo + at_q[x : x + SCORED]], c[at_c[x : x + SCORED]]) for x in range(0, len(at_q), SCORED)])
         order = np.lexsort((c_ids[at_c], -score, at_q))
         at_q, at_c, score = at_q[order], at_c[order], score[order]
-        first = np.searchsorted(at_q, at_q)
-        best = np.arange(len(at_q)) - first < k
+        best = np.arange(len(at_q)) - np.searchsorted(at_q, at_q) < k
         for box, x in zip(found, (q_ids[lo + at_q[best]], c_ids[at_c[best]], score[best]), strict=True):
             box.append(x)
     return [np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(found, (np.int64, np.int64, np.float64), strict=True)]
