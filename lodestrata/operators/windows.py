@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.sources.shared import cut
+
 
 def numbered(rows: DataFrame, *order: str, name: str = "number") -> DataFrame:
     """Consecutive numbers from 1 in ``order``, without gathering rows in one task.
 
     Rows are sorted by range; each partition counts its own, and only the partitions' sizes
-    (one row each) are added up."""
+    (one row each) are added up. The numbered rows are written down in between: a range's bounds
+    are drawn anew each time they are computed."""
     spark = rows.sparkSession
     part = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
     part = part.withColumn("__place", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("long"), 33) + 1)
+    part = cut(part)
     sizes = sorted((r["__part"], r["n"]) for r in part.groupBy("__part").agg(F.count("*").alias("n")).collect())
     before, offsets = 0, []
     for k, n in sizes:
