@@ -34,7 +34,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     """Import the modules that register queries."""
-    from lodestrata.plans import classification, joining, rollups  # noqa: F401
+    from lodestrata.plans import classification, joining, rollups, texts  # noqa: F401
 
 
 _load()
