@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions import fixed
-from lodestrata.functions.rules import case_sql, column, contains_any, ends_any, is_any, lookup_sql, quote
+from lodestrata.functions.rules import case_sql, column, contains_any, ends_any, is_any, lookup_sql, pattern, quote
 
 PADDED = "concat('/', lower_path)"
 
@@ -22,7 +22,7 @@ def _folder(name: str) -> str:
 
 # --- files: path, name, suffix, lower_path, lower_name ---
 KEEP_FILE = (
-    "NOT (" + " OR ".join(_folder(d) for d in fixed.EXCLUDED_DIRS) + ") AND NOT " + contains_any("lower_folder", fixed.TEST_FRAGMENTS)
+    f"NOT regexp_like({PADDED}, {quote('/(' + pattern(fixed.EXCLUDED_DIRS) + ')/')}) AND NOT " + contains_any("lower_folder", fixed.TEST_FRAGMENTS)
     + " AND NOT " + is_any("lower_name", fixed.EXCLUDED_NAMES) + " AND NOT " + ends_any("lower_name", fixed.EXCLUDED_SUFFIXES)
 )
 INVENTORY_LANGUAGE = f"coalesce({lookup_sql('name', fixed.INVENTORY_BY_NAME)}, {lookup_sql('lower(suffix)', fixed.INVENTORY_BY_SUFFIX)}, 'unknown')"

@@ -18,7 +18,7 @@ def register(key: str, oracle: str | None = None):
             raise ValueError(f"query {key} is registered twice")
         QUERIES[key] = plan
         if oracle is not None:
-            ORACLES[key] = oracle
+            ORACLES[key] = oracle.replace("regexp_like(", "regexp_matches(")
         return plan
 
     return keep

@@ -46,7 +46,9 @@ def resolve_source(source: str) -> dict[str, str]:
 
 
 def scan(spark: SparkSession, root: str) -> DataFrame:
-    """``path, name, folder, suffix, lower_*, size_bytes, content`` of every file under ``root``, recursively."""
+    """``path, name, folder, suffix, lower_*, size_bytes, content`` of every file under ``root``, recursively.
+
+    Spark lists no empty files; they hold no facts."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     base = root.rstrip("/") + "/"
     path = F.regexp_replace(F.col("path"), "^file:/*", "/")
