@@ -45,3 +45,14 @@ def module_buckets(components: DataFrame) -> DataFrame:
         F.count("*").alias("components"), F.count_distinct("file").alias("files"), sorted_names("component_type").alias("types"), sorted_names("layer").alias("layers"),
         mean_points(F.col("points"), 0.3).alias("confidence"),
     )
+
+
+def step_summary(steps: DataFrame) -> DataFrame:
+    """(label, runs, ok, failed, seconds) of step rows (label, returncode, duration); a null return code counts as failed."""
+    good = F.coalesce(F.col("returncode") == 0, F.lit(False))
+    return steps.groupBy("label").agg(F.count("*").alias("runs"), F.count_if(good).alias("ok"), F.count_if(~good).alias("failed"), F.round(F.sum("duration"), 3).alias("seconds"))
+
+
+def tag_run(rows: DataFrame, run_at: str) -> DataFrame:
+    """Adds the run's time stamp (ISO-8601 text): one literal for the whole run, never the clock of a task."""
+    return rows.withColumn("extraction_timestamp", F.lit(run_at))

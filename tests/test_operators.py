@@ -81,3 +81,19 @@ def test_stream_equals_batch(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert {tuple(r) for r in spark.table("actions").collect()} == {tuple(r) for r in windowed_actions(events).collect()}
+
+
+def test_step_summary_and_run_tag(spark):
+    from lodestrata.operators import aggregates
+
+    rows = spark.createDataFrame([("a", 0, 1.5), ("a", 1, 0.5), ("b", None, 2.0)], "label string, returncode int, duration double")
+    got = {r["label"]: tuple(r)[1:] for r in aggregates.step_summary(rows).collect()}
+    assert got == {"a": (2, 1, 1, 2.0), "b": (1, 0, 1, 2.0)}
+    assert aggregates.tag_run(rows, "2026-01-01T00:00:00+00:00").select("extraction_timestamp").distinct().count() == 1
+
+
+def test_entry_and_registry(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() > 0
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
