@@ -23,7 +23,7 @@ def components(work: Workspace, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (a, b)."""
     found = work.table(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     state = None
-    while True:
+    while found.limit(1).count():
         both = found.unionByName(found.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(work, both, "large").withColumn("m", F.least("m", "u")).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         wide = work.table(large.distinct(), "large-edges")

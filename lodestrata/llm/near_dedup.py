@@ -5,18 +5,21 @@ A document's set holds the hashes of its distinct 5-word shingles (A-Z lower-cas
 when 100 * |A and B| >= 75 * |A or B|, confirmed on the full sets.
 
 1. Equal sets are one class, named by its smallest doc_id; only that document goes on.
-2. A class's sketch is the ``K`` smallest hashes of its set. Linked sets share at least
-   ``LEAST`` of them (chance of a miss below 1e-6 a link at a similarity of exactly 0.75; sets below K hashes
+2. A class's sketch is the ``k`` smallest hashes of its set. Linked sets share at least
+   ``least`` of them (chance of a miss below 1e-6 a link at a similarity of exactly 0.75; sets below k hashes
    are their own sketch and miss nothing). So of the sketch, ordered by rarity in the corpus, all but the last
-   LEAST - 1 values are retained: a passage that many documents share falls at the end and out of the lists.
+   least - 1 values are retained: a passage that many documents share falls at the end and out of the lists.
    Rarity comes from a table of ``BUCKETS`` counters over all sketches, whose size is fixed.
-3. Inverted lists of retained values generate overlaps. Each list links its members to its
+3. ``FIRST``: inverted lists of retained values generate overlaps. Each list links its members to its
    smallest document; the estimate from the union of two sketches filters, the exact Jaccard
    verifies, and components grow.
-4. Lists that still hold several components are gone through in blocks: every pair of members
-   in different components is held against the sketches, and what passes is verified. Pairs
-   within a component need no look, so a group of n copies costs n checks and not n squared.
-5. Components of both steps' links give the result.
+4. Lists that still hold several components: in lists of up to ``SMALL_LIST`` members, each pair of
+   members in different components goes through the same filters. Longer lists are gone through in
+   blocks, with sketches of size ``FINER`` (for most texts the whole set). There each document first meets the
+   likeliest partner in every other component; what is still apart is then held against
+   all members of other components, each pair in the first list that it shares. Pairs within a
+   component need no look, so a group of n copies costs n checks and not n squared.
+5. Components of all verified links give the result.
 
 Defined cases: a null, empty or blank text has an empty set and is linked with nothing (it is its own
 component); rows that repeat a doc_id are one document, all returned; a null doc_id takes no part and gets
@@ -34,9 +37,13 @@ from lodestrata.llm import wordhash as W
 from lodestrata.llm.components import components
 from lodestrata.llm.storage import Workspace
 
-SHINGLE, K, LEAST, BUCKETS, COUNT_CHUNK = 5, 64, 30, 1 << 18, 1 << 12
+SHINGLE, BUCKETS, COUNT_CHUNK = 5, 1 << 18, 1 << 12
+FIRST, FINER = (64, 30), (384, 243)
+"""(k, least) of sketches: least lies 5.3 standard deviations below 0.75 k."""
 LIKE, OF = 75, 100
-LIST_BLOCK = 512
+SMALL_LIST, LIST_BLOCK, COMMON = 64, 3072, 64
+BROADCAST_IDS = 500_000
+"""Up to so many ids, documents are picked by a broadcast set of them; beyond it, by a shuffled join."""
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
@@ -67,18 +74,21 @@ def sets_of(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def _sketched(batches):
+def _sketched(batches, k: int = FIRST[0]):
     """doc_id, size of the set, 128-bit key of the set, sketch."""
     for batch in batches:
         sets = sets_of(batch.column(1))
         with np.errstate(over="ignore"):
             keys = np.array([(x.sum(dtype=np.uint64), np.bitwise_xor.reduce(W.mix(x)) + np.uint64(len(x))) if len(x) else (0, 0) for x in sets], dtype=np.uint64).reshape(len(sets), 2).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([x[:K].tobytes() for x in sets], pa.binary())],
+            [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([x[:k].tobytes() for x in sets], pa.binary())],
             ["doc_id", "n", "key1", "key2", "sketch"],
         )
 
 
+SKETCHED = "doc_id long, n long, key1 long, key2 long, sketch binary"
+
+
 def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all values, offsets) of a column of sketches."""
     if not len(column):
@@ -117,18 +127,18 @@ def rarity(classes: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def retained(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def retained(values: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
     """The rarest values of a sketch: linked sets have one in common."""
-    need = min(-(-len(values) * LIKE // OF), LEAST)
+    need = min(-(-len(values) * LIKE // OF), least)
     order = np.lexsort((values, counts[_bucket(values)]))
     return values[order[: len(values) - need + 1]]
 
 
-def _posted(counts: np.ndarray):
+def _posted(counts: np.ndarray, least: int):
     def run(batches):
         for batch in batches:
             ids, values, offsets = batch.column(0).to_numpy(), *_unpack(batch.column(1))
-            kept = [retained(values[a:b], counts) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            kept = [retained(values[a:b], counts, least) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             size = np.array([len(x) for x in kept])
             flat = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(np.repeat(ids, size))], ["value", "rep"])
@@ -136,31 +146,31 @@ def _posted(counts: np.ndarray):
     return run
 
 
-def union_estimate(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard estimate from the K smallest values of the union of two sketches."""
+def union_estimate(a: np.ndarray, b: np.ndarray, k: int) -> float:
+    """Jaccard estimate from the k smallest values of the union of two sketches."""
     both = np.sort(np.concatenate((a, b)))
     twin = np.concatenate((both[1:] == both[:-1], [False]))
     first = np.concatenate(([True], both[1:] != both[:-1]))
-    size = min(K, int(first.sum()))
+    size = min(k, int(first.sum()))
     head = np.flatnonzero(first)[:size]
     return float(twin[head].sum()) / max(1, size)
 
 
-def passes(na: int, nb: int, a: np.ndarray, b: np.ndarray) -> bool:
+def passes(na: int, nb: int, a: np.ndarray, b: np.ndarray, k: int, least: int) -> bool:
     """Whether sizes and sketches allow a link."""
     if OF * min(na, nb) < LIKE * max(na, nb):
         return False
-    if max(na, nb) <= K:
+    if max(na, nb) <= k:
         common = len(np.intersect1d(a, b, assume_unique=True))
         return OF * common >= LIKE * (na + nb - common)
-    return union_estimate(a, b) * K >= LEAST
+    return union_estimate(a, b, k) * k >= least
 
 
 def _estimated(batches):
     for batch in batches:
         (va, oa), (vb, ob) = _unpack(batch.column("sketch_a")), _unpack(batch.column("sketch_b"))
         na, nb = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        good = [passes(na[k], nb[k], va[oa[k] : oa[k + 1]], vb[ob[k] : ob[k + 1]]) for k in range(batch.num_rows)]
+        good = [passes(na[k], nb[k], va[oa[k] : oa[k + 1]], vb[ob[k] : ob[k + 1]], *FIRST) for k in range(batch.num_rows)]
         yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
 
@@ -180,10 +190,15 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a).filter(mask), pa.array(b).filter(mask)], ["a", "b"])
 
 
+def picked(work: Workspace, docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents in ``ids`` (doc_id)."""
+    ids = work.table(ids.distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
 def verify(work: Workspace, docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar; texts of the documents in pairs alone are moved."""
-    ids = work.table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    texts = work.table(docs.join(ids, "doc_id", "left_semi"), "texts")
+    """Those of ``pairs`` (a, b) whose full sets are similar; only the texts of documents in pairs are moved."""
+    texts = work.table(picked(work, docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), "texts")
     right = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = right.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     links = work.table(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), "links")
@@ -191,76 +206,149 @@ def verify(work: Workspace, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return links
 
 
-def _crossed(table: pa.Table) -> pa.Table:
-    """Pairs of a list's members in different components that sizes and sketches allow."""
-    rep, comp, n = (table[c].to_numpy() for c in ("rep", "component", "n"))
-    side = table["side"].to_numpy()
-    column = table["sketch"].combine_chunks()
-    values, offsets = _unpack(column)
-    m = len(rep)
-    owner = np.repeat(np.arange(m), np.diff(offsets))
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    edge = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-    size = np.diff(np.append(edge, len(values)))
-    shared = np.zeros((m, m), dtype=np.int16)
-    for at, c in zip(edge[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-        mine = owner[at : at + c]
-        shared[np.ix_(mine, mine)] += 1
-    length = np.diff(offsets)
-    need = np.minimum(-(-np.minimum.outer(length, length) * LIKE // OF), LEAST)
-    good = (shared >= need) & (comp[:, None] != comp[None, :]) & (OF * np.minimum.outer(n, n) >= LIKE * np.maximum.outer(n, n)) & (rep[:, None] < rep[None, :])
-    if side.min() != side.max():
-        good &= side[:, None] != side[None, :]
-    x, y = np.nonzero(good)
-    flat, offsets = _unpack(column)
-    kept = [k for k, (i, j) in enumerate(zip(x.tolist(), y.tolist(), strict=True)) if passes(n[i], n[j], flat[offsets[i] : offsets[i + 1]], flat[offsets[j] : offsets[j + 1]])]
-    return pa.table({"a": pa.array(rep[x[kept]], pa.int64()), "b": pa.array(rep[y[kept]], pa.int64())})
-
-
-def cross_pairs(work: Workspace, postings: DataFrame, lists: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs across components, from the lists that hold several; blocks of LIST_BLOCK members meet."""
-    members = postings.join(lists.select("value"), "value")
-    marked = work.table(members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "members")
-    several = work.table(marked.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo <> hi").select("value", "c"), "several")
-    open_ = marked.join(several, "value").withColumn("blocks", F.ceil(F.col("c") / LIST_BLOCK)).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    dealt = open_.select("value", "rep", "component", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("value", "rep", "component", F.col("block").alias("side"), F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    full = dealt.join(classes.select("rep", "n", "sketch"), "rep")
-    return work.table(full.groupBy("value", "x", "y").applyInArrow(_crossed, "a long, b long").distinct(), "cross")
+def _crossed(k: int, least: int, best_only: bool):
+    """Pairs of a list's members in different components that sizes and sketches allow.
+
+    ``best_only``: for each member and other component, the partner with the largest overlap."""
+
+    def run(table: pa.Table) -> pa.Table:
+        value = table["value"][0].as_py()
+        rep, comp, n, side = (table[c].to_numpy() for c in ("rep", "component", "n", "side"))
+        n = n.astype(np.int32)
+        flat, offsets = _unpack(table["sketch"].combine_chunks())
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        _, which, size = np.unique(comp, return_inverse=True, return_counts=True)
+        minor = np.flatnonzero(which != size.argmax())  # pairs within the largest component need no look
+        good = (comp[minor][:, None] != comp[None, :]) & (np.minimum.outer(n[minor], n) * (OF / LIKE) >= np.maximum.outer(n[minor], n) - 1)
+        if side.min() != side.max():
+            good &= side[minor][:, None] != side[None, :]
+        place = np.full(len(rep), -1)
+        place[minor] = np.arange(len(minor))
+        good &= (place[None, :] < 0) | (rep[minor][:, None] < rep[None, :])
+        earlier: dict[int, list[int]] = {}
+        for at, others in enumerate(table["lists"].to_pylist()):
+            for other in others:
+                if other < value:
+                    earlier.setdefault(other, []).append(at)
+        for mine in earlier.values():  # a pair is met in the first list that both are in
+            rows = place[mine]
+            good[np.ix_(rows[rows >= 0], mine)] = False
+        minor, columns = minor[good.any(axis=1)], np.flatnonzero(good.any(axis=0))
+        good = good[good.any(axis=1)][:, columns]
+        if not good.size:
+            return none
+        length = np.diff(offsets)
+        row_of, column_of = np.full(len(rep), -1), np.full(len(rep), -1)
+        row_of[minor], column_of[columns] = np.arange(len(minor)), np.arange(len(columns))
+        owner = np.repeat(np.arange(len(rep)), length)
+        wanted = (row_of[owner] >= 0) | (column_of[owner] >= 0)
+        values, owner = flat[wanted], owner[wanted]
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        edge = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+        count = np.diff(np.append(edge, len(values)))
+        shared = np.zeros(good.shape, dtype=np.int16)
+        for at, c in zip(edge[(count > 1) & (count < COMMON)].tolist(), count[(count > 1) & (count < COMMON)].tolist(), strict=True):
+            mine = owner[at : at + c]
+            rows, cols = row_of[mine], column_of[mine]
+            shared[np.ix_(rows[rows >= 0], cols[cols >= 0])] += 1
+        often = np.flatnonzero(count >= COMMON)  # values of many members: as a product of incidence matrices
+        for lo in range(0, len(often), 256):
+            some = often[lo : lo + 256]
+            inc = np.zeros((len(rep), len(some)), dtype=np.float32)
+            for col, (at, c) in enumerate(zip(edge[some].tolist(), count[some].tolist(), strict=True)):
+                inc[owner[at : at + c], col] = 1
+            shared += (inc[minor] @ inc[columns].T).astype(np.int16)
+        short = length.astype(np.int32)
+        good &= shared >= np.minimum(-(-np.minimum.outer(short[minor], short[columns]) * LIKE // OF), least)
+        x, y = np.nonzero(good)
+        if not len(x):
+            return none
+        overlap, x, y = shared[x, y], minor[x], columns[y]
+        if best_only:
+            order = np.lexsort((rep[y], -overlap, comp[y], x))
+            x, y = x[order], y[order]
+            first = np.concatenate(([True], (x[1:] != x[:-1]) | (comp[y][1:] != comp[y][:-1])))
+            x, y = x[first], y[first]
+        out = [p for p, (i, j) in enumerate(zip(x.tolist(), y.tolist(), strict=True)) if passes(int(n[i]), int(n[j]), flat[offsets[i] : offsets[i + 1]], flat[offsets[j] : offsets[j + 1]], k, least)]
+        a, b = rep[x[out]], rep[y[out]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return run
+
+
+def several(work: Workspace, joint: DataFrame, labels: DataFrame) -> DataFrame:
+    """(value, rep, component, c): members of the lists that hold several components, with the list's length."""
+    marked = work.table(joint.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("value", "rep", F.coalesce("component", "rep").alias("component")), "members")
+    mixed = work.table(marked.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo <> hi").select("value", "c"), "mixed")
+    return work.table(marked.join(mixed, "value"), "several")
+
+
+def short_pairs(members: DataFrame) -> DataFrame:
+    """Pairs across components of lists of up to SMALL_LIST members: at most that many rows a member."""
+    short = members.where(F.col("c") <= SMALL_LIST)
+    a, b = short.select("value", F.col("rep").alias("a"), F.col("component").alias("ca")), short.select("value", F.col("rep").alias("b"), F.col("component").alias("cb"))
+    return a.join(b, "value").where("a < b AND ca <> cb").select("a", "b").distinct()
+
+
+def long_pairs(work: Workspace, members: DataFrame, finer: DataFrame, best_only: bool) -> DataFrame:
+    """Candidate pairs across components of longer lists, from blocks of LIST_BLOCK members that meet."""
+    long = members.where(F.col("c") > SMALL_LIST)
+    lists = long.groupBy("rep").agg(F.array_sort(F.collect_list("value")).alias("lists"))  # a sketch's values at most
+    dealt = long.withColumn("blocks", F.ceil(F.col("c") / LIST_BLOCK)).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("value", "rep", "component", "side", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"))
+    full = dealt.join(work.table(lists.join(finer, "rep"), "long-lists"), "rep")
+    return work.table(full.groupBy("value", "x", "y").applyInArrow(_crossed(*FINER, best_only), "a long, b long").distinct(), "long-pairs")
+
+
+def estimated(work: Workspace, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sizes and sketches allow a link."""
+    side = lambda s: classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+    met = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    return work.table(met.mapInArrow(_estimated, "a long, b long"), "likely")
+
+
+def relabel(work: Workspace, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after more links (a, b)."""
+    if not links.limit(1).count():
+        return labels
+    named = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    between = links.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    merged = work.table(components(work, between).select(F.col("node").alias("component"), F.col("component").alias("whole")), "merged")
+    old = labels.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    new = merged.join(labels.select(F.col("node").alias("component")), "component", "left_anti").select(F.col("component").alias("node"), F.col("whole").alias("component"))
+    return work.table(old.unionByName(new), "labels")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     work = Workspace(docs.sparkSession, "near")
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketches = work.table(source.mapInArrow(_sketched, "doc_id long, n long, key1 long, key2 long, sketch binary"), "sketches")
+    sketches = work.table(source.mapInArrow(_sketched, SKETCHED), "sketches")
     some = sketches.where("n > 0 AND doc_id IS NOT NULL")
     names = work.table(some.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep")), "names")
     member = work.table(some.join(names, ["key1", "key2"]).select("doc_id", "rep", "n", F.when(F.col("doc_id") == F.col("rep"), F.col("sketch")).alias("sketch")), "member")
-    rest = sketches.where("n = 0 OR doc_id IS NULL").select("doc_id", "n")
+    rest = work.table(sketches.where("n = 0 OR doc_id IS NULL").select("doc_id", "n"), "rest")
+    work.drop(sketches)
     classes = member.where("doc_id = rep").select("rep", "n", "sketch")
     counts = rarity(classes)
-    postings = classes.select("rep", "sketch").mapInArrow(_posted(counts), "value long, rep long")
+    postings = classes.select("rep", "sketch").mapInArrow(_posted(counts, FIRST[1]), "value long, rep long")
     lists = work.table(postings.groupBy("value").agg(F.min("rep").alias("leader"), F.count("*").alias("c")).where("c > 1"), "lists")
-    stars = work.table(postings.join(lists, "value").where(F.col("rep") != F.col("leader")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
-    b = classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    a = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    likely = work.table(stars.join(b, "b").join(a, "a").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_estimated, "a long, b long"), "likely")
-    links = verify(work, source, likely)
+    joint = work.table(postings.join(lists, "value").select("value", "rep", "leader"), "joint")
+    stars = work.table(joint.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+    links = verify(work, source, estimated(work, classes, stars))
     repeated = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")  # a doc_id with several texts
-    labels = work.table(components(work, links), "labels")
-    crossing = cross_pairs(work, postings, lists, labels, classes)
-    more = verify(work, source, crossing)
-    named = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    between = more.unionByName(repeated).join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-    merged = work.table(components(work, between).select(F.col("node").alias("component"), F.col("component").alias("whole")), "merged")
-    final = work.table(
-        labels.join(merged, "component", "left").select(F.col("node").alias("rep"), F.coalesce("whole", "component").alias("component_id"))
-        .unionByName(merged.join(labels.select(F.col("node").alias("component")), "component", "left_anti").select(F.col("component").alias("rep"), F.col("whole").alias("component_id"))),
-        "final",
-    )
-    linked = member.select("doc_id", "rep", "n").join(final, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep").alias("component_id"))
+    labels = work.table(components(work, links.unionByName(repeated)), "labels")
+
+    members = several(work, joint, labels)
+    long = members.where(F.col("c") > SMALL_LIST)
+    finer = work.table(picked(work, source, long.select(F.col("rep").alias("doc_id"))).mapInArrow(lambda it: _sketched(it, FINER[0]), SKETCHED).select(F.col("doc_id").alias("rep"), "n", "sketch"), "finer")
+    pairs = estimated(work, classes, short_pairs(members).join(stars, ["a", "b"], "left_anti")).unionByName(long_pairs(work, members, finer, True)).distinct()
+    labels = relabel(work, labels, verify(work, source, work.table(pairs, "pairs")))
+    if long.limit(1).count():
+        members = several(work, long.select("value", "rep"), labels)
+        labels = relabel(work, labels, verify(work, source, long_pairs(work, members.withColumn("c", F.greatest("c", F.lit(SMALL_LIST + 1))), finer, False)))
+    linked = member.select("doc_id", "rep", "n").join(labels.select(F.col("node").alias("rep"), F.col("component").alias("component_id")), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep").alias("component_id"))
     alone = rest.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
