@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestrata.llm import language_id, mixing, near_dedup, packing, quality_rules
 from lodestrata.llm.storage import Workspace, load
 
-LEAST_LANGUAGE_SCORE = 0.05
+LEAST_LANGUAGE_SCORE = 0.03
 ORACLE_SQL = None
 """Random vectors, rounding draws and packing order are not SQL; tests hold the stages against brute force."""
 

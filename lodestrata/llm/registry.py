@@ -23,6 +23,15 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(load(spark, sf_dir, "pages"))
 
 
+#: For pages whose article is one <article> element of prose, as in the test tables; general markup is no SQL.
+OP1_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), ''), '</?(p|h1|br)>', ' ', 'g'), '<[^>]+>', '', 'g') AS t FROM pages
+), d AS (SELECT page_id, url, regexp_replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM a
+), x AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM d)
+SELECT page_id::BIGINT AS page_id, url, text, length(text)::BIGINT AS n_chars FROM x
+"""
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
 
@@ -104,6 +113,29 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d
+), b AS (SELECT r, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars FROM w
+), l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d
+), u AS (SELECT r, line, count(*) AS c, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars FROM l GROUP BY r, line HAVING length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) > 0
+), x AS (SELECT r, sum(c - 1)::BIGINT AS n_dup_lines, sum((c - 1) * chars)::BIGINT AS dup_chars FROM u GROUP BY r
+), g AS (SELECT r, k, i, array_to_string(ws[i:i + k - 1], ' ') AS gram FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (3), (5), (7), (10)) v(k)) s
+), p AS (SELECT r, k, gram FROM g GROUP BY r, k, gram HAVING count(*) > 1
+), h AS (SELECT DISTINCT r, k, unnest(range(i, i + k)) AS j FROM g JOIN p USING (r, k, gram)
+), z AS (SELECT h.r, k, count(*) AS n, sum(length(ws[j])) AS chars FROM h JOIN w ON w.r = h.r GROUP BY h.r, k
+), y AS (SELECT r, max(n) FILTER (WHERE k = 3) AS n3, max(chars) FILTER (WHERE k = 5) AS c5, max(chars) FILTER (WHERE k = 7) AS c7, max(chars) FILTER (WHERE k = 10) AS c10 FROM z GROUP BY r
+), f AS (
+  SELECT doc_id, n_words, word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n3, 0)::BIGINT AS n_repeat_words,
+    n_words < 50 OR 100 * coalesce(n3, 0) > 50 * n_words AS base_failed, coalesce(dup_chars, 0)::DOUBLE / greatest(word_chars, 1) AS sl, coalesce(c5, 0)::DOUBLE / greatest(word_chars, 1) AS s5,
+    coalesce(c7, 0)::DOUBLE / greatest(word_chars, 1) AS s7, coalesce(c10, 0)::DOUBLE / greatest(word_chars, 1) AS s10
+  FROM d JOIN b USING (r) LEFT JOIN x USING (r) LEFT JOIN y USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND sl <= 0.4::DOUBLE AND s5 <= 0.5::DOUBLE AND s7 <= 0.48::DOUBLE AND s10 <= 0.45::DOUBLE AND n_symbols <= 0.3::DOUBLE * n_words AS kept FROM f
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(load(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -142,4 +174,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_dedup": OP2_SQL, "op5_chat_format": OP5_SQL}
+    return {"op1_html_text": OP1_SQL, "op2_near_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": OP6_SQL}
