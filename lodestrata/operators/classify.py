@@ -191,7 +191,67 @@ SIGNIFICANCE_RULES = [
 # --- modules: confidence, in_cycle, coupling, folders, efferent, has_entry ---
 BOUNDARY_RULES = [("confidence < 0.6", "'Unknown'"), ("in_cycle OR coupling >= 6 OR folders > 10", "'Weak'"), ("coupling <= 1 AND folders <= 4", "'Strong'")]
 READINESS_RULES = [("confidence < 0.6", "'Unknown'"), ("in_cycle OR coupling >= 6", "'Blocked'"), ("efferent <= 1 AND has_entry", "'Ready'")]
-INTERFACE_RULES = [("type = 'FrontendRoute'", "'user_facing'"), ("contains(path, '/api/')", "'external_system'"), ("type = 'CLI'", "'internal'"), ("path LIKE '/%'", "'user_facing'")]
+INTERFACE_RULES = [("type = 'FrontendRoute'", "'user_facing'"), ("lower(path) LIKE '/api/%'", "'external_system'"), ("type = 'CLI'", "'internal'"), ("path LIKE '/%'", "'user_facing'")]
+STRANGLER_RULES = [("in_cycle OR coupling >= 6", "'Poor', 20"), ("efferent <= 1 AND has_entry", "'Good', 90"), ("coupling <= 2", "'Possible', 70"), ("true", "'Possible', 55")]
+
+# --- interfaces (type, method, path, confidence) and capabilities (class, risk_count, weak_modules, interfaces, efferent, data_access) ---
+INTERFACE_DECISION = [("type <> 'HTTP_API'", "'review'"), ("method = 'unknown' OR confidence < 0.7", "'review'"), ("contains(path, '{') AND confidence < 0.85", "'review'")]
+CAPABILITY_DECISION = [
+    ("class IN ('TechnicalSupport', 'TestVerification')", "'review'"), ("risk_count >= 3 OR weak_modules > 0", "'review_before_extraction'"), ("interfaces > 0 AND efferent <= 2", "'candidate_for_early_modernization'"),
+    ("data_access > 0 AND interfaces = 0", "'preserve_as_internal_until_ownership_confirmed'"),
+]
+# Capability names that are technical.
+TECHNICAL_NAMES = "Application Cache Cached Configure Constants Custom Email File Imports Program Read Token Uri".split()
+CAPABILITY_CLASS = [
+    ("all_tests", "'TestVerification'"), (is_any("name", TECHNICAL_NAMES), "'TechnicalSupport'"), ("repositories > 0", "'DataInfrastructure'"), ("entities > 0", "'DomainCapabilityCandidate'"),
+    ("interfaces > 0", "'InterfaceCapabilityCandidate'"), ("ui > 0", "'UICapabilityCandidate'"),
+]
+CONSOLIDATION_RULES = [
+    ("module_count <= 1 AND component_count <= 2 AND class NOT IN ('DataInfrastructure', 'InterfaceCapabilityCandidate')", "'keep_as_component_or_submodule_candidate'"),
+    ("weak_modules > 0 OR risk_count > 0 OR efferent > 5", "'review_before_consolidating'"),
+]
+RISK_FLAGS = [("high_coupling", "high"), ("architecture_violation", "violates"), ("unknown_module", "module = 'Unknown'"), ("unknown_classification", "component_type = 'Unknown' OR layer = 'Unknown'")]
+
+# --- flows: marker, page_flow, type, steps, external, data_access, application, semantic ---
+FLOW_PARTIAL = "CASE WHEN marker OR page_flow THEN false WHEN type = 'FrontendRoute' THEN steps <= 1 AND NOT external WHEN type = 'CLI' THEN steps <= 1 ELSE steps <= 1 OR NOT (data_access OR external OR application) END"
+FLOW_STATUS = [
+    ("marker", "'framework_route_coverage_marker'"), ("page_flow", "'single_component_page_flow_mapped'"), (FLOW_PARTIAL, "'partial'"), ("type = 'FrontendRoute'", "'frontend_route_mapped'"), ("type = 'CLI'", "'bootstrap_flow_mapped'"),
+]
+FLOW_POINTS = [("marker", "70"), ("page_flow", "68"), ("type = 'FrontendRoute'", f"CASE WHEN {FLOW_PARTIAL} THEN 55 ELSE 66 END"), ("type = 'CLI'", f"CASE WHEN {FLOW_PARTIAL} THEN 55 ELSE 64 END"), ("data_access", "74"), (f"NOT ({FLOW_PARTIAL})", "66")]
+
+
+def flow_confidence() -> str:
+    """Confidence of a flow: by status, raised by compiler-bound steps up to a ceiling."""
+    base = case_sql(FLOW_POINTS, "55")
+    raised = f"CASE WHEN {FLOW_PARTIAL} THEN least(65, {base} + 4) ELSE least(88, {base} + 8) END"
+    return f"cast(CASE WHEN semantic THEN {raised} ELSE {base} END as double) / 100"
+
+
+# --- edges between layers (sl, tl: layers; st, tt: types) ---
+VIOLATION_RULES = [
+    ("sl = 'Domain' AND tl IN ('Infrastructure', 'DataAccess', 'Integration', 'API', 'Presentation/UI')", "'domain_depends_on_outer_layer'"), ("st = 'Controller' AND tt = 'Repository'", "'controller_direct_repository_dependency'"),
+    ("sl = 'Application' AND tl = 'Presentation/UI'", "'application_depends_on_ui'"), ("sl = 'Presentation/UI' AND tl = 'DataAccess'", "'ui_depends_on_data_access'"),
+]
+#: Relevance of an edge for a call flow: by kind, by the method that makes the call, by the target.
+EDGE_SCORE = (
+    "CASE kind WHEN 'component_call' THEN 40 WHEN 'roslyn_component_call' THEN 55 WHEN 'mediatr_handler_candidate' THEN 38 WHEN 'mediatr_send' THEN 34 WHEN 'method_parameter' THEN 30 WHEN 'di_resolution_candidate' THEN 24 "
+    "WHEN 'constructor' THEN 12 WHEN 'property_injection' THEN 12 WHEN 'razor_inject' THEN 12 ELSE 0 END"
+    " + CASE WHEN source_method = route_action THEN 35 WHEN source_method IS NOT NULL AND route_action IN ('unknown', 'AddRoute') THEN 12 ELSE 0 END"
+    " + CASE WHEN target_type = 'Repository' OR target_layer = 'DataAccess' THEN 45 WHEN target_type IN ('Service', 'Handler') OR target_layer = 'Application' THEN 32"
+    " WHEN target_type IN ('ExternalClient', 'Gateway') OR target_layer = 'Integration' THEN 30 WHEN target_type IN ('DTO', 'Entity', 'Configuration') THEN -8 ELSE 0 END"
+    " + CASE WHEN relationship = 'injects' THEN -4 ELSE 0 END"
+)
+#: Design role of a module from counts of its types and layers; roles are named by a code.
+DESIGN_ROLES = [
+    ("(controllers > 0 OR interfaces > 0) AND (entities > 0 OR repositories > 0 OR services > 0)", "'business_capability'"), ("frontends > 0 OR lower(module) = 'admin'", "'user_interface'"), ("controllers > 0 OR interfaces > 0", "'invocation_api'"),
+    ("entities > 0 AND repositories > 0", "'domain_and_persistence'"), ("entities > 0", "'domain_model'"), ("repositories > 0 OR data_layer > 0", "'data_access_adapter'"), ("cross_layer > 0", "'cross_cutting_support'"),
+]
+#: Patterns: (name, confidence, condition over one row of counts).
+PATTERNS = [
+    ("Layered application", 0.78, "layers >= 3"), ("Clean Architecture influence", 0.72, "core_projects > 0"), ("Repository", 0.86, "repositories > 0"), ("Specification", 0.84, "specifications > 0"), ("Endpoint / handler-style API", 0.86, "endpoints > 0"),
+    ("MVC / Razor Pages", 0.78, "page_controllers > 0"), ("Component frontend", 0.82, "frontends > 0"), ("Dependency injection", 0.9, "injected > 0"), ("ORM configuration", 0.86, "contexts > 0"), ("Configuration / options", 0.77, "configurations > 0"),
+    ("Request handlers", 0.68, "handlers > 0"), ("Health endpoint", 0.8, "health > 0"),
+]
 
 
 def is_business_method(name: Column) -> Column:

@@ -87,8 +87,9 @@ _ladder("significance", B.COMPONENTS, "seq, name, file", {"significance": case_s
 TYPES = """SELECT p_partkey AS seq, CASE p_partkey % 9 WHEN 0 THEN 'int' WHEN 1 THEN 'IOrderService' WHEN 2 THEN 'OrderDto' WHEN 3 THEN 'HttpClient' WHEN 4 THEN 'II' WHEN 5 THEN 'Widget' WHEN 6 THEN 'AppDbContext' WHEN 7 THEN 'LoginResult' ELSE 'IList' END AS simple_type FROM <<part>>"""
 _ladder("dependency_type_filter", TYPES, "seq, simple_type", {"is_primitive": C.PRIMITIVE, "is_dto": C.DTO_LIKE, "is_dependency": C.ARCHITECTURE_DEPENDENCY})
 
-ENTRIES = """SELECT o_orderkey AS seq, CASE o_orderkey % 4 WHEN 0 THEN 'HTTP_API' WHEN 1 THEN 'FrontendRoute' WHEN 2 THEN 'CLI' ELSE 'Job' END AS type,
-  concat(CASE o_orderkey % 3 WHEN 0 THEN '/api/' WHEN 1 THEN '/' ELSE '' END, lower(substring(o_orderpriority, 3, 20))) AS path, CASE o_orderstatus WHEN 'P' THEN 'GET' WHEN 'F' THEN 'POST' ELSE 'unknown' END AS method,
+ENTRIES = """SELECT o_orderkey AS seq, cast(50 + o_orderkey % 46 as double) / 100 AS confidence, concat('src/Web/Pages/P', cast(o_custkey % 40 as varchar(20)), CASE WHEN o_custkey % 5 = 0 THEN '.cshtml' ELSE '.cs' END) AS source_file, o_custkey % 6 = 0 AS external, o_custkey % 4 = 0 AS data_access,
+  o_custkey % 3 = 0 AS application, o_custkey % 7 = 0 AS semantic, o_orderkey % 97 = 0 AS marker, CASE o_orderkey % 4 WHEN 0 THEN 'HTTP_API' WHEN 1 THEN 'FrontendRoute' WHEN 2 THEN 'CLI' ELSE 'Job' END AS type,
+  concat(CASE o_orderkey % 3 WHEN 0 THEN '/api/' WHEN 1 THEN '/' ELSE '' END, lower(substring(o_orderpriority, 3, 20)), CASE o_orderkey % 11 WHEN 0 THEN '/{id}' WHEN 1 THEN '/auth' WHEN 2 THEN '/admin' WHEN 3 THEN '/health' ELSE '' END) AS path, CASE o_orderstatus WHEN 'P' THEN 'GET' WHEN 'F' THEN 'POST' ELSE 'unknown' END AS method,
   concat('W', cast(o_custkey % 600 as varchar(20)), 'Controller') AS owner, concat('Brand#', cast(o_custkey % 25 + 1 as varchar(20))) AS module, cast(floor(o_totalprice) as bigint) % 12 AS steps FROM <<orders>>"""
 _ladder("interface_visibility", ENTRIES, "seq, type, path", {"visibility": case_sql(C.INTERFACE_RULES, "'unknown'")})
 
@@ -97,15 +98,18 @@ MODULES = """SELECT c_custkey AS seq, concat('M', cast(c_custkey as varchar(20))
 _ladder("boundary_quality", MODULES, "seq, name", {"boundary_quality": case_sql(C.BOUNDARY_RULES, "'Medium'")})
 _ladder("migration_readiness", MODULES, "seq, name", {"migration_readiness": case_sql(C.READINESS_RULES, "'Needs Refactoring'")})
 
-STRANGLER_RULES = [("in_cycle OR coupling >= 6", "20"), ("confidence >= 0.6 AND coupling <= 1 AND has_entry", "90"), ("has_entry AND coupling <= 3", "70")]
-_ladder("strangler_score", MODULES, "seq, name", {"score": f"cast({case_sql(STRANGLER_RULES, '55')} as bigint)", "rank": case_sql([(STRANGLER_RULES[0][0], "'Poor'"), (STRANGLER_RULES[1][0], "'Good'")], "'Possible'")})
-
-DECISION_RULES = [("in_cycle AND confidence < 0.7", "'redesign_review'"), ("coupling >= 6", "'decouple_before_move'"), ("confidence < 0.6", "'needs_evidence'"), ("has_entry", "'preserve_contract'")]
-_ladder("contract_decision", MODULES, "seq, name", {"decision": case_sql(DECISION_RULES, "'preserve_internal'"), "interface_decision": case_sql([("confidence >= 0.75 AND NOT in_cycle", "'preserve'")], "'review'")})
-_ladder("flow_status", ENTRIES, "seq, type", {
-    "status": case_sql([("type = 'CLI' AND steps = 0", "'entry_only'"), ("steps = 0", "'unresolved'"), ("steps >= 10", "'truncated'"), ("steps >= 3", "'complete'")], "'partial'"),
-    "confidence": "round(least(cast(0.88 as double), cast(0.5 as double) + cast(steps as double) * cast(0.04 as double) + CASE WHEN type = 'HTTP_API' THEN cast(0.08 as double) ELSE cast(0.0 as double) END), 3)",
+_ladder("strangler_score", MODULES, "seq, name", {
+    "score": f"cast({case_sql([(c, r.split(', ')[1]) for c, r in C.STRANGLER_RULES])} as bigint)", "rank": case_sql([(c, r.split(", ")[0]) for c, r in C.STRANGLER_RULES]),
 })
+CAPABILITIES = """SELECT c_custkey AS seq, CASE WHEN c_custkey % 19 = 0 THEN 'Cache' ELSE concat('Cap', cast(c_custkey as varchar(20))) END AS name, c_custkey % 29 = 0 AS all_tests, cast(c_custkey % 3 as bigint) AS repositories, cast(c_nationkey % 3 as bigint) AS entities, cast(c_custkey % 2 as bigint) AS interfaces,
+  cast(c_nationkey % 2 as bigint) AS ui, cast(c_custkey % 5 as bigint) AS risk_count, cast(CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END as bigint) AS weak_modules, cast(c_nationkey % 8 as bigint) AS efferent, cast(c_nationkey % 3 as bigint) AS data_access, cast(c_custkey % 3 as bigint) AS module_count, cast(c_custkey % 6 as bigint) AS component_count FROM <<customer>>"""
+CLASSED = f"SELECT *, {case_sql(C.CAPABILITY_CLASS, quote('ApplicationCapabilityCandidate'))} AS class FROM ({CAPABILITIES}) k"
+_ladder("capability_class", CAPABILITIES, "seq, name", {"class": case_sql(C.CAPABILITY_CLASS, "'ApplicationCapabilityCandidate'")})
+_ladder("contract_decision", CLASSED, "seq, name, class", {"decision": case_sql(C.CAPABILITY_DECISION, "'review'")})
+_ladder("interface_decision", ENTRIES, "seq, type, path", {"decision": case_sql(C.INTERFACE_DECISION, "'preserve'")})
+_ladder("module_consolidation", CLASSED, "seq, name, class", {"action": case_sql(C.CONSOLIDATION_RULES, "'consolidate_as_candidate_module'")})
+FLOWS = f"SELECT *, steps = 1 AND type = 'HTTP_API' AND NOT (path LIKE '/api/%') AND (source_file LIKE '%.cshtml' OR contains(source_file, '/Pages/')) AS page_flow FROM ({ENTRIES}) f"
+_ladder("flow_status", FLOWS, "seq, type, steps", {"status": case_sql(C.FLOW_STATUS, "'traced_from_dependency_candidates'"), "confidence": C.flow_confidence()})
 
 
 @register("language_share", f"""
@@ -117,43 +121,22 @@ def language_share(spark, sf_dir):
     return C.language_share(B.source(spark, sf_dir, B.FILES))
 
 
-RISK_FLAGS = [("high_coupling", "coupling >= 6"), ("cycle_member", "in_cycle"), ("low_confidence", "confidence < 0.6"), ("large_module", "folders > 10")]
+FLAGGED = f"SELECT seq, module, component_type, layer, seq % 9 = 0 AS high, seq % 14 = 0 AS violates FROM ({B.COMPONENTS}) c"
 
 
-@register("risk_flags", f"SELECT seq, concat_ws(',', {', '.join(f'CASE WHEN {c} THEN {quote(n)} END' for n, c in RISK_FLAGS)}) AS flags FROM ({B.duck(MODULES)}) t")
+@register("risk_flags", f"SELECT seq, concat_ws(',', {', '.join(f'CASE WHEN {c} THEN {quote(n)} END' for n, c in C.RISK_FLAGS)}) AS flags FROM ({B.duck(FLAGGED)}) t")
 def risk_flags(spark, sf_dir):
-    flags = F.array_compact(F.array(*(F.when(F.expr(condition), name) for name, condition in RISK_FLAGS)))
-    return B.source(spark, sf_dir, MODULES).select("seq", F.array_join(flags, ",").alias("flags"))
-
-
-@register("capability_class", f"""SELECT module, CASE WHEN bool_and(file LIKE 'tests/%') THEN 'TestVerification' WHEN lower(module) LIKE '%#1%' THEN 'TechnicalSupport' WHEN bool_or(component_type = 'Repository') THEN 'DataCapability'
-  WHEN bool_or(component_type = 'Entity') THEN 'DomainCapability' WHEN bool_or(component_type = 'FrontendComponent') THEN 'UserInterface' ELSE 'Application' END AS class FROM ({COMPONENTS_D}) t GROUP BY module""")
-def capability_class(spark, sf_dir):
-    has = lambda kind: F.bool_or(F.col("component_type") == kind)
-    found = B.source(spark, sf_dir, B.COMPONENTS).groupBy("module").agg(F.bool_and(F.col("file").like("tests/%")).alias("tests"), has("Repository").alias("data"), has("Entity").alias("domain"), has("FrontendComponent").alias("ui"))
-    rules = [("tests", "'TestVerification'"), ("lower(module) LIKE '%#1%'", "'TechnicalSupport'"), ("data", "'DataCapability'"), ("domain", "'DomainCapability'"), ("ui", "'UserInterface'")]
-    return found.select("module", column(rules, "'Application'").alias("class"))
+    flags = F.array_compact(F.array(*(F.when(F.expr(condition), name) for name, condition in C.RISK_FLAGS)))
+    return B.source(spark, sf_dir, FLAGGED).select("seq", F.array_join(flags, ",").alias("flags"))
 
 
-ROLE_OF_MODULE = [("controllers > 0", "'entry module'"), ("repositories > 0 AND entities > 0", "'data-owning module'"), ("entities > 0", "'domain module'"), ("repositories > 0", "'data access module'")]
+MODULE_COUNTS = {"controllers": "component_type = 'Controller'", "services": "component_type = 'Service'", "repositories": "component_type = 'Repository'", "entities": "component_type = 'Entity'", "frontends": "component_type = 'FrontendComponent'", "data_layer": "layer = 'DataAccess'", "cross_layer": "layer = 'CrossCutting'", "interfaces": "name LIKE '%Endpoint'"}
 
 
-@register("module_design_role", f"""WITH m AS (SELECT module, count(*) FILTER (WHERE component_type = 'Controller') AS controllers, count(*) FILTER (WHERE component_type = 'Repository') AS repositories, count(*) FILTER (WHERE component_type = 'Entity') AS entities FROM ({COMPONENTS_D}) t GROUP BY module)
-  SELECT module, {case_sql(ROLE_OF_MODULE, "'support module'")} AS role FROM m""")
+@register("module_design_role", f"WITH m AS (SELECT module, project, {', '.join(f'count(*) FILTER (WHERE {c}) AS {n}' for n, c in MODULE_COUNTS.items())} FROM ({COMPONENTS_D}) t GROUP BY module, project) SELECT module, project, {case_sql(C.DESIGN_ROLES, quote('supporting'))} AS role FROM m")
 def module_design_role(spark, sf_dir):
-    n = lambda kind: F.count_if(F.col("component_type") == kind)
-    found = B.source(spark, sf_dir, B.COMPONENTS).groupBy("module").agg(n("Controller").alias("controllers"), n("Repository").alias("repositories"), n("Entity").alias("entities"))
-    return found.select("module", column(ROLE_OF_MODULE, "'support module'").alias("role"))
-
-
-CONSOLIDATION = [("n <= 2", "'keep_as_component'"), ("tests * 2 > n", "'review_before_consolidation'")]
-
-
-@register("module_consolidation", f"""WITH m AS (SELECT module, count(*) AS n, count(*) FILTER (WHERE is_test) AS tests, count(DISTINCT component_type) AS kinds FROM ({COMPONENTS_D}) t GROUP BY module)
-  SELECT module, n, kinds, {case_sql(CONSOLIDATION, "'consolidate_as_module'")} AS action FROM m""")
-def module_consolidation(spark, sf_dir):
-    found = B.source(spark, sf_dir, B.COMPONENTS).groupBy("module").agg(F.count("*").alias("n"), F.count_if("is_test").alias("tests"), F.count_distinct("component_type").alias("kinds"))
-    return found.select("module", "n", "kinds", column(CONSOLIDATION, "'consolidate_as_module'").alias("action"))
+    found = B.source(spark, sf_dir, B.COMPONENTS).groupBy("module", "project").agg(*(F.count_if(F.expr(c)).alias(n) for n, c in MODULE_COUNTS.items()))
+    return found.select("module", "project", column(C.DESIGN_ROLES, "'supporting'").alias("role"))
 
 
 @register("module_responsibility", f"""WITH t AS (SELECT module, component_type, count(*) AS n FROM ({COMPONENTS_D}) c GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY module ORDER BY n DESC, component_type) AS k FROM t)
@@ -172,18 +155,15 @@ def component_registry(spark, sf_dir):
     return c.select("seq", "name", F.coalesce("component_type", F.lit("Unknown")).alias("component_type"), F.coalesce("layer", F.lit("Unknown")).alias("layer"), "module", "confidence", F.coalesce("hot", F.lit(False)).alias("high_coupling"), "is_test")
 
 
-PATTERNS = [
-    ("layered", 0.8, "layers >= 3"), ("repository", 0.85, "repositories > 0"), ("mvc", 0.82, "controllers > 0"), ("dto_boundary", 0.7, "dtos > 0"), ("component_ui", 0.74, "frontends > 0"), ("gateway", 0.72, "gateways > 0"),
-]
+PATTERN_COUNTS = {
+    "repositories": "component_type = 'Repository'", "specifications": "contains(name, 'Specification') OR contains(file, 'Specifications/')", "endpoints": "component_type = 'Controller' AND (name LIKE '%Endpoint' OR contains(file, 'Endpoints/'))",
+    "page_controllers": "component_type = 'Controller' AND (contains(file, '/Controllers/') OR contains(file, '/Pages/'))", "frontends": "component_type = 'FrontendComponent'", "injected": "contract IS NOT NULL", "contexts": "contains(name, 'Context') OR contains(file, 'Data/Config')",
+    "configurations": "component_type = 'Configuration'", "handlers": "component_type = 'Handler'", "health": "contains(lower(name), 'health')", "core_projects": "project IN ('ApplicationCore', 'Infrastructure')",
+}
 
 
-@register("pattern_catalogue", f"""WITH a AS (SELECT count(DISTINCT layer) AS layers, count(*) FILTER (WHERE component_type = 'Repository') AS repositories, count(*) FILTER (WHERE component_type = 'Controller') AS controllers,
-  count(*) FILTER (WHERE component_type = 'DTO') AS dtos, count(*) FILTER (WHERE component_type = 'FrontendComponent') AS frontends, count(*) FILTER (WHERE component_type = 'Gateway') AS gateways FROM ({COMPONENTS_D}) t)
-  """ + " UNION ALL ".join(f"SELECT {quote(n)} AS pattern, cast({c} AS DOUBLE) AS confidence FROM a WHERE {w}" for n, c, w in PATTERNS))
+@register("pattern_catalogue", f"WITH a AS (SELECT count(DISTINCT layer) AS layers, {', '.join(f'count(*) FILTER (WHERE {c}) AS {n}' for n, c in PATTERN_COUNTS.items())} FROM ({COMPONENTS_D}) t) " + " UNION ALL ".join(f"SELECT {quote(n)} AS pattern, cast({c} AS DOUBLE) AS confidence FROM a WHERE {w}" for n, c, w in C.PATTERNS))
 def pattern_catalogue(spark, sf_dir):
-    n = lambda kind: F.count_if(F.col("component_type") == kind)
-    a = B.source(spark, sf_dir, B.COMPONENTS).agg(F.count_distinct("layer").alias("layers"), n("Repository").alias("repositories"), n("Controller").alias("controllers"), n("DTO").alias("dtos"), n("FrontendComponent").alias("frontends"), n("Gateway").alias("gateways"))
-    found = F.array(*(F.when(F.expr(w), F.struct(F.lit(n).alias("pattern"), F.lit(c).alias("confidence"))) for n, c, w in PATTERNS))
+    a = B.source(spark, sf_dir, B.COMPONENTS).agg(F.count_distinct("layer").alias("layers"), *(F.count_if(F.expr(c)).alias(n) for n, c in PATTERN_COUNTS.items()))
+    found = F.array(*(F.when(F.expr(w), F.struct(F.lit(n).alias("pattern"), F.lit(c).alias("confidence"))) for n, c, w in C.PATTERNS))
     return a.select(F.inline(F.array_compact(found)))
-
-

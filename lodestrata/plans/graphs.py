@@ -9,7 +9,7 @@ from lodestrata.operators.joins import best_component
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import register
 from lodestrata.plans.joining import module_edge_rows, MODULE_EDGE_SQL
-from lodestrata.plans.rollups import SCORE
+from lodestrata.plans.rollups import SCORE, SCORED
 
 COMP, EDGE = B.duck(B.COMPONENTS), B.duck(B.EDGES)
 SCC_SQL = f"""WITH RECURSIVE e AS ({B.duck(B.DIGRAPH)}), r(a, b) AS (SELECT src, dst FROM e UNION SELECT r.a, e.dst FROM r JOIN e ON r.b = e.src),
@@ -64,11 +64,11 @@ LEVELS = "".join(
 )
 
 
-@register("call_flows", f"""WITH e AS (SELECT DISTINCT src, dst, file, line, {SCORE} AS score FROM ({EDGE}) t), k AS (SELECT src, dst, place FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, file, line, dst) AS place FROM e) t WHERE place <= 6),
+@register("call_flows", f"""WITH e AS (SELECT DISTINCT src, dst, file, line, {SCORE} AS score FROM ({B.duck(SCORED)}) t), k AS (SELECT src, dst, place FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, file, line, dst) AS place FROM e) t WHERE place <= 6),
   f0 AS (SELECT entry, owner AS node, 0 AS level, [0::BIGINT] AS path FROM ({STARTS.format(COMP)}) s){LEVELS}, a AS ({' UNION ALL '.join(f'SELECT * FROM f{n}' for n in range(1, 5))})
   SELECT entry, step, node, level FROM (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY level, path) AS step FROM a) t WHERE step <= 10""")
 def call_flows(spark, sf_dir):
-    edges = B.source(spark, sf_dir, B.EDGES).withColumn("score", F.expr(SCORE))
+    edges = B.source(spark, sf_dir, SCORED).withColumn("score", F.expr(SCORE))
     return G.call_flows(edges, B.source(spark, sf_dir, STARTS.format(B.COMPONENTS)))
 
 

@@ -13,7 +13,7 @@ from lodestrata.operators import windows as W
 from lodestrata.operators.joins import best_component, pick
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import register
-from lodestrata.plans.classification import ENTRIES, MODULES
+from lodestrata.plans.classification import ENTRIES, FLOWS, MODULES
 from lodestrata.plans.joining import coupling_of, module_edge_rows, MODULE_EDGE_SQL, COUPLED
 
 COMP, EDGE, FILE = B.duck(B.COMPONENTS), B.duck(B.EDGES), B.duck(B.FILES)
@@ -74,7 +74,7 @@ BEST_SQL = f"b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name
 def _ends(spark, sf_dir):
     """Edges with layer, type and module of both ends."""
     best = best_component(B.source(spark, sf_dir, B.COMPONENTS))
-    side = lambda s: best.select(F.col("name").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("layer", "component_type", "module")))
+    side = lambda s: best.select(F.col("name").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("layer", "component_type", "module", "file")))
     return B.source(spark, sf_dir, B.EDGES).join(side("src"), "src").join(side("dst"), "dst")
 
 
@@ -83,21 +83,33 @@ def layer_matrix(spark, sf_dir):
     return _ends(spark, sf_dir).groupBy(F.col("src_layer").alias("source_layer"), F.col("dst_layer").alias("target_layer")).agg(F.count("*").alias("n"))
 
 
-VIOLATION_RULES = [("sl = 'Domain' AND tl IN ('Infrastructure', 'DataAccess', 'Presentation/UI')", "'domain_depends_outward'"), ("sl = 'Presentation/UI' AND tl = 'DataAccess'", "'ui_skips_application'"), ("st = 'Controller' AND tt = 'Repository'", "'controller_to_repository'"), ("sl = 'DataAccess' AND tl = 'API'", "'data_calls_api'")]
+VIOLATION_RULES = C.VIOLATION_RULES
+@register("layer_violations", f"WITH {BEST_SQL}, v AS (SELECT e.src, e.dst, e.line, x.layer AS sl, y.layer AS tl, x.component_type AS st, y.component_type AS tt FROM e JOIN b x ON x.name = e.src JOIN b y ON y.name = e.dst WHERE NOT (x.file LIKE 'tests/%' OR y.file LIKE 'tests/%')) SELECT src, dst, line, {case_sql(VIOLATION_RULES)} AS violation FROM v WHERE {case_sql(VIOLATION_RULES)} IS NOT NULL")
+def layer_violations(spark, sf_dir):
+    return violating_edges(spark, sf_dir).select("src", "dst", "line", "violation")
 
 
-@register("layer_violations", f"WITH {BEST_SQL}, v AS (SELECT e.src, e.dst, e.line, x.layer AS sl, y.layer AS tl, x.component_type AS st, y.component_type AS tt FROM e JOIN b x ON x.name = e.src JOIN b y ON y.name = e.dst) SELECT src, dst, line, {case_sql(VIOLATION_RULES)} AS violation FROM v WHERE {case_sql(VIOLATION_RULES)} IS NOT NULL")
-def layer_violations(spark, sf_dir):
-    v = _ends(spark, sf_dir).select("src", "dst", "line", F.col("src_layer").alias("sl"), F.col("dst_layer").alias("tl"), F.col("src_component_type").alias("st"), F.col("dst_component_type").alias("tt"))
-    return v.select("src", "dst", "line", column(VIOLATION_RULES).alias("violation")).where("violation IS NOT NULL")
+def violating_edges(spark, sf_dir):
+    """Edges between production components that break a layer rule."""
+    v = _ends(spark, sf_dir).where("NOT (src_file LIKE 'tests/%' OR dst_file LIKE 'tests/%')")
+    v = v.select("seq", "src", "dst", "line", "points", F.col("src_layer").alias("sl"), F.col("dst_layer").alias("tl"), F.col("src_component_type").alias("st"), F.col("dst_component_type").alias("tt"))
+    return v.withColumn("violation", column(VIOLATION_RULES)).where("violation IS NOT NULL")
+
+
+VIOLATIONS_SQL = f"""{BEST_SQL}, v AS (SELECT e.seq, e.src, e.dst, e.points, x.layer AS sl, y.layer AS tl, x.component_type AS st, y.component_type AS tt FROM e JOIN b x ON x.name = e.src JOIN b y ON y.name = e.dst WHERE NOT (x.file LIKE 'tests/%' OR y.file LIKE 'tests/%')),
+  g1 AS (SELECT 1 AS generator, min(seq) AS first_seq, 'layer_violation' AS type, concat(src, ' -> ', dst, ': ', {case_sql(VIOLATION_RULES)}) AS subject, count(*) AS n FROM v WHERE {case_sql(VIOLATION_RULES)} IS NOT NULL GROUP BY src, dst, {case_sql(VIOLATION_RULES)}),
+  {COUPLED.format(e='e')}, g3 AS (SELECT 3 AS generator, total AS first_seq, 'high_coupling' AS type, name AS subject, total AS n FROM cp WHERE total >= 8 ORDER BY total DESC, name LIMIT 2)"""
 
 
-@register("violations", f"""WITH {BEST_SQL}, v AS (SELECT e.seq, e.src, e.dst, x.layer AS sl, y.layer AS tl, x.component_type AS st, y.component_type AS tt FROM e JOIN b x ON x.name = e.src JOIN b y ON y.name = e.dst), g AS (SELECT {case_sql(VIOLATION_RULES)} AS type, src, dst, min(seq) AS first_seq, count(*) AS n FROM v GROUP BY ALL HAVING type IS NOT NULL)
-  SELECT concat('VIOLATION-', lpad(cast(row_number() OVER (ORDER BY type, src, dst) AS VARCHAR), 5, '0')) AS violation_id, type, src, dst, first_seq, n FROM g""")
+@register("violations", f"WITH {VIOLATIONS_SQL}, m AS ({B.duck(MODULES)}), g2 AS (SELECT 2 AS generator, seq AS first_seq, 'circular_dependency' AS type, name AS subject, 1 AS n FROM m WHERE in_cycle), u AS (SELECT * FROM g1 UNION ALL SELECT * FROM g2 UNION ALL SELECT generator, -first_seq, type, subject, n FROM g3) SELECT concat('ARCH-VIOL-', lpad(cast(row_number() OVER (ORDER BY generator, first_seq, subject) AS VARCHAR), 5, '0')) AS violation_id, type, subject, n FROM u")
 def violations(spark, sf_dir):
-    v = _ends(spark, sf_dir).select("seq", "src", "dst", F.col("src_layer").alias("sl"), F.col("dst_layer").alias("tl"), F.col("src_component_type").alias("st"), F.col("dst_component_type").alias("tt"))
-    g = v.groupBy(column(VIOLATION_RULES).alias("type"), "src", "dst").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n")).where("type IS NOT NULL")
-    return W.sequential_ids(g, "violation_id", "VIOLATION-%05d", "type", "src", "dst")
+    """Layer violations by kind and components, then module cycles, then the two most coupled components."""
+    layer = violating_edges(spark, sf_dir).groupBy("src", "dst", "violation").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"))
+    layer = layer.select(F.lit(1).alias("generator"), "first_seq", F.lit("layer_violation").alias("type"), F.concat("src", F.lit(" -> "), "dst", F.lit(": "), "violation").alias("subject"), "n")
+    cycles = B.source(spark, sf_dir, MODULES).where("in_cycle").select(F.lit(2).alias("generator"), F.col("seq").alias("first_seq"), F.lit("circular_dependency").alias("type"), F.col("name").alias("subject"), F.lit(1).cast("long").alias("n"))
+    top = A.coupling(B.source(spark, sf_dir, B.EDGES)).where("total >= 8").orderBy(F.desc("total"), "name").limit(2)
+    top = top.select(F.lit(3).alias("generator"), (-F.col("total")).alias("first_seq"), F.lit("high_coupling").alias("type"), F.col("name").alias("subject"), F.col("total").alias("n"))
+    return W.sequential_ids(layer.unionByName(cycles).unionByName(top), "violation_id", "ARCH-VIOL-%05d", "generator", "first_seq", "subject").select("violation_id", "type", "subject", "n")
 
 
 @register("capability_map", f"WITH m AS (SELECT module, project, count(*) AS n, count(*) FILTER (WHERE component_type = 'Repository') AS data, cast(sum(points) AS BIGINT) AS points FROM ({COMP}) t GROUP BY module, project) SELECT project AS capability, count(*) AS modules, cast(sum(n) AS BIGINT) AS components, cast(sum(data) AS BIGINT) AS data_components, count(*) FILTER (WHERE n <= 2) AS weak_modules, round(cast(sum(points) AS DOUBLE) / (sum(n) * 100), 3) AS confidence FROM m GROUP BY project")
@@ -134,15 +146,43 @@ def argmax_pattern(spark, sf_dir):
     return pick(B.source(spark, sf_dir, B.COMPONENTS), ["module"], F.desc("confidence"), F.col("seq")).select("module", "name", "confidence")
 
 
-RISK_ROWS = [("coupling", "coupling >= 6", "'High'"), ("cycle", "in_cycle", "'High'"), ("confidence", "confidence < 0.6", "'Medium'"), ("size", "folders > 10", "'Low'")]
+RISKS_SQL = f"""{VIOLATIONS_SQL}, m AS ({B.duck(MODULES)}), fl AS (SELECT *, {C.FLOW_PARTIAL} AS partial FROM ({B.duck(FLOWS)}) f0), c0 AS ({COMP}),
+  r AS ((SELECT 1 AS generator, 0 AS place, 'unclear_boundary' AS category, name AS subject, 'High' AS severity FROM m WHERE confidence < 0.7 OR coupling >= 5 ORDER BY coupling DESC, seq LIMIT 1)
+    UNION ALL SELECT 2, seq, 'circular_dependency', name, 'High' FROM m WHERE in_cycle
+    UNION ALL SELECT 3, 0, 'high_coupling', string_agg(name, ', ' ORDER BY coupling DESC, seq), 'High' FROM (SELECT * FROM m WHERE coupling >= 3 ORDER BY coupling DESC, seq LIMIT 5) t HAVING count(*) > 0
+    UNION ALL (SELECT 4, 0, 'shared_dependency', subject, 'High' FROM g3 ORDER BY n DESC, subject LIMIT 1)
+    UNION ALL SELECT 5, 0, 'unknown', concat(cast(count(*) AS VARCHAR), ' partial flows'), 'Medium' FROM fl WHERE partial
+    UNION ALL SELECT 6, 0, 'frontend_backend_coupling', concat(cast(count(*) AS VARCHAR), ' frontend calls'), 'Medium' FROM fl WHERE type = 'FrontendRoute' AND external HAVING count(*) > 0
+    UNION ALL (SELECT 7, 0, 'unknown', subject, 'Medium' FROM g1 ORDER BY first_seq, subject LIMIT 1)
+    UNION ALL SELECT 8, 0, 'unclear_boundary', concat(cast(count(*) FILTER (WHERE module = 'Unknown') AS VARCHAR), ' without module, ', cast(count(*) FILTER (WHERE component_type = 'Unknown') AS VARCHAR), ' without type'), 'Medium' FROM c0
+    UNION ALL SELECT 9, 0, 'integration_scatter', concat(cast(count(DISTINCT dst) AS VARCHAR), ' external targets'), 'Medium' FROM e WHERE kind = 'http_client_call' HAVING count(*) > 0)"""
 
 
-@register("risk_register", f"WITH m AS ({B.duck(MODULES)}), r AS (" + " UNION ALL ".join(f"SELECT {k} AS generator, {quote(n)} AS category, name AS affected, {s} AS severity, seq FROM m WHERE {c}" for k, (n, c, s) in enumerate(RISK_ROWS)) + ") SELECT concat('RISK-', lpad(cast(row_number() OVER (ORDER BY generator, seq) AS VARCHAR), 5, '0')) AS risk_id, category, affected, severity FROM r")
+@register("risk_register", f"WITH {RISKS_SQL} SELECT concat('APP-RISK-', lpad(cast(row_number() OVER (ORDER BY generator, place, subject) AS VARCHAR), 5, '0')) AS risk_id, category, subject, severity FROM r")
 def risk_register(spark, sf_dir):
-    m = B.source(spark, sf_dir, MODULES)
-    made = F.array_compact(F.array(*(F.when(F.expr(c), F.struct(F.lit(k).alias("generator"), F.lit(n).alias("category"), F.expr(s).alias("severity"))) for k, (n, c, s) in enumerate(RISK_ROWS))))
-    rows = m.select("seq", F.col("name").alias("affected"), F.explode(made).alias("r")).select("seq", "affected", "r.*")
-    return W.sequential_ids(rows, "risk_id", "RISK-%05d", "generator", "seq").select("risk_id", "category", "affected", "severity")
+    """Nine generators in a fixed order; some look at the first or largest row only, as their definition says."""
+    m, e, flows = B.source(spark, sf_dir, MODULES), B.source(spark, sf_dir, B.EDGES), B.source(spark, sf_dir, FLOWS)
+    row = lambda rows, generator, category, subject, severity, place=F.lit(0): rows.select(F.lit(generator).alias("generator"), place.cast("long").alias("place"), F.lit(category).alias("category"), subject.alias("subject"), F.lit(severity).alias("severity"))
+    named = lambda count, text: F.concat(F.col(count).cast("string"), F.lit(text))
+    count = lambda rows: rows.agg(F.count("*").alias("n"))
+    high = m.where("coupling >= 3").orderBy(F.desc("coupling"), "seq").limit(5).agg(F.array_sort(F.collect_list(F.struct((-F.col("coupling")).alias("c"), "seq", "name"))).alias("h")).where(F.size("h") > 0)
+    layer = violating_edges(spark, sf_dir).groupBy("src", "dst", "violation").agg(F.min("seq").alias("first_seq")).withColumn("subject", F.concat("src", F.lit(" -> "), "dst", F.lit(": "), "violation"))
+    unknown = B.source(spark, sf_dir, B.COMPONENTS).agg(F.count_if(F.col("module") == "Unknown").alias("m"), F.count_if(F.col("component_type") == "Unknown").alias("t"))
+    made = [
+        row(m.where("confidence < 0.7 OR coupling >= 5").orderBy(F.desc("coupling"), "seq").limit(1), 1, "unclear_boundary", F.col("name"), "High"),
+        row(m.where("in_cycle"), 2, "circular_dependency", F.col("name"), "High", F.col("seq")),
+        row(high, 3, "high_coupling", F.array_join(F.col("h")["name"], ", "), "High"),
+        row(A.coupling(e).where("total >= 8").orderBy(F.desc("total"), "name").limit(1), 4, "shared_dependency", F.col("name"), "High"),
+        row(count(flows.where(C.FLOW_PARTIAL)), 5, "unknown", named("n", " partial flows"), "Medium"),
+        row(count(flows.where("type = 'FrontendRoute' AND external")).where("n > 0"), 6, "frontend_backend_coupling", named("n", " frontend calls"), "Medium"),
+        row(layer.orderBy("first_seq", "subject").limit(1), 7, "unknown", F.col("subject"), "Medium"),
+        row(unknown, 8, "unclear_boundary", F.concat(named("m", " without module, "), named("t", " without type")), "Medium"),
+        row(e.where("kind = 'http_client_call'").agg(F.count_distinct("dst").alias("n")).where("n > 0"), 9, "integration_scatter", named("n", " external targets"), "Medium"),
+    ]
+    every = made[0]
+    for one in made[1:]:
+        every = every.unionByName(one)
+    return W.sequential_ids(every, "risk_id", "APP-RISK-%05d", "generator", "place", "subject").select("risk_id", "category", "subject", "severity")
 
 
 # --- dedup ---
@@ -231,12 +271,15 @@ def topk_per_group(spark, sf_dir):
     return W.top_k(B.source(spark, sf_dir, B.COMPONENTS), ["module"], 6, F.desc("confidence"), F.col("seq")).select("module", "name", "seq", "rank")
 
 
-SCORE = "CASE kind WHEN 'mediatr_send' THEN 60 WHEN 'component_call' THEN 50 WHEN 'constructor_injection' THEN 30 WHEN 'http_client_call' THEN 40 ELSE 10 END + CASE WHEN points >= 95 THEN 5 ELSE 0 END + CASE WHEN dst LIKE '%Repository' THEN 8 WHEN dst LIKE '%Service' THEN 6 ELSE 0 END"
+#: Edges with what the relevance score asks of the caller and the target.
+SCORED = f"""SELECT e.*, CASE WHEN line % 3 = 0 THEN 'HandleAsync' WHEN line % 3 = 1 THEN 'Run' END AS source_method, CASE WHEN points >= 95 THEN 'HandleAsync' ELSE 'unknown' END AS route_action, coalesce(t.component_type, 'Unknown') AS target_type, coalesce(t.layer, 'Unknown') AS target_layer
+  FROM ({B.EDGES}) e LEFT JOIN (SELECT name, component_type, layer FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY is_test, confidence DESC, seq) AS k FROM ({B.COMPONENTS}) c0) c1 WHERE k = 1) t ON t.name = e.dst"""
+SCORE = C.EDGE_SCORE
 
 
-@register("edge_ranking", f"SELECT src, dst, file, line, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, file, line, dst, seq) AS rank FROM (SELECT *, {SCORE} AS score FROM ({EDGE}) t) u) v WHERE rank <= 6")
+@register("edge_ranking", f"SELECT src, dst, file, line, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, file, line, dst, seq) AS rank FROM (SELECT *, {SCORE} AS score FROM ({B.duck(SCORED)}) t) u) v WHERE rank <= 6")
 def edge_ranking(spark, sf_dir):
-    rows = B.source(spark, sf_dir, B.EDGES).withColumn("score", F.expr(SCORE))
+    rows = B.source(spark, sf_dir, SCORED).withColumn("score", F.expr(SCORE))
     return W.top_k(rows, ["src"], 6, F.desc("score"), *map(F.col, ("file", "line", "dst", "seq"))).select("src", "dst", "file", "line", "score", "rank")
 
 
@@ -281,15 +324,21 @@ def per_layer_top10(spark, sf_dir):
     return W.top_k(B.source(spark, sf_dir, B.COMPONENTS), ["layer"], 10, F.col("file"), F.col("seq")).select("layer", "seq", F.substring("file", 1, 30).alias("head"), "rank")
 
 
-@register("strangler_order", f"WITH m AS (SELECT seq, name, CASE WHEN in_cycle OR coupling >= 6 THEN 20 WHEN coupling <= 1 AND has_entry THEN 90 ELSE 55 END AS score FROM ({B.duck(MODULES)}) t) SELECT name, score, place FROM ((SELECT name, score, row_number() OVER (ORDER BY seq) AS place FROM m WHERE score = 90 QUALIFY place <= 4) UNION ALL (SELECT name, score, 4 + row_number() OVER (ORDER BY seq) AS place FROM m WHERE score = 55 QUALIFY place <= 9)) t")
+SCORES = case_sql([(c, r.split(", ")[1]) for c, r in C.STRANGLER_RULES])
+
+
+@register("strangler_order", f"WITH m AS (SELECT seq, name, {SCORES} AS score FROM ({B.duck(MODULES)}) t) SELECT name, score, place FROM ((SELECT name, score, row_number() OVER (ORDER BY seq) AS place FROM m WHERE score = 90 QUALIFY place <= 4) UNION ALL (SELECT name, score, 4 + row_number() OVER (ORDER BY score DESC, seq) AS place FROM m WHERE score IN (55, 70) QUALIFY place <= 9)) t")
 def strangler_order(spark, sf_dir):
-    score = F.when(F.expr("in_cycle OR coupling >= 6"), 20).when(F.expr("coupling <= 1 AND has_entry"), 90).otherwise(55)
-    m = B.source(spark, sf_dir, MODULES).select("seq", "name", score.alias("score"))
-    first = lambda value, k, shift: m.where(F.col("score") == value).orderBy("seq").limit(k).select("name", "score", (F.row_number().over(Window.orderBy("seq")) + shift).alias("place"))
-    return first(90, 4, 0).unionByName(first(55, 5, 4)).select("name", "score", F.col("place").cast("long").alias("place"))
+    """The first four good candidates, then the first five possible ones, best score first."""
+    m = B.source(spark, sf_dir, MODULES).select("seq", "name", F.expr(SCORES).alias("score"))
+    first = lambda rows, k, shift: rows.orderBy(F.desc("score"), "seq").limit(k).select("name", "score", (F.row_number().over(Window.orderBy(F.desc("score"), "seq")) + shift).cast("long").alias("place"))
+    return first(m.where("score = 90"), 4, 0).unionByName(first(m.where("score IN (55, 70)"), 5, 4))
 
 
-SCENARIOS = [("read", "method = 'GET' AND type = 'HTTP_API'"), ("write", "method = 'POST' AND steps > 5"), ("ui", "type = 'FrontendRoute'"), ("cli", "type = 'CLI' AND steps > 8"), ("none", "steps > 100")]
+SCENARIOS = [
+    ("READ_PATH", "type = 'HTTP_API' AND method = 'GET' AND module IN ('Brand#1', 'Brand#2', 'Brand#3')"), ("WRITE_PATH", "type = 'HTTP_API' AND method IN ('POST', 'PUT', 'DELETE') AND NOT contains(lower(path), 'authenticate')"),
+    ("AUTH_PATH", "contains(lower(path), 'auth')"), ("ADMIN_PATH", "contains(lower(path), 'admin')"), ("ERROR_OR_RESILIENCE_PATH", "contains(lower(path), 'health')"),
+]
 
 
 @register("scenario_pick", f"WITH f AS ({B.duck(ENTRIES)}) " + " UNION ALL ".join(f"SELECT {quote(n)} AS scenario, coalesce(cast(min(seq) FILTER (WHERE {c}) AS VARCHAR), 'not found') AS flow FROM f" for n, c in SCENARIOS))
@@ -392,10 +441,19 @@ def sanity_checks(spark, sf_dir):
     return out
 
 
-GATES = [("min_components", "components >= 10"), ("max_unknown_share", "unknown * 4 <= components"), ("max_dangling", "dangling = 0"), ("min_confidence", "mean >= 0.6")]
+#: Gates: (name, measured value, threshold).
+GATES = [("max_fail", "n_fail", 0), ("max_partial", "n_partial", 2), ("max_invalid_graph_edges", "dangling", 0), ("max_unknown_components", "unknown", 50)]
+STATUSES = {n: _status(g, f) for n, g, f in CHECKS}
+N_FAIL = " + ".join(f"CASE WHEN {s} = 'FAIL' THEN 1 ELSE 0 END" for s in STATUSES.values())
+N_PARTIAL = " + ".join(f"CASE WHEN {s} = 'PARTIAL' THEN 1 ELSE 0 END" for s in STATUSES.values())
 
 
-@register("quality_gates", f"WITH {METRICS_SQL} " + " UNION ALL ".join(f"SELECT {quote(n)} AS gate, {c} AS passed FROM q" for n, c in GATES))
+@register("quality_gates", f"WITH {METRICS_SQL}, w AS (SELECT *, {N_FAIL} AS n_fail, {N_PARTIAL} AS n_partial FROM q) " + " UNION ALL ".join(f"SELECT {quote(n)} AS gate, cast({v} AS BIGINT) AS measured, cast({t} AS BIGINT) AS threshold, {v} > {t} AS violated FROM w" for n, v, t in GATES))
 def quality_gates(spark, sf_dir):
-    return metrics(spark, sf_dir).select(F.inline(F.array(*(F.struct(F.lit(n).alias("gate"), F.expr(c).alias("passed")) for n, c in GATES))))
+    w = metrics(spark, sf_dir).select("*", F.expr(N_FAIL).alias("n_fail"), F.expr(N_PARTIAL).alias("n_partial"))
+    return w.select(F.inline(F.array(*(F.struct(F.lit(n).alias("gate"), F.col(v).cast("long").alias("measured"), F.lit(t).cast("long").alias("threshold"), (F.col(v) > t).alias("violated")) for n, v, t in GATES))))
+
 
+def enforce_gates(gates, strict: bool) -> bool:
+    """Whether the run passes: always in warning mode; in strict mode only without a violated gate."""
+    return not strict or gates.where("violated").limit(1).count() == 0
