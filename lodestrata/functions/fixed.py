@@ -97,4 +97,19 @@ GENERIC_FOLDERS = (
 ).split()
 GENERIC_SUFFIX = "(Controller|Endpoint|Service|Repository|Handler|Dto|DTO|Request|Response|ViewModel|Model|Configuration|Config|Middleware|Validator|Page|Component|Test|Tests)$"
 GENERIC_VERB = "^(Get|List|Create|Update|Delete|Remove|Add|Edit|Set|Read|Write|Post|Put|Patch|Search|Find)(By|For|With)?([A-Z])"
-CHUNK_SKIP_FOLDERS = "src source app lib libs packages projects modules apps backend frontend server client main".split()
+CHUNK_SKIP_FOLDERS = "src main java kotlin lib app source sources code module modules".split()
+
+# Words of module names that name no capability.
+GENERIC_TOKENS = (
+    "api app base blazor client component config configuration controller create custom delete default details dto edit endpoint endpoints external functional generate get "
+    "handler helper helpers id imports index item items layout list model models page pages public query request response src start service services shared test tests type "
+    "types update view views web"
+).split()
+
+# File names that tell how a system is built and run, and folders that are read whole.
+CONTEXT_FILES = (
+    "package[.]json", "package-lock[.]json", ".*[.]csproj", ".*[.]sln", "pom[.]xml", "build[.]gradle([.]kts)?", "requirements.*[.]txt", "pyproject[.]toml", "go[.]mod", "gemfile", "dockerfile.*",
+    "docker-compose.*[.]ya?ml", ".*[.]tf", ".*[.]tfvars", "(deployment|service|ingress|configmap|statefulset|daemonset|job|cronjob).*[.]ya?ml", "jenkinsfile", "azure-pipelines[.]ya?ml", "[.]gitlab-ci[.]ya?ml",
+    "bitbucket-pipelines[.]ya?ml", "appsettings.*[.]json", "application.*[.](yml|yaml|properties)", "[.]env([.]example|[.]sample)?", "nginx.*[.]conf", "web[.]config",
+)
+CONTEXT_FOLDERS = ".github .circleci k8s kubernetes manifests terraform infra infrastructure helm".split()

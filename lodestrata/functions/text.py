@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lodestrata.functions import fixed
+
 
 def normalize_newlines(text: Column) -> Column:
     """CRLF and CR become LF; white space at line ends goes."""
@@ -33,10 +35,11 @@ def identifier_tokens(name: Column) -> Column:
 
 
 def capability_tokens(name: Column) -> Column:
-    """Words of at least 3 characters, first letter raised."""
-    cut = F.regexp_replace(name, "([A-Z]+)([A-Z][a-z])", "$1 $2")
-    words = F.regexp_extract_all(cut, F.lit(r"([A-Z]?[a-z]+|[A-Z]+|\d+)"), 1)
-    return F.transform(F.filter(words, lambda w: F.length(w) >= 3), lambda w: F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.lower(F.substr(w, F.lit(2)))))
+    """Words of at least 3 characters that say something of the domain, first letter raised."""
+    spaced = F.regexp_replace(F.regexp_replace(name, r"[_\-/.]+", " "), "([A-Z]+)([A-Z][a-z])", "$1 $2")
+    words = F.regexp_extract_all(spaced, F.lit(r"([A-Z]?[a-z]+|[A-Z]+|\d+)"), 1)
+    kept = F.filter(words, lambda w: (F.length(w) >= 3) & ~F.lower(w).isin(fixed.GENERIC_TOKENS))
+    return F.transform(kept, lambda w: F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.substr(w, F.lit(2))))
 
 
 def simple_type(name: Column) -> Column:
@@ -99,23 +102,26 @@ def looks_binary(content: Column) -> Column:
     return F.coalesce(F.instr(F.decode(content, "ISO-8859-1"), "\0") > 0, F.lit(False)) | (binary_share(content) > 0.30)
 
 
+URL_FORM = r"(?i)^(postgresql|postgres|mysql|sqlite)(?:\+\w+)?://(?:[^:@/]*(?::[^@/]*)?@)?([^/:]+)(?::(\d+))?(?:/(\w+))?"
+
+
 def connection_string(value: Column) -> Column:
-    """struct(vendor, host, port, database) of a connection string in URL, file or key=value form."""
-    lower = F.lower(value)
-    url = value.rlike("^[a-z][a-z0-9+]*://")
-    kv = F.str_to_map(F.regexp_replace(lower, r"\s*([;=])\s*", "$1"), F.lit(";"), F.lit("="))
-    pick = lambda *names: F.coalesce(*(F.try_element_at(kv, F.lit(n)) for n in names))
-    server = pick("server", "data source", "host")
-    vendor = (
-        F.when(lower.rlike("^postgres(ql)?://") | (lower.contains("host=") & lower.contains("username=")), "postgresql").when(lower.rlike("^mysql://"), "mysql").when(lower.rlike("^mongodb(\\+srv)?://"), "mongodb")
-        .when(lower.rlike("^redis://"), "redis").when(lower.rlike(r"data source=[^;]*\.(db|sqlite)"), "sqlite").when(server.isNotNull(), "sqlserver").otherwise("unknown")
-    )
-    default = F.create_map(*(F.lit(x) for x in ("postgresql", "5432", "mysql", "3306", "mongodb", "27017", "redis", "6379", "sqlserver", "1433")))
-    named = lambda pattern, n: F.nullif(F.regexp_extract(value, pattern, n), F.lit(""))
-    host = F.when(url, named(r"://(?:[^@/]*@)?([^:/?]+)", 1)).otherwise(F.regexp_extract(server, "^([^,:]+)", 1))
-    port = F.coalesce(F.when(url, named(r"://(?:[^@/]*@)?[^:/?]+:(\d+)", 1)).otherwise(F.coalesce(pick("port"), F.nullif(F.regexp_extract(server, r"[,:](\d+)$", 1), F.lit("")))), default[vendor])
-    database = F.when(url, named(r"://[^/]*/([^?]+)", 1)).otherwise(pick("database", "initial catalog"))
-    return F.struct(vendor.alias("vendor"), F.when(vendor != "sqlite", host).alias("host"), port.alias("port"), database.alias("database"))
+    """struct(vendor, host, port, database) of a connection string in URL, file or key=value form; all null for anything else."""
+    value = F.trim(value)
+    named = lambda g: F.nullif(F.regexp_extract(value, URL_FORM, g), F.lit(""))
+    scheme = F.lower(named(1))
+    url_vendor = F.when(scheme.startswith("postgres"), "postgresql").otherwise(scheme)
+    is_file = value.rlike(r"(?i)[.](db|sqlite|sqlite3)") | F.lower(value).contains("sqlite")
+    pairs = F.map_filter(F.transform_values(F.transform_keys(F.str_to_map(value, F.lit(";"), F.lit("=")), lambda k, v: F.lower(F.trim(k))), lambda k, v: F.nullif(F.trim(v), F.lit(""))), lambda k, v: v.isNotNull())
+    pick = lambda *names: F.coalesce(*(F.try_element_at(pairs, F.lit(n)) for n in names))
+    has = lambda n: F.map_contains_key(pairs, n)
+    vendor = F.when(has("initial catalog") | (has("server") & ~has("uid") & ~has("host")), "sqlserver").when(has("uid"), "mysql").when(has("host"), "postgresql").when(F.size(pairs) > 0, "sqlserver")
+    default = F.create_map(*(F.lit(x) for x in ("postgresql", "5432", "mysql", "3306", "sqlserver", "1433")))
+    by_pair = F.struct(vendor.alias("vendor"), F.when(vendor.isNotNull(), F.coalesce(pick("server", "data source", "host"), F.lit("localhost"))).alias("host"), F.coalesce(pick("port"), default[vendor]).alias("port"), pick("database", "initial catalog", "dbname").alias("database"))
+    by_url = F.struct(url_vendor.alias("vendor"), named(2).alias("host"), F.coalesce(named(3), F.when(url_vendor == "postgresql", "5432").otherwise("3306")).alias("port"), named(4).alias("database"))
+    none = F.lit(None).cast("string")
+    by_file = F.struct(F.lit("sqlite").alias("vendor"), none.alias("host"), none.alias("port"), F.coalesce(pick("data source"), value).alias("database"))
+    return F.when(scheme.isNotNull(), by_url).when(is_file, by_file).otherwise(by_pair)
 
 
 def fenced_json(text: Column) -> Column:

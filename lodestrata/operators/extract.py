@@ -15,13 +15,16 @@ CS_CLASS = r"\b(class|struct)\s+(\w+)"
 CS_INTERFACE = r"\binterface\s+(\w+)"
 CS_ENUM = r"\benum\s+(\w+)\s*\{([^}]+)\}"
 CS_METHOD = rf"^\s*(?:(?:{MODIFIERS})\s+)+([\w<>\[\]?,\.]+)\s+(\w+)\s*(?:<[^>]*>)?\s*\("
-CS_PROPERTY = r"public\s+(?:virtual\s+|static\s+)?([\w<>\?\[\]]+)\s+(\w+)\s*\{\s*get"
+CS_PROPERTY = r"(?:public|private|protected|internal|static|virtual|override)\s+(?:readonly\s+)?([\w<>\[\]?,\.]+)\s+(\w+)\s*\{[^}]*(?:get|set)"
 CS_AUTHORIZE = r"\[Authorize(?:\(([^)]*)\))?\]"
 CS_TARGET = r"\b([A-Z]\w+)\s*(?:<[^>]*>)?\s*[\(:{]"
 CS_GUARD = r"Guard\.Against\.(\w+)\("
 CS_CONSTRUCTOR = r"^\s*(?:public|protected|internal)\s+(\w+)\s*\("
-PROPERTY_WORDS = "price total amount status quantity discount cost tax rate count balance date".split()
-SKIP_METHODS = "if for foreach while switch catch using return new lock typeof nameof".split()
+PROPERTY_WORDS = "status state type amount price discount total quantity count limit threshold rate flag enabled active approved rejected pending balance credit tax fee".split()
+SKIP_METHODS = "if else while for foreach switch catch using lock try finally return new throw await yield var void int string bool get set".split()
+SKIP_JAVA = "if while for switch catch try finally return new throw".split()
+SKIP_JS = "if while for switch catch then map filter reduce forEach find".split()
+SERVICE_SUFFIX = "(Service|Manager|Handler|Controller|Processor|Repository|Factory|Builder|Validator|Calculator|Orchestrator)$"
 JAVA_TYPE = r"\b(class|interface|enum)\s+(\w+)"
 JAVA_METHOD = r"^\s*(?:public|private|protected)\s+(?:static\s+|final\s+)*([\w<>\[\]]+)\s+(\w+)\s*\("
 JS_PATTERNS = [("function", r"function\s+(\w+)\s*\([^)]*\)\s*\{"), ("function", r"(?:const|let|var)\s+(\w+)\s*=\s*(?:async\s+)?(?:function\s*\([^)]*\)|\([^)]*\)\s*=>)"), ("function", r"(\w+)\s*:\s*(?:async\s+)?function\s*\([^)]*\)\s*\{"), ("class", r"class\s+(\w+)")]
@@ -46,7 +49,7 @@ DDL_COLUMN = r"(?i)^\s*\[?(\w+)\]?\s+(\w+(?:\(\d+(?:,\s*\d+)?\))?)(\s+NOT\s+NULL
 DDL_SKIP = r"(?i)^\s*(CONSTRAINT|PRIMARY|FOREIGN|UNIQUE|CHECK|INDEX|KEY)"
 EF_PATTERNS = [("db_set", r"DbSet<(\w+)>"), ("entity", r"modelBuilder\.Entity<(\w+)>"), ("table", r"\[Table\(\"(\w+)\"\)\]")]
 RAZOR = [("page", r"^@page(?:\s+\"?([^\"]*)\"?)?"), ("inject", r"^@inject\s+([A-Za-z_][A-Za-z0-9_.<>]*)\s+[A-Za-z_]"), ("inherits", r"^@inherits\s+(.+)"), ("attribute", r"^@attribute\s+(.+)")]
-MARKER = r"(?s)=== FILE START: ([^\n]+?) ===\n(.*?)\n=== FILE END ==="
+MARKER = r"(?s)===[A-Z_]*(?:FILE|DOCUMENT)_START:([^=\n]+)===(.*?)===[A-Z_]*(?:FILE|DOCUMENT)_END==="
 NAMESPACE = r"namespace\s+([\w\.]+)"
 
 

@@ -98,7 +98,7 @@ RAZOR = f"""SELECT p_partkey AS seq, concat('src/Web/Pages/', p_type, '/', CASE
 LOGS = """SELECT event_id AS seq, concat('logs/u', cast(user_id % 14 as varchar(20)), '.log') AS path, concat(CASE WHEN event_id % 4 = 0 THEN '' ELSE 'WARN ' END,
   CASE event_type WHEN 'click' THEN 'order Created by ' WHEN 'purchase' THEN 'payment charged for ' WHEN 'signup' THEN 'user registered as ' WHEN 'error' THEN 'ERROR failed at ' ELSE 'seen ' END, cast(user_id as varchar(20))) AS line FROM <<events>>"""
 #: Marked multi-file answers.
-MARKED = f"""SELECT p_partkey AS seq, {_text("'intro'", NL, "'=== FILE START: docs/A'", KEY, "'.md ==='", NL, "'body '", "p_name", NL, "'=== FILE END ==='", NL, "'=== FILE START: B'", SIZE, "'.md ==='", NL, "'two'", NL, "'=== FILE END ==='", NL)} AS text FROM <<part>>"""
+MARKED = f"""SELECT p_partkey AS seq, {_text("'intro'", NL, "'===AA_FILE_START:docs/../A'", KEY, "'.md==='", NL, "'body '", "p_name", NL, "'===AA_FILE_END==='", NL, "'===DOCUMENT_START:B'", SIZE, "'.md==='", NL, "'two'", NL, "'===DOCUMENT_END==='", NL)} AS text FROM <<part>>"""
 FENCED = f"""SELECT p_partkey AS seq, CASE p_size % 4 WHEN 0 THEN concat('text', {NL}, '```json', {NL}, '{{"a": ', {SIZE}, '}}', {NL}, '```') WHEN 1 THEN concat('```', {NL}, '{{"a": ', {SIZE}, '}}', {NL}, '```') WHEN 2 THEN concat('{{"a": ', {SIZE}, '}}') ELSE 'no json here' END AS text FROM <<part>>"""
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -139,12 +139,19 @@ def module_design_role(spark, sf_dir):
     return found.select("module", "project", column(C.DESIGN_ROLES, "'supporting'").alias("role"))
 
 
-@register("module_responsibility", f"""WITH t AS (SELECT module, component_type, count(*) AS n FROM ({COMPONENTS_D}) c GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY module ORDER BY n DESC, component_type) AS k FROM t)
-  SELECT module, CASE WHEN module = 'Unknown' THEN 'unknown' ELSE concat('Owns ', string_agg(component_type, ', ' ORDER BY k)) END AS responsibility FROM r WHERE k <= 4 GROUP BY module""")
+@register("module_responsibility", f"""WITH t AS (SELECT module, component_type, count(*) AS n, min(seq) AS s FROM ({COMPONENTS_D}) c GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY module ORDER BY n DESC, s) AS k FROM t),
+  o AS (SELECT module, lower(string_agg(component_type, ', ' ORDER BY k) FILTER (WHERE component_type <> 'Unknown')) AS types FROM r WHERE k <= 4 GROUP BY module), d AS (SELECT DISTINCT module, regexp_replace(file, '/[^/]*$', '') AS folder FROM ({COMPONENTS_D}) c),
+  f AS (SELECT module, string_agg(folder, ', ' ORDER BY folder) AS folders FROM (SELECT *, row_number() OVER (PARTITION BY module ORDER BY folder) AS k FROM d) x WHERE k <= 3 GROUP BY module)
+  SELECT o.module, concat_ws('; ', CASE WHEN types IS NOT NULL THEN concat('owns ', types, ' components') END, concat('evidenced by ', folders)) AS responsibility FROM o JOIN f ON f.module = o.module""")
 def module_responsibility(spark, sf_dir):
-    counts = B.source(spark, sf_dir, B.COMPONENTS).groupBy("module", "component_type").agg(F.count("*").alias("n"))
-    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "component_type"))), 1, 4)["component_type"]
-    return counts.groupBy("module").agg(top.alias("kinds")).select("module", F.when(F.col("module") == "Unknown", "unknown").otherwise(F.concat(F.lit("Owns "), F.array_join("kinds", ", "))).alias("responsibility"))
+    """What a module owns (its four most frequent types, ties by first seen) and where (its first three folders)."""
+    c = B.source(spark, sf_dir, B.COMPONENTS)
+    counts = c.groupBy("module", "component_type").agg(F.count("*").alias("n"), F.min("seq").alias("s"))
+    top = F.filter(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "s", "component_type"))), 1, 4)["component_type"], lambda t: t != "Unknown")
+    folders = F.slice(F.array_sort(F.collect_set(F.regexp_replace("file", "/[^/]*$", ""))), 1, 3)
+    met = counts.groupBy("module").agg(top.alias("types")).join(c.groupBy("module").agg(folders.alias("folders")), "module")
+    owns = F.when(F.size("types") > 0, F.concat(F.lit("owns "), F.lower(F.array_join("types", ", ")), F.lit(" components")))
+    return met.select("module", F.concat_ws("; ", owns, F.concat(F.lit("evidenced by "), F.array_join("folders", ", "))).alias("responsibility"))
 
 
 @register("component_registry", f"""WITH c AS ({COMPONENTS_D}), hot AS (SELECT src AS name FROM ({B.duck(B.EDGES)}) e GROUP BY src HAVING count(DISTINCT dst) >= 8)

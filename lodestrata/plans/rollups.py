@@ -286,22 +286,22 @@ def edge_ranking(spark, sf_dir):
 SKIP = ", ".join(quote(x) for x in fixed.CHUNK_SKIP_FOLDERS)
 
 
-@register("module_chunks", f"""WITH f AS (SELECT seq, path, list_filter(string_split(path, '/')[:-2], lambda p: lower(p) NOT IN ({SKIP})) AS ps FROM ({FILE}) t), k AS (SELECT seq, coalesce(ps[1], 'root') AS key FROM f), n AS (SELECT key, row_number() OVER (ORDER BY count(*) DESC, key) AS place FROM k GROUP BY key)
+@register("module_chunks", f"""WITH f AS (SELECT seq, path, list_filter(string_split(path, '/'), lambda p: lower(p) NOT IN ({SKIP}) AND p <> '') AS ps, string_split(path, '/') AS a FROM ({FILE}) t), k AS (SELECT seq, coalesce(ps[1], a[-2], 'unknown') AS key FROM f), n AS (SELECT key, row_number() OVER (ORDER BY count(*) DESC, key) AS place FROM k GROUP BY key)
   SELECT key, place, seq, rank FROM (SELECT k.key, place, seq, row_number() OVER (PARTITION BY k.key ORDER BY seq) AS rank FROM k JOIN n USING (key) WHERE place <= 6) t WHERE rank <= 80""")
 def module_chunks(spark, sf_dir):
     parts = F.split("path", "/")
-    kept = F.filter(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: ~F.lower(p).isin(fixed.CHUNK_SKIP_FOLDERS))
-    keyed = B.source(spark, sf_dir, B.FILES).select("seq", F.coalesce(F.get(kept, F.lit(0)), F.lit("root")).alias("key"))
+    kept = F.filter(parts, lambda p: ~F.lower(p).isin(fixed.CHUNK_SKIP_FOLDERS) & (p != ""))
+    keyed = B.source(spark, sf_dir, B.FILES).select("seq", F.coalesce(F.get(kept, F.lit(0)), F.try_element_at(parts, F.lit(-2)), F.lit("unknown")).alias("key"))
     place = F.row_number().over(Window.orderBy(F.desc("n"), "key"))
     top = keyed.groupBy("key").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "key").limit(6).withColumn("place", place).select("key", "place")
     return W.top_k(keyed.join(top, "key"), ["key"], 80, F.col("seq")).select("key", "place", "seq", "rank")
 
 
-@register("adaptive_limit", f"WITH n AS (SELECT CASE WHEN count(*) > 5000 THEN 5 WHEN count(*) > 1000 THEN 10 ELSE 20 END AS k FROM ({COMP}) t) SELECT component_type, name, seq, rank FROM (SELECT *, row_number() OVER (PARTITION BY component_type ORDER BY seq) AS rank FROM ({COMP}) t) t, n WHERE rank <= k")
+@register("adaptive_limit", f"WITH n AS (SELECT CASE WHEN count(*) > 5000 THEN 20 WHEN count(*) > 1000 THEN 35 ELSE 60 END AS k FROM ({COMP}) t) SELECT component_type, name, seq, rank FROM (SELECT *, row_number() OVER (PARTITION BY component_type ORDER BY seq) AS rank FROM ({COMP}) t) t, n WHERE rank <= k")
 def adaptive_limit(spark, sf_dir):
     c = B.source(spark, sf_dir, B.COMPONENTS)
     n = c.count()
-    k = 5 if n > 5000 else 10 if n > 1000 else 20
+    k = 20 if n > 5000 else 35 if n > 1000 else 60
     return W.top_k(c, ["component_type"], k, F.col("seq")).select("component_type", "name", "seq", "rank")
 
 
@@ -310,7 +310,7 @@ def context_trim(spark, sf_dir):
     return B.source(spark, sf_dir, "SELECT doc_id, text FROM <<documents>>").orderBy("doc_id").limit(50).select("doc_id", F.substring("text", 1, 800).alias("head"), (F.length("text") > 800).alias("cut"))
 
 
-CONTEXT = "CASE WHEN lower_name IN ('dockerfile', 'package.json', 'appsettings.json', 'docker-compose.yml') OR lower_path LIKE '.github/workflows/%' OR lower_path LIKE 'infra/%' THEN true ELSE false END"
+CONTEXT = f"(regexp_like(lower_name, {quote('^(' + '|'.join(fixed.CONTEXT_FILES) + ')$')}) OR regexp_like(concat('/', lower_path), {quote('/(' + '|'.join(x.replace('.', '[.]') for x in fixed.CONTEXT_FOLDERS) + ')/')}))"
 
 
 @register("context_topk_truncate", f"SELECT path, seq, substring(repeat(path, 200), 1, 4000) AS content, length(repeat(path, 200)) > 4000 AS truncated FROM ({FILE}) t WHERE {CONTEXT} ORDER BY path, seq LIMIT 80")

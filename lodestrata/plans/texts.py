@@ -54,7 +54,7 @@ def identifier_tokens(spark, sf_dir):
     return B.source(spark, sf_dir, NAMES.format(B.COMPONENTS)).select("seq", F.array_join(T.identifier_tokens(F.col("qualified")), "|").alias("tokens"))
 
 
-@register("capability_tokens", rf"SELECT seq, array_to_string(list_transform(list_filter(regexp_extract_all(regexp_replace(qualified, '([A-Z]+)([A-Z][a-z])', '\1 \2', 'g'), '([A-Z]?[a-z]+|[A-Z]+|\d+)', 1), lambda w: length(w) >= 3), lambda w: upper(w[1]) || lower(w[2:])), '|') AS tokens FROM ({NAMES.format(COMP)}) t")
+@register("capability_tokens", rf"SELECT seq, array_to_string(list_transform(list_filter(regexp_extract_all(regexp_replace(regexp_replace(qualified, '[_\-/.]+', ' ', 'g'), '([A-Z]+)([A-Z][a-z])', '\1 \2', 'g'), '([A-Z]?[a-z]+|[A-Z]+|\d+)', 1), lambda w: length(w) >= 3 AND lower(w) NOT IN ({', '.join(quote(t) for t in fixed.GENERIC_TOKENS)})), lambda w: upper(w[1]) || w[2:]), '|') AS tokens FROM ({NAMES.format(COMP)}) t")
 def capability_tokens(spark, sf_dir):
     return B.source(spark, sf_dir, NAMES.format(B.COMPONENTS)).select("seq", F.array_join(T.capability_tokens(F.col("qualified")), "|").alias("tokens"))
 
@@ -101,12 +101,13 @@ def hashes(spark, sf_dir):
     return B.source(spark, sf_dir, "SELECT doc_id, text FROM <<documents>>").select("doc_id", F.md5("text").alias("md5"), F.sha2("text", 256).alias("sha256"))
 
 
-CONNECTIONS = """SELECT p_partkey AS seq, CASE p_partkey % 5 WHEN 0 THEN concat('Server=db', cast(p_size as varchar(20)), ',1500;Database=shop;User=u') WHEN 1 THEN concat('postgres://u:p@host', cast(p_size as varchar(20)), ':5433/app?x=1')
-  WHEN 2 THEN concat('Data Source=app', cast(p_size as varchar(20)), '.db') WHEN 3 THEN 'mongodb://m.example/docs' ELSE 'nothing' END AS value FROM <<part>>"""
+CONNECTIONS = """SELECT p_partkey AS seq, CASE p_partkey % 6 WHEN 0 THEN concat('Server=db', cast(p_size as varchar(20)), ';Database=Shop;User Id=u') WHEN 1 THEN concat('postgres://u:p@host', cast(p_size as varchar(20)), ':5433/app')
+  WHEN 2 THEN concat('Data Source=app', cast(p_size as varchar(20)), '.db') WHEN 3 THEN 'mysql+x://m.example/docs' WHEN 4 THEN concat('Host=h', cast(p_size as varchar(20)), ';Port=1;Username=q;Database=d') ELSE concat('Server=s;Uid=u;Database=', p_type) END AS value FROM <<part>>"""
 
 
-@register("connection_string", rf"""SELECT seq, CASE seq % 5 WHEN 0 THEN 'sqlserver' WHEN 1 THEN 'postgresql' WHEN 2 THEN 'sqlite' WHEN 3 THEN 'mongodb' ELSE 'unknown' END AS vendor, CASE seq % 5 WHEN 0 THEN regexp_extract(lower(value), 'server=([^,;]+)', 1) WHEN 1 THEN regexp_extract(value, '@([^:/]+)', 1) WHEN 3 THEN 'm.example' END AS host,
-  CASE seq % 5 WHEN 0 THEN '1500' WHEN 1 THEN '5433' WHEN 3 THEN '27017' END AS port, CASE seq % 5 WHEN 0 THEN 'shop' WHEN 1 THEN 'app' WHEN 3 THEN 'docs' END AS database FROM ({B.duck(CONNECTIONS)}) t""")
+@register("connection_string", rf"""SELECT seq, CASE seq % 6 WHEN 0 THEN 'sqlserver' WHEN 1 THEN 'postgresql' WHEN 2 THEN 'sqlite' WHEN 3 THEN 'mysql' WHEN 4 THEN 'postgresql' ELSE 'mysql' END AS vendor,
+  CASE seq % 6 WHEN 0 THEN regexp_extract(value, 'Server=([^;]+)', 1) WHEN 1 THEN regexp_extract(value, '@([^:/]+)', 1) WHEN 3 THEN 'm.example' WHEN 4 THEN regexp_extract(value, 'Host=([^;]+)', 1) WHEN 5 THEN 's' END AS host,
+  CASE seq % 6 WHEN 0 THEN '1433' WHEN 1 THEN '5433' WHEN 3 THEN '3306' WHEN 4 THEN '1' WHEN 5 THEN '3306' END AS port, CASE seq % 6 WHEN 0 THEN 'Shop' WHEN 1 THEN 'app' WHEN 2 THEN regexp_extract(value, '=(.*)$', 1) WHEN 3 THEN 'docs' WHEN 4 THEN 'd' ELSE regexp_extract(value, 'Database=(.*)$', 1) END AS database FROM ({{B.duck(CONNECTIONS)}}) t""".replace("{B.duck(CONNECTIONS)}", B.duck(CONNECTIONS)))
 def connection_string(spark, sf_dir):
     return B.source(spark, sf_dir, CONNECTIONS).select("seq", T.connection_string(F.col("value")).alias("c")).select("seq", "c.*")
 
@@ -147,10 +148,12 @@ def mermaid_edges(spark, sf_dir):
     return e.groupBy("src").agg(F.array_join(F.array_sort(F.collect_set("to")), " & ").alias("to")).select("src", F.concat(T.node_id(F.col("src")), F.lit(" --> "), "to").alias("line"))
 
 
-@register("marked_file_demux", rf"WITH m AS (SELECT seq, regexp_extract_all(text, {q(X.MARKER)}, 1) AS names, regexp_extract_all(text, {q(X.MARKER)}, 2) AS bodies FROM ({B.duck(B.MARKED)}) t) SELECT seq, regexp_replace(unnest(names), '^.*/', '') AS name, unnest(bodies) AS content FROM m")
+@register("marked_file_demux", rf"WITH m AS (SELECT seq, regexp_extract_all(text, {q(X.MARKER)}, 1) AS names, regexp_extract_all(text, {q(X.MARKER)}, 2) AS bodies FROM ({B.duck(B.MARKED)}) t) SELECT seq, replace(trim(unnest(names)), '../', '') AS name, trim(unnest(bodies), chr(10)) AS content FROM m")
 def marked_file_demux(spark, sf_dir):
+    """Relative paths without ``..``; contents without white space at their ends."""
     found = X.matches(B.source(spark, sf_dir, B.MARKED), X.MARKER, [1, 2], "seq")
-    return found.select("seq", F.regexp_replace("g1", "^.*/", "").alias("name"), F.col("g2").alias("content"))
+    parts = F.filter(F.split(F.replace(F.trim("g1"), F.lit("\\"), F.lit("/")), "/"), lambda p: ~p.isin("", "..", "."))
+    return found.select("seq", F.array_join(parts, "/").alias("name"), F.regexp_replace("g2", r"^\s+|\s+$", "").alias("content"))
 
 
 @register("fenced_json", f"SELECT seq, CASE WHEN seq IS NOT NULL AND text LIKE '%a\"%' THEN regexp_extract(text, '(\\{{[^}}]*\\}})', 1) END AS json FROM ({B.duck(B.FENCED)}) t")
@@ -187,7 +190,7 @@ def compose_services(spark, sf_dir):
 
 # --- extractors over whole texts: (key, statement, pattern, groups with names) ---
 WHOLE = [
-    ("cs_classes", B.CS, X.CS_CLASS, ["kind", "name"]), ("cs_interfaces", B.CS, X.CS_INTERFACE, ["name"]), ("cs_properties_all", B.CS, X.CS_PROPERTY, ["type", "name"]), ("java_symbols", B.JAVA, X.JAVA_TYPE, ["kind", "name"]),
+    ("cs_interfaces", B.CS, X.CS_INTERFACE, ["name"]), ("cs_properties_all", B.CS, X.CS_PROPERTY, ["type", "name"]), ("java_symbols", B.JAVA, X.JAVA_TYPE, ["kind", "name"]),
     ("injection_deps", B.CS, X.INJECT_PROPERTY, ["type", "name"]), ("field_types", B.CS, X.FIELD, ["type", "name"]), ("mediator_sends", B.CS, X.SEND, ["target", "request"]), ("api_calls", B.CS, X.CLIENT, ["target", "verb", "argument"]),
     ("attribute_routes_raw", B.CS, X.HTTP_ATTRIBUTE, ["verb", "arguments"]), ("di_registrations", B.PROGRAM, X.DI_GENERIC, ["lifetime", "service", "implementation"]), ("di_typeof", B.PROGRAM, X.DI_TYPEOF, ["lifetime", "service", "implementation"]),
     ("constructor_guards_raw", B.CS, X.CS_GUARD, ["guard"]), ("js_classes", B.JS, X.JS_PATTERNS[3][1], ["name"]),
@@ -201,6 +204,12 @@ for _key, _statement, _pattern, _names in WHOLE:
         return found.select("seq", *(F.col(f"g{k}").alias(n) for k, n in enumerate(names, 1)))
 
 
+@register("cs_classes", f"WITH c AS (SELECT seq, unnest(regexp_extract_all(text, {q(X.CS_CLASS)}, 1)) AS kind, unnest(regexp_extract_all(text, {q(X.CS_CLASS)}, 2)) AS name FROM ({CS}) t) SELECT seq, kind, name, regexp_matches(name, {q(X.SERVICE_SUFFIX)}) AS is_service FROM c")
+def cs_classes(spark, sf_dir):
+    found = X.matches(B.source(spark, sf_dir, B.CS), X.CS_CLASS, [1, 2], "seq")
+    return found.select("seq", F.col("g1").alias("kind"), F.col("g2").alias("name"), F.col("g2").rlike(X.SERVICE_SUFFIX).alias("is_service"))
+
+
 LINES_SQL = "SELECT seq, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_number FROM ({}) t"
 
 
@@ -260,12 +269,12 @@ def js_symbols(spark, sf_dir):
     for place, (kind, pattern) in enumerate(X.JS_PATTERNS):
         one = X.matches(rows, pattern, [1], "seq").select("seq", F.lit(place).alias("place"), F.lit(kind).alias("kind"), "pos", F.col("g1").alias("name"))
         found = one if found is None else found.unionByName(one)
-    return pick(found, ["seq", "name"], F.col("place"), F.col("pos")).select("seq", "kind", "name")
+    return pick(found.where(~F.col("name").isin(X.SKIP_JS)), ["seq", "name"], F.col("place"), F.col("pos")).select("seq", "kind", "name")
 
 
 @register("java_methods", f"WITH l AS ({LINES_SQL.format(B.duck(B.JAVA))}), m AS (SELECT seq, line_number, regexp_extract(line, {q(X.JAVA_METHOD)}, 2) AS name FROM l WHERE regexp_matches(line, {q(X.JAVA_METHOD)})) SELECT seq, line_number, name, {C.BUSINESS_METHOD} AS is_business FROM m")
 def java_methods(spark, sf_dir):
-    found = X.line_facts(B.source(spark, sf_dir, B.JAVA), X.JAVA_METHOD, [2], "seq")
+    found = X.line_facts(B.source(spark, sf_dir, B.JAVA), X.JAVA_METHOD, [2], "seq").where(~F.col("g1").isin(X.SKIP_JAVA))
     return found.select("seq", "line_number", F.col("g1").alias("name"), C.is_business_method(F.col("g1")).alias("is_business"))
 
 

