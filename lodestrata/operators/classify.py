@@ -27,8 +27,7 @@ KEEP_FILE = (
 )
 INVENTORY_LANGUAGE = f"coalesce({lookup_sql('name', fixed.INVENTORY_BY_NAME)}, {lookup_sql('lower(suffix)', fixed.INVENTORY_BY_SUFFIX)}, 'unknown')"
 IGNORE_RULES = [
-    (f"contains(concat('/', path), '/architecture-output/')", "'generated_output:architecture-output'"),
-    (f"contains(concat('/', path), '/tools/application_architecture_analyzer/')", "'analyzer_tooling:tools/application_architecture_analyzer'"),
+    ("contains(concat('/', path), '/architecture-output/')", "'generated_output:architecture-output'"),
     *((f"contains(concat('/', path), '/{d}/')", quote(f"ignored_directory:{d}")) for d in fixed.IGNORED_DIRECTORIES),
     ("lower_name LIKE '%.min.js'", "'ignored_file:minified_js'"),
     ("lower_name LIKE '%.map%'", "'ignored_file:source_map'"),
