@@ -3,9 +3,9 @@
 The index centres unit vectors, rotates them by a random orthogonal matrix and keeps the sign
 of each coordinate (packed bits) with two correction scalars: the residual's length and the
 inner product of the residual's direction with its code. For a query, the code gives an
-unbiased estimate of the inner product and a bound of its error. Only vectors whose upper
-bound reaches the k-th best lower bound are reranked with the exact cosine in double
-precision.
+unbiased estimate of the inner product and a bound of its error. The k best estimates of a
+block are scored exactly; only vectors whose upper bound reaches the k-th of these scores are
+reranked, with the exact cosine in double precision.
 
 Queries meet all rows in blocks: the codes and vectors of ``BLOCK`` rows are one binary row,
 and so are ``BLOCK`` queries; no pair of single rows is ever emitted but the best k of each
@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from lodestrata.llm.storage import Workspace
 
 BLOCK, QUERY_BLOCK, SEED, BOUND = 4096, 8192, 11, 3.0
+"""BOUND: width of the error bound in standard deviations; a block loses one of its best with a chance of about 0.1 %."""
 QUERY_SLICE, SCORED = 64, 1 << 15
 """Queries estimated at once, and pairs scored at once: they bound a task's memory."""
 SMALL_QUERIES = 1 << 22
 """Up to so many query components (32 MB), query blocks are broadcast; beyond it, blocks are joined by shuffle."""
-"""BOUND: width of the error bound in standard deviations; a true neighbour is lost with a chance below 1e-5."""
 
 
 def rotation(dimensions: int, seed: int = SEED) -> np.ndarray:
