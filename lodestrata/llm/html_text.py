@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.memory import lean
 from lodestrata.llm.storage import Workspace
 
 LEAST_PAGES, CONTAINER_SHARE, PROSE_SHARE = 8, 0.2, 0.5
@@ -57,6 +58,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 _tag = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
 _loose = re.compile(r"<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>[^>]*)>", re.S)
 _attr = re.compile(r"(?<![\w-])(class|id|role|hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_elsewhere = re.compile(r"(?:no|with|has|without|show|hide)[-_]", re.I)
 _word = re.compile(r"[A-Za-z][a-z]+|[A-Z]+|[a-z]+")
 
 
@@ -77,6 +79,11 @@ def _attributes(rest: str) -> tuple[str, str, bool]:
     return named.strip(), role, hidden
 
 
+def _words(named: str) -> set[str]:
+    """The words of class and id names; a name such as has-sidebar or no-menu says what stands elsewhere, and is left out."""
+    return {w.lower() for name in named.split() if not _elsewhere.match(name) for w in _word.findall(name)}
+
+
 class _Element:
     __slots__ = ("tag", "parent", "named", "dropped", "root", "holds_root", "in_root", "parts", "key")
 
@@ -168,10 +175,10 @@ def parse(page: str) -> list[tuple[str, tuple[int, ...]]]:
         element = _Element(name, node, named)
         element.root = name in ("article", "main") or role == "main"
         if name not in ("html", "body", "article", "main"):
-            words = {w.lower() for w in _word.findall(named)} if named else ()
+            words = _words(named)
             element.dropped = name in DROPPED or hidden or role in ROLES or bool(PART_WORDS.intersection(words)) or (not element.in_root and (name == "header" or bool(PAGE_WORDS.intersection(words))))
         elif name == "article":
-            element.dropped = hidden or bool(named) and bool({"comment", "comments", "reply", "respond", "ad", "advert", "related", "sponsored"}.intersection(w.lower() for w in _word.findall(named)))
+            element.dropped = hidden or bool(named) and not _words(named).isdisjoint({"comment", "comments", "reply", "respond", "ad", "advert", "related", "sponsored"})
         if name in RAW:
             end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             element.parts.append(page[at : end.start() if end else n])
@@ -224,6 +231,7 @@ def parse(page: str) -> list[tuple[str, tuple[int, ...]]]:
 PARSED = "page_id long, url string, host string, text_key long, keys array<long>, blocks array<struct<text:string,keys:array<long>>>"
 
 
+@lean
 def _parsed(batches):
     kind = pa.list_(pa.struct([("text", pa.string()), ("keys", pa.list_(pa.int64()))]))
     for batch in batches:

@@ -13,6 +13,7 @@ def test_parts_that_are_no_article():
     <main><article class="post"><header><h1>Ti<b>tle</b></h1></header><p>One &lt;b&gt; &amp;amp; two<p>Three<br>four<script>if(a<b){x("</p>")}</script><div class="share">tweet</div><ul><li>a<li>b</ul><form>mail<input></form>
     <blockquote>Q</blockquote><!-- c --> tail a < b &nbsp; c</article><section id="comments"><article class="comment">bad</article></section></main><aside>side</aside></div><footer>f</footer>"""
     assert text_of(page) == "Title One <b> &amp; two Three four a b Q tail a < b c"
+    assert text_of('<body><div class="content has-sidebar"><p>kept</p><div class="sidebarBox">gone</div><ul id=mainMenu><li>x</ul></div>') == "kept"
     assert text_of("just <i>text</i>only<div>x</div>") == "just textonly x"
     assert text_of("") == "" and text_of("<p>a<!-- unclosed") == "a" and text_of("<div hidden>h</div><p title='a>b'>ok</p>") == "ok"
 
