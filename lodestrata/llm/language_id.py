@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.memory import lean, small
+
 DIMENSIONS, ORDER, SEED = 512, 3, 20240229
 UNKNOWN = "und"
 CHUNK_CHARS = 1 << 19
@@ -118,10 +120,11 @@ def encode(encoder: Encoder, texts: list[str | None]) -> tuple[np.ndarray, np.nd
     return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0), has
 
 
+@lean
 def _learned(batches):
     """The sum of each language's unit vectors over a partition, rounded to 1/2**20."""
     encoder, sums = Encoder(), {}
-    for batch in batches:
+    for batch in small(batches, 2048):
         langs = batch.column(1).to_pylist()
         vectors, has = encode(encoder, batch.column(0).to_pylist())
         for lang in set(langs):
@@ -142,9 +145,10 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     return total.select("lang", F.array(*(F.col(f"d{k}").cast("double") for k in range(DIMENSIONS))).alias("bundle"))
 
 
+@lean
 def _predicted(batches, text: str, names: list[str], prototypes: np.ndarray):
     encoder = Encoder()
-    for batch in batches:
+    for batch in small(batches, 2048):
         vectors, has = encode(encoder, batch.column(text).to_pylist())
         if len(names):
             cosine = np.round(vectors.astype(np.float64) @ prototypes.T, 6)
@@ -177,9 +181,10 @@ def filter_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], leas
     """The documents with a recognised language and at least this score, all columns as they were."""
     names, prototypes = learned
 
+    @lean
     def kept(batches):
         encoder = Encoder()
-        for batch in batches:
+        for batch in small(batches, 2048):
             vectors, has = encode(encoder, batch.column(text).to_pylist())
             best = np.round(vectors.astype(np.float64) @ prototypes.T, 6).max(axis=1) if names else np.full(len(has), -1.0)
             yield batch.filter(pa.array(has & (best >= least)))

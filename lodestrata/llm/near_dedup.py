@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm import wordhash as W
 from lodestrata.llm.components import components
+from lodestrata.llm.memory import lean, small
 from lodestrata.llm.storage import Workspace
 
 SHINGLE, BUCKETS, COUNT_CHUNK = 5, 1 << 18, 1 << 12
@@ -74,9 +75,10 @@ def sets_of(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
+@lean
 def _sketched(batches, k: int = FIRST[0]):
     """doc_id, size of the set, 128-bit key of the set, sketch."""
-    for batch in batches:
+    for batch in small(batches, 1024):
         sets = sets_of(batch.column(1))
         with np.errstate(over="ignore"):
             keys = np.array([(x.sum(dtype=np.uint64), np.bitwise_xor.reduce(W.mix(x)) + np.uint64(len(x))) if len(x) else (0, 0) for x in sets], dtype=np.uint64).reshape(len(sets), 2).view(np.int64)
@@ -166,6 +168,7 @@ def passes(na: int, nb: int, a: np.ndarray, b: np.ndarray, k: int, least: int) -
     return union_estimate(a, b, k) * k >= least
 
 
+@lean
 def _estimated(batches):
     for batch in batches:
         (va, oa), (vb, ob) = _unpack(batch.column("sketch_a")), _unpack(batch.column("sketch_b"))
@@ -174,8 +177,9 @@ def _estimated(batches):
         yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
 
+@lean
 def _verified(batches):
-    for batch in batches:
+    for batch in small(batches, 1024):
         a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
         some, at = np.unique(a, return_index=True)
         left = dict(zip(some.tolist(), sets_of(batch.column("text_a").take(pa.array(at))), strict=True))
@@ -183,8 +187,8 @@ def _verified(batches):
         for lo in range(0, batch.num_rows, 512):
             for k, mine in enumerate(sets_of(batch.column("text_b").slice(lo, 512)), lo):
                 other = left[a[k]]
-                small, big = (mine, other) if len(mine) <= len(other) else (other, mine)
-                common = int((big[np.minimum(np.searchsorted(big, small), len(big) - 1)] == small).sum()) if len(small) else 0
+                less, more = (mine, other) if len(mine) <= len(other) else (other, mine)
+                common = int((more[np.minimum(np.searchsorted(more, less), len(more) - 1)] == less).sum()) if len(less) else 0
                 good.append(common > 0 and OF * common >= LIKE * (len(mine) + len(other) - common))
         mask = pa.array(good, pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(a).filter(mask), pa.array(b).filter(mask)], ["a", "b"])

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm import wordhash as W
+from lodestrata.llm.memory import lean, small
 from lodestrata.llm.quality_rules import _SYMBOL, _keyed, _repeated, covered
 
 PASSAGE, SAMPLE, HIDDEN, ROUNDS, RATE, DECAY, SEED = 64, 6000, 16, 400, 0.02, 1e-4, 5
@@ -151,6 +152,7 @@ def score_bags(model: dict, x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return forward(model, x, sizes)[0] if len(sizes) else np.zeros(0)
 
 
+@lean
 def _bagged(batches):
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
@@ -174,8 +176,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 def score_documents(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, score`` of every document; no shuffle."""
 
+    @lean
     def scored(batches):
-        for batch in batches:
+        for batch in small(batches, 2048):
             x, sizes = bags(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.round(score_bags(model, x, sizes), 9))], ["doc_id", "score"])
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm import wordhash as W
+from lodestrata.llm.memory import lean, small
 
 LENGTHS = (5, 7, 10)
 
@@ -120,8 +121,9 @@ def measure(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str,
     return out
 
 
+@lean
 def _measured(batches, text: str):
-    for batch in batches:
+    for batch in small(batches, 2048):
         raw, offsets = W.buffers(batch.column(text))
         keep = [k for k in range(batch.num_columns) if batch.schema.names[k] != text]
         parts = []
@@ -141,8 +143,9 @@ def measure_quality(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     return picked.mapInArrow(lambda it: _measured(it, "__text"), f"doc_id {kind}, {SCHEMA}")
 
 
+@lean
 def _filtered(batches, text: str):
-    for batch in batches:
+    for batch in small(batches, 2048):
         raw, offsets = W.buffers(batch.column(text))
         parts = []
         for lo, hi in W.slices(offsets):

@@ -11,6 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_ROWS, WRITE_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+"""Rows of long texts go to Python in batches of at most so many while tables are written."""
+
 _own: dict[str, str] = {}
 
 
@@ -37,7 +40,12 @@ class Workspace:
         """Write ``df`` as Parquet and return a frame that reads it."""
         self._count += 1
         path = f"{self.root}/{self._count:03d}-{name}"
-        df.write.parquet(path)
+        held = self.spark.conf.get(ARROW_ROWS)
+        self.spark.conf.set(ARROW_ROWS, str(min(int(held), WRITE_ROWS) if int(held) > 0 else WRITE_ROWS))
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(ARROW_ROWS, held)
         found = self.spark.read.schema(df.schema).parquet(path)
         found._lodestrata_path = path
         return found

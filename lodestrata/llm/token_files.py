@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm import wordhash as W
+from lodestrata.llm.memory import lean
 
 BLOCK, PERCENTILE, SEGMENT_IDS = 1024, 95, 1 << 18
 MAGIC = b"PFR1"
@@ -247,6 +248,7 @@ def encoder_for(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
+@lean
 def _encoded(batches, path: str, end_id: int):
     """Segments of a partition's documents, in the order that they come."""
     from pyspark import TaskContext
@@ -292,6 +294,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 2, ranges: int | None
     return ordered.mapInArrow(lambda it: _encoded(it, path, end_id), SEGMENTS)
 
 
+@lean
 def _decoded(batches):
     for batch in batches:
         for part, first, image in zip(batch.column("part").to_pylist(), batch.column("first_id").to_pylist(), batch.column("image"), strict=True):
