@@ -264,8 +264,10 @@ def business_category(names: DataFrame) -> DataFrame:
 
 def language_share(files: DataFrame) -> DataFrame:
     """``language, n, percent, is_primary, use_extractor`` from a column ``suffix``; ties of the primary go to the first file."""
-    known = files.withColumn("language", F.expr(lookup_sql("lower(suffix)", fixed.LANGUAGE_BY_EXTENSION))).where("language IS NOT NULL")
-    counts = known.groupBy("language").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
+    suffixes = files.groupBy(F.lower("suffix").alias("suffix")).agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
+    named = F.create_map(*(F.lit(x) for pair in fixed.LANGUAGE_BY_EXTENSION.items() for x in pair))
+    known = suffixes.withColumn("language", F.try_element_at(named, F.col("suffix"))).where("language IS NOT NULL")
+    counts = known.groupBy("language").agg(F.sum("n").alias("n"), F.min("first_seq").alias("first_seq"))
     whole = Window.partitionBy()
     share = F.round(F.col("n").cast("double") / F.sum("n").over(whole) * 100, 1)
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "first_seq"))
