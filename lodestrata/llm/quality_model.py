@@ -29,6 +29,8 @@ from lodestrata.llm.quality_rules import _SYMBOL, _keyed, _repeated, covered
 
 PASSAGE, SAMPLE, HIDDEN, ROUNDS, RATE, DECAY, SEED = 64, 6000, 16, 400, 0.02, 1e-4, 5
 FEATURES = 14
+PATIENCE, ENOUGH = 25, 1e-3
+"""Training ends when so many rounds lower the mean loss by less than this."""
 
 
 def _lut(characters: bytes) -> np.ndarray:
@@ -125,8 +127,14 @@ def train(x: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = ROUNDS,
              "w": draw(HIDDEN), "c": draw(HIDDEN), "d": np.array(np.log(share / (1 - share)))}
     learned = ("W", "b", "V", "U", "w", "c", "d")
     m, v = ({k: np.zeros_like(model[k]) for k in learned} for _ in range(2))
+    last = np.inf
     for step in range(1, rounds + 1):
         score, way = forward(model, x, sizes)
+        if step % PATIENCE == 0:
+            loss = -np.mean(np.where(y > 0, np.log(np.maximum(score, 1e-12)), np.log(np.maximum(1 - score, 1e-12))))
+            if last - loss < ENOUGH:
+                break
+            last = loss
         off = (score - y) / len(y)
         dz = np.repeat(off[:, None] * model["c"], sizes, axis=0)
         # attention: da_i = a_i (dz . e_i - sum_j a_j dz . e_j)
