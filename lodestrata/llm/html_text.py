@@ -1,14 +1,17 @@
 """Main text of web pages, with site templates removed by counted subtree hashes.
 
-Each page is parsed once into blocks of text. What markup itself names as no part of an
-article goes (menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, comments; by tag, role, or a word in class or id), and where a page has articles (else
-a main element), only those count. Every other element's subtree is hashed (tag, class, id,
-texts and children); Spark counts on how many different pages of a host each hash occurs; a
-subtree that recurs on many of them is the site's template and is deleted with all its text.
+Each page is parsed once into blocks of text and the elements that hold them. Before any rule on
+markup, every element's subtree of the whole page is hashed (tag, class, id, texts and
+children); Spark counts on how many different pages of a host each hash occurs; a subtree that
+recurs on many of them is the site's template and is deleted with all its text.
+
+Markup adds to that, on what the counts leave: what it names as no part of an article goes
+(menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments; by tag,
+role, or a word in class or id), and where a page has articles (else a main element), only those stay.
 
 Counts are over pages whose texts differ, so copies of a page don't turn its content into a
-template. Within articles, prose elements (paragraphs, headings, quotes) are never deleted.
+template. Within articles, prose elements (paragraphs, headings, quotes) are never deleted, so
+that a phrase that articles share stays.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 trimmed and joined in page order by one space. Nothing is dropped for its length.
@@ -24,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -84,6 +88,10 @@ def _words(named: str) -> set[str]:
     return {w.lower() for name in named.split() if not _elsewhere.match(name) for w in _word.findall(name)}
 
 
+# What choose() knows of an element.
+COUNTED, DROP, NEVER, HOLDS, ARTICLE, ROOT = 1, 2, 4, 8, 16, 32
+
+
 class _Element:
     __slots__ = ("tag", "parent", "named", "dropped", "root", "holds_root", "in_root", "parts", "key")
 
@@ -94,11 +102,21 @@ class _Element:
         self.parts, self.key = [], 0
 
 
-def parse(page: str) -> list[tuple[str, tuple[int, ...]]]:
-    """(text, hashes of the countable subtrees that it lies in) of each block that may be article; a
-    hash's last bit is set where the prose limit holds."""
+class Tree(NamedTuple):
+    """A page's blocks of text in page order, each with its innermost element that a rule or a count may
+    ask for, and those elements, parents first; a key's last bit is set where the prose limit holds."""
+
+    keys: list[int]
+    parents: list[int]
+    flags: list[int]
+    texts: list[str]
+    owners: list[int]
+
+
+def tree(page: str) -> Tree:
+    """All text of the page, no rule applied; only what RAW elements hold is no text."""
     top = _Element("#", None)
-    node, runs, buffer, roots = top, [], [], []
+    node, runs, buffer = top, [], []
 
     def close(element):
         digest = hashlib.blake2b(f"{element.tag}|{element.named}|{'|'.join(element.parts)}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
@@ -186,7 +204,6 @@ def parse(page: str) -> list[tuple[str, tuple[int, ...]]]:
             close(element)
             continue
         if element.root:
-            roots.append(element)
             above = node
             while above is not None:
                 above.holds_root = True
@@ -198,56 +215,92 @@ def parse(page: str) -> list[tuple[str, tuple[int, ...]]]:
     while node is not None:
         node = close(node)
 
-    def out(element):
-        while element is not None:
-            if element.dropped and not (element.holds_root and element.tag not in DROPPED):
-                return True
-            element = element.parent
-        return False
-
-    chosen = [r for r in roots if r.tag == "article" and not out(r)] or [r for r in roots if not out(r)]
-    marks = set(map(id, chosen))
-    kept: list[tuple[str, tuple[int, ...]]] = []
-    known: dict[int, tuple[bool, tuple[int, ...]]] = {}
+    found = Tree([0], [-1], [0], [], [])
+    at_of = {id(top): 0}
+
+    def place(element):
+        """The element's place in the tree, or that of the nearest one above it that any rule asks for."""
+        if id(element) not in at_of:
+            above, tag = place(element.parent), element.tag
+            counted = tag not in UNCOUNTED and not (element.in_root and tag in PROSE)
+            flags = COUNTED * counted | DROP * element.dropped | NEVER * (element.dropped and tag in DROPPED) | ARTICLE * (tag == "article") | ROOT * element.root
+            if flags:
+                flags |= HOLDS * element.holds_root
+                found.keys.append(element.key | (tag in PROSE or element.in_root))
+                found.parents.append(above)
+                found.flags.append(flags)
+                above = len(found.keys) - 1
+            at_of[id(element)] = above
+        return at_of[id(element)]
+
     for text, element in runs:
-        if id(element) not in known:
-            keys, above, inside, gone = [], element, not chosen, False
-            while above is not None:
-                gone = gone or (above.dropped and not (above.holds_root and above.tag not in DROPPED))
-                inside = inside or id(above) in marks
-                if above.tag not in UNCOUNTED and above.tag != "#" and not (above.in_root and above.tag in PROSE):
-                    keys.append(above.key | (above.tag in PROSE or above.in_root))
-                above = above.parent
-            known[id(element)] = (inside and not gone, tuple(keys))
-        good, keys = known[id(element)]
-        if good:
-            if kept and kept[-1][1] == keys:
-                kept[-1] = (kept[-1][0] + " " + text, keys)
-            else:
-                kept.append((text, keys))
+        at = place(element)
+        if found.owners and found.owners[-1] == at:
+            found.texts[-1] += " " + text
+        else:
+            found.texts.append(text)
+            found.owners.append(at)
+    return found
+
+
+def choose(page: Tree, templates: frozenset[int] = frozenset()) -> list[int]:
+    """The blocks of the main text: first all subtrees counted as templates go, wherever they are; then markup decides on what is left."""
+    n = len(page.keys)
+    gone, out, article, root = [False] * n, [False] * n, [False] * n, [False] * n
+    for e in range(1, n):
+        up, flags = page.parents[e], page.flags[e]
+        gone[e] = gone[up] or bool(flags & COUNTED) and page.keys[e] in templates
+        out[e] = out[up] or bool(flags & DROP) and not (flags & HOLDS and not flags & NEVER)
+        article[e] = article[up] or bool(flags & ARTICLE) and not out[e]
+        root[e] = root[up] or bool(flags & ROOT) and not out[e]
+    left = [k for k, e in enumerate(page.owners) if not gone[e]]
+    if any(f & ARTICLE and not o for f, o in zip(page.flags, out, strict=True)):
+        left = [k for k in left if article[page.owners[k]]]
+    elif any(f & ROOT and not o for f, o in zip(page.flags, out, strict=True)):
+        left = [k for k in left if root[page.owners[k]]]
+    return [k for k in left if not out[page.owners[k]]]
+
+
+def parse(page: str) -> list[tuple[str, tuple[int, ...]]]:
+    """(text, hashes of the countable subtrees that it lies in) of each block that markup alone leaves."""
+    whole, kept = tree(page), []
+    for k in choose(whole):
+        keys, e = [], whole.owners[k]
+        while e > 0:
+            if whole.flags[e] & COUNTED:
+                keys.append(whole.keys[e])
+            e = whole.parents[e]
+        kept.append((whole.texts[k], tuple(keys)))
     return kept
 
 
-PARSED = "page_id long, url string, host string, text_key long, keys array<long>, blocks array<struct<text:string,keys:array<long>>>"
+TREE = "keys array<long>, parents array<int>, flags array<int>, texts array<string>, owners array<int>"
+PARSED = f"page_id long, url string, host string, text_key long, {TREE}"
+
+
+def _lists(trees: list[Tree]) -> list[pa.Array]:
+    texts = [[x.encode("utf-8", "replace").decode() for x in t.texts] for t in trees]
+    numbers = lambda name, kind: pa.array([getattr(t, name) for t in trees], pa.list_(kind))
+    return [numbers("keys", pa.int64()), numbers("parents", pa.int32()), numbers("flags", pa.int32()), pa.array(texts, pa.list_(pa.string())), numbers("owners", pa.int32())]
 
 
 @lean
 def _parsed(batches):
-    kind = pa.list_(pa.struct([("text", pa.string()), ("keys", pa.list_(pa.int64()))]))
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             part = batch.slice(lo, 256)
-            blocks = [parse(x or "") for x in part.column("html").to_pylist()]
-            whole = [hashlib.blake2b("\n".join(t for t, _ in b).encode("utf-8", "surrogatepass"), digest_size=8).digest() for b in blocks]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("page_id"), part.column("url"), part.column("host"),
-                    pa.array([int.from_bytes(x, "little", signed=True) for x in whole], pa.int64()),
-                    pa.array([sorted({k for _, keys in b for k in keys}) for b in blocks], pa.list_(pa.int64())),
-                    pa.array([[{"text": t.encode("utf-8", "replace").decode(), "keys": list(keys)} for t, keys in b] for b in blocks], kind),
-                ],
-                ["page_id", "url", "host", "text_key", "keys", "blocks"],
-            )
+            trees = [tree(x or "") for x in part.column("html").to_pylist()]
+            whole = [hashlib.blake2b("\n".join(t.texts[k] for k in choose(t)).encode("utf-8", "surrogatepass"), digest_size=8).digest() for t in trees]
+            text_key = pa.array([int.from_bytes(x, "little", signed=True) for x in whole], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), text_key, *_lists(trees)], ["page_id", "url", "host", "text_key", *Tree._fields])
+
+
+@lean
+def _chosen(batches):
+    for batch in batches:
+        rows = zip(*(batch.column(name).to_pylist() for name in (*Tree._fields, "found")), strict=True)
+        texts = [" ".join(row[3][k] for k in choose(Tree(*row[:5]), frozenset(row[5] or ()))) for row in rows]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 def host_of(url: Column) -> Column:
@@ -256,9 +309,15 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
+def counted() -> Column:
+    """The distinct hashes of a page's countable subtrees, of the whole page."""
+    marked = F.filter(F.arrays_zip("keys", "flags"), lambda e: e["flags"].bitwiseAND(F.lit(COUNTED)) != 0)
+    return F.array_distinct(F.transform(marked, lambda e: e["keys"]))
+
+
 def templates(parsed: DataFrame) -> DataFrame:
     """(host, found): the hashes of each host's recurring subtrees. At most (hashes a page) / share of them a host."""
-    pages = parsed.where("host IS NOT NULL").select("host", "text_key", "keys").dropDuplicates(["host", "text_key"])
+    pages = parsed.where("host IS NOT NULL").select("host", "text_key", counted().alias("keys")).dropDuplicates(["host", "text_key"])
     total = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
     counts = pages.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
     least = F.when(F.col("key") % 2 != 0, PROSE_SHARE).otherwise(CONTAINER_SHARE)
@@ -271,6 +330,6 @@ def extract_text(pages: DataFrame) -> DataFrame:
     picked = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     parsed = work.table(picked.mapInArrow(_parsed, PARSED), "parsed")
     found = work.table(templates(parsed), "templates")
-    joined = parsed.drop("keys", "text_key").join(found, "host", "left")
-    left = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["keys"], F.col("found")), F.lit(False)))
-    return joined.select("page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), " ").alias("text")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+    joined = parsed.drop("text_key").join(found, "host", "left").withColumn("found", F.array_intersect("keys", "found"))
+    chosen = joined.select("page_id", "url", *Tree._fields, "found").mapInArrow(_chosen, "page_id long, url string, text string")
+    return chosen.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -45,3 +45,16 @@ def test_edges(spark):
     got = sorted((r["n_chars"] for r in H.extract_text(df).collect()))
     assert got == [0, 1, 39999]
     assert H.extract_text(df.limit(0)).count() == 0
+
+
+def test_whole_pages_are_counted_before_markup_decides(spark):
+    """Menus, adverts and footers are counted too, and counted parts are gone before any rule on markup."""
+    page = "<body><nav><ul><li>Home<li>News</ul></nav><div class=ad>Buy {k}</div><article><h1>T</h1><p>own {k}</p></article><footer>Imprint</footer></body>"
+    rows = [(k, f"http://host.example/{k}", page.format(k=k)) for k in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", H.host_of("url"))
+    parsed = pages.mapInArrow(H._parsed, H.PARSED)
+    found = set(H.templates(parsed).collect()[0]["found"])
+    whole = H.tree(rows[3][2])
+    bare = H.choose(H.Tree(whole.keys, whole.parents, [f & H.COUNTED for f in whole.flags], whole.texts, whole.owners), found)
+    assert [whole.texts[k] for k in bare] == ["Buy 3", "T own 3"]
+    assert {r["page_id"]: r["text"] for r in H.extract_text(pages).collect()} == {k: f"T own {k}" for k in range(30)}
