@@ -7,7 +7,8 @@ recurs on many of them is the site's template and is deleted with all its text.
 
 Markup adds to that, on what the counts leave: what it names as no part of an article goes
 (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments; by tag,
-role, or a word in class or id), and where a page has articles (else a main element), only those stay.
+role, or a word in class or id) unless it holds most of the text, and where a page has articles (else
+a main element) that are not just a small part of it, only those stay.
 
 Counts are over pages whose texts differ, so copies of a page don't turn its content into a
 template. Within articles, prose elements (paragraphs, headings, quotes) are never deleted, so
@@ -37,6 +38,8 @@ from lodestrata.llm.memory import lean
 from lodestrata.llm.storage import Workspace
 
 LEAST_PAGES, CONTAINER_SHARE, PROSE_SHARE = 8, 0.2, 0.5
+MOST, SMALL = 0.5, 1 / 3
+"""Share of the text above which an element stays whatever its name; share below which articles are a small part of main or body."""
 
 # Tags by how they are treated.
 DROPPED = frozenset("script style noscript template head title nav footer aside form button input select textarea option label iframe svg canvas object audio video menu dialog fieldset".split())
@@ -57,6 +60,8 @@ PART_WORDS = frozenset(
     "related recommended recommendations share sharing social widget widgets pagination pager toolbar login masthead alert alerts paywall outbrain taboola".split()
 )
 PAGE_WORDS = frozenset("header topbar".split())
+REPLY_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+WRAPPERS = frozenset("form fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 
 _tag = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
@@ -89,15 +94,15 @@ def _words(named: str) -> set[str]:
 
 
 # What choose() knows of an element.
-COUNTED, DROP, NEVER, HOLDS, ARTICLE, ROOT = 1, 2, 4, 8, 16, 32
+COUNTED, DROP, NEVER, HOLDS, ARTICLE, ROOT, HIDDEN, REPLIES = 1, 2, 4, 8, 16, 32, 64, 128
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "named", "dropped", "root", "holds_root", "in_root", "parts", "key")
+    __slots__ = ("tag", "parent", "named", "dropped", "root", "holds_root", "in_root", "hidden", "replies", "parts", "key")
 
     def __init__(self, tag, parent, named="", dropped=False):
         self.tag, self.parent, self.named, self.dropped = tag, parent, named, dropped
-        self.root = self.holds_root = False
+        self.root = self.holds_root = self.hidden = self.replies = False
         self.in_root = parent is not None and (parent.in_root or parent.root)
         self.parts, self.key = [], 0
 
@@ -192,10 +197,13 @@ def tree(page: str) -> Tree:
         named, role, hidden = _attributes(found["rest"])
         element = _Element(name, node, named)
         element.root = name in ("article", "main") or role == "main"
+        element.hidden = hidden
         if name not in ("html", "body", "article", "main"):
             words = _words(named)
+            element.replies = bool(REPLY_WORDS.intersection(words))
             element.dropped = name in DROPPED or hidden or role in ROLES or bool(PART_WORDS.intersection(words)) or (not element.in_root and (name == "header" or bool(PAGE_WORDS.intersection(words))))
         elif name == "article":
+            element.replies = bool(named) and not REPLY_WORDS.isdisjoint(_words(named))
             element.dropped = hidden or bool(named) and not _words(named).isdisjoint({"comment", "comments", "reply", "respond", "ad", "advert", "related", "sponsored"})
         if name in RAW:
             end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I).search(page, at)
@@ -203,7 +211,7 @@ def tree(page: str) -> Tree:
             at = end.end() if end else n
             close(element)
             continue
-        if element.root:
+        if element.root and not element.dropped:
             above = node
             while above is not None:
                 above.holds_root = True
@@ -223,9 +231,9 @@ def tree(page: str) -> Tree:
         if id(element) not in at_of:
             above, tag = place(element.parent), element.tag
             counted = tag not in UNCOUNTED and not (element.in_root and tag in PROSE)
-            flags = COUNTED * counted | DROP * element.dropped | NEVER * (element.dropped and tag in DROPPED) | ARTICLE * (tag == "article") | ROOT * element.root
+            flags = COUNTED * counted | DROP * element.dropped | NEVER * (element.dropped and tag in DROPPED and tag not in WRAPPERS) | ARTICLE * (tag == "article") | ROOT * element.root
             if flags:
-                flags |= HOLDS * element.holds_root
+                flags |= HOLDS * element.holds_root | HIDDEN * element.hidden | REPLIES * element.replies
                 found.keys.append(element.key | (tag in PROSE or element.in_root))
                 found.parents.append(above)
                 found.flags.append(flags)
@@ -244,21 +252,54 @@ def tree(page: str) -> Tree:
 
 
 def choose(page: Tree, templates: frozenset[int] = frozenset()) -> list[int]:
-    """The blocks of the main text: first all subtrees counted as templates go, wherever they are; then markup decides on what is left."""
+    """The blocks of the main text: first all subtrees counted as templates go, wherever they are; then markup decides on what is left.
+
+    An element that class, role or a wrapping form names as no article stays where it holds more than MOST of
+    the text that the choice is about (comments: where they are all of it). Articles give way to the
+    main element, or to the body, of whose text they are less than SMALL."""
     n = len(page.keys)
-    gone, out, article, root = [False] * n, [False] * n, [False] * n, [False] * n
+    gone, named, article, main = [False] * n, [False] * n, [0] * n, [0] * n
     for e in range(1, n):
         up, flags = page.parents[e], page.flags[e]
-        gone[e] = gone[up] or bool(flags & COUNTED) and page.keys[e] in templates
-        out[e] = out[up] or bool(flags & DROP) and not (flags & HOLDS and not flags & NEVER)
-        article[e] = article[up] or bool(flags & ARTICLE) and not out[e]
-        root[e] = root[up] or bool(flags & ROOT) and not out[e]
+        drop = bool(flags & DROP) and not (flags & HOLDS and not flags & NEVER)
+        gone[e] = gone[up] or bool(flags & COUNTED) and page.keys[e] in templates or drop and bool(flags & (NEVER | HIDDEN))
+        named[e] = named[up] or drop
+        article[e] = article[up] or (e if flags & ARTICLE and not named[e] else 0)
+        main[e] = main[up] or (e if flags & ROOT and not flags & ARTICLE and not named[e] else 0)
     left = [k for k, e in enumerate(page.owners) if not gone[e]]
-    if any(f & ARTICLE and not o for f, o in zip(page.flags, out, strict=True)):
-        left = [k for k in left if article[page.owners[k]]]
-    elif any(f & ROOT and not o for f, o in zip(page.flags, out, strict=True)):
-        left = [k for k in left if root[page.owners[k]]]
-    return [k for k in left if not out[page.owners[k]]]
+
+    def stays(scope: list[int]) -> list[bool]:
+        """Which elements stay, where the text is that of the elements with a scope (its number: the part that they lie in)."""
+        mass, total = [0] * n, {}
+        for k in left:
+            e, size = page.owners[k], len(page.texts[k])
+            if scope[e] >= 0:
+                mass[e] += size
+                total[scope[e]] = total.get(scope[e], 0) + size
+        for e in range(n - 1, 0, -1):
+            mass[page.parents[e]] += mass[e]
+        out = [False] * n
+        for e in range(1, n):
+            flags, whole = page.flags[e], total.get(scope[e], 0)
+            drop = bool(flags & DROP) and not (flags & HOLDS and not flags & NEVER)
+            most = mass[e] == whole if flags & REPLIES else mass[e] > MOST * whole
+            out[e] = out[page.parents[e]] or drop and not most
+        return [scope[e] >= 0 and not out[e] for e in range(n)]
+
+    def size(good) -> int:
+        return sum(len(page.texts[k]) for k in left if good(page.owners[k]))
+
+    body, articles, mains = [0] * n, [a or -1 for a in article], [m or -1 for m in main]
+    in_articles = size(lambda e: article[e])
+    if any(mains[e] > 0 for e in page.owners):
+        chosen = stays(mains)
+        if in_articles and in_articles >= SMALL * size(lambda e: article[e] or chosen[e]):
+            chosen = stays(articles)
+    elif in_articles and in_articles >= SMALL * size(lambda e: article[e] or not named[e]):
+        chosen = stays(articles)
+    else:
+        chosen = stays(body)
+    return [k for k in left if chosen[page.owners[k]]]
 
 
 def parse(page: str) -> list[tuple[str, tuple[int, ...]]]:

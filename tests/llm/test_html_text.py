@@ -58,3 +58,16 @@ def test_whole_pages_are_counted_before_markup_decides(spark):
     bare = H.choose(H.Tree(whole.keys, whole.parents, [f & H.COUNTED for f in whole.flags], whole.texts, whole.owners), found)
     assert [whole.texts[k] for k in bare] == ["Buy 3", "T own 3"]
     assert {r["page_id"]: r["text"] for r in H.extract_text(pages).collect()} == {k: f"T own {k}" for k in range(30)}
+
+
+def test_markup_does_not_drop_most_of_a_page():
+    story = "A long story with many words that is what the page is about. " * 20
+    teasers = "".join(f"<article><h2>Teaser {k}</h2></article>" for k in range(3))
+    assert story.strip() in text_of(f"<body><main><div>{story}</div>{teasers}</main></body>")
+    assert text_of(f"<body><main><div>{story}</div></main><section>{teasers}</section></body>") == story.strip()
+    assert story.strip() in text_of(f"<body><div>{story}</div>{teasers}</body>")
+    assert text_of(f"<body><article><div class='elementor-widget-container'>{story}</div><div class=share>Tweet</div></article></body>") == story.strip()
+    assert text_of(f"<body><form id=aspnetForm><div class=menu>Home</div><div>{story}</div><input type=hidden></form></body>") == story.strip()
+    assert text_of(f"<body><form><nav>Home</nav><article>{story}</article></form></body>") == story.strip()
+    assert text_of(f"<body><main><p>Short story.</p><section id=comments>{story}</section></main></body>") == "Short story."
+    assert text_of(f"<body><article>Short story.</article><div class=ad>{story}</div><footer>{story}</footer></body>") == "Short story."
