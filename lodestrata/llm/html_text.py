@@ -3,7 +3,8 @@
 Each page is parsed once into blocks of text and the elements that hold them. Before any rule on
 markup, every element's subtree of the whole page is hashed (tag, class, id, texts and
 children); Spark counts on how many different pages of a host each hash occurs; a subtree that
-recurs on many of them is the site's template and is deleted with all its text.
+recurs on many of them (a fixed number, or half of a small host's pages) is the site's template and
+is deleted with all its text.
 
 Markup adds to that, on what the counts leave: what it names as no part of an article goes
 (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments; by tag,
@@ -37,7 +38,9 @@ from pyspark.sql import functions as F
 from lodestrata.llm.memory import lean
 from lodestrata.llm.storage import Workspace
 
-LEAST_PAGES, CONTAINER_SHARE, PROSE_SHARE = 8, 0.2, 0.5
+CONTAINER_PAGES, PROSE_PAGES = (8, 3), (16, 6)
+"""Different pages of a host that a subtree must recur on, and the least number for hosts of few pages,
+where half of the pages decide; the second pair holds for prose and inside articles and main."""
 MOST, SMALL = 0.5, 1 / 3
 """Share of the text above which an element stays whatever its name; share below which articles are a small part of main or body."""
 
@@ -356,13 +359,18 @@ def counted() -> Column:
     return F.array_distinct(F.transform(marked, lambda e: e["keys"]))
 
 
+def least_pages(prose: Column, pages: Column) -> Column:
+    """On how many different pages a subtree must recur: a fixed number, or half of the host's pages if that is less."""
+    least = lambda enough, few: F.least(F.lit(enough), F.greatest(F.lit(few), F.ceil(pages / 2)))
+    return F.when(prose, least(*PROSE_PAGES)).otherwise(least(*CONTAINER_PAGES))
+
+
 def templates(parsed: DataFrame) -> DataFrame:
-    """(host, found): the hashes of each host's recurring subtrees. At most (hashes a page) / share of them a host."""
+    """(host, found): the hashes of each host's recurring subtrees. At most (hashes a page) / 3 of them a page of the host."""
     pages = parsed.where("host IS NOT NULL").select("host", "text_key", counted().alias("keys")).dropDuplicates(["host", "text_key"])
-    total = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    counts = pages.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    least = F.when(F.col("key") % 2 != 0, PROSE_SHARE).otherwise(CONTAINER_SHARE)
-    return counts.join(total, "host").where(F.col("n") >= least * F.col("pages")).groupBy("host").agg(F.collect_set("key").alias("found"))
+    total = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    counts = pages.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= CONTAINER_PAGES[1])
+    return counts.join(total, "host").where(F.col("n") >= least_pages(F.col("key") % 2 != 0, F.col("pages"))).groupBy("host").agg(F.collect_set("key").alias("found"))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

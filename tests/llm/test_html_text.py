@@ -71,3 +71,15 @@ def test_markup_does_not_drop_most_of_a_page():
     assert text_of(f"<body><form><nav>Home</nav><article>{story}</article></form></body>") == story.strip()
     assert text_of(f"<body><main><p>Short story.</p><section id=comments>{story}</section></main></body>") == "Short story."
     assert text_of(f"<body><article>Short story.</article><div class=ad>{story}</div><footer>{story}</footer></body>") == "Short story."
+
+
+def test_recurrence_does_not_depend_on_the_host_size(spark):
+    """A block on all pages of a host of 7, and one on 8 pages of hosts of 40 and of 400, are templates; one on 2 pages is none."""
+    rows = []
+    for pages in (7, 40, 400):
+        for k in range(pages):
+            twice = "<div>On two pages</div>" if k < 2 else ""
+            block = "<div>Section block</div>" if k < 8 else ""
+            rows.append((1000 * pages + k, f"http://h{pages}.example/{k}", f"<body><div>Story number {k}</div>{block}{twice}</body>"))
+    got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1000 * pages + k: f"Story number {k}" + " On two pages" * (k < 2) for pages in (7, 40, 400) for k in range(pages)}
