@@ -1,8 +1,8 @@
 """Conflict-constrained best-fit packing.
 
 Documents are cut into pieces of at most ``capacity`` words. Bins are held in order of their
-residual room and carry two bitmaps: the sources and the duplicate clusters (hashed to 64 bits
-each) of what they hold. A piece takes the tightest bin that has room for it: the successor
+residual room. Every source and every duplicate cluster has a bitmap of the group's bins that hold it,
+as wide as there are bins, so only a real conflict keeps a piece out of a bin. A piece takes the tightest bin that has room for it: the successor
 search starts at the smallest sufficient residual and goes on until a bin fits without
 conflict. First it asks for a bin with neither the piece's cluster nor its source; if there is
 none, for one without its cluster; else it opens a new bin. Two pieces of one cluster never
@@ -35,45 +35,72 @@ class Bins:
     def __init__(self, capacity: int):
         self.capacity = capacity
         self.room = np.zeros(0, dtype=np.int64)
-        self.sources = np.zeros(0, dtype=np.uint64)
-        self.clusters = np.zeros(0, dtype=np.uint64)
         self.name = np.zeros(0, dtype=np.int64)
+        self.sources: dict[int, np.ndarray] = {}
+        self.clusters: dict[int, np.ndarray] = {}
         self.count = 0
 
     def place(self, size: int, source: int, cluster: int) -> tuple[int, int]:
-        """(bin, offset) for a piece; ``source`` and ``cluster`` are one-bit masks, 0 for none."""
+        """(bin, offset) for a piece; ``source`` and ``cluster`` are numbers, 0 for none."""
         at = int(np.searchsorted(self.room, size))
-        same = (self.clusters[at:] & np.uint64(cluster)) != 0
-        strict = ~same & ((self.sources[at:] & np.uint64(source)) == 0)
-        for free in (strict, ~same):
+        apart = ~self._holds(self.clusters, cluster, at)
+        strict = apart & ~self._holds(self.sources, source, at)
+        for free in (strict, apart):
             if free.size and free[k := int(free.argmax())]:
-                return self._put(at + k, size, source, cluster)
-        self.count += 1
-        return self._insert(self.capacity - size, source, cluster, self.count - 1), 0
-
-    def _insert(self, room: int, source: int, cluster: int, name: int) -> int:
+                name, offset = self._put(at + k, size)
+                break
+        else:
+            name, offset = self.count, 0
+            self.count += 1
+            self._insert(self.capacity - size, name)
+        self._mark(self.sources, source, name)
+        self._mark(self.clusters, cluster, name)
+        return name, offset
+
+    def _holds(self, maps: dict[int, np.ndarray], key: int, at: int) -> np.ndarray:
+        """Which of the bins from ``at`` on hold the key."""
+        names = self.name[at:]
+        bits = maps.get(key) if key else None
+        if bits is None:
+            return np.zeros(len(names), dtype=bool)
+        known = names < len(bits)
+        return known & bits[np.where(known, names, 0)]
+
+    def _mark(self, maps: dict[int, np.ndarray], key: int, name: int) -> None:
+        if not key:
+            return
+        bits = maps.get(key)
+        if bits is None or len(bits) <= name:
+            wider = np.zeros(max(name + 1, 2 * (0 if bits is None else len(bits))), dtype=bool)
+            if bits is not None:
+                wider[: len(bits)] = bits
+            maps[key] = bits = wider
+        bits[name] = True
+
+    def _insert(self, room: int, name: int) -> None:
         if room > 0:
             at = int(np.searchsorted(self.room, room, side="right"))
             self.room, self.name = np.insert(self.room, at, room), np.insert(self.name, at, name)
-            self.sources, self.clusters = np.insert(self.sources, at, np.uint64(source)), np.insert(self.clusters, at, np.uint64(cluster))
-        return name
 
-    def _put(self, k: int, size: int, source: int, cluster: int) -> tuple[int, int]:
+    def _put(self, k: int, size: int) -> tuple[int, int]:
         room, name = int(self.room[k]), int(self.name[k])
-        held_s, held_c = int(self.sources[k]) | source, int(self.clusters[k]) | cluster
         self.room, self.name = np.delete(self.room, k), np.delete(self.name, k)
-        self.sources, self.clusters = np.delete(self.sources, k), np.delete(self.clusters, k)
-        self._insert(room - size, held_s, held_c, name)
+        self._insert(room - size, name)
         return name, self.capacity - room
 
 
+def numbered(values: list) -> list[int]:
+    """Equal values get equal numbers from 1 on; None gets 0."""
+    known: dict = {}
+    return [0 if x is None else known.setdefault(x, len(known) + 1) for x in values]
+
+
 def _packed(capacity: int):
     def run(table: pa.Table) -> pa.Table:
         size = table["n_words"].to_numpy()
         doc = table["doc_id"].fill_null(-(1 << 62)).to_numpy()
         piece, tie = table["piece"].to_numpy(), table["row_hash"].to_numpy()
-        sources = [0 if x is None else 1 << (hash_of(x) % 64) for x in table["source"].to_pylist()]
-        clusters = [0 if x is None else 1 << (x % 64) for x in table["cluster"].to_pylist()]
+        sources, clusters = numbered(table["source"].to_pylist()), numbered(table["cluster"].to_pylist())
         group = table["pack_group"][0].as_py()
         order = np.lexsort((tie, piece, doc, -size))
         bins, name, offset = Bins(capacity), [None] * len(size), np.zeros(len(size), dtype=np.int64)
@@ -86,12 +113,6 @@ def _packed(capacity: int):
     return run
 
 
-def hash_of(text: str) -> int:
-    import zlib
-
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
-
-
 def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None, group: int = GROUP) -> DataFrame:
     """One row a piece: document, piece, words [start_word, start_word + n_words), bin and offset in it.
 

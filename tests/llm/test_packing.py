@@ -61,3 +61,10 @@ def test_edges(edge_docs, no_docs):
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in edge_docs.collect()}
     assert len({r["bin_id"] for r in rows if r["doc_id"] == 6}) == 2
     assert P.pack(no_docs).count() == 0
+
+
+def test_short_pieces_fill_their_bins(spark):
+    """3,000 different texts of 10 words, one source: only room, no shared bit, closes a bin."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'s' AS source", "concat(repeat('w ', 9), 'x', id) AS text")
+    bins = {r["bin_id"]: r["n"] for r in P.pack(docs).groupBy("bin_id").agg(F.count("*").alias("n")).collect()}
+    assert sum(bins.values()) == 3000 and len(bins) == -(-3000 // (P.CAPACITY // 10))
