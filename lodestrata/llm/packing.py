@@ -21,9 +21,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm import near_dedup
+from lodestrata.llm.components import components
+from lodestrata.llm.storage import Workspace
+
 CAPACITY, GROUP = 2048, 4096
 
 RESULT = "doc_id long, piece long, start_word long, n_words long, bin_id string, bin_offset long, cluster long, source string, row_hash long"
@@ -113,16 +117,36 @@ def _packed(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None, group: int = GROUP) -> DataFrame:
+def plain(text: str = "text") -> Column:
+    """The hash of a text, letter case and white space aside."""
+    return F.xxhash64(F.trim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " ")))
+
+
+def near_clusters(docs: DataFrame) -> DataFrame:
+    """(plain, near): the cluster of each text that has a word, so that near copies, and what they are near to in turn, share one.
+
+    Rows without a doc_id are in a cluster with equal texts only."""
+    work = Workspace(docs.sparkSession, "clusters")
+    found = near_dedup.near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("component"))
+    ids = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(F.col("doc_id").cast("long").alias("doc_id"), plain().alias("plain"))
+    named = work.table(ids.join(found, "doc_id", "left").select("plain", F.coalesce("component", "plain").alias("component")).distinct(), "named")
+    first = work.table(named.groupBy("plain").agg(F.min("component").alias("first")), "first")
+    links = work.table(named.join(first, "plain").where("component <> first").select(F.col("first").alias("a"), F.col("component").alias("b")).distinct(), "links")
+    labels = components(work, links).select(F.col("node").alias("first"), F.col("component").alias("near"))
+    return work.table(first.join(labels, "first", "left").select("plain", F.coalesce("near", "first").alias("near")), "near")
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None, group: int = GROUP, near: DataFrame | None = None) -> DataFrame:
     """One row a piece: document, piece, words [start_word, start_word + n_words), bin and offset in it.
 
     ``cluster`` names a long column of duplicate clusters; without it, equal texts (letter case
-    and white space aside) are a cluster. Texts are read once and not moved; what is shuffled
-    is a few numbers a piece."""
+    and white space aside) are a cluster, and with ``near`` (of ``near_clusters``) near copies too. Texts are
+    read once and not moved; what is shuffled is a few numbers a piece."""
     words = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    plain = F.xxhash64(F.trim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " ")))
-    cluster_of = F.col(cluster) if cluster else F.when(F.col("text").isNotNull(), plain)
+    cluster_of = F.col(cluster) if cluster else F.when(F.col("text").isNotNull(), plain())
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words.alias("words"), cluster_of.alias("cluster"), F.xxhash64("doc_id", "text", "source").alias("row_hash"))
+    if near is not None and not cluster:
+        sized = sized.join(near.withColumnRenamed("plain", "cluster"), "cluster", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near")
     pieces = sized.select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("words") / capacity).cast("long") - 1, F.lit(0).cast("long")))).alias("piece")
     ).select(

@@ -148,7 +148,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(load(spark, sf_dir, "documents"))
+    docs = load(spark, sf_dir, "documents")
+    packed = packing.pack(docs, near=packing.near_clusters(docs))
     return packed.select("doc_id", "piece", "start_word", "n_words", "bin_id", "bin_offset")
 
 

@@ -3,6 +3,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+from lodestrata.llm import near_dedup, registry
 from lodestrata.llm import packing as P
 
 
@@ -68,3 +69,25 @@ def test_short_pieces_fill_their_bins(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "'s' AS source", "concat(repeat('w ', 9), 'x', id) AS text")
     bins = {r["bin_id"]: r["n"] for r in P.pack(docs).groupBy("bin_id").agg(F.count("*").alias("n")).collect()}
     assert sum(bins.values()) == 3000 and len(bins) == -(-3000 // (P.CAPACITY // 10))
+
+
+def test_near_copies_never_share_a_bin(spark):
+    sf = "/root/testdata/sf0.001"
+    near = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    bins = defaultdict(list)
+    for r in registry.op9_packing(spark, sf).collect():
+        bins[r["bin_id"]].append(near[r["doc_id"]])
+    assert len(near) > len(set(near.values())) and all(len(set(held)) == len(held) for held in bins.values())
+
+
+def test_near_clusters_join_equal_texts(spark, edge_docs, no_docs):
+    words = [f"w{k}" for k in range(60)]
+    one, two = " ".join(words), " ".join([*words[:59], "x"])
+    rows = [(1, one, "a"), (2, two, "a"), (3, two.upper(), "b"), (None, one, "b"), (4, "ÉTÉ", "a"), (5, "été", "a"), (6, "other", "a"), (7, "", "a"), (8, " ", "a"), (9, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    packed = P.pack(docs, near=P.near_clusters(docs)).collect()
+    of = {r["doc_id"]: r["cluster"] for r in packed}
+    assert len(packed) == len(rows) and of[1] == of[2] == of[3] == of[None] and of[4] == of[5] and of[7] == of[8] and of[9] is None
+    assert len({of[k] for k in (1, 4, 6, 7)}) == 4
+    assert P.pack(edge_docs, near=P.near_clusters(edge_docs)).count() == P.pack(edge_docs).count()
+    assert P.pack(no_docs, near=P.near_clusters(no_docs)).count() == 0
