@@ -8,19 +8,29 @@ last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestrata.llm import language_id, mixing, near_dedup, packing, quality_rules
 from lodestrata.llm.storage import Workspace, load
 
-LEAST_LANGUAGE_SCORE = 0.03
+LEAST_LANGUAGE_SCORE = 3 / language_id.DIMENSIONS**0.5
+"""Three standard deviations of the cosine of unrelated vectors."""
+LOW_QUANTILE = 0.001
 ORACLE_SQL = None
 """Random vectors, rounding draws and packing order are not SQL; tests hold the stages against brute force."""
 
 
+def least_score(docs: DataFrame, learned) -> float:
+    """The floor: a low quantile of the scores of documents whose language was learned, but never within the noise."""
+    scored = language_id.predict(docs.where(F.col("lang").isNotNull()), learned).where(F.col("lang_pred") != language_id.UNKNOWN)
+    low = scored.agg(F.percentile_approx("score", LOW_QUANTILE, 10000)).first()[0]
+    return max(LEAST_LANGUAGE_SCORE, low or 0.0)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language: a letter, and a cosine with some language's profile above noise."""
+    """Documents with a recognised language: a letter, and a cosine with some language's profile above noise and above what nearly all learned documents reach."""
     learned = language_id.model(language_id.learn(docs))
-    return language_id.filter_language(docs, learned, LEAST_LANGUAGE_SCORE)
+    return language_id.filter_language(docs, learned, least_score(docs, learned))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import corpus_pipeline as P
@@ -28,3 +29,17 @@ def test_run_and_registry(spark):
     assert [name for name, _ in P.STAGES] == ["language_id", "quality_rules", "near_dedup", "mixing", "packing"]
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
     assert {k.split("_")[0] for k in queries()} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+
+
+def test_texts_in_scripts_not_learned_go_and_clean_documents_stay(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rng = random.Random(5)
+    letters = ["".join(map(chr, range(lo, hi))) for lo, hi in ((0x10D0, 0x10F1), (0x0E01, 0x0E2F), (0xAC00, 0xAC80), (0x0430, 0x0450), (0x4E00, 0x4E80))]
+    planted = [(10**9 + k, " ".join("".join(rng.choices(letters[k % 5], k=rng.randint(3, 8))) for _ in range(120))) for k in range(100)]
+    foreign = spark.createDataFrame(planted, "doc_id long, text string")
+    kept = {r["doc_id"] for r in P.language(spark, docs.unionByName(foreign, allowMissingColumns=True), sf).select("doc_id").collect()}
+    print("foreign kept", len([k for k in kept if k >= 10**9]))
+    assert len([k for k in kept if k >= 10**9]) <= 2
+    good = {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").join(docs, "doc_id").select("doc_id").collect()}
+    assert good and good <= kept
