@@ -1,10 +1,12 @@
 """MinHash near-duplicates with bottom-k sketches from one hash function.
 
-A document's set holds the hashes of its distinct 5-word shingles (A-Z lower-cased, words
-``[^\\x20\\x09-\\x0D]+``); with fewer words, the whole sequence is the one shingle. Two documents are linked
-when 100 * |A and B| >= 75 * |A or B|, confirmed on the full sets.
+A document's set holds its distinct 5-word shingles (A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``); with
+fewer words, the whole sequence is the one shingle. Two documents are linked when
+100 * |A and B| >= 75 * |A or B|. Candidates come from 64-bit hashes of shingles; links are confirmed on the full
+sets of the two texts, by their bytes and not by hashes.
 
-1. Equal sets are one class, named by its smallest doc_id; only that document goes on.
+1. Equal sets are one class, named by its smallest doc_id; only that document goes on. (Two 64-bit sums of different
+   mixes of all hashes; a set of one shingle is known by a 128-bit hash of its words.)
 2. A class's sketch is the ``k`` smallest hashes of its set. Linked sets share at least
    ``least`` of them (chance of a miss below 1e-6 a link at a similarity of exactly 0.75; sets below k hashes
    are their own sketch and miss nothing). So of the sketch, ordered by rarity in the corpus, all but the last
@@ -28,8 +30,11 @@ a null component and ``kept`` true; an empty table gives an empty result; extra
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,12 +48,14 @@ FIRST, FINER = (64, 30), (384, 243)
 """(k, least) of sketches: least lies 5.3 standard deviations below 0.75 k."""
 LIKE, OF = 75, 100
 SMALL_LIST, LIST_BLOCK, COMMON = 64, 3072, 64
+VERIFY_BYTES, CROSS_ROWS = 1 << 22, 512
+"""Texts verified at once, in bytes, and rows of a block held against all of it at once: they bound a task's memory."""
 BROADCAST_IDS = 500_000
 """Up to so many ids, documents are picked by a broadcast set of them; beyond it, by a shuffled join."""
 
 
-def shingle_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each row of a slice of bytes."""
+def shingle_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, bytes]]:
+    """(sorted distinct shingle hashes, 16-byte key of the set) of each row of a slice of bytes."""
     data = W.LOWER[data]
     begin, end, row = W.spans(W.SPACE[data], starts, ends)
     words = W.range_hash(data, begin, end)
@@ -58,30 +65,55 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list
     out = []
     for at, n in zip(first.tolist(), count.tolist(), strict=True):
         if n >= SHINGLE:
-            out.append(np.unique(every[at : at + n - SHINGLE + 1]))
+            found = np.unique(every[at : at + n - SHINGLE + 1])
         elif n:
-            out.append(W.grams(words[at : at + n], n))
+            found = W.grams(words[at : at + n], n)
+        else:
+            found = np.zeros(0, np.uint64)
+        if len(found) == 1:
+            only = b" ".join(data[begin[k] : end[k]].tobytes() for k in range(at, at + min(n, SHINGLE)))
+            key = hashlib.blake2b(only, digest_size=16, key=W.KEY).digest()
         else:
-            out.append(np.zeros(0, np.uint64))
+            key = np.array([found.sum(dtype=np.uint64), W.mix(found).sum(dtype=np.uint64)], np.uint64).tobytes()
+        out.append((found, key))
     return out
 
 
-def sets_of(column: pa.Array) -> list[np.ndarray]:
+def sets_of(column: pa.Array) -> list[tuple[np.ndarray, bytes]]:
     raw, offsets = W.buffers(column)
-    out: list[np.ndarray] = []
+    out: list[tuple[np.ndarray, bytes]] = []
     for lo, hi in W.slices(offsets):
         at = offsets[lo : hi + 1] - offsets[lo]
         out += shingle_sets(raw[offsets[lo] : offsets[hi]], at[:-1], at[1:])
     return out
 
 
+def exact_sets(column: pa.Array) -> list[np.ndarray]:
+    """The sorted distinct shingles of each row, as numbers that are equal where the words are, byte for byte."""
+    raw, offsets = W.buffers(column)
+    data = W.LOWER[raw[offsets[0] : offsets[-1]]]
+    at = offsets - offsets[0]
+    begin, end, row = W.spans(W.SPACE[data], at[:-1], at[1:])
+    words = W.codes(data, begin, end)
+    every = W.exact_grams(words, SHINGLE)
+    count = np.bincount(row, minlength=len(column)) if len(row) else np.zeros(len(column), np.int64)
+    first, short, out = np.cumsum(count) - count, {}, []
+    for k, n in zip(first.tolist(), count.tolist(), strict=True):
+        if n >= SHINGLE:
+            out.append(np.unique(every[k : k + n - SHINGLE + 1]))
+        else:
+            whole = tuple(words[k : k + n].tolist())
+            out.append(np.array([-1 - short.setdefault(whole, len(short))] if n else [], np.int64))
+    return out
+
+
 @lean
 def _sketched(batches, k: int = FIRST[0]):
     """doc_id, size of the set, 128-bit key of the set, sketch."""
     for batch in small(batches, 1024):
         sets = sets_of(batch.column(1))
-        with np.errstate(over="ignore"):
-            keys = np.array([(x.sum(dtype=np.uint64), np.bitwise_xor.reduce(W.mix(x)) + np.uint64(len(x))) if len(x) else (0, 0) for x in sets], dtype=np.uint64).reshape(len(sets), 2).view(np.int64)
+        keys = np.frombuffer(b"".join(key for _, key in sets), np.int64).reshape(len(sets), 2)
+        sets = [x for x, _ in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([x[:k].tobytes() for x in sets], pa.binary())],
             ["doc_id", "n", "key1", "key2", "sketch"],
@@ -129,21 +161,22 @@ def rarity(classes: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def retained(values: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
-    """The rarest values of a sketch: linked sets have one in common."""
-    need = min(-(-len(values) * LIKE // OF), least)
-    order = np.lexsort((values, counts[_bucket(values)]))
-    return values[order[: len(values) - need + 1]]
+def retained(values: np.ndarray, owner: np.ndarray, length: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
+    """Places of the rarest values of each sketch (``owner`` of each value, ``length`` of each sketch): linked sets have one in common."""
+    need = np.minimum(-(-length * LIKE // OF), least)
+    order = np.lexsort((values, counts[_bucket(values)], owner))
+    rank = np.arange(len(values)) - (np.cumsum(length) - length)[owner]
+    return order[rank < (length - need + 1)[owner]]
 
 
 def _posted(counts: np.ndarray, least: int):
     def run(batches):
         for batch in batches:
             ids, values, offsets = batch.column(0).to_numpy(), *_unpack(batch.column(1))
-            kept = [retained(values[a:b], counts, least) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            size = np.array([len(x) for x in kept])
-            flat = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(np.repeat(ids, size))], ["value", "rep"])
+            length = np.diff(offsets)
+            owner = np.repeat(np.arange(len(length)), length)
+            kept = retained(values, owner, length, counts, least)
+            yield pa.RecordBatch.from_arrays([pa.array(values[kept].view(np.int64)), pa.array(ids[owner[kept]])], ["value", "rep"])
 
     return run
 
@@ -177,19 +210,31 @@ def _estimated(batches):
         yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
 
+def similar(left: pa.Array, which: np.ndarray, right: pa.Array) -> list[bool]:
+    """Whether each text of ``right`` and the text of ``left`` at ``which`` have sets that are linked."""
+    sets = exact_sets(pa.concat_arrays([left, right]))
+    good = []
+    for k, mine in zip(which.tolist(), sets[len(left) :], strict=True):
+        other = sets[k]
+        less, more = (mine, other) if len(mine) <= len(other) else (other, mine)
+        common = int((more[np.minimum(np.searchsorted(more, less), len(more) - 1)] == less).sum()) if len(less) else 0
+        good.append(common > 0 and OF * common >= LIKE * (len(mine) + len(other) - common))
+    return good
+
+
 @lean
 def _verified(batches):
     for batch in small(batches, 1024):
         a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-        some, at = np.unique(a, return_index=True)
-        left = dict(zip(some.tolist(), sets_of(batch.column("text_a").take(pa.array(at))), strict=True))
-        good = []
-        for lo in range(0, batch.num_rows, 512):
-            for k, mine in enumerate(sets_of(batch.column("text_b").slice(lo, 512)), lo):
-                other = left[a[k]]
-                less, more = (mine, other) if len(mine) <= len(other) else (other, mine)
-                common = int((more[np.minimum(np.searchsorted(more, less), len(more) - 1)] == less).sum()) if len(less) else 0
-                good.append(common > 0 and OF * common >= LIKE * (len(mine) + len(other) - common))
+        order = np.argsort(a, kind="stable")
+        size = pc.binary_length(batch.column("text_b")).to_numpy(zero_copy_only=False)
+        ends = np.zeros(len(order) + 1, dtype=np.int64)
+        np.cumsum(size[order], out=ends[1:])
+        good = np.zeros(len(order), dtype=bool)
+        for lo, hi in W.slices(ends, VERIFY_BYTES):
+            some = order[lo:hi]
+            _, at, which = np.unique(a[some], return_index=True, return_inverse=True)
+            good[some] = similar(batch.column("text_a").take(pa.array(some[at])), which, batch.column("text_b").take(pa.array(some)))
         mask = pa.array(good, pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(a).filter(mask), pa.array(b).filter(mask)], ["a", "b"])
 
@@ -210,72 +255,88 @@ def verify(work: Workspace, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return links
 
 
+def _overlaps(flat: np.ndarray, owner: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """How many sketch values each of ``rows`` shares with each of the ``n`` members."""
+    place = np.full(n, -1)
+    place[rows] = np.arange(len(rows))
+    wanted = np.unique(flat[place[owner] >= 0])
+    at = np.minimum(np.searchsorted(wanted, flat), len(wanted) - 1)
+    met = wanted[at] == flat
+    at, owner = at[met], owner[met]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    count = np.bincount(at, minlength=len(wanted))
+    first = np.cumsum(count) - count
+    shared = np.zeros((len(rows), n), dtype=np.int16)
+    few = np.flatnonzero((count > 1) & (count < COMMON))
+    for lo, c in zip(first[few].tolist(), count[few].tolist(), strict=True):
+        mine = owner[lo : lo + c]
+        here = place[mine]
+        shared[np.ix_(here[here >= 0], mine)] += 1
+    often = np.flatnonzero(count >= COMMON)  # values of many members: as a product of incidence matrices
+    for lo in range(0, len(often), 256):
+        some = often[lo : lo + 256]
+        inc = np.zeros((n, len(some)), dtype=np.float32)
+        for col, (at_, c) in enumerate(zip(first[some].tolist(), count[some].tolist(), strict=True)):
+            inc[owner[at_ : at_ + c], col] = 1
+        shared += (inc[rows] @ inc.T).astype(np.int16)
+    return shared
+
+
 def _crossed(k: int, least: int, best_only: bool):
     """Pairs of a list's members in different components that sizes and sketches allow.
 
-    ``best_only``: for each member and other component, the partner with the largest overlap."""
+    ``best_only``: for each member and other component, the partner with the largest overlap. Members meet in
+    slices of CROSS_ROWS, so what is held at once grows with a block and not with its square."""
 
     def run(table: pa.Table) -> pa.Table:
         value = table["value"][0].as_py()
         rep, comp, n, side = (table[c].to_numpy() for c in ("rep", "component", "n", "side"))
-        n = n.astype(np.int32)
+        total = len(rep)
         flat, offsets = _unpack(table["sketch"].combine_chunks())
-        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        length = np.diff(offsets)
+        owner = np.repeat(np.arange(total), length)
         _, which, size = np.unique(comp, return_inverse=True, return_counts=True)
         minor = np.flatnonzero(which != size.argmax())  # pairs within the largest component need no look
-        good = (comp[minor][:, None] != comp[None, :]) & (np.minimum.outer(n[minor], n) * (OF / LIKE) >= np.maximum.outer(n[minor], n) - 1)
-        if side.min() != side.max():
-            good &= side[minor][:, None] != side[None, :]
-        place = np.full(len(rep), -1)
-        place[minor] = np.arange(len(minor))
-        good &= (place[None, :] < 0) | (rep[minor][:, None] < rep[None, :])
+        is_minor = np.zeros(total, dtype=bool)
+        is_minor[minor] = True
         earlier: dict[int, list[int]] = {}
         for at, others in enumerate(table["lists"].to_pylist()):
             for other in others:
                 if other < value:
                     earlier.setdefault(other, []).append(at)
-        for mine in earlier.values():  # a pair is met in the first list that both are in
-            rows = place[mine]
-            good[np.ix_(rows[rows >= 0], mine)] = False
-        minor, columns = minor[good.any(axis=1)], np.flatnonzero(good.any(axis=0))
-        good = good[good.any(axis=1)][:, columns]
-        if not good.size:
-            return none
-        length = np.diff(offsets)
-        row_of, column_of = np.full(len(rep), -1), np.full(len(rep), -1)
-        row_of[minor], column_of[columns] = np.arange(len(minor)), np.arange(len(columns))
-        owner = np.repeat(np.arange(len(rep)), length)
-        wanted = (row_of[owner] >= 0) | (column_of[owner] >= 0)
-        values, owner = flat[wanted], owner[wanted]
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        edge = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-        count = np.diff(np.append(edge, len(values)))
-        shared = np.zeros(good.shape, dtype=np.int16)
-        for at, c in zip(edge[(count > 1) & (count < COMMON)].tolist(), count[(count > 1) & (count < COMMON)].tolist(), strict=True):
-            mine = owner[at : at + c]
-            rows, cols = row_of[mine], column_of[mine]
-            shared[np.ix_(rows[rows >= 0], cols[cols >= 0])] += 1
-        often = np.flatnonzero(count >= COMMON)  # values of many members: as a product of incidence matrices
-        for lo in range(0, len(often), 256):
-            some = often[lo : lo + 256]
-            inc = np.zeros((len(rep), len(some)), dtype=np.float32)
-            for col, (at, c) in enumerate(zip(edge[some].tolist(), count[some].tolist(), strict=True)):
-                inc[owner[at : at + c], col] = 1
-            shared += (inc[minor] @ inc[columns].T).astype(np.int16)
-        short = length.astype(np.int32)
-        good &= shared >= np.minimum(-(-np.minimum.outer(short[minor], short[columns]) * LIKE // OF), least)
-        x, y = np.nonzero(good)
-        if not len(x):
-            return none
-        overlap, x, y = shared[x, y], minor[x], columns[y]
-        if best_only:
-            order = np.lexsort((rep[y], -overlap, comp[y], x))
-            x, y = x[order], y[order]
-            first = np.concatenate(([True], (x[1:] != x[:-1]) | (comp[y][1:] != comp[y][:-1])))
-            x, y = x[first], y[first]
-        out = [p for p, (i, j) in enumerate(zip(x.tolist(), y.tolist(), strict=True)) if passes(int(n[i]), int(n[j]), flat[offsets[i] : offsets[i + 1]], flat[offsets[j] : offsets[j + 1]], k, least)]
-        a, b = rep[x[out]], rep[y[out]]
+        two_sides = side.min() != side.max()
+        out_a, out_b = [], []
+        for lo in range(0, len(minor), CROSS_ROWS):
+            rows = minor[lo : lo + CROSS_ROWS]
+            good = comp[rows][:, None] != comp[None, :]
+            good &= OF * np.minimum.outer(n[rows], n) >= LIKE * np.maximum.outer(n[rows], n)
+            if two_sides:
+                good &= side[rows][:, None] != side[None, :]
+            good &= ~is_minor[None, :] | (rep[rows][:, None] < rep[None, :])
+            place = np.full(total, -1)
+            place[rows] = np.arange(len(rows))
+            for mine in earlier.values():  # a pair is met in the first list that both are in
+                here = place[mine]
+                good[np.ix_(here[here >= 0], mine)] = False
+            rows, good = rows[good.any(axis=1)], good[good.any(axis=1)]
+            if not len(rows):
+                continue
+            shared = _overlaps(flat, owner, rows, total)
+            good &= shared >= np.minimum(-(-np.minimum.outer(length[rows], length) * LIKE // OF), least)
+            x, y = np.nonzero(good)
+            if not len(x):
+                continue
+            overlap, x = shared[x, y], rows[x]
+            if best_only:
+                order = np.lexsort((rep[y], -overlap, comp[y], x))
+                x, y = x[order], y[order]
+                first = np.concatenate(([True], (x[1:] != x[:-1]) | (comp[y][1:] != comp[y][:-1])))
+                x, y = x[first], y[first]
+            fit = [p for p, (i, j) in enumerate(zip(x.tolist(), y.tolist(), strict=True)) if passes(int(n[i]), int(n[j]), flat[offsets[i] : offsets[i + 1]], flat[offsets[j] : offsets[j + 1]], k, least)]
+            out_a.append(rep[x[fit]])
+            out_b.append(rep[y[fit]])
+        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (out_a, out_b))
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
     return run

@@ -1,7 +1,7 @@
 """Quality rules by repetition coverage.
 
-Rolling hashes of several n-gram lengths, in numpy, mark the words that lie inside n-grams
-found twice or more in the same text; the characters of those words, and of lines that
+Words and lines are numbered by their bytes, so two count as equal only where they are. Rolling hashes of
+several n-gram lengths over these numbers, in numpy, mark the words that lie inside n-grams found twice or more in the same text; the characters of those words, and of lines that
 repeat an earlier line, are measured against all characters in words.
 
 Definitions (per document):
@@ -29,8 +29,9 @@ from lodestrata.llm.memory import lean, small
 
 LENGTHS = (5, 7, 10)
 
-# Largest share of characters allowed inside duplicated n-grams (by length) and lines.
-LIMITS = {5: 0.50, 7: 0.48, 10: 0.45, "lines": 0.40}
+# Largest share of characters allowed inside duplicated n-grams (by length) and lines. They lie below
+# what the base rule alone leaves (half of the words), so repetition in long runs is judged more strictly than in short ones.
+LIMITS = {5: 0.40, 7: 0.36, 10: 0.30, "lines": 0.25}
 SYMBOL_LIMIT = 0.30
 """Symbols per word above which a text is junk."""
 
@@ -89,7 +90,7 @@ def measure(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str,
     point_sum = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum(points, out=point_sum[1:])
     begin, end, row = W.spans(space, starts, ends)
-    words = W.range_hash(data, begin, end)
+    words = W.mix(W.codes(data, begin, end).astype(np.uint64))  # equal for equal words alone
     chars = point_sum[end] - point_sum[begin]
     count = lambda mask, weight=None: np.bincount(row[mask], weights=None if weight is None else weight[mask], minlength=n)
     every = np.ones(len(words), dtype=bool)
@@ -99,7 +100,8 @@ def measure(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str,
     per_line = np.searchsorted(begin, l_end) - np.searchsorted(begin, l_begin)
     some = per_line > 0
     l_begin, l_end, l_row = l_begin[some], l_end[some], l_row[some]
-    keys = _keyed(W.range_hash(data, l_begin, l_end), l_row)
+    lines = W.codes(data, l_begin, l_end)  # by their bytes
+    keys = l_row * (int(lines.max()) + 1 if len(lines) else 1) + lines
     order = np.argsort(keys, kind="stable")
     again = np.zeros(len(keys), dtype=bool)
     again[order[1:]] = keys[order[1:]] == keys[order[:-1]]

@@ -1,44 +1,33 @@
 """Vectorised words, word hashes and n-gram hashes over the UTF-8 bytes of Arrow text columns.
 
 A word is a run of bytes outside ``\\x20\\x09-\\x0D``; those bytes never occur inside a
-multi-byte UTF-8 sequence, so work on bytes equals work on characters. Hashes have 64 bits:
-a polynomial of the bytes modulo 2**64, mixed with splitmix64.
+multi-byte UTF-8 sequence, so work on bytes equals work on characters. ``range_hash`` is the same in
+every process: eight bytes a step, all bits mixed after each, ranges above ``LONG`` bytes by keyed blake2b. It is
+no polynomial, so no family of strings collides by its form. ``codes`` and ``exact_grams`` compare the
+bytes themselves, within one call.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 """Bytes of text handled at once; a longer text is a slice of its own."""
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEPS = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F,
                    0xEB44ACCAB455D165, 0x9C6E6877736C46E3, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD],
                   dtype=np.uint64)
 
+LONG, KEY = 64, b"word-hash"
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-_powers = {"n": 0}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
-    if _powers["n"] < n:
-        size = max(n, SLICE_BYTES + 1)
-        inverse = pow(int(_BASE), -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            up = np.full(size, _BASE, dtype=np.uint64)
-            down = np.full(size, np.uint64(inverse), dtype=np.uint64)
-            up[0] = down[0] = 1
-            _powers.update(n=size, up=np.cumprod(up, dtype=np.uint64), down=np.cumprod(down, dtype=np.uint64))
-    return _powers["up"], _powers["down"]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's last steps: a bijection that spreads all bits."""
     with np.errstate(over="ignore"):
@@ -92,14 +81,55 @@ def spans(cut: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nda
 
 
 def range_hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A mixed 64-bit hash of the bytes of each range."""
-    n = len(data)
-    up, down = _tables(n + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
+    """A 64-bit hash of the bytes of each range; equal lengths up to 8 bytes never collide."""
+    size = end - begin
+    if not len(size):
+        return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], dtype=np.uint64, out=total[1:])
-        value = (total[end] - total[begin]) * down[begin]
-        return mix(value ^ ((end - begin).astype(np.uint64) * _STEPS[0]))
+        out = mix(size.astype(np.uint64) * _STEPS[0] + _STEPS[1])
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))  # the 8 bytes from each place on
+    short = np.flatnonzero(size <= LONG)
+    at, left = begin[short], size[short]
+    while len(short):
+        chunk = eight[at]
+        few = left < 8
+        chunk[few] &= (np.uint64(1) << (left[few].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        out[short] = mix(out[short] ^ chunk)
+        more = left > 8
+        short, at, left = short[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[begin[k] : end[k]], digest_size=8, key=KEY).digest(), "little")
+    return out
+
+
+def codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Numbers of the ranges (in order, none over another): equal where, and only where, the bytes are equal."""
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[begin] += 1
+    edge[end] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    offsets = np.zeros(len(begin) + 1, dtype=np.int64)
+    np.cumsum(end - begin, out=offsets[1:])
+    column = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))])
+    return column.dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
+def _renumbered(values: np.ndarray) -> tuple[np.ndarray, int]:
+    found = pa.array(values).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), len(found.dictionary)
+
+
+def exact_grams(words: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of all windows of ``n`` codes: equal where, and only where, the windows are equal."""
+    out, width = words, 1
+    kinds = int(words.max()) + 1 if len(words) else 1
+    while width < n and len(words) >= n:
+        step = min(width, n - width)  # the window of width from 0 on, and that of width which ends the longer one
+        m = len(out) - step
+        out, more = _renumbered(out[:m] * kinds + out[step : step + m])
+        width, kinds = width + step, more
+    return out if len(words) >= n else np.zeros(0, np.int64)
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:

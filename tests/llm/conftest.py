@@ -31,3 +31,14 @@ def no_docs(spark):
 @pytest.fixture(scope="session")
 def small(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+def thue_morse(n, first="a", second="b"):
+    """The Thue-Morse string of n letters: with its complement it collides under polynomial hashes modulo 2**64."""
+    return "".join((first, second)[bin(k).count("1") % 2] for k in range(n))
+
+
+@pytest.fixture(scope="session")
+def twins():
+    """Pairs of different strings that polynomial hashes modulo 2**64 take for equal."""
+    return [(thue_morse(n), thue_morse(n, "b", "a")) for n in (1024, 2048, 4096)]

@@ -117,3 +117,32 @@ def test_union_estimate_is_exact_for_small_sets():
     a, b = np.array([1, 2, 3, 4], np.uint64), np.array([2, 3, 4, 5], np.uint64)
     assert N.union_estimate(a, b, 64) == 0.6
     assert not N.passes(4, 4, a, b, 64, 30) and N.passes(4, 4, a, a, 64, 30)
+
+
+def test_texts_that_plain_polynomial_hashes_confuse_stay_apart(spark, twins):
+    rows = [(2 * k + i, text) for k, pair in enumerate(twins) for i, text in enumerate(pair)]
+    rows += [(100 + k, " ".join(["one two three four", text, "six seven"])) for k, (_, text) in enumerate(rows[:2])]
+    found = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in found)
+
+
+def test_links_are_confirmed_by_bytes(monkeypatch):
+    """Even where all hashes are equal, different texts are not linked."""
+    monkeypatch.setattr(N.W, "range_hash", lambda data, begin, end: np.zeros(len(begin), np.uint64))
+    import pyarrow as pa
+
+    texts = pa.array(["a b c d e f", "u v w x y z", "A b c d e f", "a b", "a c", "a b", "", None])
+    left = pa.array(["a b c d e f", "a b", ""])
+    got = N.similar(left, np.array([0, 0, 0, 1, 1, 1, 2, 2]), texts)
+    assert got == [True, False, True, True, False, True, False, False]
+
+
+def test_exact_sets_match_brute_force(small):
+    import pyarrow as pa
+
+    texts = [r["text"] for r in small.collect()]
+    sets = N.exact_sets(pa.array(texts))
+    want = [shingles(t) for t in texts]
+    assert [len(x) for x in sets] == [len(x) for x in want]
+    for k in range(1, len(texts)):
+        assert len(np.intersect1d(sets[k - 1], sets[k])) == len(want[k - 1] & want[k])

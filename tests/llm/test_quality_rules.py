@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -45,3 +46,21 @@ def test_edges(edge_docs, no_docs):
     assert by[7]["n_words"] == 15000 and by[7]["base_failed"]
     assert Q.measure_quality(no_docs).count() == 0
     assert Q.filter_quality(edge_docs).columns == edge_docs.columns
+
+
+def test_different_lines_and_words_are_never_equal(spark, twins):
+    rows = [(k, f"{a}\n{b}\n{a} {b}") for k, (a, b) in enumerate(twins)]
+    for r in Q.measure_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r["n_dup_lines"] == 0 and r["n_words"] == 4 and r["n_repeat_words"] == 0
+
+
+def test_coverage_rejects_what_base_leaves(spark):
+    """A passage of 10 words or more that stands twice, or a line that does, on less than half of the words."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    again, line = words(42), words(30)
+    rows = [(1, f"{again} {words(110)} {again}"), (2, f"{line}\n{words(50)}\n{line}"), (3, words(200)), (4, f"{words(8)}\n" * 2 + words(180))]
+    got = {r["doc_id"]: r for r in Q.measure_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not got[1]["base_failed"] and not got[1]["kept"] and 0.3 < got[1]["dup_10gram_share"] < 0.5
+    assert got[2]["dup_line_share"] > 0.25 and not got[2]["kept"]
+    assert got[3]["kept"] and got[4]["kept"]
