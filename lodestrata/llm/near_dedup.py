@@ -48,7 +48,7 @@ FIRST, FINER = (64, 30), (384, 243)
 """(k, least) of sketches: least lies 5.3 standard deviations below 0.75 k."""
 LIKE, OF = 75, 100
 SMALL_LIST, LIST_BLOCK, COMMON = 64, 3072, 64
-VERIFY_BYTES, CROSS_ROWS = 1 << 22, 512
+VERIFY_BYTES, CROSS_ROWS = 1 << 20, 512
 """Texts verified at once, in bytes, and rows of a block held against all of it at once: they bound a task's memory."""
 BROADCAST_IDS = 500_000
 """Up to so many ids, documents are picked by a broadcast set of them; beyond it, by a shuffled join."""

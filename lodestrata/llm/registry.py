@@ -40,8 +40,9 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = load(spark, sf_dir, "documents")
-    segments = token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return token_files.read_tokens(Workspace(spark, "op3").table(segments, "segments"))
+    folder = f"{Workspace(spark, 'op3').root}/files"
+    token_files.write_files(token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2), folder)
+    return token_files.read_tokens(token_files.read_files(spark, folder))
 
 
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,22 @@
 """Token-ID files of patched frame-of-reference blocks.
 
-A segment is the image of one file: a header, the index of block starts, the index of
-documents, then blocks of ``BLOCK`` ids. A block subtracts its minimum, packs the differences
-at the width that holds ``PERCENTILE`` of them, and keeps the others whole in an exception
-list (positions and differences).
+A segment is a header, the index of block starts, the index of documents, then blocks of ``BLOCK`` ids. A block
+subtracts its minimum, packs the differences at the width that holds ``PERCENTILE`` of them, and keeps
+the others whole in an exception list (positions and differences). A file holds up to ``FILE_SEGMENTS`` segments,
+each ended by one newline byte.
 
-Layout (little-endian): magic ``PFR1``; u32 documents, u32 ids, u32 blocks; u32 start of each
-block; per document i64 id, u8 null flag, u32 ids; blocks: u32 minimum, u16 ids, u8 width,
-u16 exceptions, the packed u64 words, u16 positions, u32 differences.
+Segment (little-endian): magic ``PFR2``; u32 part, u32 number in the part, u64 ids of the part before it; u32 documents, u32 ids,
+u32 blocks, u64 bytes of the segment; u32 start of each block; per document i64 id, u8 null flag,
+u32 ids; blocks: u32 minimum, u16 ids, u8 width, u16 exceptions, the packed u64 words, u16 positions, u32 differences.
 
-``write_tokens`` orders documents by id (nulls first; equal ids by text), encodes each
-range of them in one task and returns a table of segments that Spark's own writer commits, so
-a task that is lost writes again without leaving halves. ``export_files`` puts the images
-down as files. ``read_tokens`` decodes segments. Only the number of ids of each range (one
-row a partition) goes to the driver.
+``write_tokens`` orders documents by id (nulls first; equal ids by text), encodes each range of them in one
+task and gives segments; ``write_files`` puts them down as files in any store that Spark writes, through
+Spark's committer, so a task that is lost writes again without leaving halves; ``read_files`` reads the files, and
+``read_tokens`` decodes segments. Nothing of it goes to the driver.
+
+The tokenizer file is checked: where it is a byte-level BPE without normalizer, dropout or prefix space, a text's ids are those of
+the pieces of its pre-tokenizer, and pieces met before come from a memory that compares their bytes; any other
+file encodes every text whole.
 
 Null and empty texts have the end id alone; a text of any length is one document; an empty
 table gives an empty table of segments; extra columns play no part.
@@ -21,19 +24,23 @@ table gives an empty table of segments; extra columns play no part.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm import wordhash as W
 from lodestrata.llm.memory import lean
+from lodestrata.llm.storage import Workspace
 
-BLOCK, PERCENTILE, SEGMENT_IDS = 1024, 95, 1 << 18
-MAGIC = b"PFR1"
+BLOCK, PERCENTILE, SEGMENT_IDS, FILE_SEGMENTS = 1024, 95, 1 << 18, 64
+RANGE_BYTES = 512 << 20
+"""Bytes of the input's files that a range of documents stands for, at most; small inputs have Spark's number of shuffle partitions."""
+MAGIC, HEAD = b"PFR2", struct.Struct("<4sIIQIIIQ")
 GROUP = 64
 
 # Byte classes of the pre-tokenizer (letter, digit, other, blank, other white space).
@@ -75,8 +82,8 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(out.T).reshape(blocks, -1)
 
 
-def encode_segment(ids: np.ndarray, doc_ids: list[int | None], sizes: list[int]) -> bytes:
-    """The file image of these documents' ids (unsigned 32-bit)."""
+def encode_segment(ids: np.ndarray, doc_ids: list[int | None], sizes: list[int], part: int = 0, number: int = 0, first: int = 0) -> bytes:
+    """The segment of these documents' ids (unsigned 32-bit), with its place in the order."""
     n = len(ids)
     blocks = -(-n // BLOCK)
     padded = np.full(blocks * BLOCK, ids[-1] if n else 0, dtype=np.uint32)
@@ -103,15 +110,28 @@ def encode_segment(ids: np.ndarray, doc_ids: list[int | None], sizes: list[int])
         body.append(block)
         at += len(block)
     index = b"".join(struct.pack("<qBI", 0 if d is None else d, d is None, s) for d, s in zip(doc_ids, sizes, strict=True))
-    return MAGIC + struct.pack("<III", len(sizes), n, blocks) + np.array(starts, dtype=np.uint32).tobytes() + index + b"".join(body)
+    rest = np.array(starts, dtype=np.uint32).tobytes() + index + b"".join(body)
+    return HEAD.pack(MAGIC, part, number, first, len(sizes), n, blocks, HEAD.size + len(rest)) + rest
+
+
+def segments_of(content: bytes) -> list[bytes]:
+    """The segments of a file."""
+    out, at = [], 0
+    while at < len(content):
+        magic, *_, size = HEAD.unpack_from(content, at)
+        if magic != MAGIC or content[at + size : at + size + 1] != b"\n":
+            raise ValueError("not a token file")
+        out.append(content[at : at + size])
+        at += size + 1
+    return out
 
 
 def decode_segment(image: bytes) -> tuple[np.ndarray, list[int | None], list[int]]:
-    """(ids, document ids, ids of each document) of a file image."""
-    if image[:4] != MAGIC:
+    """(ids, document ids, ids of each document) of a segment."""
+    magic, _, _, _, docs, n, blocks, _ = HEAD.unpack_from(image)
+    if magic != MAGIC:
         raise ValueError("not a token file")
-    docs, n, blocks = struct.unpack_from("<III", image, 4)
-    at = 16
+    at = HEAD.size
     starts = np.frombuffer(image, np.uint32, blocks, at)
     at += 4 * blocks
     index = list(struct.iter_unpack("<qBI", image[at : at + 13 * docs]))
@@ -132,41 +152,54 @@ def decode_segment(image: bytes) -> tuple[np.ndarray, list[int | None], list[int
     return ids, [None if null else d for d, null, _ in index], [s for _, _, s in index]
 
 
+def piecewise(tokenizer) -> bool:
+    """Whether a text's ids are those of its byte-level pieces in a row, by the tokenizer's own description."""
+    said = json.loads(tokenizer.to_str())
+    cut, model = said.get("pre_tokenizer") or {}, said.get("model") or {}
+    plain = said.get("normalizer") is None and said.get("truncation") is None and said.get("padding") is None and said.get("post_processor") is None
+    return bool(plain and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space", True) and cut.get("use_regex", True) and model.get("type") == "BPE" and not model.get("dropout")
+                and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in said.get("added_tokens", [])))
+
+
 class PieceEncoder:
     """The tokenizer with a memory of pieces.
 
     A byte-level BPE encodes each piece of its pre-tokenizer alone, so the ids of a text are
-    those of its pieces in a row. Pieces of a slice of bytes are found in numpy and known by a
-    64-bit hash; the library encodes a piece when it is first met. Texts with a special
-    token's string or with a byte in ``_STRANGE`` go to the library whole."""
+    those of its pieces in a row. Pieces of a slice of bytes are found in numpy and known by their
+    bytes; the library encodes a piece when it is first met. Texts with a special token's string or with a byte
+    in ``_STRANGE`` go to the library whole, and so do all texts of a tokenizer that is not ``piecewise``."""
 
-    LIMIT = 1_500_000
-    """Pieces remembered (about 40 bytes each); beyond it, the memory starts anew."""
+    LIMIT, LIMIT_BYTES = 500_000, 1 << 25
+    """Pieces remembered, and bytes of them; beyond it, the memory starts anew."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.piecewise = piecewise(self.tokenizer)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self):
-        self.keys = np.zeros(0, dtype=np.uint64)  # sorted hashes of the pieces known
-        self.at = np.zeros(0, dtype=np.int64)  # where each one's ids begin in flat
-        self.size = np.zeros(0, dtype=np.int64)
+        self.known: dict[bytes, int] = {}
+        self.held = 0  # bytes of the pieces known
+        self.at = np.zeros(1 << 16, dtype=np.int64)  # where each one's ids begin in flat
+        self.size = np.zeros(1 << 16, dtype=np.int64)
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]):
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _learn(self, pieces: list[bytes]):
+        found = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        total = int(size.sum())
+        total, first = int(size.sum()), len(self.known)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while first + len(pieces) > len(self.at):
+            self.at, self.size = np.concatenate((self.at, np.zeros_like(self.at))), np.concatenate((self.size, np.zeros_like(self.size)))
         self.flat[self.used : self.used + total] = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=total)
-        where = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, where, keys)
-        self.at = np.insert(self.at, where, self.used + np.cumsum(size) - size)
-        self.size = np.insert(self.size, where, size)
+        self.at[first : first + len(pieces)] = self.used + np.cumsum(size) - size
+        self.size[first : first + len(pieces)] = size
+        self.known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.held += sum(map(len, pieces))
         self.used += total
 
     @staticmethod
@@ -202,7 +235,7 @@ class PieceEncoder:
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * n
         odd = np.zeros(len(data) + 1, dtype=np.int64)
         np.cumsum(_STRANGE[data] | (np.concatenate(([0], data[:-1])) == 0xC3) & ((data == 0x97) | (data == 0xB7)), out=odd[1:])
-        whole = (odd[offsets[1:]] - odd[offsets[:-1]]) > 0
+        whole = (odd[offsets[1:]] - odd[offsets[:-1]]) > 0 if self.piecewise else np.ones(n, dtype=bool)
         bytes_ = data.tobytes()
         for mark in self.special:
             place = bytes_.find(mark)
@@ -218,16 +251,16 @@ class PieceEncoder:
         begin, end, row = begin[mine], end[mine], row[mine]
         if not len(begin):
             return out
-        keys, where, which = np.unique(W.range_hash(data, begin, end), return_index=True, return_inverse=True)
-        for again in (False, True):
-            at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-            new = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), dtype=bool)
-            if again or not new.any():
-                break
-            if len(self.keys) + int(new.sum()) > self.LIMIT:
+        which, pieces = W.named_codes(data, begin, end)
+        place = [self.known.get(p, -1) for p in pieces]
+        new = [p for p, k in zip(pieces, place, strict=True) if k < 0]
+        if new:
+            if len(self.known) + len(new) > self.LIMIT or self.held > self.LIMIT_BYTES:
                 self._forget()
-                new[:] = True
-            self._learn(keys[new], [bytes_[b:e].decode() for b, e in zip(begin[where[new]].tolist(), end[where[new]].tolist(), strict=True)])
+                new = pieces
+            self._learn(new)
+            place = [self.known[p] for p in pieces]
+        at = np.array(place, dtype=np.int64)
         size, first = self.size[at][which], self.at[at][which]
         total = np.cumsum(size)
         ids = self.flat[np.arange(total[-1]) + np.repeat(first - (total - size), size)]
@@ -259,7 +292,7 @@ def _encoded(batches, path: str, end_id: int):
 
     def segment():
         nonlocal number, done, held, ids, sizes
-        image = encode_segment(np.concatenate(ids), held, sizes)
+        image = encode_segment(np.concatenate(ids), held, sizes, part, number, done)
         row = [[part], [number], [done], [sum(sizes)], [len(sizes)], [image]]
         number, done = number + 1, done + sum(sizes)
         held, ids, sizes = [], [], []
@@ -283,17 +316,42 @@ def _encoded(batches, path: str, end_id: int):
 SEGMENTS = "part int, segment int, first_id long, n_ids long, n_docs long, image binary"
 
 
+def ranges_for(docs: DataFrame) -> int:
+    """Ranges of an input: by the size that Catalyst has from its files, at least Spark's shuffle partitions."""
+    said = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return least if said >= 1 << 60 else max(least, -(-said // RANGE_BYTES))  # that much: Catalyst does not know
+
+
 def write_tokens(docs: DataFrame, path: str, end_id: int = 2, ranges: int | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Segments of all documents in ascending order of ``key``; one shuffle, by range.
 
     ``path`` is the tokenizer file on every machine."""
-    spark = docs.sparkSession
-    ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     picked = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = picked.repartitionByRange(ranges, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    ordered = picked.repartitionByRange(ranges or ranges_for(picked), F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
     return ordered.mapInArrow(lambda it: _encoded(it, path, end_id), SEGMENTS)
 
 
+def write_files(segments: DataFrame, folder: str) -> None:
+    """Put segments down as files in a folder of any store that Spark writes; a newline byte ends each segment."""
+    plain = segments.select(F.col("image").cast("string").alias("value"))  # the bytes as they are
+    plain.write.mode("append").option("maxRecordsPerFile", FILE_SEGMENTS).option("lineSep", "\n").option("compression", "none").text(folder)
+
+
+@lean
+def _split(batches):
+    for batch in batches:
+        for content in batch.column(0):
+            for image in segments_of(content.as_py()):
+                _, part, number, first, docs, n, _, _ = HEAD.unpack_from(image)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), *(pa.array([x], pa.int64()) for x in (first, n, docs)), pa.array([image], pa.binary())], ["part", "segment", "first_id", "n_ids", "n_docs", "image"])
+
+
+def read_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The segments of all files of a folder."""
+    return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(_split, SEGMENTS)
+
+
 @lean
 def _decoded(batches):
     for batch in batches:
@@ -307,33 +365,18 @@ def _decoded(batches):
 
 
 def read_tokens(segments: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the segments."""
-    spark = segments.sparkSession
-    sizes = sorted((r["part"], r["n"]) for r in segments.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
-    before, rows = 0, []
-    for part, n in sizes:
-        rows.append((part, before))
-        before += n
-    offsets = F.broadcast(spark.createDataFrame(rows, "part int, before long"))  # one row a partition of the writer
-    found = segments.select("part", "first_id", "image").mapInArrow(_decoded, "part int, doc_id long, local_start long, n_tokens long, ids_crc32 long")
-    return found.join(offsets, "part").select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the segments.
+
+    Segments are decoded once, into a table of numbers; a part's start is the sum over the parts before it."""
+    work = Workspace(segments.sparkSession, "tokens")
+    found = work.table(segments.select("part", "first_id", "image").mapInArrow(_decoded, "part int, doc_id long, local_start long, n_tokens long, ids_crc32 long"), "decoded")
+    sizes = found.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row a part of the writer
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return found.join(sizes.select("part", before.alias("before")), "part").select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def export_files(segments: DataFrame, folder: str) -> DataFrame:
-    """Put each segment down as ``part-<p>-<s>.pfr`` in a folder that all executors mount; returns paths and sizes."""
-
-    def put(batches):
-        import os
-
-        for batch in batches:
-            paths, sizes = [], []
-            for part, number, image in zip(batch.column("part").to_pylist(), batch.column("segment").to_pylist(), batch.column("image"), strict=True):
-                target = f"{folder}/part-{part:06d}-{number:06d}.pfr"
-                with open(f"{target}.{os.getpid()}", "wb") as out:
-                    out.write(image.as_py())
-                os.replace(f"{target}.{os.getpid()}", target)  # a second attempt puts down the same bytes
-                paths.append(target)
-                sizes.append(len(image.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["path", "n_bytes"])
-
-    return segments.mapInArrow(put, "path string, n_bytes long")
+    """``write_files``, and the files that then lie in the folder: path (a local one without its scheme) and bytes."""
+    write_files(segments, folder)
+    listed = segments.sparkSession.read.format("binaryFile").load(folder)
+    return listed.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("length").alias("n_bytes"))

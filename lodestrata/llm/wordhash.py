@@ -103,8 +103,7 @@ def range_hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
-def codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Numbers of the ranges (in order, none over another): equal where, and only where, the bytes are equal."""
+def _encoded(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
     edge = np.zeros(len(data) + 1, dtype=np.int8)
     edge[begin] += 1
     edge[end] -= 1
@@ -112,7 +111,18 @@ def codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     offsets = np.zeros(len(begin) + 1, dtype=np.int64)
     np.cumsum(end - begin, out=offsets[1:])
     column = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))])
-    return column.dictionary_encode().indices.to_numpy().astype(np.int64)
+    return column.dictionary_encode()
+
+
+def codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Numbers of the ranges (in order, none over another): equal where, and only where, the bytes are equal."""
+    return _encoded(data, begin, end).indices.to_numpy().astype(np.int64)
+
+
+def named_codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """``codes``, and the bytes that each number stands for."""
+    found = _encoded(data, begin, end)
+    return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
 
 
 def _renumbered(values: np.ndarray) -> tuple[np.ndarray, int]:

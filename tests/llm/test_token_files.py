@@ -46,3 +46,37 @@ def test_files_on_disk(small, tmp_path):
     assert sum(os.path.getsize(r["path"]) for r in made) == sum(r["n_bytes"] for r in made)
     docs = [d for r in made for d in T.decode_segment(open(r["path"], "rb").read())[1]]
     assert sorted(docs) == sorted(r["doc_id"] for r in small.collect())
+
+
+def test_files_of_several_segments_read_back(spark, small, edge_docs, twins, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "FILE_SEGMENTS", 3)
+    rows = [(r["doc_id"], r["text"]) for r in small.collect()] + [(10**6 + 2 * k + i, t) for k, pair in enumerate(twins) for i, t in enumerate(pair)] + [(-5, ""), (-4, None), (-3, "\n"), (-2, "a" * 300000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    T.write_files(T.write_tokens(docs, PATH, ranges=4), f"{tmp_path}/f")
+    assert sorted(tuple(r) for r in T.read_tokens(T.read_files(spark, f"{tmp_path}/f")).collect()) == sorted(brute(rows))
+
+
+def test_segments_of_a_file():
+    images = [T.encode_segment(np.arange(n, dtype=np.uint32), [n], [n], 1, n, 0) for n in (0, 3, 2000)]
+    assert T.segments_of(b"".join(x + b"\n" for x in images)) == images
+
+
+def test_any_tokenizer_file(spark, tmp_path):
+    """Files that are no plain byte-level BPE encode texts whole; pieces that differ in their bytes are never taken for each other."""
+    other = public_tokenizers.path("word_bpe_49k.json")
+    assert T.PieceEncoder(PATH).piecewise and not T.PieceEncoder(other).piecewise
+    rows = [(k, t) for k, t in enumerate(["Hello World", "It's  2 <|endoftext|>", "", None, "ünï"])]
+    tokenizer = Tokenizer.from_file(other)
+    want = {k: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for k, t in rows}
+    got = T.read_tokens(T.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), other, ranges=2)).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == want
+
+
+def test_memory_that_starts_anew(small, monkeypatch):
+    import pyarrow as pa
+
+    texts = [r["text"] for r in small.collect()]
+    monkeypatch.setattr(T.PieceEncoder, "LIMIT", 50)
+    tokenizer = Tokenizer.from_file(PATH)
+    got = T.PieceEncoder(PATH).encode_column(pa.array(texts))
+    assert all(x.tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids for x, t in zip(got, texts, strict=True))
