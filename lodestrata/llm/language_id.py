@@ -21,13 +21,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrata.llm.memory import lean, small
 
-DIMENSIONS, ORDER, SEED = 512, 3, 20240229
+DIMENSIONS, ORDER, SEED = 1024, 3, 20240229
+"""The noise of a cosine has a deviation of 1 / sqrt(DIMENSIONS); README has held-out accuracies by dimensions."""
 UNKNOWN = "und"
-CHUNK_CHARS = 1 << 19
-"""Characters handled at once; the counts of a longer text are added up over chunks."""
+CHUNK_CHARS, CHUNK_TEXTS = 1 << 19, 256
+"""Characters and texts handled at once. A longer text goes on in the next chunk: the last symbols are carried over, so
+its vector is the same as if it were read at once."""
+GRAMS, DIRECT = 4096, 1 << 22
+"""Distinct n-grams whose vectors are held at once, and codes up to which they are found by a table and not by sorting: both
+bound memory alone."""
 
 _SYMBOLS = 0x110000
 
@@ -37,57 +43,91 @@ class Encoder:
 
     def __init__(self):
         self.ids = np.full(_SYMBOLS, -1, dtype=np.int32)  # code point -> symbol; 0 is the blank
-        self.letters = np.ones((1, DIMENSIONS), dtype=np.float32)
-        self.letters[0] = self._drawn(0)
+        self.rotated = [self._drawn(0, j)[None] for j in range(ORDER)]  # each letter's vector, by place in the n-gram
 
     @staticmethod
-    def _drawn(point: int) -> np.ndarray:
-        return np.random.default_rng([SEED, point]).integers(0, 2, DIMENSIONS).astype(np.float32) * 2 - 1
+    def _drawn(point: int, place: int) -> np.ndarray:
+        return np.roll(np.random.default_rng([SEED, point]).integers(0, 2, DIMENSIONS).astype(np.int8) * 2 - 1, place)
 
     def _symbols(self, points: np.ndarray) -> np.ndarray:
         found = self.ids[points]
         if (found < 0).any():
+            fresh = []
             for point in np.unique(points[found < 0]).tolist():
-                if chr(point).isalpha():
-                    self.ids[point] = len(self.letters)
-                    self.letters = np.vstack([self.letters, self._drawn(point)])
-                else:
-                    self.ids[point] = 0
+                letter = chr(point).isalpha()
+                self.ids[point] = len(self.rotated[0]) + len(fresh) if letter else 0
+                fresh += [point] * letter
+            if fresh:
+                self.rotated = [np.vstack([self.rotated[j], *(self._drawn(point, j) for point in fresh)]) for j in range(ORDER)]
             found = self.ids[points]
         return found
 
+    def bundles(self, texts: int, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The sums of the vectors of all n-grams of each of ``texts`` rows of symbols."""
+        out = np.zeros((texts, DIMENSIONS), dtype=np.float64)
+        m, width = len(symbol) - ORDER + 1, len(self.rotated[0])
+        if m <= 0:
+            return out
+        code, blank = np.zeros(m, dtype=np.int32 if width**ORDER < 1 << 31 else np.int64), np.ones(m, dtype=bool)
+        for j in range(ORDER):
+            code *= width
+            code += symbol[j : j + m]
+            blank &= symbol[j : j + m] == 0
+        inside = (row[:m] == row[ORDER - 1 :]) & ~blank
+        code, at = code[inside], row[:m][inside]
+        if width**ORDER <= DIRECT:
+            met = np.zeros(width**ORDER, dtype=bool)
+            met[code] = True
+            gram = np.flatnonzero(met)
+            number = np.cumsum(met, dtype=np.int32) - 1
+            where = number[code]
+        else:
+            gram, where = np.unique(code, return_inverse=True)
+        if len(gram) > GRAMS:
+            block = (where // GRAMS).astype(np.uint16)  # at most one n-gram a character of a chunk
+            order = np.argsort(block, kind="stable")
+            where, at = where[order], at[order]
+            edge = np.append(0, np.cumsum(np.bincount(block)))
+        else:
+            edge = np.array([0, len(where)])
+        for block, (lo, hi) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)):
+            some = gram[block * GRAMS : (block + 1) * GRAMS]
+            counts = np.bincount(at[lo:hi] * len(some) + (where[lo:hi] - block * GRAMS), minlength=texts * len(some)).astype(np.float32).reshape(texts, len(some))
+            bound = self.rotated[ORDER - 1][some % width]
+            for j in range(ORDER - 2, -1, -1):
+                some = some // width
+                bound = bound * self.rotated[j][some % width]
+            out += counts @ bound.astype(np.float32)  # whole numbers below 2**24: exact
+        return out
+
     def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(bundle of each text, whether it has a letter)."""
-        joined = ("\n" + "\n\n".join(x.lower() for x in texts) + "\n") if texts else ""
+        texts = [x.lower() for x in texts]
+        joined = ("\n" + "\n\n".join(texts) + "\n") if texts else ""
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        lengths = np.array([len(x.lower()) + 2 for x in texts], dtype=np.int64)
-        row = np.repeat(np.arange(len(texts)), lengths)
+        lengths = np.array([len(x) + 2 for x in texts], dtype=np.int64)
+        row = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
         symbol = self._symbols(points)
         first = np.zeros(len(symbol), dtype=bool)
         first[np.cumsum(lengths)[:-1]] = True
         keep = np.concatenate(([True], (symbol[1:] != 0) | (symbol[:-1] != 0) | first[1:])) if len(symbol) else np.zeros(0, bool)
         symbol, row = symbol[keep], row[keep]
-        has = np.bincount(row[symbol > 0], minlength=len(texts)) > 0
-        out = np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
-        m = len(symbol) - ORDER + 1
-        if m <= 0:
-            return out, has
-        width = len(self.letters)
-        code = np.zeros(m, dtype=np.int64)
-        blank = np.zeros(m, dtype=np.int64)
-        for j in range(ORDER):
-            code = code * width + symbol[j : j + m]
-            blank += symbol[j : j + m] == 0
-        inside = (row[:m] == row[ORDER - 1 :]) & (blank < ORDER)
-        code, at = code[inside], row[:m][inside]
-        gram, where = np.unique(code, return_inverse=True)
-        table = np.ones((len(gram), DIMENSIONS), dtype=np.float32)
-        rest = gram.copy()
-        for j in range(ORDER):
-            table *= np.roll(self.letters, j, axis=1)[rest % width]
-            rest //= width
-        counts = np.bincount(at * len(gram) + where, minlength=len(texts) * len(gram)).reshape(len(texts), len(gram)).astype(np.float32)
-        out[:] = counts @ table
+        return self.bundles(len(texts), symbol, row), np.bincount(row[symbol > 0], minlength=len(texts)) > 0
+
+    def long_vector(self, text: str) -> tuple[np.ndarray, bool]:
+        """``vectors`` of one text, in chunks that carry the last symbols over."""
+        text = text.lower()
+        out, has, held = np.zeros(DIMENSIONS), False, np.zeros(1, np.int32)
+        for lo in range(0, len(text) + 1, CHUNK_CHARS):
+            part = text[lo : lo + CHUNK_CHARS]
+            last = lo + CHUNK_CHARS > len(text)
+            symbol = np.concatenate((held, self._symbols(np.frombuffer((part + "\n" * last).encode("utf-32-le", "surrogatepass"), dtype=np.uint32))))
+            fresh = np.concatenate(([True], (symbol[1:] != 0) | (symbol[:-1] != 0)))
+            fresh[: len(held)] = True
+            symbol = symbol[fresh]
+            has |= bool((symbol > 0).any())
+            out += self.bundles(1, symbol, np.zeros(len(symbol), np.int32))[0]
+            held = symbol[-(ORDER - 1) :]
         return out, has
 
 
@@ -96,7 +136,7 @@ def _groups(texts: list[str | None]):
     lo, size = 0, 0
     for k, text in enumerate(texts):
         n = len(text or "")
-        if k > lo and (size + n > CHUNK_CHARS or k - lo >= 256):
+        if k > lo and (size + n > CHUNK_CHARS or k - lo >= CHUNK_TEXTS):
             yield lo, k
             lo, size = k, 0
         size += n
@@ -106,14 +146,10 @@ def _groups(texts: list[str | None]):
 
 def encode(encoder: Encoder, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Vectors of length 1 (0 without a letter), and whether there is a letter."""
-    out, has = np.zeros((len(texts), DIMENSIONS), dtype=np.float32), np.zeros(len(texts), dtype=bool)
+    out, has = np.zeros((len(texts), DIMENSIONS), dtype=np.float64), np.zeros(len(texts), dtype=bool)
     for lo, hi in _groups(texts):
         if hi - lo == 1 and len(texts[lo] or "") > CHUNK_CHARS:
-            text = texts[lo]
-            for a in range(0, len(text), CHUNK_CHARS):  # chunks overlap, so that no n-gram is lost
-                part, some = encoder.vectors([text[max(0, a - ORDER + 1) : a + CHUNK_CHARS]])
-                out[lo] += part[0]
-                has[lo] |= some[0]
+            out[lo], has[lo] = encoder.long_vector(texts[lo])
         else:
             out[lo:hi], has[lo:hi] = encoder.vectors([x or "" for x in texts[lo:hi]])
     norm = np.linalg.norm(out, axis=1, keepdims=True)
@@ -130,7 +166,7 @@ def _learned(batches):
         for lang in set(langs):
             mine = [k for k, x in enumerate(langs) if x == lang and has[k]]
             if mine:
-                sums[lang] = sums.get(lang, 0) + np.rint(vectors[mine].astype(np.float64) * (1 << 20)).astype(np.int64).sum(axis=0)
+                sums[lang] = sums.get(lang, 0) + np.rint(vectors[mine] * (1 << 20)).astype(np.int64).sum(axis=0)
     if sums:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tolist() for x in sums.values()], type=pa.list_(pa.int64()))], ["lang", "bundle"])
 
@@ -151,14 +187,13 @@ def _predicted(batches, text: str, names: list[str], prototypes: np.ndarray):
     for batch in small(batches, 2048):
         vectors, has = encode(encoder, batch.column(text).to_pylist())
         if len(names):
-            cosine = np.round(vectors.astype(np.float64) @ prototypes.T, 6)
+            cosine = np.round(vectors @ prototypes.T, 6)
             best = cosine.argmax(axis=1)
             score = np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0)
         else:
             best, score, has = np.zeros(len(has), int), np.zeros(len(has)), np.zeros(len(has), bool)
         found = [pa.array([names[b] if ok else UNKNOWN for b, ok in zip(best, has, strict=True)], pa.string()), pa.array(np.where(has, score, 0.0))]
-        keep = [k for k, name in enumerate(batch.schema.names) if name != text or text != "__text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *found], [*(batch.schema.names[k] for k in keep), "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *found], ["doc_id", "lang_pred", "score"])
 
 
 def model(prototypes: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -177,16 +212,24 @@ def predict(docs: DataFrame, learned: tuple[list[str], np.ndarray], text: str =
     return picked.mapInArrow(lambda it: _predicted(it, "__text", names, prototypes), f"doc_id {kind}, lang_pred string, score double")
 
 
-def filter_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], least: float, text: str = "text") -> DataFrame:
-    """The documents with a recognised language and at least this score, all columns as they were."""
+def with_score(docs: DataFrame, learned: tuple[list[str], np.ndarray], name: str, text: str = "text") -> DataFrame:
+    """``docs`` with one more column ``name``: the largest cosine with a language, -1 where none is recognised; no shuffle."""
     names, prototypes = learned
 
     @lean
-    def kept(batches):
+    def scored(batches):
         encoder = Encoder()
         for batch in small(batches, 2048):
             vectors, has = encode(encoder, batch.column(text).to_pylist())
-            best = np.round(vectors.astype(np.float64) @ prototypes.T, 6).max(axis=1) if names else np.full(len(has), -1.0)
-            yield batch.filter(pa.array(has & (best >= least)))
+            best = np.round(vectors @ prototypes.T, 6).max(axis=1) if names else np.full(len(has), -1.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.where(has, best, -1.0))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def filter_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], least: float, text: str = "text") -> DataFrame:
+    """The documents with a recognised language and at least this score, all columns as they were."""
+    name = "__score"
+    while name in docs.columns:
+        name += "_"
+    return with_score(docs, learned, name, text).where((F.col(name) >= least) & (F.col(name) > -1)).drop(name)

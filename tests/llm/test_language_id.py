@@ -30,3 +30,57 @@ def test_long_texts_equal_their_parts():
     whole, _ = L.encode(L.Encoder(), [long])
     short, _ = L.encode(L.Encoder(), ["ab cd " * 500])
     assert float(whole[0] @ short[0]) > 0.999
+
+
+def plain_vector(text):
+    """The bundle of a text, by a plain loop over its symbols."""
+    import numpy as np
+
+    symbols = [" "]
+    for c in text.lower() + " ":
+        if c.isalpha():
+            symbols.append(c)
+        elif symbols[-1] != " ":
+            symbols.append(" ")
+    drawn = {c: np.random.default_rng([L.SEED, 0 if c == " " else ord(c)]).integers(0, 2, L.DIMENSIONS) * 2 - 1 for c in set(symbols)}
+    out = np.zeros(L.DIMENSIONS)
+    for k in range(len(symbols) - L.ORDER + 1):
+        out += np.prod([np.roll(drawn[c], j) for j, c in enumerate(symbols[k : k + L.ORDER])], axis=0)
+    return out
+
+
+def test_vectors_equal_a_plain_loop(monkeypatch):
+    """Many texts at once, long texts in chunks of any size, few or many n-grams at once: always the same whole numbers."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    letters = "abc dé ß,.  \nΣÜ" + "".join(map(chr, range(0x4E00, 0x4E40)))
+    texts = ["".join(rng.choices(letters, k=n)) for n in (0, 1, 2, 3, 50, 500, 3000)] + ["   ", "a", " a  b ", "...x"]
+    want = np.stack([plain_vector(t) for t in texts])
+    assert np.array_equal(L.Encoder().vectors(texts)[0], want)
+    monkeypatch.setattr(L, "GRAMS", 7)
+    monkeypatch.setattr(L, "DIRECT", 10)
+    assert np.array_equal(L.Encoder().vectors(texts)[0], want)
+    for chunk in (1, 2, 3, 10, 64, 499, 500, 10000):
+        monkeypatch.setattr(L, "CHUNK_CHARS", chunk)
+        encoder = L.Encoder()
+        assert all(np.array_equal(encoder.long_vector(t)[0], v) for t, v in zip(texts, want, strict=True)), chunk
+
+
+def test_predictions_match_brute_force(small):
+    import numpy as np
+
+    rows = [r for r in small.collect() if r["text"]]
+    unit = {r["doc_id"]: plain_vector(r["text"]) for r in rows}
+    unit = {k: v / np.linalg.norm(v) for k, v in unit.items() if v.any()}
+    names = sorted({r["lang"] for r in rows if r["lang"]})
+    table = np.stack([sum(unit[r["doc_id"]] for r in rows if r["lang"] == x and r["doc_id"] in unit) for x in names])
+    table /= np.linalg.norm(table, axis=1, keepdims=True)
+    for r in L.predict(small, L.model(L.learn(small))).collect():
+        if r["doc_id"] in unit:
+            cosine = table @ unit[r["doc_id"]]
+            assert r["lang_pred"] == names[int(cosine.argmax())] and abs(r["score"] - max(0.0, cosine.max())) < 1e-5
+        else:
+            assert r["lang_pred"] == "und"
