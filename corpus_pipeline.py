@@ -3,6 +3,10 @@
 Every stage takes (spark, docs, sf_dir), works on all that the stage before it kept, and
 returns a DataFrame, which is written as Parquet and read again for the next one. All but the
 last return the columns of documents.
+
+Defined cases: a null, empty or letterless text has no language and goes in the first stage; a null lang teaches nothing; a null
+source is a source of its own; a null doc_id is never a near duplicate; rows that repeat a doc_id are one
+document from the third stage on; an empty table gives an empty result; extra columns are carried to the fourth stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,24 +17,20 @@ from pyspark.sql import functions as F
 from lodestrata.llm import language_id, mixing, near_dedup, packing, quality_rules
 from lodestrata.llm.storage import Workspace, load
 
-LEAST_LANGUAGE_SCORE = 3 / language_id.DIMENSIONS**0.5
-"""Three standard deviations of the cosine of unrelated vectors."""
+LEAST_LANGUAGE_SCORE = 4 / language_id.DIMENSIONS**0.5
+"""Four standard deviations of the cosine of unrelated vectors."""
 LOW_QUANTILE = 0.001
 ORACLE_SQL = None
-"""Random vectors, rounding draws and packing order are not SQL; tests hold the stages against brute force."""
-
-
-def least_score(docs: DataFrame, learned) -> float:
-    """The floor: a low quantile of the scores of documents whose language was learned, but never within the noise."""
-    scored = language_id.predict(docs.where(F.col("lang").isNotNull()), learned).where(F.col("lang_pred") != language_id.UNKNOWN)
-    low = scored.agg(F.percentile_approx("score", LOW_QUANTILE, 10000)).first()[0]
-    return max(LEAST_LANGUAGE_SCORE, low or 0.0)
+"""Random vectors, rounding draws and packing order are not SQL; a test holds run() against brute force."""
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language: a letter, and a cosine with some language's profile above noise and above what nearly all learned documents reach."""
-    learned = language_id.model(language_id.learn(docs))
-    return language_id.filter_language(docs, learned, least_score(docs, learned))
+    learned, score = language_id.model(language_id.learn(docs)), "__language_score"
+    scored = Workspace(spark, "language").table(language_id.with_score(docs, learned, score), "scored")  # texts are encoded once
+    known = scored.where(F.col("lang").isNotNull() & (F.col(score) > -1))
+    low = known.agg(F.percentile_approx(score, LOW_QUANTILE, 10000)).first()[0]
+    return scored.where(F.col(score) >= max(LEAST_LANGUAGE_SCORE, low or 0.0)).drop(score)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
