@@ -1,9 +1,10 @@
 """Chat formatting by schema fingerprinting, with DataFrame functions only.
 
-A record's schema fingerprint is the hash of its nested field paths. It selects a declarative
-mapping (``MAPPINGS``) that names where turns, roles and texts lie, and so turns prompt,
-instruction and message layouts into canonical turns ``array<struct<role, text>>``. A template
-then writes the turns, and ``parse`` reads them back.
+A record's nested field paths are hashed. Of the declared layouts (``MAPPINGS``) the one with the most paths that the record has
+all of is taken, whatever further fields there are; the hash of its paths is the record's layout fingerprint, and this
+hash selects the mapping that names where turns, roles and texts lie, and so turns prompt, instruction and message
+layouts into canonical turns ``array<struct<role, text>>``. A template then writes the turns with a loss mask, and
+``parse`` and ``masked_text`` read them back.
 
 Template, one turn after another::
 
@@ -13,8 +14,11 @@ Escapes put a backslash inside a control string and before every backslash, so n
 ``###`` nor ``</turn>`` occurs in an escaped text, and an end mark can be found by a plain
 split. Unescaping drops each backslash and keeps the character behind it.
 
-- A null role, text or prompt field counts as empty. A record without a mapping gets null turns
-  from ``canonical_turns`` and no formatted text; ``unmapped`` lists its fingerprint.
+The loss mask lists, for each assistant turn, the turn's number and the code points [begin, end) of its line that the text takes.
+
+- A null role, text or prompt field counts as empty; a list's paths are those of all its elements, and an empty list gives no turns. A
+  record without a mapping gets null turns from ``canonical_turns`` and no formatted text; ``unmapped`` lists its fingerprint.
+- A null conv_id is a conversation of its own.
 - Turns of rows are ordered by (turn, role, text), nulls first, so ties and repeated rows have
   one order; repeated rows stay. A conversation's rows meet in one row, as a conversation does in any format.
 - An empty table gives an empty result; extra columns play no part.
@@ -40,6 +44,8 @@ MAPPINGS: dict[tuple[str, ...], list[tuple]] = {
     ("instruction", "output"): [("user", "instruction"), ("assistant", "output")],
     ("input", "instruction", "output"): [("user", "instruction"), ("user", "input"), ("assistant", "output")],
     ("prompt", "response", "system"): [("system", "system"), ("user", "prompt"), ("assistant", "response")],
+    ("messages[]",): [],
+    ("conversations[]",): [],
 }
 # Names of roles in such layouts and the canonical role.
 ROLES = {"human": "user", "user": "user", "prompter": "user", "gpt": "assistant", "assistant": "assistant", "bot": "assistant", "model": "assistant", "system": "system"}
@@ -67,6 +73,8 @@ def _role(value: Column) -> Column:
 
 
 def _turns(frame: Column, layout: tuple[str, ...], mapping: list[tuple]) -> Column:
+    if not mapping:
+        return F.array().cast(f"array<{TURN}>")
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     if len(mapping[0]) == 3:
         items, role, content = mapping[0]
@@ -82,34 +90,57 @@ def schema_of(layout: tuple[str, ...]) -> T.StructType:
     fields: dict[str, list[str]] = {}
     for path in layout:
         head, _, rest = path.partition("[].")
-        fields.setdefault(head, []).extend([rest] if rest else [])
+        fields.setdefault(head.removesuffix("[]"), []).extend([rest] if rest else [])
     inner = lambda names: T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     return T.StructType([T.StructField(k, inner(v) if v else T.StringType()) for k, v in sorted(fields.items())])
 
 
 def paths_in_json(record: Column) -> Column:
-    """The field paths of a JSON record, to the depth that layouts have (a list's first element stands for all)."""
+    """The field paths of a JSON record, to the depth that layouts have: every top field, and the fields of all elements of a list (``[]`` alone for an empty one)."""
     top = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
-    listed = F.from_json(record, "map<string,string>")
-    below = lambda k: F.json_object_keys(F.get_json_object(F.element_at(listed, k), "$[0]"))
-    return F.flatten(F.transform(top, lambda k: F.coalesce(F.transform(below(k), lambda x: F.concat(k, F.lit("[]."), x)), F.array(k))))
+    values = F.from_json(record, "map<string,string>")
+
+    def below(k: Column) -> Column:
+        items = F.from_json(F.element_at(values, k), "array<string>")
+        names = F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), F.array().cast("array<string>"))))
+        inside = F.transform(names, lambda x: F.concat(k, F.lit("[]."), x))
+        return F.concat(F.array(k), F.when(F.size(items) == 0, F.array(F.concat(k, F.lit("[]")))).otherwise(F.coalesce(inside, F.array().cast("array<string>"))))
+
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(top, below))))
+
+
+def _allowed(known: set[str]) -> list[tuple[str, ...]]:
+    """The layouts whose paths are all known, the most paths first."""
+    return sorted((x for x in MAPPINGS if known.issuperset(x)), key=lambda x: -len(x))
+
+
+def paths_in_struct(record: Column, kind: T.StructType) -> Column:
+    """The field paths of a struct. Where its type allows one layout alone, nulls count as empty fields; where it allows several, a null field is absent."""
+    paths = paths_of(kind)
+    layouts = [set(x) for x in _allowed(set(paths))]
+    if not [x for x in layouts[1:] if not x <= layouts[0]]:
+        return F.array(*(F.lit(p) for p in paths))
+    return F.array_compact(F.array(*(F.when(record[p.partition("[]")[0].partition(".")[0]].isNotNull(), F.lit(p)) for p in paths)))
+
+
+def layout_of(paths: Column) -> Column:
+    """The layout fingerprint: the hash of the paths of the largest layout that ``paths`` hold; null without one."""
+    held = [F.when(F.size(F.array_except(F.array(*(F.lit(p) for p in layout)), paths)) == 0, fingerprint(layout)) for layout in _allowed({p for x in MAPPINGS for p in x})]
+    return F.coalesce(*held)
 
 
 def canonical_turns(records: DataFrame, column: str = "record") -> DataFrame:
-    """Adds ``fingerprint`` and ``turns``; ``column`` is a struct of one layout or a JSON string of any."""
+    """Adds ``fingerprint`` (of all paths), ``layout`` (of the mapping's paths) and ``turns``; ``column`` is a struct or a JSON string."""
     kind = records.schema[column].dataType
-    record = F.col(column)
-    if isinstance(kind, T.StringType):
-        records = records.withColumn("fingerprint", fingerprint(paths_in_json(record)))
-        turns = F.lit(None).cast(f"array<{TURN}>")
-        for layout, mapping in MAPPINGS.items():
-            turns = F.when(F.col("fingerprint") == fingerprint(layout), _turns(F.from_json(record, schema_of(layout)), layout, mapping)).otherwise(turns)
-        return records.withColumn("turns", turns)
-    layout = tuple(paths_of(kind))
-    records = records.withColumn("fingerprint", fingerprint(layout))
-    if layout not in MAPPINGS:
-        return records.withColumn("turns", F.lit(None).cast(f"array<{TURN}>"))
-    return records.withColumn("turns", _turns(record, layout, MAPPINGS[layout]))
+    record, listed = F.col(column), isinstance(kind, T.StringType)
+    paths = paths_in_json(record) if listed else paths_in_struct(record, kind)
+    allowed = _allowed({p for x in MAPPINGS for p in x} if listed else set(paths_of(kind)))
+    found = records.withColumn("fingerprint", fingerprint(paths)).withColumn("layout", layout_of(paths))
+    turns = F.lit(None).cast(f"array<{TURN}>")
+    for layout in allowed:
+        frame = F.from_json(record, schema_of(layout)) if listed else record
+        turns = F.when(F.col("layout") == fingerprint(layout), _turns(frame, layout, MAPPINGS[layout])).otherwise(turns)
+    return found.withColumn("turns", turns)
 
 
 def unmapped(turned: DataFrame) -> DataFrame:
@@ -140,15 +171,37 @@ def unescape(text: Column) -> Column:
 END = "</turn>\n"
 
 
+def lines_of(turns: Column) -> Column:
+    """(head, body) of each turn's line: what stands before the text, and the escaped text."""
+    return F.transform(turns, lambda t: F.struct(F.concat(F.lit("### "), escape_role(t["role"]), F.lit(": ")).alias("head"), escape(t["text"]).alias("body"), t["role"].alias("role")))
+
+
+def written(lines: Column) -> Column:
+    """The formatted text of lines."""
+    return F.array_join(F.transform(lines, lambda t: F.concat(t["head"], t["body"], F.lit(END))), "")
+
+
+def mask_of(lines: Column) -> Column:
+    """The loss mask of lines: (turn, begin, end) of each assistant's text."""
+    span = lambda t, k: F.struct(k.cast("int").alias("turn"), F.length(t["head"]).alias("begin"), (F.length(t["head"]) + F.length(t["body"])).alias("end"))
+    return F.array_compact(F.transform(lines, lambda t, k: F.when(t["role"] == "assistant", span(t, k))))
+
+
 def format_turns(turns: Column) -> Column:
     """The formatted text of canonical turns."""
-    one = lambda t: F.concat(F.lit("### "), escape_role(t["role"]), F.lit(": "), escape(t["text"]), F.lit(END))
-    return F.array_join(F.transform(turns, one), "")
+    return written(lines_of(turns))
+
+
+def masked_text(formatted: Column, mask: Column) -> Column:
+    """All text under a loss mask, in order, read from the formatted text."""
+    lines = F.split(formatted, END)
+    part = lambda m: F.substr(F.element_at(lines, m["turn"] + 1), m["begin"] + 1, m["end"] - m["begin"])
+    return F.array_join(F.transform(mask, lambda m: unescape(part(m))), "")
 
 
 def parse(formatted: Column) -> Column:
     """The turns of a formatted text: the inverse of ``format_turns``."""
-    parts = F.split(formatted, "</turn>\n")
+    parts = F.split(formatted, END)
     whole = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
 
     def turn(part: Column) -> Column:
@@ -159,11 +212,11 @@ def parse(formatted: Column) -> Column:
 
 
 def loss_text(turns: Column) -> Column:
-    """All text under the loss mask: what assistants say, in order."""
-    return F.array_join(F.transform(F.filter(turns, lambda t: _role(t["role"]) == "assistant"), lambda t: t["text"]), "")
+    """What assistants say, in order: what the text under the loss mask must be."""
+    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """``conv_id, fingerprint, formatted`` of rows (conv_id, turn, role, text)."""
-    turned = canonical_turns(conversations_to_records(rows))
-    return turned.select("conv_id", "fingerprint", format_turns(F.col("turns")).alias("formatted"))
+    """``conv_id, fingerprint, formatted, loss_mask`` of rows (conv_id, turn, role, text)."""
+    turned = canonical_turns(conversations_to_records(rows)).select("conv_id", "fingerprint", lines_of(F.col("turns")).alias("lines"))
+    return turned.select("conv_id", "fingerprint", written(F.col("lines")).alias("formatted"), mask_of(F.col("lines")).alias("loss_mask"))

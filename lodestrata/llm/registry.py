@@ -60,8 +60,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, loss = chat_format.parse(F.col("formatted")), F.col("loss")
     line = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
     return (
-        written.select("conv_id", "formatted", turns.alias("turns"))
-        .select("*", chat_format.loss_text(F.col("turns")).alias("loss"))
+        written.select("conv_id", "formatted", turns.alias("turns"), chat_format.masked_text(F.col("formatted"), F.col("loss_mask")).alias("loss"))
         .select(
             "conv_id",
             F.size("turns").cast("long").alias("n_turns"),

@@ -41,3 +41,48 @@ def test_layouts_by_fingerprint(spark):
 
 def test_no_rows(spark):
     assert C.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_mask_is_read_from_the_formatted_text(spark):
+    """The text under the mask, unescaped, is each assistant's text once, in order; other roles, such as bot or gpt in rows, are none."""
+    roles = ["assistant", "bot", "gpt", "Assistant", "user", "assistant", "system", None, "assistant"]
+    rows = [(1, k, roles[k % len(roles)], t) for k, t in enumerate(TEXTS * 2)] + [(2, 0, "bot", "hello"), (2, 1, "assistant", "hi"), (3, 0, "user", "q")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for r in C.format_conversations(df).withColumn("loss", C.masked_text(F.col("formatted"), F.col("loss_mask"))).collect():
+        mine = [x for x in rows if x[0] == r["conv_id"]]
+        assert r["loss"] == "".join(x[3] for x in mine if x[2] == "assistant")
+        lines = r["formatted"].split("</turn>\n")
+        assert [m["turn"] for m in r["loss_mask"]] == [k for k, x in enumerate(mine) if x[2] == "assistant"]
+        for m in r["loss_mask"]:
+            assert lines[m["turn"]].startswith("### assistant: ") and m["begin"] == len("### assistant: ") and m["end"] == len(lines[m["turn"]])
+
+
+def test_further_fields_and_any_element_order(spark):
+    a, b = {"role": "human", "content": "h"}, {"content": "c", "role": "gpt", "name": "n"}
+    records = [
+        {"messages": [a, b], "id": 3}, {"messages": [b, a]}, {"messages": [{"role": "human"}, b]}, {"messages": []}, {"prompt": "[1, 2]", "response": "{}", "score": 0.5},
+        {"prompt": "p", "response": "r", "system": "s", "tags": ["x"]}, {"conversations": [], "k": None}, {"messages": ["x"]},
+    ]
+    df = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(records)], "id long, record string")
+    got = {r["id"]: r["turns"] and [tuple(t) for t in r["turns"]] for r in C.canonical_turns(df).collect()}
+    assert got[0] == [("user", "h"), ("assistant", "c")] and got[1] == got[0][::-1] and got[2] == [("user", ""), ("assistant", "c")]
+    assert got[3] == [] == got[6] and got[7] is None
+    assert got[4] == [("user", "[1, 2]"), ("assistant", "{}")] and got[5] == [("system", "s"), ("user", "p"), ("assistant", "r")]
+
+
+def test_structs_of_several_layouts(spark):
+    kind = "id long, record struct<prompt:string, response:string, messages:array<struct<role:string, content:string>>, extra:int>"
+    rows = [(1, ("p", "r", None, 1)), (2, (None, None, [("user", "u"), ("bot", None)], 1)), (3, (None, None, None, None))]
+    got = {r["id"]: r["turns"] and [tuple(t) for t in r["turns"]] for r in C.canonical_turns(spark.createDataFrame(rows, kind)).collect()}
+    assert got == {1: [("user", "p"), ("assistant", "r")], 2: [("user", "u"), ("assistant", "")], 3: None}
+    one = spark.createDataFrame([(1, ("p", None))], "id long, record struct<prompt:string, response:string>")
+    assert [tuple(t) for t in C.canonical_turns(one).first()["turns"]] == [("user", "p"), ("assistant", "")]
+
+
+def test_edges(spark):
+    kind = "conv_id long, turn long, role string, text string, record string, formatted string, turns int, lines int"
+    rows = [(None, 0, "user", "x", "r", "f", 1, 1), (None, None, "assistant", None, None, None, None, None), (1, 0, "user", "a", "r", "f", 1, 1), (1, 0, "user", "a", "r", "f", 1, 1), (2, 0, "assistant", "z#" * 200000, "r", "f", 1, 1)]
+    made = C.format_conversations(spark.createDataFrame(rows, kind)).select("conv_id", "formatted", C.masked_text(F.col("formatted"), F.col("loss_mask")).alias("loss"), C.parse(F.col("formatted")).alias("turns"))
+    got = {r["conv_id"]: r for r in made.collect()}
+    assert [tuple(t) for t in got[None]["turns"]] == [("assistant", ""), ("user", "x")] and len(got[1]["turns"]) == 2
+    assert got[2]["loss"] == "z#" * 200000 and got[1]["loss"] == ""
