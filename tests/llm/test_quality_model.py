@@ -33,3 +33,52 @@ def test_edges(spark, edge_docs, no_docs):
     assert len(rows) == edge_docs.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert {r["score"] for r in M.score_documents(edge_docs, M.learn(edge_docs, labels.limit(0))).collect()} == {0.5}
     assert M.score_documents(no_docs, model).count() == 0
+
+
+def test_gradient_equals_differences():
+    rng = np.random.default_rng(3)
+    sizes, h = np.array([1, 4, 2, 7]), M.HIDDEN
+    x, y = rng.normal(size=(14, M.FEATURES)), np.array([1.0, 0.0, 1.0, 0.0])
+    model = {"mean": np.zeros(M.FEATURES), "scale": np.ones(M.FEATURES), "W": rng.normal(size=(M.FEATURES, h)) / 8, "b": rng.normal(size=h), "V": rng.normal(size=(h, h)) / 4, "U": rng.normal(size=(h, h)) / 4, "w": rng.normal(size=h), "c": rng.normal(size=h), "d": np.array(0.3)}
+
+    def loss():
+        s = M.score_bags(model, x, sizes)
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    grad, step = M.gradient(model, x, sizes, y), 1e-6
+    for name, g in grad.items():
+        for _ in range(6):
+            at = tuple(int(rng.integers(k)) for k in model[name].shape)
+            kept = model[name].copy()
+            ends = []
+            for sign in (1, -1):
+                model[name] = kept.copy()
+                model[name][at] += sign * step
+                ends.append(loss())
+            model[name] = kept
+            assert abs((ends[0] - ends[1]) / (2 * step) - np.asarray(g)[at]) < 1e-6, (name, at)
+
+
+def test_words_alone_can_tell(spark):
+    """Texts that differ in nothing but their words: no count of letters, marks or repeats tells them apart."""
+    rng = np.random.default_rng(1)
+    good, bad = [f"{c}ala{k}" for k, c in enumerate("bdfg")], [f"{c}ola{k}" for k, c in enumerate("mnpr")]
+    fill = [f"x{k:03d}z" for k in range(300)]
+    rows = []
+    for k in range(300):
+        words = list(rng.choice(fill, 150))
+        for at in rng.choice(150, 20, replace=False):
+            words[at] = str(rng.choice(good if k % 2 else bad))
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, label int")
+    found = M.score_documents(docs, M.learn(docs, labels)).where("doc_id >= 200").collect()
+    assert np.mean([(r["score"] > 0.5) == bool(r["doc_id"] % 2) for r in found]) > 0.9
+
+
+def test_long_documents_train_on_evenly_spaced_passages(spark):
+    text = "\n".join(f"word{k} " * 60 for k in range(M.BAG * 2))
+    docs = spark.createDataFrame([(1, text), (2, "short text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    scores = {r["doc_id"]: r["score"] for r in M.score_documents(docs, M.learn(docs, labels)).collect()}
+    assert scores[1] > scores[2]
