@@ -413,6 +413,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     if long.limit(1).count():
         members = several(work, long.select("value", "rep"), labels)
         labels = relabel(work, labels, verify(work, source, long_pairs(work, members.withColumn("c", F.greatest("c", F.lit(SMALL_LIST + 1))), finer, False)))
+    work.clear(member, rest, labels)
     linked = member.select("doc_id", "rep", "n").join(labels.select(F.col("node").alias("rep"), F.col("component").alias("component_id")), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep").alias("component_id"))
     alone = rest.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -9,7 +9,7 @@ none, for one without its cluster; else it opens a new bin. Two pieces of one cl
 share a bin, nor do two pieces of one document.
 
 Pieces are packed in groups by hash of the document, so a source with a third of all rows is spread over all
-groups; each group holds about ``GROUP`` pieces, and its open bins are bounded by its pieces. Within a group,
+groups; their number comes from the number of pieces, so each group holds about ``GROUP`` of them, and its open bins are bounded by them. Within a group,
 pieces come longest first (ties by document, piece and hash of the row).
 
 - A null text has no words and takes an empty piece of length 0 (``n_words`` 0), so every row has a bin.
@@ -21,11 +21,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm import near_dedup
+from lodestrata.llm import wordhash as W
 from lodestrata.llm.components import components
+from lodestrata.llm.memory import lean, small
 from lodestrata.llm.storage import Workspace
 
 CAPACITY, GROUP = 2048, 4096
@@ -117,42 +120,70 @@ def _packed(capacity: int):
     return run
 
 
-def plain(text: str = "text") -> Column:
-    """The hash of a text, letter case and white space aside."""
-    return F.xxhash64(F.trim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " ")))
+SIZED = "doc_id long, source string, words long, cluster long, row_hash long"
 
 
-def near_clusters(docs: DataFrame) -> DataFrame:
+@lean
+def _measured(batches):
+    """Words of each text, and the hash of its words in order, letter case aside (null for a null text)."""
+    for batch in small(batches, 1024):
+        column = batch.column("text")
+        raw, offsets = W.buffers(pc.utf8_lower(column))
+        words, plain = [], []
+        for lo, hi in W.slices(offsets):
+            data, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            begin, end, row = W.spans(W.SPACE[data], at[:-1], at[1:])
+            count = np.bincount(row, minlength=hi - lo)
+            place = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+            total = np.zeros(len(row) + 1, dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                np.cumsum(W.mix(W.range_hash(data, begin, end) ^ W.mix(place.astype(np.uint64))), dtype=np.uint64, out=total[1:])
+                edge = np.append(0, np.cumsum(count))
+                plain.append(W.mix(total[edge[1:]] - total[edge[:-1]] + count.astype(np.uint64)).view(np.int64))
+            words.append(count.astype(np.int64))
+        none = column.is_null().to_numpy(zero_copy_only=False)
+        found = pa.array(np.concatenate(plain) if plain else np.zeros(0, np.int64), mask=none)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(np.concatenate(words) if words else np.zeros(0, np.int64)), found, batch.column("row_hash")], [x.split()[0] for x in SIZED.split(", ")])
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """A few numbers of each document: words, and the cluster of equal texts (letter case and white space aside). Texts are read once and not moved."""
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text", F.xxhash64("doc_id", "text", "source").alias("row_hash"))
+    return picked.mapInArrow(_measured, SIZED)
+
+
+def near_clusters(docs: DataFrame, sized: DataFrame | None = None) -> DataFrame:
     """(plain, near): the cluster of each text that has a word, so that near copies, and what they are near to in turn, share one.
 
-    Rows without a doc_id are in a cluster with equal texts only."""
+    Rows without a doc_id are in a cluster with equal texts only. ``sized`` is ``measured(docs)``, where it is at hand."""
     work = Workspace(docs.sparkSession, "clusters")
     found = near_dedup.near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("component"))
-    ids = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(F.col("doc_id").cast("long").alias("doc_id"), plain().alias("plain"))
+    ids = (measured(docs) if sized is None else sized).where("words > 0").select("doc_id", F.col("cluster").alias("plain"))
     named = work.table(ids.join(found, "doc_id", "left").select("plain", F.coalesce("component", "plain").alias("component")).distinct(), "named")
     first = work.table(named.groupBy("plain").agg(F.min("component").alias("first")), "first")
     links = work.table(named.join(first, "plain").where("component <> first").select(F.col("first").alias("a"), F.col("component").alias("b")).distinct(), "links")
     labels = components(work, links).select(F.col("node").alias("first"), F.col("component").alias("near"))
-    return work.table(first.join(labels, "first", "left").select("plain", F.coalesce("near", "first").alias("near")), "near")
+    near = work.table(first.join(labels, "first", "left").select("plain", F.coalesce("near", "first").alias("near")), "near")
+    work.clear(near)
+    return near
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None, group: int = GROUP, near: DataFrame | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None, group: int = GROUP, near: DataFrame | None = None, sized: DataFrame | None = None) -> DataFrame:
     """One row a piece: document, piece, words [start_word, start_word + n_words), bin and offset in it.
 
     ``cluster`` names a long column of duplicate clusters; without it, equal texts (letter case
-    and white space aside) are a cluster, and with ``near`` (of ``near_clusters``) near copies too. Texts are
-    read once and not moved; what is shuffled is a few numbers a piece."""
-    words = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    cluster_of = F.col(cluster) if cluster else F.when(F.col("text").isNotNull(), plain())
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words.alias("words"), cluster_of.alias("cluster"), F.xxhash64("doc_id", "text", "source").alias("row_hash"))
+    and white space aside) are a cluster, and with ``near`` (of ``near_clusters``) near copies too. What is shuffled
+    is a few numbers a piece."""
+    if cluster:
+        words = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+        sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words.alias("words"), F.col(cluster).alias("cluster"), F.xxhash64("doc_id", "text", "source").alias("row_hash"))
+    sized = Workspace(docs.sparkSession, "packing").table(measured(docs), "sized") if sized is None else sized
+    count = F.greatest(F.ceil(F.col("words") / capacity).cast("long"), F.lit(1).cast("long"))
+    groups = max(1, -(-(sized.agg(F.sum(count)).first()[0] or 0) // group))
     if near is not None and not cluster:
         sized = sized.join(near.withColumnRenamed("plain", "cluster"), "cluster", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near")
-    pieces = sized.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("words") / capacity).cast("long") - 1, F.lit(0).cast("long")))).alias("piece")
-    ).select(
-        "doc_id", "piece", (F.col("piece") * capacity).alias("start_word"), F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity).cast("long").alias("n_words"), F.coalesce("cluster", F.lit(None)).alias("cluster"), "source", "row_hash"
+    pieces = sized.select("*", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("piece")).select(
+        "doc_id", "piece", (F.col("piece") * capacity).alias("start_word"), F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity).cast("long").alias("n_words"), "cluster", "source", "row_hash"
     )
-    n = docs.count()  # from Parquet's footers; only the number of groups depends on it
-    groups = max(1, -(-n // group))
     dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "row_hash"), F.lit(groups)))
     return dealt.groupBy("pack_group").applyInArrow(_packed(capacity), RESULT)

@@ -91,3 +91,19 @@ def test_near_clusters_join_equal_texts(spark, edge_docs, no_docs):
     assert len({of[k] for k in (1, 4, 6, 7)}) == 4
     assert P.pack(edge_docs, near=P.near_clusters(edge_docs)).count() == P.pack(edge_docs).count()
     assert P.pack(no_docs, near=P.near_clusters(no_docs)).count() == 0
+
+
+def test_groups_come_from_pieces(spark):
+    """A few very long texts are as many groups as their pieces need."""
+    docs = spark.createDataFrame([(k, "s", f"x{k} " * 5000) for k in range(4)], "doc_id long, source string, text string")
+    rows = P.pack(docs, capacity=10, group=100).collect()
+    assert len(rows) == 2000 and len({r["bin_id"].split("-")[0] for r in rows}) == 20
+
+
+def test_measured_words_and_clusters(spark, edge_docs):
+    texts = ["", " ", None, "a b", "A  b\n", "b a", "ab", "É x", "é\tX", "a b c"]
+    got = {r["doc_id"]: r for r in P.measured(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'s' AS source")).collect()}
+    assert [got[k]["words"] for k in range(10)] == [0, 0, 0, 2, 2, 2, 1, 2, 2, 3]
+    c = [got[k]["cluster"] for k in range(10)]
+    assert c[2] is None and c[0] == c[1] and c[3] == c[4] and c[7] == c[8] and len({*c}) == 7
+    assert P.measured(edge_docs).count() == edge_docs.count()
