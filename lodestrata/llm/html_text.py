@@ -20,7 +20,8 @@ trimmed and joined in page order by one space. Nothing is dropped for its length
 
 Defined cases: null or empty html gives an empty text; a null url has no host and no template;
 broken markup is closed as browsers do (a new paragraph closes an open one, an unmatched end
-tag is ignored, open elements end with the page); repeated rows each give their row; an empty
+tag is ignored, open elements end with the page; elements deeper than ``DEPTH`` are part of the one above; behind a quote that
+nothing closes, tags end at the first ``>``); parsing is linear in the page; repeated rows each give their row; an empty
 table gives an empty result; extra columns play no part.
 """
 
@@ -63,14 +64,23 @@ PART_WORDS = frozenset(
     "related recommended recommendations share sharing social widget widgets pagination pager toolbar login masthead alert alerts paywall outbrain taboola".split()
 )
 PAGE_WORDS = frozenset("header topbar".split())
+# Words that name such a part alone, or with one of the words beside it (related-posts is one, related-work is none).
+VAGUE_WORDS = frozenset("related notice notices alert alerts share sharing social reply replies respond banner banners menu menus promo promos promotion comment comments recommended widget widgets".split())
+BESIDE_WORDS = frozenset(
+    "post posts article articles link links story stories content contents news box bar button buttons list lists container wrapper wrap block area item items section sections form title head top bottom left right "
+    "main site page primary secondary mobile header icon icons group row inner outer close info warning danger success error thread body text author meta date count first last global".split()
+)
 REPLY_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
 WRAPPERS = frozenset("form fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 
-_tag = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
-_loose = re.compile(r"<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>[^>]*)>", re.S)
+DEPTH = 512
+"""Elements deeper than this are taken as part of the element that they lie in, as browsers do."""
+
+_name = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_mark = re.compile(r"[\"'>]")
 _attr = re.compile(r"(?<![\w-])(class|id|role|hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_elsewhere = re.compile(r"(?:no|with|has|without|show|hide)[-_]", re.I)
+_elsewhere = re.compile(r"(?:no|with|has|without|show|hide)[-_]|.*[-_](?:enabled|disabled|open|closed|on|off)$", re.I)
 _word = re.compile(r"[A-Za-z][a-z]+|[A-Z]+|[a-z]+")
 
 
@@ -92,8 +102,27 @@ def _attributes(rest: str) -> tuple[str, str, bool]:
 
 
 def _words(named: str) -> set[str]:
-    """The words of class and id names; a name such as has-sidebar or no-menu says what stands elsewhere, and is left out."""
-    return {w.lower() for name in named.split() if not _elsewhere.match(name) for w in _word.findall(name)}
+    """The words of class and id names that can name a part; a name such as has-sidebar or comments-open says what stands elsewhere, and
+    is left out, and so is a vague word whose company says something else."""
+    out: set[str] = set()
+    for name in named.split():
+        if not _elsewhere.match(name):
+            words = [w.lower() for w in _word.findall(name)]
+            out |= {w for w in words if w not in VAGUE_WORDS or all(x in BESIDE_WORDS or x in PART_WORDS for x in words if x != w)}
+    return out
+
+
+def _end_of_tag(page: str, at: int) -> int:
+    """The place of the ``>`` that ends a tag, outside quotes; -1 where a quote stays open to the end."""
+    while True:
+        found = _mark.search(page, at)
+        if found is None:
+            return -1
+        if found[0] == ">":
+            return found.start()
+        at = page.find(found[0], found.end()) + 1
+        if not at:
+            return -1
 
 
 # What choose() knows of an element.
@@ -101,12 +130,14 @@ COUNTED, DROP, NEVER, HOLDS, ARTICLE, ROOT, HIDDEN, REPLIES = 1, 2, 4, 8, 16, 32
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "named", "dropped", "root", "holds_root", "in_root", "hidden", "replies", "parts", "key")
+    __slots__ = ("tag", "parent", "depth", "named", "dropped", "root", "holds_root", "in_root", "in_replies", "hidden", "replies", "parts", "key")
 
     def __init__(self, tag, parent, named="", dropped=False):
         self.tag, self.parent, self.named, self.dropped = tag, parent, named, dropped
         self.root = self.holds_root = self.hidden = self.replies = False
         self.in_root = parent is not None and (parent.in_root or parent.root)
+        self.in_replies = parent is not None and (parent.in_replies or parent.replies)
+        self.depth = 0 if parent is None else parent.depth + 1
         self.parts, self.key = [], 0
 
 
@@ -126,7 +157,10 @@ def tree(page: str) -> Tree:
     top = _Element("#", None)
     node, runs, buffer = top, [], []
 
+    held: dict[str, int] = {}  # open elements by tag
+
     def close(element):
+        held[element.tag] = held.get(element.tag, 1) - 1
         digest = hashlib.blake2b(f"{element.tag}|{element.named}|{'|'.join(element.parts)}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
         element.key = int.from_bytes(digest, "little") >> 2 << 1
         element.parts = []
@@ -154,27 +188,42 @@ def tree(page: str) -> Tree:
             node = close(node)
         node = close(node)
 
-    at, n = 0, len(page)
+    at, n, last, strict = 0, len(page), page.rfind(">"), True
+    below: dict[str, int] = {}  # open elements beyond DEPTH
     while at < n:
         begin = page.find("<", at)
-        if begin < 0:
-            buffer.append(page[at:])
+        if begin < 0 or begin > last:  # no tag ends behind it
+            end = page.find("<!--", at)
+            buffer.append(page[at:] if end < 0 else page[at:end])
             break
         if begin > at:
             buffer.append(page[at:begin])
-        found = _tag.match(page, begin) or _loose.match(page, begin)
-        if found is None:  # no tag: a character of the text
-            buffer.append("<")
-            at = begin + 1
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = n if end < 0 else end + 3
             continue
-        at = found.end()
-        name = found["name"]
-        if name is None:
+        named_tag = _name.match(page, begin + 1)
+        if named_tag is None:
+            if page[begin + 1 : begin + 2] in ("!", "?", "/"):
+                at = page.find(">", begin) + 1
+            else:  # no tag: a character of the text
+                buffer.append("<")
+                at = begin + 1
             continue
-        name = name.lower()
-        if found["end"]:
+        end = _end_of_tag(page, named_tag.end()) if strict else -1
+        if end < 0:  # a quote that nothing closes: from here on, tags end at the first >
+            strict, end = False, page.find(">", named_tag.end())
+        at, rest = end + 1, page[named_tag.end() : end]
+        name = named_tag[0].lower()
+        if name[0] == "/":
+            name = name[1:]
             if name not in BREAKS_NOT:
                 flush()
+            if below.get(name):
+                below[name] -= 1
+                continue
+            if not held.get(name):
+                continue
             above = node
             while above is not None and above.tag != name and above.tag not in ("article", "main", "body"):
                 above = above.parent
@@ -197,9 +246,12 @@ def tree(page: str) -> Tree:
             shut(("p",), P_SCOPE)
         if name in SIBLINGS:
             shut(*SIBLINGS[name])
-        named, role, hidden = _attributes(found["rest"])
+        if node.depth >= DEPTH and name not in RAW:
+            below[name] = below.get(name, 0) + 1
+            continue
+        named, role, hidden = _attributes(rest)
         element = _Element(name, node, named)
-        element.root = name in ("article", "main") or role == "main"
+        element.root = (name in ("article", "main") or role == "main") and not element.in_replies  # an article among comments is one
         element.hidden = hidden
         if name not in ("html", "body", "article", "main"):
             words = _words(named)
@@ -212,6 +264,7 @@ def tree(page: str) -> Tree:
             end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             element.parts.append(page[at : end.start() if end else n])
             at = end.end() if end else n
+            held[name] = held.get(name, 0) + 1
             close(element)
             continue
         if element.root and not element.dropped:
@@ -220,7 +273,8 @@ def tree(page: str) -> Tree:
                 above.holds_root = True
                 above = above.parent
         node = element
-        if found["rest"].endswith("/") and name not in P_SCOPE and name in INLINE:
+        held[name] = held.get(name, 0) + 1
+        if rest.endswith("/") and name not in P_SCOPE and name in INLINE:
             node = close(node)
     flush()
     while node is not None:
@@ -258,8 +312,8 @@ def choose(page: Tree, templates: frozenset[int] = frozenset()) -> list[int]:
     """The blocks of the main text: first all subtrees counted as templates go, wherever they are; then markup decides on what is left.
 
     An element that class, role or a wrapping form names as no article stays where it holds more than MOST of
-    the text that the choice is about (comments: where they are all of it). Articles give way to the
-    main element, or to the body, of whose text they are less than SMALL."""
+    the text that the choice is about (comments: where they are all of it). Articles give way to the main element that they lie in,
+    or to the body, of whose text they are less than SMALL; articles beside a main element count only where that is less than SMALL of both."""
     n = len(page.keys)
     gone, named, article, main = [False] * n, [False] * n, [0] * n, [0] * n
     for e in range(1, n):
@@ -293,12 +347,16 @@ def choose(page: Tree, templates: frozenset[int] = frozenset()) -> list[int]:
         return sum(len(page.texts[k]) for k in left if good(page.owners[k]))
 
     body, articles, mains = [0] * n, [a or -1 for a in article], [m or -1 for m in main]
-    in_articles = size(lambda e: article[e])
+    inside, outside = ([a if bool(m) == within else -1 for a, m in zip(articles, main, strict=True)] for within in (True, False))
     if any(mains[e] > 0 for e in page.owners):
-        chosen = stays(mains)
-        if in_articles and in_articles >= SMALL * size(lambda e: article[e] or chosen[e]):
-            chosen = stays(articles)
-    elif in_articles and in_articles >= SMALL * size(lambda e: article[e] or not named[e]):
+        chosen, in_articles = stays(mains), size(lambda e: inside[e] > 0)
+        whole = size(lambda e: inside[e] > 0 or chosen[e])
+        if in_articles and in_articles >= SMALL * whole:
+            chosen = stays(inside)
+        beside = size(lambda e: outside[e] > 0)
+        if whole < SMALL * (whole + beside):  # main is the smaller part: articles beside it are no teasers
+            chosen = [a or b for a, b in zip(chosen, stays(outside), strict=True)]
+    elif (in_articles := size(lambda e: article[e])) and in_articles >= SMALL * size(lambda e: article[e] or not named[e]):
         chosen = stays(articles)
     else:
         chosen = stays(body)

@@ -83,3 +83,57 @@ def test_recurrence_does_not_depend_on_the_host_size(spark):
             rows.append((1000 * pages + k, f"http://h{pages}.example/{k}", f"<body><div>Story number {k}</div>{block}{twice}</body>"))
     got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {1000 * pages + k: f"Story number {k}" + " On two pages" * (k < 2) for pages in (7, 40, 400) for k in range(pages)}
+
+
+def test_comments_go_and_page_text_stays():
+    assert text_of("<body><p>Main story here.</p><div class='comment-list'><article><p>reader</p></article></div></body>") == "Main story here."
+    assert text_of("<body><article><p>Story.</p></article><div class='comment-list'><article><p>reader, who says more than the story</p></article></div></body>") == "Story."
+    assert text_of("<body><div class='comments-open'><article><p>Story.</p></article></div></body>") == "Story."
+    assert "m" in text_of("<body><main><p>m</p></main><article class='card'>card</article></body>").split()
+    assert text_of("<body><main><p>A story of some length.</p></main><article class='card'>card</article></body>") == "A story of some length."
+    part = "<body><article><p>Long story text, and more of it.</p><div class='{}'><p>x</p></div></article></body>"
+    assert all(text_of(part.format(name)).endswith(" x") for name in ("related-work", "notice-board", "menu-engineering"))
+    assert not any(text_of(part.format(name)).endswith(" x") for name in ("related-posts", "notice", "share", "alert alert-info", "banner-top", "sidebar"))
+
+
+def test_broken_markup_is_linear():
+    import time
+
+    million = 1_000_000
+    pages = ["<a b='" * (million // 6), "<a b='" * (million // 6) + "'>x", "<a b='" * (million // 6) + ">x", "<" * million, "<a" * (million // 2) + ">", "<div>" * (million // 5), "<!--" * (million // 4), "</p>" * (million // 4),
+             "<div>" * 100_000 + "x" + "</p></b>" * 100_000, "<p " + "class=x " * 100_000 + ">y", "<script>" * (million // 8), "&" * million]
+    for k, page in enumerate(pages):
+        began = time.process_time()
+        H.choose(H.tree(page))
+        assert time.process_time() - began < 5, k
+    began = time.process_time()
+    H.tree(pages[0])
+    assert time.process_time() - began < 1
+
+
+def test_deep_elements_are_part_of_the_one_above():
+    assert text_of("<div>" * 2000 + "deep" + "</div>" * 2000 + "<p>after</p>") == "deep after"
+
+
+def test_counts_alone_tell_templates(spark):
+    """Hosts whose parts have no telling names: what stays is what a brute-force count over the host's pages leaves."""
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(6)
+    rows, parts = [], {}
+    for host in range(4):
+        fixed = [f"<div class='z{j}'><span>Part {j} of house {host}</span></div>" for j in range(6)]
+        for k in range(24):
+            mine = [f"<div class='q'><span>Own words {host} {k} {j}</span></div>" for j in range(3)] + rng.sample(fixed, rng.choice([1, 2, 4])) + (["<div class='q'><span>A rare part</span></div>"] if k < 5 else [])
+            rng.shuffle(mine)
+            parts[100 * host + k] = mine
+            rows.append((100 * host + k, f"https://h{host}.example/{k}", f"<html><body>{''.join(mine)}</body></html>"))
+    on = defaultdict(set)
+    for page, mine in parts.items():
+        for part in mine:
+            on[page // 100, part].add(page)
+    plain = lambda part: re.sub("<[^>]*>", "", part)
+    want = {page: " ".join(plain(x) for x in mine if len(on[page // 100, x]) < H.CONTAINER_PAGES[0]) for page, mine in parts.items()}
+    got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want and any("rare" in t for t in got.values())
