@@ -107,17 +107,17 @@ def exact_sets(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def sketch_columns(column: pa.Array, k: int = FIRST[0]) -> list[pa.Array]:
+    """Size of the set, its key in two halves, and the sketch of each text."""
+    found = sets_of(column)
+    keys = np.frombuffer(b"".join(key for _, key in found), np.int64).reshape(len(found), 2)
+    return [pa.array([len(x) for x, _ in found], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([x[:k].tobytes() for x, _ in found], pa.binary())]
+
+
 @lean
 def _sketched(batches, k: int = FIRST[0]):
-    """doc_id, size of the set, 128-bit key of the set, sketch."""
     for batch in small(batches, 1024):
-        sets = sets_of(batch.column(1))
-        keys = np.frombuffer(b"".join(key for _, key in sets), np.int64).reshape(len(sets), 2)
-        sets = [x for x, _ in sets]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([x[:k].tobytes() for x in sets], pa.binary())],
-            ["doc_id", "n", "key1", "key2", "sketch"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column(0), *sketch_columns(batch.column(1), k)], [x.split()[0] for x in SKETCHED.split(", ")])
 
 
 SKETCHED = "doc_id long, n long, key1 long, key2 long, sketch binary"
@@ -385,11 +385,13 @@ def relabel(work: Workspace, labels: DataFrame, links: DataFrame) -> DataFrame:
     return work.table(old.unionByName(new), "labels")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sketches: DataFrame | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document.
+
+    ``sketches``: a written table of ``SKETCHED`` for the same documents, where one is at hand."""
     work = Workspace(docs.sparkSession, "near")
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketches = work.table(source.mapInArrow(_sketched, SKETCHED), "sketches")
+    sketches = work.table(source.mapInArrow(_sketched, SKETCHED), "sketches") if sketches is None else sketches
     some = sketches.where("n > 0 AND doc_id IS NOT NULL")
     names = work.table(some.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep")), "names")
     member = work.table(some.join(names, ["key1", "key2"]).select("doc_id", "rep", "n", F.when(F.col("doc_id") == F.col("rep"), F.col("sketch")).alias("sketch")), "member")

@@ -120,45 +120,51 @@ def _packed(capacity: int):
     return run
 
 
-SIZED = "doc_id long, source string, words long, cluster long, row_hash long"
+SIZED = "doc_id long, source string, row_hash long, words long, cluster long"
 
 
-@lean
-def _measured(batches):
+def measure_columns(column: pa.Array) -> list[pa.Array]:
     """Words of each text, and the hash of its words in order, letter case aside (null for a null text)."""
-    for batch in small(batches, 1024):
-        column = batch.column("text")
-        raw, offsets = W.buffers(pc.utf8_lower(column))
-        words, plain = [], []
-        for lo, hi in W.slices(offsets):
-            data, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-            begin, end, row = W.spans(W.SPACE[data], at[:-1], at[1:])
-            count = np.bincount(row, minlength=hi - lo)
-            place = np.arange(len(row)) - (np.cumsum(count) - count)[row]
-            total = np.zeros(len(row) + 1, dtype=np.uint64)
-            with np.errstate(over="ignore"):
-                np.cumsum(W.mix(W.range_hash(data, begin, end) ^ W.mix(place.astype(np.uint64))), dtype=np.uint64, out=total[1:])
-                edge = np.append(0, np.cumsum(count))
-                plain.append(W.mix(total[edge[1:]] - total[edge[:-1]] + count.astype(np.uint64)).view(np.int64))
-            words.append(count.astype(np.int64))
-        none = column.is_null().to_numpy(zero_copy_only=False)
-        found = pa.array(np.concatenate(plain) if plain else np.zeros(0, np.int64), mask=none)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(np.concatenate(words) if words else np.zeros(0, np.int64)), found, batch.column("row_hash")], [x.split()[0] for x in SIZED.split(", ")])
-
-
-def measured(docs: DataFrame) -> DataFrame:
-    """A few numbers of each document: words, and the cluster of equal texts (letter case and white space aside). Texts are read once and not moved."""
+    raw, offsets = W.buffers(pc.utf8_lower(column))
+    words, plain = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, hi in W.slices(offsets):
+        data, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        begin, end, row = W.spans(W.SPACE[data], at[:-1], at[1:])
+        count = np.bincount(row, minlength=hi - lo).astype(np.int64)
+        edge = np.append(0, np.cumsum(count))
+        place = np.arange(len(row)) - edge[row]
+        total = np.zeros(len(row) + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(W.mix(W.range_hash(data, begin, end) ^ W.mix(place.astype(np.uint64))), dtype=np.uint64, out=total[1:])
+            plain.append(W.mix(total[edge[1:]] - total[edge[:-1]] + count.astype(np.uint64)).view(np.int64))
+        words.append(count)
+    return [pa.array(np.concatenate(words)), pa.array(np.concatenate(plain), mask=column.is_null().to_numpy(zero_copy_only=False))]
+
+
+def measured(docs: DataFrame, sketches: bool = False) -> DataFrame:
+    """A few numbers of each document: words, and the cluster of equal texts (letter case and white space aside); with ``sketches``
+    also the columns of ``near_dedup.SKETCHED``. Texts are read once and not moved."""
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text", F.xxhash64("doc_id", "text", "source").alias("row_hash"))
-    return picked.mapInArrow(_measured, SIZED)
+    kind = SIZED + (", " + near_dedup.SKETCHED.partition(", ")[2]) * sketches
+    names = [x.split()[0] for x in kind.split(", ")]
+
+    @lean
+    def run(batches):
+        for batch in small(batches, 1024):
+            more = near_dedup.sketch_columns(batch.column("text")) if sketches else []
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), batch.column("row_hash"), *measure_columns(batch.column("text")), *more], names)
+
+    return picked.mapInArrow(run, kind)
 
 
 def near_clusters(docs: DataFrame, sized: DataFrame | None = None) -> DataFrame:
     """(plain, near): the cluster of each text that has a word, so that near copies, and what they are near to in turn, share one.
 
-    Rows without a doc_id are in a cluster with equal texts only. ``sized`` is ``measured(docs)``, where it is at hand."""
+    Rows without a doc_id are in a cluster with equal texts only. ``sized`` is a table of ``measured(docs, True)``, where it is at hand."""
     work = Workspace(docs.sparkSession, "clusters")
-    found = near_dedup.near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("component"))
-    ids = (measured(docs) if sized is None else sized).where("words > 0").select("doc_id", F.col("cluster").alias("plain"))
+    sized = work.table(measured(docs, True), "sized") if sized is None else sized
+    found = near_dedup.near_duplicates(docs, sketches=sized.select([x.split()[0] for x in near_dedup.SKETCHED.split(", ")])).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("component"))
+    ids = sized.where("words > 0").select("doc_id", F.col("cluster").alias("plain"))
     named = work.table(ids.join(found, "doc_id", "left").select("plain", F.coalesce("component", "plain").alias("component")).distinct(), "named")
     first = work.table(named.groupBy("plain").agg(F.min("component").alias("first")), "first")
     links = work.table(named.join(first, "plain").where("component <> first").select(F.col("first").alias("a"), F.col("component").alias("b")).distinct(), "links")

@@ -149,7 +149,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    sized = Workspace(spark, "op9").table(packing.measured(docs), "sized")
+    sized = Workspace(spark, "op9").table(packing.measured(docs, True), "sized")
     packed = packing.pack(docs, near=packing.near_clusters(docs, sized), sized=sized)
     return packed.select("doc_id", "piece", "start_word", "n_words", "bin_id", "bin_offset")
 
