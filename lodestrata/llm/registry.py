@@ -42,7 +42,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     folder = f"{Workspace(spark, 'op3').root}/files"
     token_files.write_files(token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2), folder)
-    return token_files.read_tokens(token_files.read_files(spark, folder))
+    return token_files.read_token_files(spark, folder)
 
 
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ table gives an empty table of segments; extra columns play no part.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import zlib
 
@@ -37,7 +38,7 @@ from lodestrata.llm import wordhash as W
 from lodestrata.llm.memory import lean
 from lodestrata.llm.storage import Workspace
 
-BLOCK, PERCENTILE, SEGMENT_IDS, FILE_SEGMENTS = 1024, 95, 1 << 18, 64
+BLOCK, PERCENTILE, SEGMENT_IDS, FILE_SEGMENTS = 1024, 95, 1 << 18, 32
 RANGE_BYTES = 512 << 20
 """Bytes of the input's files that a range of documents stands for, at most; small inputs have Spark's number of shuffle partitions."""
 MAGIC, HEAD = b"PFR2", struct.Struct("<4sIIQIIIQ")
@@ -114,9 +115,9 @@ def encode_segment(ids: np.ndarray, doc_ids: list[int | None], sizes: list[int],
     return HEAD.pack(MAGIC, part, number, first, len(sizes), n, blocks, HEAD.size + len(rest)) + rest
 
 
-def segments_of(content: bytes) -> list[bytes]:
-    """The segments of a file."""
-    out, at = [], 0
+def segments_of(content) -> list[memoryview]:
+    """The segments of a file, each a view of its bytes."""
+    out, at, content = [], 0, memoryview(content)
     while at < len(content):
         magic, *_, size = HEAD.unpack_from(content, at)
         if magic != MAGIC or content[at + size : at + size + 1] != b"\n":
@@ -152,6 +153,12 @@ def decode_segment(image: bytes) -> tuple[np.ndarray, list[int | None], list[int
     return ids, [None if null else d for d, null, _ in index], [s for _, _, s in index]
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each run, one run after another."""
+    end = np.cumsum(size)
+    return np.arange(int(end[-1]) if len(end) else 0) + np.repeat(first - (end - size), size)
+
+
 def piecewise(tokenizer) -> bool:
     """Whether a text's ids are those of its byte-level pieces in a row, by the tokenizer's own description."""
     said = json.loads(tokenizer.to_str())
@@ -169,8 +176,8 @@ class PieceEncoder:
     bytes; the library encodes a piece when it is first met. Texts with a special token's string or with a byte
     in ``_STRANGE`` go to the library whole, and so do all texts of a tokenizer that is not ``piecewise``."""
 
-    LIMIT, LIMIT_BYTES = 500_000, 1 << 25
-    """Pieces remembered, and bytes of them; beyond it, the memory starts anew."""
+    LIMIT, LIMIT_BYTES = 1_000_000, 1 << 25
+    """Pieces remembered (about 60 bytes each), and bytes of them; beyond it, the memory starts anew."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -181,26 +188,45 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self):
-        self.known: dict[bytes, int] = {}
-        self.held = 0  # bytes of the pieces known
-        self.at = np.zeros(1 << 16, dtype=np.int64)  # where each one's ids begin in flat
-        self.size = np.zeros(1 << 16, dtype=np.int64)
-        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
-
-    def _learn(self, pieces: list[bytes]):
-        found = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        self.keys, self.place = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)  # sorted hashes of the pieces known, and their numbers
+        self.text, self.text_end = np.zeros(1 << 16, dtype=np.uint8), np.zeros(1, dtype=np.int64)  # their bytes
+        self.ids, self.ids_end = np.zeros(1 << 16, dtype=np.uint32), np.zeros(1, dtype=np.int64)  # their ids
+
+    @staticmethod
+    def _put(flat: np.ndarray, end: np.ndarray, more: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``flat`` and ``end`` with the runs of ``more`` (of these sizes) behind them."""
+        used = int(end[-1])
+        while used + len(more) > len(flat):
+            flat = np.concatenate((flat, np.zeros_like(flat)))
+        flat[used : used + len(more)] = more
+        return flat, np.concatenate((end, used + np.cumsum(size)))
+
+    def _learn(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, keys: np.ndarray) -> None:
+        """Remember the pieces at these places, whose hashes differ and are new."""
+        raw = data.tobytes()
+        found = [x.ids for x in self.tokenizer.encode_batch_fast([raw[b:e].decode() for b, e in zip(begin.tolist(), end.tolist(), strict=True)], add_special_tokens=False)]
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        total, first = int(size.sum()), len(self.known)
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while first + len(pieces) > len(self.at):
-            self.at, self.size = np.concatenate((self.at, np.zeros_like(self.at))), np.concatenate((self.size, np.zeros_like(self.size)))
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=total)
-        self.at[first : first + len(pieces)] = self.used + np.cumsum(size) - size
-        self.size[first : first + len(pieces)] = size
-        self.known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-        self.held += sum(map(len, pieces))
-        self.used += total
+        first = len(self.text_end) - 1
+        self.ids, self.ids_end = self._put(self.ids, self.ids_end, np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(size.sum())), size)
+        self.text, self.text_end = self._put(self.text, self.text_end, data[_runs(begin, end - begin)], end - begin)
+        order = np.argsort(keys)
+        where = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, where, keys[order])
+        self.place = np.insert(self.place, where, (first + order).astype(np.int32))
+
+    def _known(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each piece in the memory, whether it is there, by hash and then by its bytes)."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        number = self.place[at].astype(np.int64)
+        size, first = end - begin, self.text_end[number]
+        same = (self.keys[at] == keys) & (self.text_end[number + 1] - first == size)
+        some = np.flatnonzero(same)
+        equal = data[_runs(begin[some], size[some])] == self.text[_runs(first[some], size[some])]
+        wrong = np.repeat(some, size[some])[~equal]
+        same[wrong] = False
+        return number, same
 
     @staticmethod
     def _pieces(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -251,19 +277,32 @@ class PieceEncoder:
         begin, end, row = begin[mine], end[mine], row[mine]
         if not len(begin):
             return out
-        which, pieces = W.named_codes(data, begin, end)
-        place = [self.known.get(p, -1) for p in pieces]
-        new = [p for p, k in zip(pieces, place, strict=True) if k < 0]
-        if new:
-            if len(self.known) + len(new) > self.LIMIT or self.held > self.LIMIT_BYTES:
+        which, pieces, piece_end = W.named_codes(data, begin, end)
+        piece_begin = np.append(0, piece_end)[:-1]
+        keys = W.range_hash(pieces, piece_begin, piece_end)
+        number, known = self._known(pieces, piece_begin, piece_end, keys)
+        if not known.all():
+            if len(self.keys) + int((~known).sum()) > self.LIMIT or self.text_end[-1] > self.LIMIT_BYTES:
                 self._forget()
-                new = pieces
-            self._learn(new)
-            place = [self.known[p] for p in pieces]
-        at = np.array(place, dtype=np.int64)
-        size, first = self.size[at][which], self.at[at][which]
-        total = np.cumsum(size)
-        ids = self.flat[np.arange(total[-1]) + np.repeat(first - (total - size), size)]
+                known[:] = False
+            fresh = np.flatnonzero(~known)
+            _, once = np.unique(keys[fresh], return_index=True)
+            fresh = fresh[once]
+            if len(self.keys):  # a hash that is taken stays with its first piece
+                fresh = fresh[self.keys[np.minimum(np.searchsorted(self.keys, keys[fresh]), len(self.keys) - 1)] != keys[fresh]]
+            self._learn(pieces, piece_begin[fresh], piece_end[fresh], keys[fresh])
+            number, known = self._known(pieces, piece_begin, piece_end, keys)
+        if not known.all():  # two pieces of one hash: their texts go to the library whole
+            rows = np.unique(row[~known[which]])
+            for k, found in zip(rows.tolist(), self.tokenizer.encode_batch([bytes_[offsets[k] : offsets[k + 1]].decode() for k in rows], add_special_tokens=False), strict=True):
+                out[k], whole[k] = np.array(found.ids, dtype=np.uint32), True
+            mine = ~whole[row]
+            which, row = which[mine], row[mine]
+            if not len(row):
+                return out
+        first = self.ids_end[number][which]
+        size = self.ids_end[number + 1][which] - first
+        ids = self.ids[_runs(first, size)]
         per_row = np.bincount(row, weights=size, minlength=n).astype(np.int64)
         for k, part in enumerate(np.split(ids, np.cumsum(per_row)[:-1])):
             if not whole[k]:
@@ -275,7 +314,8 @@ _encoders: dict[str, PieceEncoder] = {}
 
 
 def encoder_for(path: str) -> PieceEncoder:
-    """One encoder a process and file: a worker that runs several tasks keeps its pieces."""
+    """One encoder a process and file: a worker that runs several tasks keeps its pieces. A task has one core, so the library has one thread."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
     return _encoders[path]
@@ -342,7 +382,8 @@ def write_files(segments: DataFrame, folder: str) -> None:
 def _split(batches):
     for batch in batches:
         for content in batch.column(0):
-            for image in segments_of(content.as_py()):
+            for image in segments_of(content.as_buffer()):
+                image = bytes(image)
                 _, part, number, first, docs, n, _, _ = HEAD.unpack_from(image)
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), *(pa.array([x], pa.int64()) for x in (first, n, docs)), pa.array([image], pa.binary())], ["part", "segment", "first_id", "n_ids", "n_docs", "image"])
 
@@ -352,29 +393,53 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(_split, SEGMENTS)
 
 
+DECODED = "part int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
+
+
+def _numbers(image) -> pa.RecordBatch:
+    """``DECODED`` of a segment's documents."""
+    _, part, _, first, *_ = HEAD.unpack_from(image)
+    ids, docs, sizes = decode_segment(image)
+    size = np.array(sizes, dtype=np.int64)
+    end = np.cumsum(size)
+    raw = memoryview(np.ascontiguousarray(ids, dtype="<u4").tobytes())
+    crc = [zlib.crc32(raw[4 * (e - s) : 4 * e]) for e, s in zip(end.tolist(), sizes, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array([part] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(first + end - size), pa.array(size), pa.array(crc, pa.int64())], [x.split()[0] for x in DECODED.split(", ")])
+
+
 @lean
 def _decoded(batches):
     for batch in batches:
-        for part, first, image in zip(batch.column("part").to_pylist(), batch.column("first_id").to_pylist(), batch.column("image"), strict=True):
-            ids, docs, sizes = decode_segment(image.as_py())
-            size = np.array(sizes, dtype=np.int64)
-            end = np.cumsum(size)
-            raw = memoryview(np.ascontiguousarray(ids, dtype="<u4").tobytes())
-            crc = [zlib.crc32(raw[4 * (e - s) : 4 * e]) for e, s in zip(end.tolist(), sizes, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([part] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(first + end - size), pa.array(size), pa.array(crc, pa.int64())], ["part", "doc_id", "local_start", "n_tokens", "ids_crc32"])
+        for image in batch.column("image"):
+            yield _numbers(image.as_buffer())
 
 
-def read_tokens(segments: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the segments.
+@lean
+def _decoded_files(batches):
+    for batch in batches:
+        for content in batch.column(0):
+            for image in segments_of(content.as_buffer()):
+                yield _numbers(image)
 
-    Segments are decoded once, into a table of numbers; a part's start is the sum over the parts before it."""
-    work = Workspace(segments.sparkSession, "tokens")
-    found = work.table(segments.select("part", "first_id", "image").mapInArrow(_decoded, "part int, doc_id long, local_start long, n_tokens long, ids_crc32 long"), "decoded")
+
+def _placed(decoded: DataFrame) -> DataFrame:
+    """Decoded numbers with each document's start: those of a part come after the sum of the parts before it."""
+    found = Workspace(decoded.sparkSession, "tokens").table(decoded, "decoded")
     sizes = found.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row a part of the writer
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return found.join(sizes.select("part", before.alias("before")), "part").select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def read_tokens(segments: DataFrame) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from segments."""
+    return _placed(segments.select("image").mapInArrow(_decoded, DECODED))
+
+
+def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``read_tokens`` of all files of a folder, whose bytes are read once."""
+    return _placed(spark.read.format("binaryFile").load(folder).select("content").mapInArrow(_decoded_files, DECODED))
+
+
 def export_files(segments: DataFrame, folder: str) -> DataFrame:
     """``write_files``, and the files that then lie in the folder: path (a local one without its scheme) and bytes."""
     write_files(segments, folder)

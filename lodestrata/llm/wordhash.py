@@ -119,10 +119,12 @@ def codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return _encoded(data, begin, end).indices.to_numpy().astype(np.int64)
 
 
-def named_codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """``codes``, and the bytes that each number stands for."""
+def named_codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``codes``, the bytes of all different ranges in a row, and where each ends."""
     found = _encoded(data, begin, end)
-    return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+    _, offsets, raw = found.dictionary.buffers()
+    ends = np.frombuffer(offsets, np.int64)[1 : len(found.dictionary) + 1]
+    return found.indices.to_numpy().astype(np.int64), np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8), ends
 
 
 def _renumbered(values: np.ndarray) -> tuple[np.ndarray, int]:

@@ -54,11 +54,12 @@ def test_files_of_several_segments_read_back(spark, small, edge_docs, twins, tmp
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     T.write_files(T.write_tokens(docs, PATH, ranges=4), f"{tmp_path}/f")
     assert sorted(tuple(r) for r in T.read_tokens(T.read_files(spark, f"{tmp_path}/f")).collect()) == sorted(brute(rows))
+    assert sorted(tuple(r) for r in T.read_token_files(spark, f"{tmp_path}/f").collect()) == sorted(brute(rows))
 
 
 def test_segments_of_a_file():
     images = [T.encode_segment(np.arange(n, dtype=np.uint32), [n], [n], 1, n, 0) for n in (0, 3, 2000)]
-    assert T.segments_of(b"".join(x + b"\n" for x in images)) == images
+    assert [bytes(x) for x in T.segments_of(b"".join(x + b"\n" for x in images))] == images
 
 
 def test_any_tokenizer_file(spark, tmp_path):
@@ -80,3 +81,12 @@ def test_memory_that_starts_anew(small, monkeypatch):
     tokenizer = Tokenizer.from_file(PATH)
     got = T.PieceEncoder(PATH).encode_column(pa.array(texts))
     assert all(x.tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids for x, t in zip(got, texts, strict=True))
+
+
+def test_pieces_of_one_hash_are_told_apart(small, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(T.W, "range_hash", lambda data, begin, end: ((end - begin) % 3).astype(np.uint64))
+    texts, tokenizer = [r["text"] for r in small.collect()][:40] + ["a b", "a c", "", None], Tokenizer.from_file(PATH)
+    got = T.PieceEncoder(PATH).encode_column(pa.array(texts))
+    assert all(x.tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids for x, t in zip(got, texts, strict=True))
