@@ -35,13 +35,14 @@ SEND = r"\b([A-Za-z_][A-Za-z0-9_]*)\.Send\s*\(\s*(?:new\s+)?([A-Za-z_][A-Za-z0-9
 CLIENT = r"\b([A-Za-z_][A-Za-z0-9_]*)\.(Get|Post|Put|Delete|Patch)Async\s*\(\s*([^,\)\n]+)"
 HTTP_ATTRIBUTE = r"\[Http(Get|Post|Put|Patch|Delete)(?:\(([^)]*)\))?\]"
 ROUTE_ATTRIBUTE = r"\[Route\(\"([^\"]*)\"\)\]"
-GROUP = r"\bvar\s+(\w+)\s*=\s*(\w+)\.MapGroup\(\"([^\"]+)\"\)"
-MAPPED = r"\b(\w+)\.Map(Get|Post|Put|Patch|Delete)\(\"([^\"]+)\""
+GROUP = r"\b([A-Za-z_]\w*)\s*=\s*([A-Za-z_]\w*)\.MapGroup\s*\(\s*\$?@?\"([^\"]+)\""
+MAPPED = r"\b([A-Za-z_]\w*)\.Map(Get|Post|Put|Patch|Delete)\s*\(\s*\$?@?\"([^\"]+)\""
 DI_GENERIC = r"\.Add(Scoped|Transient|Singleton|DbContext|HostedService)<([A-Za-z0-9_]+)(?:\s*,\s*([A-Za-z0-9_]+))?>"
-DI_TYPEOF = r"services\.Add(Scoped|Transient|Singleton)\(typeof\(([^)]+)\),\s*typeof\(([^)]+)\)"
+DI_TYPEOF = r"\bservices\.Add(Scoped|Transient|Singleton)\s*\(\s*typeof\(([^)]+)\)\s*,\s*typeof\(([^)]+)\)"
 PROGRAM = [
-    (r"app\.MapControllerRoute\(\"[^\"]+\", \"([^\"]+)\"", "HTTP_API", "conventional route"), (r"app\.(MapRazorPages)\(", "HTTP_API", "razor pages"), (r"app\.(MapControllers)\(", "HTTP_API", "controllers"),
-    (r"app\.(MapEndpoints)\(", "HTTP_API", "endpoints"), (r"app\.MapFallbackToFile\(\"([^\"]+)\"", "FrontendRoute", "fallback"), (r"app\.MapHealthChecks\(\"([^\"]+)\"", "HTTP_API", "health check"),
+    (r"\bapp\.MapControllerRoute\s*\(\s*\"[^\"]+\"\s*,\s*\"([^\"]+)\"", "HTTP_API", "ASP.NET conventional MVC route"), (r"\bapp\.(MapRazorPages)\s*\(", "HTTP_API", "ASP.NET Razor Pages route registration"),
+    (r"\bapp\.(MapControllers)\s*\(", "HTTP_API", "ASP.NET controller route registration"), (r"\bapp\.(MapEndpoints)\s*\(", "HTTP_API", "MinimalApi.Endpoint route registration"),
+    (r"\bapp\.MapFallbackToFile\s*\(\s*\"([^\"]+)\"", "FrontendRoute", "SPA fallback route"), (r"\bapp\.MapHealthChecks\s*\(\s*\"([^\"]+)\"", "HTTP_API", "ASP.NET health check route"),
 ]
 DDL_TABLE = r"(?is)CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?(?:\[?(\w+)\]?\.)?\[?(\w+)\]?\s*\(([^;]+)\)\s*;"
 DDL_OBJECTS = [("procedure", r"(?i)CREATE\s+(?:OR\s+(?:ALTER|REPLACE)\s+)?PROC(?:EDURE)?\s+(?:\[?\w+\]?\.)?\[?(\w+)\]?"), ("view", r"(?i)CREATE\s+(?:OR\s+(?:ALTER|REPLACE)\s+)?VIEW\s+(?:\[?\w+\]?\.)?\[?(\w+)\]?\s+AS"), ("trigger", r"(?i)CREATE\s+(?:OR\s+(?:ALTER|REPLACE)\s+)?TRIGGER\s+(?:\[?\w+\]?\.)?\[?(\w+)\]?\s+ON"), ("foreign_key", r"(?is)FOREIGN\s+KEY\s*\([^)]*\)\s*REFERENCES\s+\[?(\w+)\]?")]

@@ -12,19 +12,15 @@ def numbered(rows: DataFrame, *order: str, name: str = "number") -> DataFrame:
     """Consecutive numbers from 1 in ``order``, without gathering rows in one task.
 
     Rows are sorted by range; each partition counts its own, and only the partitions' sizes
-    (one row each) are added up. The numbered rows are written down in between: a range's bounds
+    (one row each) are added up, as a table. The numbered rows are written down in between: a range's bounds
     are drawn anew each time they are computed."""
     spark = rows.sparkSession
     part = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
     part = part.withColumn("__place", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("long"), 33) + 1)
     part = cut(part)
-    sizes = sorted((r["__part"], r["n"]) for r in part.groupBy("__part").agg(F.count("*").alias("n")).collect())
-    before, offsets = 0, []
-    for k, n in sizes:
-        offsets.append((k, before))
-        before += n
-    frame = F.broadcast(spark.createDataFrame(offsets, "__part int, __before long"))
-    return part.join(frame, "__part").withColumn(name, F.col("__place") + F.col("__before")).drop("__part", "__place", "__before")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = part.groupBy("__part").agg(F.count("*").alias("n")).select("__part", before.alias("__before"))  # one row a partition
+    return part.join(sizes, "__part").withColumn(name, F.col("__place") + F.col("__before")).drop("__part", "__place", "__before")
 
 
 def sequential_ids(rows: DataFrame, name: str, pattern: str, *order: str) -> DataFrame:

@@ -331,19 +331,17 @@ def attribute_routes(spark, sf_dir):
   m AS (SELECT seq, unnest(regexp_extract_all(text, {q(X.MAPPED)}, 1)) AS target, upper(unnest(regexp_extract_all(text, {q(X.MAPPED)}, 2))) AS method, unnest(regexp_extract_all(text, {q(X.MAPPED)}, 3)) AS part FROM ({PROGRAM}) t)
   SELECT m.seq, m.method, concat(coalesce(p.prefix, ''), '/', trim(m.part, '/')) AS route FROM m LEFT JOIN p ON p.seq = m.seq AND p.name = m.target""")
 def minimal_routes(spark, sf_dir):
-    """Prefixes of groups are found by following parents upward; each round resolves one more level."""
-    rows = B.source(spark, sf_dir, B.PROGRAM)
+    """A group's prefix is its parent's and its own path, whatever the depth: groups are gone through in the order of the text, where parents stand above. No shuffle."""
     trimmed = lambda c: F.regexp_replace(c, "^/+|/+$", "")
-    groups = X.matches(rows, X.GROUP, [1, 2, 3], "seq").select("seq", F.col("g1").alias("target"), F.col("g2").alias("up"), F.concat(F.lit("/"), trimmed(F.col("g3"))).alias("prefix"))
-    routes = X.matches(rows, X.MAPPED, [1, 2, 3], "seq").select("seq", "pos", F.upper("g2").alias("method"), F.col("g1").alias("target"), F.concat(F.lit("/"), trimmed(F.col("g3"))).alias("route"))
-    for _ in range(GROUP_DEPTH):
-        met = routes.join(groups, ["seq", "target"], "left")
-        routes = met.select("seq", "pos", "method", F.coalesce("up", "target").alias("target"), F.concat(F.coalesce("prefix", F.lit("")), "route").alias("route"))
-    return routes.select("seq", "method", "route")
+    none = F.create_map(F.lit("app"), F.lit(""))
 
+    def step(known, g):
+        prefix = F.concat(F.coalesce(known[g["g2"]], F.lit("")), F.lit("/"), trimmed(g["g3"]))
+        return F.map_concat(F.map_filter(known, lambda k, _: k != g["g1"]), F.create_map(g["g1"], prefix))
 
-GROUP_DEPTH = 3
-"""Nested route groups that are followed; deeper nesting keeps the nearest prefixes."""
+    prefixes = F.aggregate(X.every(F.col("text"), X.GROUP, [1, 2, 3]), none, step)
+    rows = B.source(spark, sf_dir, B.PROGRAM).select("seq", prefixes.alias("known"), F.explode(X.every(F.col("text"), X.MAPPED, [1, 2, 3])).alias("m"))
+    return rows.select("seq", F.upper("m.g2").alias("method"), F.concat(F.coalesce(F.col("known")[F.col("m.g1")], F.lit("")), F.lit("/"), trimmed(F.col("m.g3"))).alias("route"))
 
 
 @register("component_calls", rf"WITH f AS (SELECT seq, unnest(regexp_extract_all(text, {q(X.FIELD)}, 1)) AS type, unnest(regexp_extract_all(text, {q(X.FIELD)}, 2)) AS target FROM ({CS}) t), c AS (SELECT seq, unnest(regexp_extract_all(text, {q(X.CALL)}, 1)) AS target, unnest(regexp_extract_all(text, {q(X.CALL)}, 2)) AS method FROM ({CS}) t) SELECT DISTINCT c.seq, c.target, f.type, c.method FROM c JOIN f ON f.seq = c.seq AND f.target = c.target")

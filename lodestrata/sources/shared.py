@@ -1,17 +1,38 @@
-"""Checkpoints in the folder that driver and executors share."""
+"""Checkpoints and tables in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one of our own on this machine, which only a local master may use."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = "file://" + tempfile.mkdtemp(prefix="lodestrata-")
+    return _own[app]
+
+
+def folder(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
 
 def prepare(spark: SparkSession) -> None:
-    """Use the folder in ``spark.checkpoint.dir``; where that is unset (tests), one of our own."""
+    """Checkpoints go to the shared folder."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lodestrata-"))
+        context.setCheckpointDir(shared_dir(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:
