@@ -103,61 +103,79 @@ def _path(*words: str) -> str:
     return contains_any(LP, [f"/{w}/" for w in words])
 
 
+# The published ladders, in their order, with their layers, confidences and evidence texts.
 #: First ladder: (condition, type, layer, confidence, evidence).
 FIRST_LADDER = [
-    (f"file LIKE '%/Program.cs' OR {LN} IN ('dependencies', 'servicesconfiguration')", "Configuration", "'CrossCutting'", 0.78, "bootstrap"),
-    (f"{LP} LIKE 'tests/%'", "Unknown", "'CrossCutting'", 0.62, "test source"),
-    (f"{_ends('settings', 'options', 'constants')} OR {_path('constants')}", "Configuration", f"CASE WHEN {_path('applicationcore', 'web')} THEN 'CrossCutting' WHEN {FRONT} THEN 'Presentation/UI' ELSE 'Application' END", 0.76, "settings"),
-    (_ends("exception"), "Unknown", "'CrossCutting'", 0.66, "exception"),
-    (f"{_ends('specification', 'spec')} OR {_path('specifications')}", "Repository", "'DataAccess'", 0.74, "specification"),
-    (_ends("seed"), "BatchJob", "'DataAccess'", 0.72, "seed"),
-    (_ends("healthcheck"), "Service", "'CrossCutting'", 0.74, "health check"),
-    (f"{_ends('schemafilters', 'filter')} OR contains(bases, 'ISchemaFilter')", "Configuration", "'API'", 0.72, "filter"),
-    (_ends("hostingstartup"), "Configuration", "'CrossCutting'", 0.74, "hosting startup"),
-    (f"{_ends('helper', 'helpers')} OR {_path('helpers', 'extensions')}", "Service", f"CASE WHEN {FRONT} THEN 'Presentation/UI' ELSE 'CrossCutting' END", 0.68, "helper"),
-    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%' AND contains({LN}, 'repository')", "Repository", "'DataAccess'", 0.84, "repository interface"),
-    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%' AND {contains_any(LN, ['sender', 'client', 'gateway'])}", "ExternalClient", "'Integration'", 0.76, "integration interface"),
-    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%' AND {contains_any(LN, ['aggregateroot', 'entity'])}", "Entity", "'Domain'", 0.78, "marker interface"),
-    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%'", "Service", f"CASE WHEN {_path('applicationcore')} THEN 'Application' ELSE 'CrossCutting' END", 0.7, "service contract"),
-    ("file LIKE '%.razor.cs' OR " + contains_any("bases", ["BlazorComponent", "InputSelect", "ViewComponent"]), "FrontendComponent", "'Presentation/UI'", 0.82, "view component"),
-    ("contains(bases, 'IdentityUser')", "Entity", "'Infrastructure'", 0.8, "identity user"),
-    (f"contains(bases, 'IOutboundParameterTransformer') OR {_ends('transformer')}", "Configuration", "'Presentation/UI'", 0.74, "route transformer"),
-    (f"{_path('views')} AND contains({LN}, 'nav')", "FrontendComponent", "'Presentation/UI'", 0.7, "view navigation"),
-    (_ends("attribute"), "Configuration", "'CrossCutting'", 0.72, "attribute"),
-    (f"{_path('authorization')} AND {LN} IN ('roles', 'constants')", "Configuration", "'CrossCutting'", 0.74, "authorization constants"),
-    (f"{_path('authorization')} OR {LN} IN ('claimvalue', 'userinfo')", "DTO", "'Application'", 0.76, "authorization data"),
-    (f"contains(bases, 'IAppLogger') OR {_ends('adapter')}", "Service", "'CrossCutting'", 0.76, "adapter"),
-    ("contains(bases, 'IRequest')", "Handler", "'Application'", 0.74, "request message"),
-    (f"{_path('data')} AND {_ends('item')}", "DTO", "'Infrastructure'", 0.7, "data item"),
+    (f"file LIKE '%/Program.cs' OR {LN} IN ('dependencies', 'servicesconfiguration')", "Configuration", "'CrossCutting'", 0.78, "bootstrap or service configuration file"),
+    (f"{LP} LIKE 'tests/%'", "Unknown", "'CrossCutting'", 0.62, "test project source artifact"),
+    (f"{_ends('settings', 'options', 'constants')} OR {_path('constants')}", "Configuration", f"CASE WHEN {_path('applicationcore', 'web')} THEN 'CrossCutting' WHEN {FRONT} THEN 'Presentation/UI' ELSE 'Application' END", 0.76, "settings/constants/options naming or folder pattern"),
+    (_ends("exception"), "Unknown", "'CrossCutting'", 0.66, "exception class naming pattern"),
+    (f"{_ends('specification', 'spec')} OR {_path('specifications')}", "Repository", "'DataAccess'", 0.74, "Specification pattern query object used by repositories"),
+    (_ends("seed"), "BatchJob", "'DataAccess'", 0.72, "database seed class naming pattern"),
+    (_ends("healthcheck"), "Service", "'CrossCutting'", 0.74, "ASP.NET health check component naming pattern"),
+    (f"{_ends('schemafilters', 'filter')} OR contains(bases, 'ISchemaFilter')", "Configuration", "'API'", 0.72, "API/schema/filter configuration naming or interface pattern"),
+    (_ends("hostingstartup"), "Configuration", "'CrossCutting'", 0.74, "ASP.NET hosting startup naming pattern"),
+    (f"{_ends('helper', 'helpers')} OR {_path('helpers', 'extensions')}", "Service", f"CASE WHEN {FRONT} THEN 'Presentation/UI' ELSE 'CrossCutting' END", 0.68, "helper/extension support utility naming or folder pattern"),
+    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%' AND contains({LN}, 'repository')", "Repository", "'DataAccess'", 0.84, "repository interface naming pattern"),
+    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%' AND {contains_any(LN, ['sender', 'client', 'gateway'])}", "ExternalClient", "'Integration'", 0.76, "integration interface naming pattern"),
+    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%' AND {contains_any(LN, ['aggregateroot', 'entity'])}", "Entity", "'Domain'", 0.78, "domain marker interface naming pattern"),
+    (f"kind LIKE 'interface%' AND {LN} LIKE 'i%'", "Service", f"CASE WHEN {_path('applicationcore')} THEN 'Application' ELSE 'CrossCutting' END", 0.7, "interface classified as service contract by naming/path"),
+    ("file LIKE '%.razor.cs' OR " + contains_any("bases", ["BlazorComponent", "InputSelect", "ViewComponent"]), "FrontendComponent", "'Presentation/UI'", 0.82, "Razor/Blazor/MVC view component code-behind or base class"),
+    ("contains(bases, 'IdentityUser')", "Entity", "'Infrastructure'", 0.8, "ASP.NET Identity user entity base class"),
+    (f"contains(bases, 'IOutboundParameterTransformer') OR {_ends('transformer')}", "Configuration", "'Presentation/UI'", 0.74, "ASP.NET route parameter transformer"),
+    (f"{_path('views')} AND contains({LN}, 'nav')", "FrontendComponent", "'Presentation/UI'", 0.7, "MVC view navigation helper under Views folder"),
+    (_ends("attribute"), "Configuration", "'CrossCutting'", 0.72, "custom attribute metadata class"),
+    (f"{_path('authorization')} AND {LN} IN ('roles', 'constants')", "Configuration", "'CrossCutting'", 0.74, "authorization constants/configuration artifact"),
+    (f"{_path('authorization')} OR {LN} IN ('claimvalue', 'userinfo')", "DTO", "'Application'", 0.76, "authorization data transfer object"),
+    (f"contains(bases, 'IAppLogger') OR {_ends('adapter')}", "Service", "'CrossCutting'", 0.76, "adapter/service contract implementation"),
+    ("contains(bases, 'IRequest')", "Handler", "'Application'", 0.74, "MediatR request/query message"),
+    (f"{_path('data')} AND {_ends('item')}", "DTO", "'Infrastructure'", 0.7, "data/infrastructure transfer object naming and path"),
 ]
 #: Second ladder: what it finds overrides type, layer and confidence of the first; evidence of both stays.
 SECOND_LADDER = [
-    (f"contains({LN}, 'controller') OR contains(bases, 'Controller') OR contains(annotations, 'ApiController')", "Controller", "'API'", 0.9, "controller"),
-    (f"{_ends('endpoint')} OR {contains_any('bases', ['IEndpoint', 'EndpointBaseAsync'])}", "Controller", "'API'", 0.86, "endpoint"),
-    (f"contains(lower(bases), 'pagemodel') OR ({_ends('model')} AND {_path('pages')})", "Controller", "'Presentation/UI'", 0.8, "page model"),
-    (f"{_ends('middleware')} OR {_path('middleware')}", "Middleware", "'CrossCutting'", 0.88, "middleware"),
-    (f"{_ends('handler')} OR contains(bases, 'IRequestHandler')", "Handler", "'Application'", 0.86, "handler"),
-    (f"{_ends('repository')} OR {contains_any('bases', ['RepositoryBase', 'IRepository'])}", "Repository", "'DataAccess'", 0.9, "repository"),
-    (f"contains(bases, 'DbContext') OR {_ends('dbcontext')}", "Repository", "'DataAccess'", 0.82, "database context"),
-    (f"contains(bases, 'IEntityTypeConfiguration') OR {_ends('configuration')} OR {_path('configuration', 'config')}", "Configuration", f"CASE WHEN {_path('infrastructure')} THEN 'Infrastructure' ELSE 'CrossCutting' END", 0.84, "configuration"),
+    (f"contains({LN}, 'controller') OR contains(bases, 'Controller') OR contains(annotations, 'ApiController')", "Controller", "'API'", 0.9, "controller name/base class/API controller attribute"),
+    (f"{_ends('endpoint')} OR {contains_any('bases', ['IEndpoint', 'EndpointBaseAsync'])}", "Controller", "'API'", 0.86, "endpoint class implementing ASP.NET endpoint abstraction"),
+    (f"contains(lower(bases), 'pagemodel') OR ({_ends('model')} AND {_path('pages')})", "Controller", "'Presentation/UI'", 0.8, "Razor PageModel class"),
+    (f"{_ends('middleware')} OR {_path('middleware')}", "Middleware", "'CrossCutting'", 0.88, "middleware name/path"),
+    (f"{_ends('handler')} OR contains(bases, 'IRequestHandler')", "Handler", "'Application'", 0.86, "handler name or MediatR IRequestHandler implementation"),
+    (f"{_ends('repository')} OR {contains_any('bases', ['RepositoryBase', 'IRepository'])}", "Repository", "'DataAccess'", 0.9, "repository name/base/interface"),
+    (f"contains(bases, 'DbContext') OR {_ends('dbcontext')}", "Repository", "'DataAccess'", 0.82, "database context class"),
+    (f"contains(bases, 'IEntityTypeConfiguration') OR {_ends('configuration')} OR {_path('configuration', 'config')}", "Configuration", f"CASE WHEN {_path('infrastructure')} THEN 'Infrastructure' ELSE 'CrossCutting' END", 0.84, "configuration name/path/interface"),
     (f"{_ends('profile')} OR contains(bases, 'Profile')", "Mapper", "'Application'", 0.82, "mapping profile"),
-    (f"contains({LN}, 'validator') OR contains({LP}, 'validation')", "Validator", "'Application'", 0.76, "validator"),
-    (f"({_ends('service')} OR {_path('services')}) AND {FRONT}", "FrontendService", "'Presentation/UI'", 0.82, "frontend service"),
-    (f"({_ends('service')} OR {_path('services')}) AND (contains(dep_types, 'HttpClient') OR {_ends('client')})", "ExternalClient", "'Integration'", 0.78, "service with client"),
-    (f"{_ends('service')} OR {_path('services')}", "Service", "'Application'", 0.84, "service"),
-    (f"{_ends('client')} OR contains(dep_types, 'HttpClient')", "ExternalClient", "'Integration'", 0.75, "client"),
-    (_ends("gateway"), "Gateway", "'Integration'", 0.78, "gateway"),
-    (f"{_ends('stateprovider')} OR contains(bases, 'AuthenticationStateProvider')", "StateStore", "'Presentation/UI'", 0.76, "state provider"),
-    (f"{contains_any('bases', ['ComponentBase', 'LayoutComponentBase'])} OR contains({LP}, '/helpers/blazor')", "FrontendComponent", "'Presentation/UI'", 0.78, "component base"),
-    (f"{_path('entities')} OR {contains_any('bases', ['IAggregateRoot', 'BaseEntity'])}", "Entity", "'Domain'", 0.88, "entity"),
-    (f"{contains_any(LN, ['dto', 'request', 'response', 'viewmodel', 'message'])} OR {_path('viewmodels', 'models')}", "DTO", f"CASE WHEN {FRONT} OR {_path('ui', 'web')} THEN 'Presentation/UI' ELSE 'Application' END", 0.78, "transfer object"),
-    (_ends("job"), "ScheduledJob", "'Application'", 0.7, "job"),
-    (contains_any("bases", ["BackgroundService", "IHostedService"]), "ScheduledJob", "'Application'", 0.8, "hosted service"),
-    (_ends("consumer", "listener"), "MessageConsumer", "'Integration'", 0.78, "consumer"),
-    (_ends("batch", "migration"), "BatchJob", "'DataAccess'", 0.68, "batch"),
+    (f"contains({LN}, 'validator') OR contains({LP}, 'validation')", "Validator", "'Application'", 0.76, "validator name/path"),
+    (f"({_ends('service')} OR {_path('services')}) AND {FRONT}", "FrontendService", "'Presentation/UI'", 0.82, "service class in frontend project"),
+    (f"({_ends('service')} OR {_path('services')}) AND (contains(dep_types, 'HttpClient') OR {_ends('client')})", "ExternalClient", "'Integration'", 0.78, "service/client uses HttpClient"),
+    (f"{_ends('service')} OR {_path('services')}", "Service", "'Application'", 0.84, "service name/path"),
+    (f"{_ends('client')} OR contains(dep_types, 'HttpClient')", "ExternalClient", "'Integration'", 0.75, "client name or HttpClient dependency"),
+    (_ends("gateway"), "Gateway", "'Integration'", 0.78, "gateway name"),
+    (f"{_ends('stateprovider')} OR contains(bases, 'AuthenticationStateProvider')", "StateStore", "'Presentation/UI'", 0.76, "state provider base/name"),
+    (f"{contains_any('bases', ['ComponentBase', 'LayoutComponentBase'])} OR contains({LP}, '/helpers/blazor')", "FrontendComponent", "'Presentation/UI'", 0.78, "Blazor component base class"),
+    (f"{_path('entities')} OR {contains_any('bases', ['IAggregateRoot', 'BaseEntity'])}", "Entity", "'Domain'", 0.88, "entity path/base/interface"),
+    (f"{contains_any(LN, ['dto', 'request', 'response', 'viewmodel', 'message'])} OR {_path('viewmodels', 'models')}", "DTO", f"CASE WHEN {FRONT} OR {_path('ui', 'web')} THEN 'Presentation/UI' ELSE 'Application' END", 0.78, "DTO/request/response/view-model name or path"),
+    (_ends("job"), "ScheduledJob", "'Application'", 0.7, "job name"),
+    (contains_any("bases", ["BackgroundService", "IHostedService"]), "ScheduledJob", "'Application'", 0.8, "hosted/background service base"),
+    (_ends("consumer", "listener"), "MessageConsumer", "'Integration'", 0.78, "consumer/listener name"),
+    (_ends("batch", "migration"), "BatchJob", "'DataAccess'", 0.68, "batch/migration name"),
 ]
 
 
+# What is uncertain about a class, by the evidence that it was found by.
+UNCERTAINTY = {
+    "test project source artifact": "Test source component retained as verification evidence, not a production application component",
+    "exception class naming pattern": "Exception type has no exact requested component category; layer classified as CrossCutting",
+    "Specification pattern query object used by repositories": "Specification classified as Repository-adjacent DataAccess because requested type list has no Specification category",
+    "database seed class naming pattern": "Seed class classified as BatchJob-style data initialization support",
+    "helper/extension support utility naming or folder pattern": "Helper/extension classified as Service-style support component because requested type list has no Helper category",
+    "interface classified as service contract by naming/path": "Generic interface classified as Service contract because no narrower category was detected",
+    "MVC view navigation helper under Views folder": "Static MVC view helper classified as FrontendComponent because requested type list has no ViewHelper category",
+    "MediatR request/query message": "MediatR request object classified as Handler-style application component because requested type list has no Command/Query category",
+    "endpoint class implementing ASP.NET endpoint abstraction": "endpoint-style HTTP component classified as Controller because requested type list has no Endpoint category",
+    "Razor PageModel class": "Razor PageModel classified as Controller-like presentation component",
+    "database context class": "DbContext captured under Repository because requested type list has no DatabaseContext category",
+}
+UNCLASSIFIED = "No strong component classification signal from name, path, attributes, base types, or dependencies"
+
+
 def ladder_sql(ladder, part: int) -> str:
     """One column of a ladder: 1 type, 2 layer, 3 confidence, 4 evidence."""
     shown = {1: quote, 2: str, 3: lambda x: f"cast({x} as double)", 4: quote}[part]
@@ -165,18 +183,20 @@ def ladder_sql(ladder, part: int) -> str:
 
 
 def component_sql() -> dict[str, str]:
-    """Type, layer, confidence and evidence of a component, by both ladders."""
+    """Type, layer, confidence, evidence and uncertainty of a component, by both ladders."""
+    uncertain = lambda ladder: case_sql([(rule[0], quote(UNCERTAINTY[rule[4]]) if rule[4] in UNCERTAINTY else "cast(NULL as varchar(200))") for rule in ladder])
     one, two = (lambda p: ladder_sql(FIRST_LADDER, p)), (lambda p: ladder_sql(SECOND_LADDER, p))
     return {
         "component_type": f"coalesce({two(1)}, {one(1)}, 'Unknown')",
         "layer": f"coalesce({two(2)}, {one(2)}, 'Unknown')",
         "confidence": f"coalesce({two(3)}, {one(3)}, cast(0.5 as double))",
         "evidence": f"concat_ws('; ', {one(4)}, {two(4)})",
+        "uncertainty": f"concat_ws('; ', {uncertain(FIRST_LADDER)}, {uncertain(SECOND_LADDER)}, CASE WHEN coalesce({two(1)}, {one(1)}, 'Unknown') = 'Unknown' THEN {quote(UNCLASSIFIED)} END)",
     }
 
 
 def classify_components(components: DataFrame) -> DataFrame:
-    """Adds ``component_type, layer, confidence, evidence``."""
+    """Adds ``component_type, layer, confidence, evidence, uncertainty``."""
     return components.select("*", *(F.expr(sql).alias(name) for name, sql in component_sql().items()))
 
 
@@ -247,9 +267,18 @@ DESIGN_ROLES = [
 ]
 #: Patterns: (name, confidence, condition over one row of counts).
 PATTERNS = [
-    ("Layered application", 0.78, "layers >= 3"), ("Clean Architecture influence", 0.72, "core_projects > 0"), ("Repository", 0.86, "repositories > 0"), ("Specification", 0.84, "specifications > 0"), ("Endpoint / handler-style API", 0.86, "endpoints > 0"),
-    ("MVC / Razor Pages", 0.78, "page_controllers > 0"), ("Component frontend", 0.82, "frontends > 0"), ("Dependency injection", 0.9, "injected > 0"), ("ORM configuration", 0.86, "contexts > 0"), ("Configuration / options", 0.77, "configurations > 0"),
-    ("Request handlers", 0.68, "handlers > 0"), ("Health endpoint", 0.8, "health > 0"),
+    ("Layered Monolith / Layered Application", 0.78, "layers >= 3"),
+    ("Clean Architecture influence", 0.72, "core_projects > 0"),
+    ("Repository Pattern", 0.86, "repositories > 0"),
+    ("Specification Pattern", 0.84, "specifications > 0 OR specification_packages > 0"),
+    ("Endpoint / Handler-style API", 0.86, "endpoints > 0 OR endpoint_packages > 0"),
+    ("MVC / Razor Pages Web UI", 0.78, "page_controllers > 0"),
+    ("Blazor frontend component/service style", 0.82, "frontends > 0"),
+    ("Dependency Injection and Constructor Injection", 0.9, "injected > 0"),
+    ("EF Core Data Access / ORM Configuration", 0.86, "contexts > 0 OR orm_packages > 0"),
+    ("Configuration / Options / Cross-cutting constants", 0.77, "configurations > 0"),
+    ("MediatR / CQRS-style handlers", 0.68, "handlers > 0 OR mediator_packages > 0"),
+    ("Health Check / Operational Endpoint style", 0.8, "health > 0"),
 ]
 
 

@@ -79,7 +79,7 @@ RICH = f"""SELECT p_partkey AS seq, concat('W', {B.KEY}, CASE p_partkey % 26 WHE
 
 @register("component_classify", f"SELECT seq, name, {', '.join(f'{sql} AS {name}' for name, sql in C.component_sql().items())} FROM ({B.duck(RICH)}) t")
 def component_classify(spark, sf_dir):
-    return C.classify_components(B.source(spark, sf_dir, RICH)).select("seq", "name", "component_type", "layer", "confidence", "evidence")
+    return C.classify_components(B.source(spark, sf_dir, RICH)).select("seq", "name", "component_type", "layer", "confidence", "evidence", "uncertainty")
 
 
 _ladder("significance", B.COMPONENTS, "seq, name, file", {"significance": case_sql(C.SIGNIFICANCE_RULES, "'UnclassifiedCandidate'")})
@@ -165,12 +165,33 @@ def component_registry(spark, sf_dir):
 PATTERN_COUNTS = {
     "repositories": "component_type = 'Repository'", "specifications": "contains(name, 'Specification') OR contains(file, 'Specifications/')", "endpoints": "component_type = 'Controller' AND (name LIKE '%Endpoint' OR contains(file, 'Endpoints/'))",
     "page_controllers": "component_type = 'Controller' AND (contains(file, '/Controllers/') OR contains(file, '/Pages/'))", "frontends": "component_type = 'FrontendComponent'", "injected": "contract IS NOT NULL", "contexts": "contains(name, 'Context') OR contains(file, 'Data/Config')",
-    "configurations": "component_type = 'Configuration'", "handlers": "component_type = 'Handler'", "health": "contains(lower(name), 'health')", "core_projects": "project IN ('ApplicationCore', 'Infrastructure')",
+    "configurations": "component_type = 'Configuration'", "handlers": "component_type = 'Handler'", "core_projects": "project IN ('ApplicationCore', 'Infrastructure')",
 }
 
 
-@register("pattern_catalogue", f"WITH a AS (SELECT count(DISTINCT layer) AS layers, {', '.join(f'count(*) FILTER (WHERE {c}) AS {n}' for n, c in PATTERN_COUNTS.items())} FROM ({COMPONENTS_D}) t) " + " UNION ALL ".join(f"SELECT {quote(n)} AS pattern, cast({c} AS DOUBLE) AS confidence FROM a WHERE {w}" for n, c, w in C.PATTERNS))
+#: Package references of projects, and what they tell.
+PACKAGES = """SELECT p_partkey AS seq, CASE p_partkey % 7 WHEN 0 THEN 'Ardalis.Specification' WHEN 1 THEN 'MinimalApi.Endpoint' WHEN 2 THEN 'Microsoft.EntityFrameworkCore.SqlServer' WHEN 3 THEN 'MediatR' WHEN 4 THEN 'Serilog' ELSE p_brand END AS package FROM <<part>>"""
+PACKAGE_COUNTS = {"specification_packages": "package = 'Ardalis.Specification'", "endpoint_packages": "package IN ('Ardalis.ApiEndpoints', 'MinimalApi.Endpoint')", "orm_packages": "contains(package, 'EntityFrameworkCore')", "mediator_packages": "package = 'MediatR'"}
+
+
+@register("pattern_catalogue", f"""WITH c AS (SELECT * FROM ({COMPONENTS_D}) t), k AS (SELECT package FROM ({B.duck(PACKAGES)}) t), e AS (SELECT path FROM ({B.duck(ENTRIES)}) t) SELECT * FROM (
+  SELECT 'Layered Monolith / Layered Application' AS pattern, 0.78::DOUBLE AS confidence, (SELECT count(DISTINCT layer) FROM c) >= 3 AS detected
+  UNION ALL SELECT 'Clean Architecture influence', 0.72, EXISTS (FROM c WHERE project IN ('ApplicationCore', 'Infrastructure'))
+  UNION ALL SELECT 'Repository Pattern', 0.86, EXISTS (FROM c WHERE component_type = 'Repository')
+  UNION ALL SELECT 'Specification Pattern', 0.84, EXISTS (FROM c WHERE contains(name, 'Specification') OR contains(file, 'Specifications/')) OR EXISTS (FROM k WHERE package = 'Ardalis.Specification')
+  UNION ALL SELECT 'Endpoint / Handler-style API', 0.86, EXISTS (FROM c WHERE component_type = 'Controller' AND (ends_with(name, 'Endpoint') OR contains(file, 'Endpoints/'))) OR EXISTS (FROM k WHERE package IN ('Ardalis.ApiEndpoints', 'MinimalApi.Endpoint'))
+  UNION ALL SELECT 'MVC / Razor Pages Web UI', 0.78, EXISTS (FROM c WHERE component_type = 'Controller' AND (contains(file, '/Controllers/') OR contains(file, '/Pages/')))
+  UNION ALL SELECT 'Blazor frontend component/service style', 0.82, EXISTS (FROM c WHERE component_type = 'FrontendComponent')
+  UNION ALL SELECT 'Dependency Injection and Constructor Injection', 0.9, EXISTS (FROM c WHERE contract IS NOT NULL)
+  UNION ALL SELECT 'EF Core Data Access / ORM Configuration', 0.86, EXISTS (FROM c WHERE contains(name, 'Context') OR contains(file, 'Data/Config')) OR EXISTS (FROM k WHERE contains(package, 'EntityFrameworkCore'))
+  UNION ALL SELECT 'Configuration / Options / Cross-cutting constants', 0.77, EXISTS (FROM c WHERE component_type = 'Configuration')
+  UNION ALL SELECT 'MediatR / CQRS-style handlers', 0.68, EXISTS (FROM c WHERE component_type = 'Handler') OR EXISTS (FROM k WHERE package = 'MediatR')
+  UNION ALL SELECT 'Health Check / Operational Endpoint style', 0.8, EXISTS (FROM e WHERE contains(lower(path), 'health'))) p WHERE detected""")
 def pattern_catalogue(spark, sf_dir):
-    a = B.source(spark, sf_dir, B.COMPONENTS).agg(F.count_distinct("layer").alias("layers"), *(F.count_if(F.expr(c)).alias(n) for n, c in PATTERN_COUNTS.items()))
-    found = F.array(*(F.when(F.expr(w), F.struct(F.lit(n).alias("pattern"), F.lit(c).alias("confidence"))) for n, c, w in C.PATTERNS))
+    """Patterns by components, packages and interfaces: one aggregate over each, then one row a detected pattern."""
+    one = lambda rows, counts: rows.agg(*(F.count_if(F.expr(c)).alias(n) for n, c in counts.items())).withColumn("one", F.lit(1))
+    c = B.source(spark, sf_dir, B.COMPONENTS)
+    layers = c.agg(F.count_distinct("layer").alias("layers")).withColumn("one", F.lit(1))
+    a = one(c, PATTERN_COUNTS).join(layers, "one").join(one(B.source(spark, sf_dir, PACKAGES), PACKAGE_COUNTS), "one").join(one(B.source(spark, sf_dir, ENTRIES), {"health": "contains(lower(path), 'health')"}), "one")
+    found = F.array(*(F.when(F.expr(w), F.struct(F.lit(n).alias("pattern"), F.lit(c).alias("confidence"), F.lit(True).alias("detected"))) for n, c, w in C.PATTERNS))
     return a.select(F.inline(F.array_compact(found)))

@@ -397,63 +397,3 @@ def open_question_rows(spark, sf_dir):
     a = B.source(spark, sf_dir, B.COMPONENTS).agg(F.count_if(F.col("component_type") == "Unknown").alias("u"), F.count_if(F.col("module") == "Unknown").alias("m"))
     asked = F.array(F.when(F.col("u") > 0, F.struct(F.lit(1).alias("number"), F.format_string("%d components have no type", "u").alias("question"))), F.when(F.col("m") > 0, F.struct(F.lit(2).alias("number"), F.format_string("%d components have no module", "m").alias("question"))))
     return a.select(F.inline(F.array_compact(asked)))
-
-
-METRICS_SQL = f"""x AS (SELECT count(*) AS components, count(*) FILTER (WHERE component_type = 'Unknown') AS unknown, count(*) FILTER (WHERE is_test) AS tests, count(DISTINCT module) AS modules, cast(sum(points) AS DOUBLE) / (count(*) * 100) AS mean FROM ({COMP}) t), y AS (SELECT count(*) AS edges, count(*) FILTER (WHERE dst NOT IN (SELECT name FROM ({COMP}) c)) AS dangling FROM ({EDGE}) e), q AS (SELECT * FROM x, y)"""
-CHECKS = [
-    ("components exist", "components > 0", "components > 0"), ("unknown types are few", "unknown * 10 <= components", "unknown * 3 <= components"), ("modules exist", "modules >= 3", "modules >= 1"), ("edges exist", "edges > 0", "edges > 0"),
-    ("edges are closed", "dangling = 0", "dangling * 2 <= edges"), ("confidence is high", "mean >= 0.8", "mean >= 0.6"), ("tests are present", "tests > 0", "true"), ("stated constants", "false", "cast(NULL as boolean)"),
-]
-
-
-def metrics(spark, sf_dir):
-    """One row of counts that quality checks and gates read."""
-    c, e = B.source(spark, sf_dir, B.COMPONENTS), B.source(spark, sf_dir, B.EDGES)
-    x = c.agg(F.count("*").alias("components"), F.count_if(F.col("component_type") == "Unknown").alias("unknown"), F.count_if("is_test").alias("tests"), F.count_distinct("module").alias("modules"), (F.sum("points").cast("double") / (F.count("*") * 100)).alias("mean"))
-    lost = e.join(c.select(F.col("name").alias("dst")).distinct(), "dst", "left_anti").agg(F.count("*").alias("dangling"))
-    one = lambda frame: frame.withColumn("one", F.lit(1))  # noqa: E731  single rows, joined on a constant
-    return one(x).join(one(e.agg(F.count("*").alias("edges"))), "one").join(one(lost), "one").drop("one")
-
-
-def _status(good: str, fair: str) -> str:
-    return f"CASE WHEN {good} THEN 'PASS' WHEN {fair} THEN 'PARTIAL' WHEN ({fair}) IS NULL THEN 'NOT_CHECKED' ELSE 'FAIL' END"
-
-
-@register("quality_rows", f"WITH {METRICS_SQL} " + " UNION ALL ".join(f"SELECT {k} AS number, {quote(n)} AS check_name, {_status(g, f)} AS status FROM q" for k, (n, g, f) in enumerate(CHECKS, 1)))
-def quality_rows(spark, sf_dir):
-    """A check that the data cannot answer is NOT_CHECKED, never a stated PASS."""
-    rows = F.array(*(F.struct(F.lit(k).alias("number"), F.lit(n).alias("check_name"), F.expr(_status(g, f)).alias("status")) for k, (n, g, f) in enumerate(CHECKS, 1)))
-    return metrics(spark, sf_dir).select(F.inline(rows))
-
-
-SANITY = [("components have files", "SELECT count(*) AS n FROM ({0}) t WHERE file IS NULL"), ("edge sources exist", "SELECT count(*) AS n FROM ({1}) e WHERE src NOT IN (SELECT name FROM ({0}) c)"), ("edge targets exist", "SELECT count(*) AS n FROM ({1}) e WHERE dst NOT IN (SELECT name FROM ({0}) c)"), ("no self edges", "SELECT count(*) AS n FROM ({1}) e WHERE src = dst")]
-
-
-@register("sanity_checks", " UNION ALL ".join(f"SELECT {quote(n)} AS check_name, n AS offending, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({q.format(COMP, EDGE)}) s" for n, q in SANITY))
-def sanity_checks(spark, sf_dir):
-    c, e = B.source(spark, sf_dir, B.COMPONENTS), B.source(spark, sf_dir, B.EDGES)
-    names = c.select("name").distinct()
-    found = [c.where("file IS NULL"), e.join(names.withColumnRenamed("name", "src"), "src", "left_anti"), e.join(names.withColumnRenamed("name", "dst"), "dst", "left_anti"), e.where("src = dst")]
-    out = None
-    for (name, _), rows in zip(SANITY, found, strict=True):
-        one = rows.agg(F.count("*").alias("offending")).select(F.lit(name).alias("check_name"), "offending", F.when(F.col("offending") == 0, "PASS").otherwise("FAIL").alias("status"))
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-#: Gates: (name, measured value, threshold).
-GATES = [("max_fail", "n_fail", 0), ("max_partial", "n_partial", 2), ("max_invalid_graph_edges", "dangling", 0), ("max_unknown_components", "unknown", 50)]
-STATUSES = {n: _status(g, f) for n, g, f in CHECKS}
-N_FAIL = " + ".join(f"CASE WHEN {s} = 'FAIL' THEN 1 ELSE 0 END" for s in STATUSES.values())
-N_PARTIAL = " + ".join(f"CASE WHEN {s} = 'PARTIAL' THEN 1 ELSE 0 END" for s in STATUSES.values())
-
-
-@register("quality_gates", f"WITH {METRICS_SQL}, w AS (SELECT *, {N_FAIL} AS n_fail, {N_PARTIAL} AS n_partial FROM q) " + " UNION ALL ".join(f"SELECT {quote(n)} AS gate, cast({v} AS BIGINT) AS measured, cast({t} AS BIGINT) AS threshold, {v} > {t} AS violated FROM w" for n, v, t in GATES))
-def quality_gates(spark, sf_dir):
-    w = metrics(spark, sf_dir).select("*", F.expr(N_FAIL).alias("n_fail"), F.expr(N_PARTIAL).alias("n_partial"))
-    return w.select(F.inline(F.array(*(F.struct(F.lit(n).alias("gate"), F.col(v).cast("long").alias("measured"), F.lit(t).cast("long").alias("threshold"), (F.col(v) > t).alias("violated")) for n, v, t in GATES))))
-
-
-def enforce_gates(gates, strict: bool) -> bool:
-    """Whether the run passes: always in warning mode; in strict mode only without a violated gate."""
-    return not strict or gates.where("violated").limit(1).count() == 0

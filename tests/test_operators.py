@@ -61,8 +61,8 @@ def test_second_ladder_overrides_the_first(spark):
     kind = "name string, kind string, file string, bases string, annotations string, dep_types string, category string"
     rows = [("AppSettings", "class", "src/X/services/AppSettings.cs", "", "", "", "backend"), ("Plain", "class", "src/X/Plain.cs", "", "", "", "backend"), ("IOrderRepository", "interface", "src/X/I.cs", "", "", "", "backend"), ("XSeed", "class", "tests/XSeed.cs", "", "", "", "backend")]
     got = {r["name"]: (r["component_type"], r["layer"], r["evidence"]) for r in classify.classify_components(spark.createDataFrame(rows, kind)).collect()}
-    assert got["AppSettings"] == ("Service", "Application", "settings; service") and got["Plain"] == ("Unknown", "Unknown", "")
-    assert got["IOrderRepository"][0] == "Repository" and got["XSeed"] == ("Unknown", "CrossCutting", "test source")
+    assert got["AppSettings"] == ("Service", "Application", "settings/constants/options naming or folder pattern; service name/path") and got["Plain"] == ("Unknown", "Unknown", "")
+    assert got["IOrderRepository"][0] == "Repository" and got["XSeed"] == ("Unknown", "CrossCutting", "test project source artifact")
 
 
 def test_text_functions(spark):
