@@ -14,11 +14,11 @@ FILES_D, COMPONENTS_D = B.duck(B.FILES), B.duck(B.COMPONENTS)
 LOWER_FOLDER = "lower(folder)"
 
 
-def _ladder(key: str, statement: str, carried: str, made: dict[str, str], where: str = ""):
-    """A query that adds rule columns to bridge rows, with the same rules for DuckDB."""
+def _ladder(key: str, statement: str, carried: str, made: dict[str, str], where: str = "", oracle: str | None = None):
+    """A query that adds rule columns to bridge rows; ``oracle`` says by hand what they must be (without it, DuckDB reads the same rules)."""
     columns = ", ".join(f"{sql} AS {name}" for name, sql in made.items())
 
-    @register(key, f"SELECT {carried}, {columns} FROM ({B.duck(statement)}) t {('WHERE ' + where) if where else ''}")
+    @register(key, oracle or f"SELECT {carried}, {columns} FROM ({B.duck(statement)}) t {('WHERE ' + where) if where else ''}")
     def plan(spark, sf_dir):
         rows = B.source(spark, sf_dir, statement)
         rows = rows.where(where) if where else rows
@@ -28,13 +28,13 @@ def _ladder(key: str, statement: str, carried: str, made: dict[str, str], where:
 
 
 _ladder("scan_keep_filter", B.FILES, "seq, path", {"kept": C.KEEP_FILE.replace("lower_folder", LOWER_FOLDER)})
-_ladder("inventory_language", B.FILES, "seq, path", {"language": C.INVENTORY_LANGUAGE})
+_ladder("inventory_language", B.FILES, "seq, path", {"language": C.INVENTORY_LANGUAGE}, oracle=f"SELECT seq, path, CASE WHEN name = 'Dockerfile' THEN 'dockerfile' ELSE coalesce(map {{'cs': 'csharp', 'razor': 'razor', 'json': 'json', 'csproj': 'msbuild', 'js': 'javascript', 'yml': 'yaml', 'md': 'markdown', 'config': 'xml', 'sln': 'dotnet_solution', 'png': 'image', 'css': 'css', 'txt': 'text'}}[string_split(name, '.')[-1]], 'unknown') END AS language FROM ({FILES_D}) f")
 _ladder("inventory_files", B.FILES, "seq, path, size_bytes, line_count", {"language": C.INVENTORY_LANGUAGE, "candidate_type": case_sql(C.CANDIDATE_RULES, "'unknown'"), "ignore_reason": case_sql(C.IGNORE_RULES), "ignored": f"{case_sql(C.IGNORE_RULES)} IS NOT NULL"})
 _ladder("candidate_type", B.FILES, "seq, path", {"candidate_type": case_sql(C.CANDIDATE_RULES, "'unknown'")})
 _ladder("build_deployment_role", B.FILES, "seq, path", {"role": case_sql(C.ROLE_RULES)})
-_ladder("config_format", B.FILES, "seq, path", {"format": case_sql(C.CONFIG_FORMAT_RULES)})
+_ladder("config_format", B.FILES, "seq, path", {"format": case_sql(C.CONFIG_FORMAT_RULES)}, oracle=f"SELECT seq, path, CASE WHEN path LIKE '%.json' THEN 'json' WHEN path LIKE '%.yml' THEN 'yaml' WHEN path LIKE '%.config' THEN 'xml' END AS format FROM ({FILES_D}) f")
 _ladder("generated_source_filter", B.FILES, "seq, path", {"generated": C.GENERATED_SOURCE})
-_ladder("extractor_files", B.FILES, "seq, path", {"extractor": case_sql([(f"lower(suffix) IN ({', '.join(quote(e) for e in v)})", quote(k)) for k, v in fixed.EXTRACTOR_EXTENSIONS.items()])})
+_ladder("extractor_files", B.FILES, "seq, path", {"extractor": case_sql([(f"lower(suffix) IN ({', '.join(quote(e) for e in v)})", quote(k)) for k, v in fixed.EXTRACTOR_EXTENSIONS.items()])}, oracle=f"SELECT seq, path, CASE WHEN path LIKE '%.cs' THEN 'dotnet' WHEN path LIKE '%.java' THEN 'java' WHEN path LIKE '%.py' THEN 'python' WHEN path LIKE '%.js' OR path LIKE '%.ts' THEN 'javascript' END AS extractor FROM ({FILES_D}) f")
 
 PROJECTS = f"""SELECT p_partkey AS seq, lower(concat({B.FOLDER}, '/P', {B.KEY}, '.csproj')) AS lower_path, lower(concat('P', {B.KEY}, CASE WHEN p_size % 5 = 0 THEN 'Api' WHEN p_size % 11 = 0 THEN 'Tests' ELSE '' END)) AS lower_name,
   CASE p_size % 3 WHEN 0 THEN 'Microsoft.NET.Sdk.Web' WHEN 1 THEN 'Microsoft.NET.Sdk' ELSE 'Microsoft.NET.Sdk.BlazorWebAssembly' END AS sdk,
@@ -47,17 +47,17 @@ _ladder("project_type", PROJECTS, "seq, lower_name", {
 
 METHODS = """SELECT p_partkey AS seq, concat(CASE p_partkey % 14 WHEN 0 THEN 'ApplyDiscount' WHEN 1 THEN 'cancelOrder' WHEN 2 THEN 'IsValidName' WHEN 3 THEN 'Render' WHEN 4 THEN 'mapToDto' WHEN 5 THEN 'SendEmail' WHEN 6 THEN 'Login'
   WHEN 7 THEN 'GetById' WHEN 8 THEN 'ReviewItem' WHEN 9 THEN 'pushAll' WHEN 10 THEN 'TotalPrice' WHEN 11 THEN 'Seed' WHEN 12 THEN 'Paint' ELSE 'exportRows' END, cast(p_size as varchar(20))) AS name FROM <<part>>"""
-_ladder("business_category", METHODS, "seq, name", {"category": case_sql(C.CATEGORY_RULES, "'general'")})
+_ladder("business_category", METHODS, "seq, name", {"category": case_sql(C.CATEGORY_RULES, "'general'")}, oracle=f"SELECT seq, name, ['calculation', 'validation', 'validation', 'general', 'transformation', 'notification', 'authentication', 'data_operation', 'approval', 'integration', 'calculation', 'process', 'general', 'integration'][1 + seq % 14] AS category FROM ({B.duck(METHODS)}) m")
 
 
-@register("business_method_flag", f"SELECT seq, name, {C.BUSINESS_METHOD} AS is_business FROM ({B.duck(METHODS)}) t")
+@register("business_method_flag", f"SELECT seq, name, seq % 14 IN (0, 1, 5, 6, 10, 11, 13) AS is_business FROM ({B.duck(METHODS)}) m")
 def business_method_flag(spark, sf_dir):
     return B.source(spark, sf_dir, METHODS).select("seq", "name", C.is_business_method(F.col("name")).alias("is_business"))
 
 
 PARAMS = """SELECT p_partkey AS seq, CASE p_partkey % 10 WHEN 0 THEN 'Max.Page-Size' WHEN 1 THEN 'ConnectionStrings.Main' WHEN 2 THEN 'feature_x.enabled' WHEN 3 THEN 'user.role' WHEN 4 THEN 'title' WHEN 5 THEN 'db.pass_word' WHEN 6 THEN 'API-KEY'
   WHEN 7 THEN 'monkey' WHEN 8 THEN 'retry.count' ELSE 'data.source' END AS key, CASE WHEN p_size % 9 = 0 THEN NULL ELSE p_name END AS value FROM <<part>>"""
-_ladder("redact_values", PARAMS, "seq, key", {"value": C.REDACT})
+_ladder("redact_values", PARAMS, "seq, key", {"value": C.REDACT}, oracle=f"SELECT seq, key, CASE WHEN seq % 10 IN (1, 5, 6, 7) THEN '***REDACTED***' ELSE coalesce(value, '') END AS value FROM ({B.duck(PARAMS)}) p")
 
 
 @register(
@@ -85,29 +85,29 @@ def component_classify(spark, sf_dir):
 _ladder("significance", B.COMPONENTS, "seq, name, file", {"significance": case_sql(C.SIGNIFICANCE_RULES, "'UnclassifiedCandidate'")})
 
 TYPES = """SELECT p_partkey AS seq, CASE p_partkey % 9 WHEN 0 THEN 'int' WHEN 1 THEN 'IOrderService' WHEN 2 THEN 'OrderDto' WHEN 3 THEN 'HttpClient' WHEN 4 THEN 'II' WHEN 5 THEN 'Widget' WHEN 6 THEN 'AppDbContext' WHEN 7 THEN 'LoginResult' ELSE 'IList' END AS simple_type FROM <<part>>"""
-_ladder("dependency_type_filter", TYPES, "seq, simple_type", {"is_primitive": C.PRIMITIVE, "is_dto": C.DTO_LIKE, "is_dependency": C.ARCHITECTURE_DEPENDENCY})
+_ladder("dependency_type_filter", TYPES, "seq, simple_type", {"is_primitive": C.PRIMITIVE, "is_dto": C.DTO_LIKE, "is_dependency": C.ARCHITECTURE_DEPENDENCY}, oracle="SELECT p_partkey AS seq, t[1 + p_partkey % 9] AS simple_type, p_partkey % 9 = 0 AS is_primitive, p_partkey % 9 IN (2, 7) AS is_dto, p_partkey % 9 IN (1, 3, 6, 8) AS is_dependency FROM part, (SELECT ['int', 'IOrderService', 'OrderDto', 'HttpClient', 'II', 'Widget', 'AppDbContext', 'LoginResult', 'IList'] AS t) x")
 
 ENTRIES = """SELECT o_orderkey AS seq, cast(50 + o_orderkey % 46 as double) / 100 AS confidence, concat('src/Web/Pages/P', cast(o_custkey % 40 as varchar(20)), CASE WHEN o_custkey % 5 = 0 THEN '.cshtml' ELSE '.cs' END) AS source_file, o_custkey % 6 = 0 AS external, o_custkey % 4 = 0 AS data_access,
   o_custkey % 3 = 0 AS application, o_custkey % 7 = 0 AS semantic, o_orderkey % 97 = 0 AS marker, CASE o_orderkey % 4 WHEN 0 THEN 'HTTP_API' WHEN 1 THEN 'FrontendRoute' WHEN 2 THEN 'CLI' ELSE 'Job' END AS type,
   concat(CASE o_orderkey % 3 WHEN 0 THEN '/api/' WHEN 1 THEN '/' ELSE '' END, lower(substring(o_orderpriority, 3, 20)), CASE o_orderkey % 11 WHEN 0 THEN '/{id}' WHEN 1 THEN '/auth' WHEN 2 THEN '/admin' WHEN 3 THEN '/health' ELSE '' END) AS path, CASE o_orderstatus WHEN 'P' THEN 'GET' WHEN 'F' THEN 'POST' ELSE 'unknown' END AS method,
   concat('W', cast(o_custkey % 600 as varchar(20)), 'Controller') AS owner, concat('Brand#', cast(o_custkey % 25 + 1 as varchar(20))) AS module, cast(floor(o_totalprice) as bigint) % 12 AS steps FROM <<orders>>"""
-_ladder("interface_visibility", ENTRIES, "seq, type, path", {"visibility": case_sql(C.INTERFACE_RULES, "'unknown'")})
+_ladder("interface_visibility", ENTRIES, "seq, type, path", {"visibility": case_sql(C.INTERFACE_RULES, "'unknown'")}, oracle=f"SELECT seq, type, path, CASE WHEN type = 'FrontendRoute' THEN 'user_facing' WHEN starts_with(lower(path), '/api/') THEN 'external_system' WHEN type <> 'CLI' AND starts_with(path, '/') THEN 'user_facing' WHEN type = 'CLI' THEN 'internal' ELSE 'unknown' END AS visibility FROM ({B.duck(ENTRIES)}) e")
 
 MODULES = """SELECT c_custkey AS seq, concat('M', cast(c_custkey as varchar(20))) AS name, cast(cast(floor(c_acctbal) as bigint) % 50 + 50 as double) / 100 AS confidence, c_custkey % 11 = 0 AS in_cycle, cast(c_nationkey % 9 as bigint) AS coupling,
   cast(c_custkey % 13 as bigint) AS folders, cast(c_nationkey % 4 as bigint) AS efferent, c_custkey % 3 = 0 AS has_entry, c_mktsegment AS segment, cast(c_custkey % 7 as bigint) AS components FROM <<customer>>"""
-_ladder("boundary_quality", MODULES, "seq, name", {"boundary_quality": case_sql(C.BOUNDARY_RULES, "'Medium'")})
-_ladder("migration_readiness", MODULES, "seq, name", {"migration_readiness": case_sql(C.READINESS_RULES, "'Needs Refactoring'")})
+_ladder("boundary_quality", MODULES, "seq, name", {"boundary_quality": case_sql(C.BOUNDARY_RULES, "'Medium'")}, oracle=f"SELECT seq, name, CASE WHEN confidence < 0.6 THEN 'Unknown' WHEN NOT in_cycle AND coupling BETWEEN 0 AND 1 AND folders < 5 THEN 'Strong' WHEN NOT in_cycle AND coupling < 6 AND folders < 11 THEN 'Medium' ELSE 'Weak' END AS boundary_quality FROM ({B.duck(MODULES)}) m")
+_ladder("migration_readiness", MODULES, "seq, name", {"migration_readiness": case_sql(C.READINESS_RULES, "'Needs Refactoring'")}, oracle=f"SELECT seq, name, CASE WHEN confidence < 0.6 THEN 'Unknown' WHEN coupling < 6 AND NOT in_cycle THEN CASE WHEN has_entry AND efferent < 2 THEN 'Ready' ELSE 'Needs Refactoring' END ELSE 'Blocked' END AS migration_readiness FROM ({B.duck(MODULES)}) m")
 
 _ladder("strangler_score", MODULES, "seq, name", {
     "score": f"cast({case_sql([(c, r.split(', ')[1]) for c, r in C.STRANGLER_RULES])} as bigint)", "rank": case_sql([(c, r.split(", ")[0]) for c, r in C.STRANGLER_RULES]),
-})
+}, oracle=f"SELECT seq, name, CASE WHEN free AND efferent < 2 AND has_entry THEN 90 WHEN free AND coupling < 3 THEN 70 WHEN free THEN 55 ELSE 20 END::BIGINT AS score, CASE WHEN NOT free THEN 'Poor' WHEN efferent < 2 AND has_entry THEN 'Good' ELSE 'Possible' END AS rank FROM (SELECT *, NOT in_cycle AND coupling < 6 AS free FROM ({B.duck(MODULES)}) m) x")
 CAPABILITIES = """SELECT c_custkey AS seq, CASE WHEN c_custkey % 19 = 0 THEN 'Cache' ELSE concat('Cap', cast(c_custkey as varchar(20))) END AS name, c_custkey % 29 = 0 AS all_tests, cast(c_custkey % 3 as bigint) AS repositories, cast(c_nationkey % 3 as bigint) AS entities, cast(c_custkey % 2 as bigint) AS interfaces,
   cast(c_nationkey % 2 as bigint) AS ui, cast(c_custkey % 5 as bigint) AS risk_count, cast(CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END as bigint) AS weak_modules, cast(c_nationkey % 8 as bigint) AS efferent, cast(c_nationkey % 3 as bigint) AS data_access, cast(c_custkey % 3 as bigint) AS module_count, cast(c_custkey % 6 as bigint) AS component_count FROM <<customer>>"""
 CLASSED = f"SELECT *, {case_sql(C.CAPABILITY_CLASS, quote('ApplicationCapabilityCandidate'))} AS class FROM ({CAPABILITIES}) k"
-_ladder("capability_class", CAPABILITIES, "seq, name", {"class": case_sql(C.CAPABILITY_CLASS, "'ApplicationCapabilityCandidate'")})
-_ladder("contract_decision", CLASSED, "seq, name, class", {"decision": case_sql(C.CAPABILITY_DECISION, "'review'")})
-_ladder("interface_decision", ENTRIES, "seq, type, path", {"decision": case_sql(C.INTERFACE_DECISION, "'preserve'")})
-_ladder("module_consolidation", CLASSED, "seq, name, class", {"action": case_sql(C.CONSOLIDATION_RULES, "'consolidate_as_candidate_module'")})
+_ladder("capability_class", CAPABILITIES, "seq, name", {"class": case_sql(C.CAPABILITY_CLASS, "'ApplicationCapabilityCandidate'")}, oracle=f"SELECT seq, name, CASE WHEN all_tests THEN 'TestVerification' WHEN name = 'Cache' THEN 'TechnicalSupport' WHEN repositories >= 1 THEN 'DataInfrastructure' WHEN entities >= 1 THEN 'DomainCapabilityCandidate' WHEN interfaces >= 1 THEN 'InterfaceCapabilityCandidate' WHEN ui >= 1 THEN 'UICapabilityCandidate' ELSE 'ApplicationCapabilityCandidate' END AS class FROM ({B.duck(CAPABILITIES)}) k")
+_ladder("contract_decision", CLASSED, "seq, name, class", {"decision": case_sql(C.CAPABILITY_DECISION, "'review'")}, oracle=f"SELECT seq, name, class, CASE WHEN class LIKE 'Test%' OR class LIKE 'Technical%' THEN 'review' WHEN weak_modules >= 1 OR risk_count > 2 THEN 'review_before_extraction' WHEN interfaces >= 1 AND efferent < 3 THEN 'candidate_for_early_modernization' WHEN interfaces = 0 AND data_access >= 1 THEN 'preserve_as_internal_until_ownership_confirmed' ELSE 'review' END AS decision FROM (SELECT *, CASE WHEN all_tests THEN 'TestVerification' WHEN name = 'Cache' THEN 'TechnicalSupport' WHEN repositories >= 1 THEN 'DataInfrastructure' WHEN entities >= 1 THEN 'DomainCapabilityCandidate' WHEN interfaces >= 1 THEN 'InterfaceCapabilityCandidate' WHEN ui >= 1 THEN 'UICapabilityCandidate' ELSE 'ApplicationCapabilityCandidate' END AS class FROM ({B.duck(CAPABILITIES)}) k) c")
+_ladder("interface_decision", ENTRIES, "seq, type, path", {"decision": case_sql(C.INTERFACE_DECISION, "'preserve'")}, oracle=f"SELECT seq, type, path, CASE WHEN type = 'HTTP_API' AND method <> 'unknown' AND confidence >= 0.7 AND (confidence >= 0.85 OR position('{{' IN path) = 0) THEN 'preserve' ELSE 'review' END AS decision FROM ({B.duck(ENTRIES)}) e")
+_ladder("module_consolidation", CLASSED, "seq, name, class", {"action": case_sql(C.CONSOLIDATION_RULES, "'consolidate_as_candidate_module'")}, oracle=f"SELECT seq, name, class, CASE WHEN module_count < 2 AND component_count < 3 AND class <> 'DataInfrastructure' AND class <> 'InterfaceCapabilityCandidate' THEN 'keep_as_component_or_submodule_candidate' WHEN weak_modules >= 1 OR risk_count >= 1 OR efferent >= 6 THEN 'review_before_consolidating' ELSE 'consolidate_as_candidate_module' END AS action FROM (SELECT *, CASE WHEN all_tests THEN 'TestVerification' WHEN name = 'Cache' THEN 'TechnicalSupport' WHEN repositories >= 1 THEN 'DataInfrastructure' WHEN entities >= 1 THEN 'DomainCapabilityCandidate' WHEN interfaces >= 1 THEN 'InterfaceCapabilityCandidate' WHEN ui >= 1 THEN 'UICapabilityCandidate' ELSE 'ApplicationCapabilityCandidate' END AS class FROM ({B.duck(CAPABILITIES)}) k) c")
 FLOWS = f"SELECT *, steps = 1 AND type = 'HTTP_API' AND NOT (path LIKE '/api/%') AND (source_file LIKE '%.cshtml' OR contains(source_file, '/Pages/')) AS page_flow FROM ({ENTRIES}) f"
 _ladder("flow_status", FLOWS, "seq, type, steps", {"status": case_sql(C.FLOW_STATUS, "'traced_from_dependency_candidates'"), "confidence": C.flow_confidence()})
 
