@@ -79,9 +79,10 @@ def call_flows(edges: DataFrame, starts: DataFrame, depth: int = 4, fan_out: int
     """(entry, step, node, level): a bounded breadth-first walk from each entry's owner.
 
     Level by level: of each node the first ``fan_out`` edges by (score desc, file, line, dst), nodes not seen before in this
-    entry, in the order in which a queue would meet them; ``steps`` in all. Every level is a join over all entries at once."""
+    entry, in the order in which a queue would meet them; ``steps`` in all. Every level is a join over all owners at once; entries of
+    one owner have the same walk, which is walked once."""
     ranked = cut(top_k(edges.dropDuplicates(["src", "dst", "score", "file", "line"]), ["src"], fan_out, F.desc("score"), *map(F.col, ("file", "line", "dst"))).select("src", "dst", F.col("rank").alias("place")))
-    seen = cut(starts.select("entry", F.col("owner").alias("node"), F.lit(0).alias("level"), F.array(F.lit(0)).alias("path")))
+    seen = cut(starts.select(F.col("owner").alias("entry"), F.col("owner").alias("node"), F.lit(0).alias("level"), F.array(F.lit(0)).alias("path")).distinct())
     front = seen
     for level in range(1, depth + 1):
         met = front.select("entry", F.col("node").alias("src"), "path").join(ranked, "src").select("entry", F.col("dst").alias("node"), F.lit(level).alias("level"), F.concat("path", F.array("place")).alias("path"))
@@ -89,4 +90,5 @@ def call_flows(edges: DataFrame, starts: DataFrame, depth: int = 4, fan_out: int
         front = cut(first.join(seen.select("entry", "node"), ["entry", "node"], "left_anti").select("entry", "node", "level", "path"))
         seen = seen.unionByName(front)
     order = top_k(seen.where("level > 0"), ["entry"], steps, F.col("level"), F.col("path"))
-    return order.select("entry", F.col("rank").alias("step"), "node", "level")
+    walks = order.select(F.col("entry").alias("owner"), F.col("rank").alias("step"), "node", "level")
+    return starts.select("entry", "owner").join(walks, "owner").select("entry", "step", "node", "level")

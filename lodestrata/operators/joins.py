@@ -62,12 +62,14 @@ def resolve(edges: DataFrame, known: DataFrame, registered: DataFrame, primitive
 
 
 def top_candidates(injected: DataFrame, providers: DataFrame, on: str, k: int, ceiling: float) -> DataFrame:
-    """The first ``k`` providers (by ``p_seq``) of each injected row, with the lower confidence of both, at most ``ceiling``.
-
-    The order does not depend on the injected row, so each key keeps ``k`` providers before the join: no more than ``k`` rows come of one."""
-    rank = F.row_number().over(Window.partitionBy(on).orderBy("p_seq", "provider"))
-    first = providers.withColumn("rank", rank).where(F.col("rank") <= k)
-    return injected.join(first, on).withColumn("confidence", F.least(F.lit(ceiling), "confidence", "p_confidence"))
+    """The first ``k`` providers (by ``p_seq``) of each injected line, with the lower confidence of both, at most ``ceiling``.
+
+    Each key keeps its first ``k`` providers before the join, since no line can take more of them: at most ``k`` rows come of an
+    injected row, however many provide its type. Rows of one line that ask for several types are ranked together."""
+    order = ["p_seq", "provider"]
+    first = providers.withColumn("rank", F.row_number().over(Window.partitionBy(on).orderBy(*order))).where(F.col("rank") <= k).drop("rank")
+    rank = F.row_number().over(Window.partitionBy("seq", "src", "line").orderBy(*order))
+    return injected.join(first, on).withColumn("rank", rank).where(F.col("rank") <= k).withColumn("confidence", F.least(F.lit(ceiling), "confidence", "p_confidence"))
 
 
 def line_chunks(facts: DataFrame, chunks: DataFrame, k: int = 3) -> DataFrame:

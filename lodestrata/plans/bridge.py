@@ -55,15 +55,14 @@ EDGES = """SELECT l_orderkey * 10 + l_linenumber AS seq, concat('W', cast(l_part
   CASE l_linenumber WHEN 1 THEN 'component_call' WHEN 2 THEN 'constructor_injection' WHEN 3 THEN 'di_registration' WHEN 4 THEN 'mediatr_send' WHEN 5 THEN 'http_client_call' ELSE 'property_injection' END AS kind,
   CASE l_returnflag WHEN 'A' THEN 'calls' WHEN 'N' THEN 'uses' ELSE 'reads' END AS relationship, concat('src/', l_returnflag, '/F', cast(l_suppkey % 40 as varchar(20)), '.cs') AS file,
   cast(l_linenumber * 7 as bigint) AS line, cast(round(100 - l_discount * 100) as bigint) AS points, cast(cast(round(100 - l_discount * 100) as bigint) as double) / 100 AS confidence
-  FROM <<lineitem>> WHERE l_quantity >= 40"""
+  FROM <<lineitem>>"""
 
 #: Module edges: nation of the customer to nation of the supplier, as modules.
 MODULE_EDGES = """SELECT DISTINCT concat('M', cast(c_nationkey as varchar(20))) AS src, concat('M', cast(s_nationkey as varchar(20))) AS dst
-  FROM <<lineitem>> l JOIN <<orders>> o ON l.l_orderkey = o.o_orderkey JOIN <<customer>> c ON o.o_custkey = c.c_custkey JOIN <<supplier>> s ON l.l_suppkey = s.s_suppkey
-  WHERE l_quantity = 50 AND l_linenumber = 7"""
+  FROM <<lineitem>> l JOIN <<orders>> o ON l.l_orderkey = o.o_orderkey JOIN <<customer>> c ON o.o_custkey = c.c_custkey JOIN <<supplier>> s ON l.l_suppkey = s.s_suppkey"""
 
-#: A sparse directed graph for cycles.
-DIGRAPH = """SELECT DISTINCT l_partkey % 60 AS src, l_suppkey * 7 % 60 AS dst FROM <<lineitem>> WHERE l_quantity = 50 AND l_linenumber = 7 AND l_partkey % 60 <> l_suppkey * 7 % 60"""
+#: A directed graph for cycles: every part points to parts of its own hundred, from each of its order lines.
+DIGRAPH = """SELECT DISTINCT l_partkey AS src, l_partkey - l_partkey % 100 + l_suppkey * 7 % 100 AS dst FROM <<lineitem>> WHERE l_partkey % 100 <> l_suppkey * 7 % 100"""
 
 #: C# source of one file.
 CS = f"""SELECT p_partkey AS seq, concat('src/', p_type, '/W', {KEY}, '.cs') AS path, {_text(

@@ -56,7 +56,7 @@ def communities(spark, sf_dir):
     return sized.select("community", "members", F.round(F.when(possible > 0, F.coalesce("inner_edges", F.lit(0)) / possible).otherwise(0.0), 4).alias("cohesion"), (F.col("members") < 3).alias("thin"))
 
 
-STARTS = "SELECT seq AS entry, name AS owner FROM ({}) c WHERE seq % 23 = 0"
+STARTS = "SELECT seq AS entry, name AS owner FROM ({}) c"
 LEVELS = "".join(
     f""", m{n} AS (SELECT f.entry, k.dst AS node, {n} AS level, min(list_append(f.path, k.place)) AS path FROM f{n - 1} f JOIN k ON k.src = f.node GROUP BY f.entry, k.dst),
     f{n} AS (SELECT * FROM m{n} m WHERE NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(f'SELECT entry, node FROM f{j}' for j in range(n))}) s WHERE s.entry = m.entry AND s.node = m.node))"""

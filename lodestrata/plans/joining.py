@@ -56,14 +56,15 @@ def resolve_target(spark, sf_dir):
     return J.resolve(edges, known, registered, F.expr(PRIMITIVE)).select("seq", "src", "dst", "line", "resolved")
 
 
-PROVIDED = "SELECT seq AS p_seq, name AS provider, confidence AS p_confidence, contract AS dst FROM ({}) c WHERE seq % 29 = 0"
+PROVIDED = "SELECT seq AS p_seq, name AS provider, confidence AS p_confidence, contract AS dst FROM ({}) c"
+SERVICE = "concat('I', CASE seq % 6 WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'LARGE' WHEN 2 THEN 'MEDIUM' WHEN 3 THEN 'PROMO' WHEN 4 THEN 'SMALL' ELSE 'STANDARD' END, 'Service')"
 for _key, _kind, _ceiling in (("di_candidates", "constructor_injection", 0.82), ("handler_candidates", "mediatr_send", 0.84)):
 
-    @register(_key, f"""WITH e AS (SELECT seq, src, line, confidence, 'IPROMOService' AS dst FROM ({EDGE}) t WHERE kind = {quote(_kind)} AND line % 2 = CASE WHEN line > 21 THEN 0 ELSE 0 END), p AS ({PROVIDED.format(COMP)}),
+    @register(_key, f"""WITH e AS (SELECT seq, src, line, confidence, {SERVICE} AS dst FROM ({EDGE}) t WHERE kind = {quote(_kind)}), p AS ({PROVIDED.format(COMP)}),
       m AS (SELECT e.seq, e.src, e.line, p.provider, p.p_seq, least(cast({_ceiling} AS DOUBLE), e.confidence, p.p_confidence) AS confidence, row_number() OVER (PARTITION BY e.seq, e.src, e.line ORDER BY p.p_seq, p.provider) AS rank FROM e JOIN p ON e.dst = p.dst)
-      SELECT seq, src, line, provider, rank, confidence FROM m WHERE rank <= 3""".replace(" AND line % 2 = CASE WHEN line > 21 THEN 0 ELSE 0 END", ""))
+      SELECT seq, src, line, provider, rank, confidence FROM m WHERE rank <= 3""")
     def _candidates(spark, sf_dir, kind=_kind, ceiling=_ceiling):
-        injected = B.source(spark, sf_dir, B.EDGES).where(F.col("kind") == kind).select("seq", "src", "line", "confidence", F.lit("IPROMOService").alias("dst"))
+        injected = B.source(spark, sf_dir, B.EDGES).where(F.col("kind") == kind).select("seq", "src", "line", "confidence", F.expr(SERVICE).alias("dst"))
         providers = B.source(spark, sf_dir, PROVIDED.format(B.COMPONENTS))
         return J.top_candidates(injected, providers, "dst", 3, ceiling).select("seq", "src", "line", "provider", "rank", "confidence")
 
@@ -115,7 +116,7 @@ def component_edges(spark, sf_dir):
 
 
 CHUNKS = """SELECT concat('src/', f, '/F', cast(n as varchar(20)), '.cs') AS file, cast(k * 10 + 1 as bigint) AS start_line, cast(k * 10 + 16 as bigint) AS end_line FROM (SELECT DISTINCT l_returnflag AS f, l_suppkey % 40 AS n FROM <<lineitem>>) a, (SELECT DISTINCT l_linenumber - 1 AS k FROM <<lineitem>>) b"""
-FACTS = "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS fact_id, concat('src/', l_returnflag, '/F', cast(l_suppkey % 40 as varchar(20)), '.cs') AS file, CASE WHEN l_linenumber = 2 THEN NULL ELSE cast(l_linenumber * 9 as bigint) END AS line FROM <<lineitem>> WHERE l_quantity = 50"
+FACTS = "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS fact_id, concat('src/', l_returnflag, '/F', cast(l_suppkey % 40 as varchar(20)), '.cs') AS file, CASE WHEN l_linenumber = 2 THEN NULL ELSE cast(l_linenumber * 9 as bigint) END AS line FROM <<lineitem>>"
 
 
 @register("interval_chunk_join", f"""WITH f AS (SELECT fact_id, min(file) AS file, min(line) AS line FROM ({B.duck(FACTS)}) t GROUP BY fact_id), c AS ({B.duck(CHUNKS)}), m AS (SELECT fact_id, f.file, line, start_line, row_number() OVER (PARTITION BY fact_id ORDER BY start_line) AS rank FROM f JOIN c ON f.file = c.file AND (line IS NULL OR line BETWEEN start_line AND end_line))

@@ -254,9 +254,9 @@ def event_transitions(spark, sf_dir):
     return pairs.groupBy("sequence").agg(F.count("*").alias("frequency"), F.min("seq").alias("first_seq")).orderBy(F.desc("frequency"), "first_seq").limit(15).select("sequence", "frequency")
 
 
-@register("sequential_ids", f"SELECT concat('COMP-', lpad(cast(row_number() OVER (ORDER BY seq) AS VARCHAR), 4, '0')) AS component_id, seq, name FROM ({COMP}) t WHERE seq < 9999")
+@register("sequential_ids", f"SELECT printf('COMP-%04d', row_number() OVER (ORDER BY seq)) AS component_id, seq, name FROM ({COMP}) t")
 def sequential_ids(spark, sf_dir):
-    return W.sequential_ids(B.source(spark, sf_dir, B.COMPONENTS).where("seq < 9999").select("seq", "name"), "component_id", "COMP-%04d", "seq")
+    return W.sequential_ids(B.source(spark, sf_dir, B.COMPONENTS).select("seq", "name"), "component_id", "COMP-%04d", "seq")
 
 
 @register("source_chunks", """WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), c AS (SELECT doc_id, ls, unnest(range(0, greatest(0, len(ls) - 1 - 1) + 1, 3)) AS s FROM d)
