@@ -9,7 +9,7 @@ on. Chunks of a source are rounded in parallel; each leaves at most one fraction
 and these residuals meet in the next level of a reduction tree, until one a source is left,
 which a last draw rounds.
 
-Randomness comes from hashes of (seed, doc_id, level): reruns agree. The words of a source
+Randomness comes from hashes of (seed, doc_id, text, source, level): reruns agree. The driver holds one row a source. The words of a source
 differ from its target by less than the size of one document.
 
 - A null text has size 0; a document of size 0 takes nothing. Null sources form one source, last in order.
@@ -148,8 +148,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = C
 def take(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP, seed: int = 7) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns as they were.
 
-    Rows that repeat document, text and source stand for one another: their copies come from one of them."""
+    Rows that repeat document, text and source stand for one another: their copies come from one of them, the first by hash of all columns."""
     taken = mix(docs, weights, budget, cap, seed).groupBy("key_hash").agg(F.sum("copies").alias("__copies")).where("__copies > 0")
-    first = F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(0)))
+    first = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64(*docs.columns)))
     met = docs.withColumn("__key", _row_key(seed)).join(taken.withColumnRenamed("key_hash", "__key"), "__key")
     return met.withColumn("__first", first).where("__first = 1").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)

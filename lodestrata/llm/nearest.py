@@ -154,9 +154,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
             code = encode(flat / np.linalg.norm(flat, axis=1, keepdims=True), centre, turn)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([x.tobytes()], pa.binary()) for x in code)], [*batch.schema.names, "c_bits", "c_length", "c_inner", "c_centre"])
 
-    blocks = work.table(every.mapInArrow(coded, "c_ids binary, c_flat binary, c_bits binary, c_length binary, c_inner binary, c_centre binary"), "codes")
+    blocks = work.table(every.mapInArrow(coded, "c_ids binary, c_flat binary, c_bits binary, c_length binary, c_inner binary, c_centre binary"), "codes", BLOCK)
     asked = usable(queries, key, vector).where(F.size("v") == d).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = work.table(asked.mapInArrow(_blocks(QUERY_BLOCK, "q"), "q_ids binary, q_flat binary"), "queries")
+    asked = work.table(asked.mapInArrow(_blocks(QUERY_BLOCK, "q"), "q_ids binary, q_flat binary"), "queries", QUERY_BLOCK)
     deals = max(1, asked.count())
     numbered = asked.withColumn("deal", F.pmod(F.xxhash64("q_ids"), F.lit(deals)))
     if deals * QUERY_BLOCK * d <= SMALL_QUERIES:

@@ -63,12 +63,12 @@ class Workspace:
         for roots in _scopes.get():
             roots.append(self.root)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as Parquet and return a frame that reads it."""
+    def table(self, df: DataFrame, name: str, rows: int = WRITE_ROWS) -> DataFrame:
+        """Write ``df`` as Parquet and return a frame that reads it; Python gets at most ``rows`` rows at once."""
         self._count += 1
         path = f"{self.root}/{self._count:03d}-{name}"
         held = self.spark.conf.get(ARROW_ROWS)
-        self.spark.conf.set(ARROW_ROWS, str(min(int(held), WRITE_ROWS) if int(held) > 0 else WRITE_ROWS))
+        self.spark.conf.set(ARROW_ROWS, str(min(int(held), rows) if int(held) > 0 else rows))
         try:
             df.write.parquet(path)
         finally:
