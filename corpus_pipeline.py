@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import language_id, mixing, near_dedup, packing, quality_rules
-from lodestrata.llm.storage import Workspace, load
+from lodestrata.llm.storage import Workspace, load, scope
 
 LEAST_LANGUAGE_SCORE = 4 / language_id.DIMENSIONS**0.5
 """Four standard deviations of the cosine of unrelated vectors."""
@@ -58,9 +58,12 @@ STAGES = [("language_id", language), ("quality_rules", quality), ("near_dedup",
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage."""
+    """The rows of the last stage. Tables of a stage, and those of the stage before it, are deleted once its rows are written."""
     work = Workspace(spark, "pipeline")
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = work.table(stage(spark, docs, sf_dir), name)
+        with scope(spark):
+            kept = work.table(stage(spark, docs, sf_dir), name)
+        work.drop(docs)
+        docs = kept
     return docs
