@@ -34,7 +34,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     """Import the modules that register queries."""
-    from lodestrata.plans import classification, graphs, joining, reviews, rollups, sources, texts  # noqa: F401
+    from lodestrata.plans import classification, graphs, joining, reports, reviews, rollups, sources, texts  # noqa: F401
 
 
 _load()

@@ -335,65 +335,20 @@ def strangler_order(spark, sf_dir):
     return first(m.where("score = 90"), 4, 0).unionByName(first(m.where("score IN (55, 70)"), 5, 4))
 
 
-SCENARIOS = [
-    ("READ_PATH", "type = 'HTTP_API' AND method = 'GET' AND module IN ('Brand#1', 'Brand#2', 'Brand#3')"), ("WRITE_PATH", "type = 'HTTP_API' AND method IN ('POST', 'PUT', 'DELETE') AND NOT contains(lower(path), 'authenticate')"),
-    ("AUTH_PATH", "contains(lower(path), 'auth')"), ("ADMIN_PATH", "contains(lower(path), 'admin')"), ("ERROR_OR_RESILIENCE_PATH", "contains(lower(path), 'health')"),
-]
-
-
-@register("scenario_pick", f"WITH f AS ({B.duck(ENTRIES)}) " + " UNION ALL ".join(f"SELECT {quote(n)} AS scenario, coalesce(cast(min(seq) FILTER (WHERE {c}) AS VARCHAR), 'not found') AS flow FROM f" for n, c in SCENARIOS))
-def scenario_pick(spark, sf_dir):
-    f = B.source(spark, sf_dir, ENTRIES).agg(*(F.min(F.when(F.expr(c), F.col("seq"))).alias(n) for n, c in SCENARIOS))
-    return f.select(F.inline(F.array(*(F.struct(F.lit(n).alias("scenario"), F.coalesce(F.col(n).cast("string"), F.lit("not found")).alias("flow")) for n, _ in SCENARIOS))))
-
-
 # --- packs and reports ---
-@register("system_inventory", f"SELECT DISTINCT project AS name, {lookup_sql('component_type', {'Controller': 'backend', 'Service': 'backend', 'FrontendComponent': 'frontend'}, quote('support'))} AS grp FROM ({COMP}) t")
-def system_inventory(spark, sf_dir):
-    grp = F.expr(lookup_sql("component_type", {"Controller": "backend", "Service": "backend", "FrontendComponent": "frontend"}, quote("support")))
-    return B.source(spark, sf_dir, B.COMPONENTS).select(F.col("project").alias("name"), grp.alias("grp")).distinct()
-
-
 @register("source_files", f"SELECT src, string_agg(DISTINCT file, ',' ORDER BY file) AS files FROM ({EDGE}) t GROUP BY src")
 def source_files(spark, sf_dir):
     return B.source(spark, sf_dir, B.EDGES).groupBy("src").agg(A.sorted_names("file").alias("files"))
 
 
-@register("external_boundaries", f"SELECT DISTINCT 'http' AS kind, dst AS name FROM ({EDGE}) t WHERE kind = 'http_client_call' UNION SELECT 'package', project FROM ({COMP}) c WHERE project IN ('PROMO', 'LARGE') UNION SELECT 'service', concat('db', cast(p_size AS VARCHAR)) FROM part WHERE p_size < 5")
-def external_boundaries(spark, sf_dir):
-    http = B.source(spark, sf_dir, B.EDGES).where("kind = 'http_client_call'").select(F.lit("http").alias("kind"), F.col("dst").alias("name"))
-    packages = B.source(spark, sf_dir, B.COMPONENTS).where("project IN ('PROMO', 'LARGE')").select(F.lit("package").alias("kind"), F.col("project").alias("name"))
-    services = B.source(spark, sf_dir, "SELECT 'service' AS kind, concat('db', cast(p_size as varchar(20))) AS name FROM <<part>> WHERE p_size < 5")
-    return http.unionByName(packages).unionByName(services).distinct()
-
-
 @register("interface_catalogue", f"SELECT concat('INT-', lpad(cast(row_number() OVER (ORDER BY seq) AS VARCHAR), 6, '0')) AS interface_id, seq, path, {case_sql(C.INTERFACE_RULES, quote('unknown'))} AS visibility, type = 'HTTP_API' AS is_http, steps > 0 AS resolved FROM ({B.duck(ENTRIES)}) t")
 def interface_catalogue(spark, sf_dir):
     rows = W.sequential_ids(B.source(spark, sf_dir, ENTRIES), "interface_id", "INT-%06d", "seq")
     return rows.select("interface_id", "seq", "path", column(C.INTERFACE_RULES, "'unknown'").alias("visibility"), (F.col("type") == "HTTP_API").alias("is_http"), (F.col("steps") > 0).alias("resolved"))
 
 
-BACKLOG = [("cycle", "in_cycle", 5), ("coupling", "coupling >= 6", 8), ("entry", "has_entry AND coupling <= 1", 6)]
-
-
-@register("backlog", f"WITH m AS ({B.duck(MODULES)}), b AS (" + " UNION ALL ".join(f"(SELECT {k} AS priority, {quote(n)} AS item, name, seq FROM m WHERE {c} ORDER BY seq LIMIT {top})" for k, (n, c, top) in enumerate(BACKLOG)) + ") SELECT concat('BL-', lpad(cast(row_number() OVER (ORDER BY priority, seq) AS VARCHAR), 3, '0')) AS backlog_id, item, name FROM b")
-def backlog(spark, sf_dir):
-    m, found = B.source(spark, sf_dir, MODULES), None
-    for k, (name, condition, top) in enumerate(BACKLOG):
-        one = m.where(condition).orderBy("seq").limit(top).select(F.lit(k).alias("priority"), F.lit(name).alias("item"), "name", "seq")
-        found = one if found is None else found.unionByName(one)
-    return W.sequential_ids(found, "backlog_id", "BL-%03d", "priority", "seq").select("backlog_id", "item", "name")
-
-
 @register("module_blueprint", f"WITH {MODULE_EDGE_SQL}, {COUPLED.format(e='me')}, m AS (SELECT module, count(*) AS components, string_agg(DISTINCT component_type, ',' ORDER BY component_type) AS types FROM ({COMP}) t GROUP BY module) SELECT m.module, components, types, coalesce(afferent, 0) AS afferent, coalesce(efferent, 0) AS efferent FROM m LEFT JOIN cp ON cp.name = m.module")
 def module_blueprint(spark, sf_dir):
     m = B.source(spark, sf_dir, B.COMPONENTS).groupBy("module").agg(F.count("*").alias("components"), A.sorted_names("component_type").alias("types"))
     cp = coupling_of(module_edge_rows(spark, sf_dir)).withColumnRenamed("name", "module")
     return m.join(cp, "module", "left").select("module", "components", "types", F.coalesce("afferent", F.lit(0)).alias("afferent"), F.coalesce("efferent", F.lit(0)).alias("efferent"))
-
-
-@register("open_question_rows", f"WITH a AS (SELECT count(*) FILTER (WHERE component_type = 'Unknown') AS u, count(*) FILTER (WHERE module = 'Unknown') AS m FROM ({COMP}) t) SELECT 1 AS number, concat(cast(u AS VARCHAR), ' components have no type') AS question FROM a WHERE u > 0 UNION ALL SELECT 2, concat(cast(m AS VARCHAR), ' components have no module') FROM a WHERE m > 0")
-def open_question_rows(spark, sf_dir):
-    a = B.source(spark, sf_dir, B.COMPONENTS).agg(F.count_if(F.col("component_type") == "Unknown").alias("u"), F.count_if(F.col("module") == "Unknown").alias("m"))
-    asked = F.array(F.when(F.col("u") > 0, F.struct(F.lit(1).alias("number"), F.format_string("%d components have no type", "u").alias("question"))), F.when(F.col("m") > 0, F.struct(F.lit(2).alias("number"), F.format_string("%d components have no module", "m").alias("question"))))
-    return a.select(F.inline(F.array_compact(asked)))

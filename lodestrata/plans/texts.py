@@ -411,9 +411,3 @@ def module_fallback(spark, sf_dir):
     from_folder = F.get(F.filter(F.transform(folders, clean_module), lambda x: x.isNotNull()), F.lit(0))
     found = rows.select("seq", clean_module(F.col("name")).alias("own"), from_folder.alias("near"))
     return found.select("seq", F.coalesce("own", "near", F.lit("Unknown")).alias("module"), F.when(F.col("own").isNotNull(), 0.72).when(F.col("near").isNotNull(), 0.7).otherwise(0.3).alias("confidence"))
-
-
-@register("stack_detection", f"SELECT DISTINCT {C.INVENTORY_LANGUAGE} AS language, CASE WHEN {C.INVENTORY_LANGUAGE} IN ('csharp', 'razor', 'msbuild', 'dotnet_solution') THEN 'ASP.NET' WHEN {C.INVENTORY_LANGUAGE} IN ('javascript', 'css', 'html') THEN 'Web client' ELSE 'Other' END AS stack FROM ({FILE}) t")
-def stack_detection(spark, sf_dir):
-    stack = F.when(F.col("language").isin("csharp", "razor", "msbuild", "dotnet_solution"), "ASP.NET").when(F.col("language").isin("javascript", "css", "html"), "Web client").otherwise("Other")
-    return B.source(spark, sf_dir, B.FILES).select(F.expr(C.INVENTORY_LANGUAGE).alias("language")).distinct().withColumn("stack", stack)
