@@ -97,3 +97,37 @@ def test_entry_and_registry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def brute_communities(edges, rounds=5):
+    near = {}
+    for a, b in edges:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    label = {k: k for k in near}
+    for _ in range(rounds):
+        new = {}
+        for k, others in near.items():
+            votes = {}
+            for o in others:
+                votes[label[o]] = votes.get(label[o], 0) + 1
+            new[k] = min(votes, key=lambda c: (-votes[c], c))
+        label = new
+    return label, near
+
+
+def test_communities_match_brute_force(spark):
+    from lodestrata.plans import bridge, graphs
+
+    sf = "/root/testdata/sf0.001"
+    edges = [tuple(r) for r in bridge.source(spark, sf, bridge.DIGRAPH).collect()]
+    label, near = brute_communities(edges)
+    want = {}
+    for c in set(label.values()):
+        members = {k for k in label if label[k] == c}
+        inner = sum(len(near[k] & members) for k in members) / 2
+        possible = len(members) * (len(members) - 1) / 2
+        want[c] = (len(members), round(inner / possible, 4) if possible else 0.0, len(members) < 3)
+    got = {r["community"]: (r["members"], r["cohesion"], r["thin"]) for r in graphs.communities(spark, sf).collect()}
+    assert got == want
