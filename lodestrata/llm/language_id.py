@@ -35,6 +35,9 @@ GRAMS, DIRECT = 4096, 1 << 22
 """Distinct n-grams whose vectors are held at once, and codes up to which they are found by a table and not by sorting: both
 bound memory alone."""
 
+FAN_IN = 256
+"""Groups that the tasks' sums of a language are added in first."""
+
 _SYMBOLS = 0x110000
 
 
@@ -168,17 +171,25 @@ def _learned(batches):
             if mine:
                 sums[lang] = sums.get(lang, 0) + np.rint(vectors[mine] * (1 << 20)).astype(np.int64).sum(axis=0)
     if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tolist() for x in sums.values()], type=pa.list_(pa.int64()))], ["lang", "bundle"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([x.astype("<i8").tobytes() for x in sums.values()], pa.binary())], ["lang", "bundle"])
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of a group's bundles, as its one row."""
+    total = np.zeros(DIMENSIONS, dtype=np.int64)
+    for bundle in table["bundle"]:
+        total += np.frombuffer(bundle.as_buffer(), "<i8")
+    return pa.table({"lang": table["lang"][:1], "bundle": pa.array([total.tobytes()], pa.binary())})
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, bundle array<double>): one prototype of length 1 a language, from all rows of ``docs``.
+    """(lang, bundle binary): one sum of whole numbers a language, from all rows of ``docs``.
 
-    Each task sends one vector a language, so what is shuffled grows with tasks and languages,
-    not with texts. The sums are whole numbers: no order of tasks changes them."""
-    parts = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang")).mapInArrow(_learned, "lang string, bundle array<long>")
-    total = parts.groupBy("lang").agg(*(F.sum(F.col("bundle")[k]).alias(f"d{k}") for k in range(DIMENSIONS)))
-    return total.select("lang", F.array(*(F.col(f"d{k}").cast("double") for k in range(DIMENSIONS))).alias("bundle"))
+    Each task sends one vector a language; they are added in a tree of two levels, ``FAN_IN`` groups a language first, so no task
+    gathers what all tasks sent. The sums are whole numbers: no order of tasks changes them."""
+    parts = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang")).mapInArrow(_learned, "lang string, bundle binary")
+    some = parts.withColumn("group", F.pmod(F.spark_partition_id(), F.lit(FAN_IN))).groupBy("lang", "group").applyInArrow(_added, "lang string, bundle binary")
+    return some.groupBy("lang").applyInArrow(_added, "lang string, bundle binary")
 
 
 @lean
@@ -199,7 +210,7 @@ def _predicted(batches, text: str, names: list[str], prototypes: np.ndarray):
 def model(prototypes: DataFrame) -> tuple[list[str], np.ndarray]:
     """The prototypes on the driver: one vector for each language."""
     rows = sorted(prototypes.collect(), key=lambda r: r["lang"])
-    table = np.array([r["bundle"] for r in rows], dtype=np.float64).reshape(len(rows), DIMENSIONS)
+    table = np.array([np.frombuffer(r["bundle"], "<i8") for r in rows], dtype=np.float64).reshape(len(rows), DIMENSIONS)
     norm = np.linalg.norm(table, axis=1, keepdims=True)
     return [r["lang"] for r in rows], np.divide(table, norm, out=np.zeros_like(table), where=norm > 0)
 
