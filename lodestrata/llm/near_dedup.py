@@ -16,8 +16,8 @@ sets of the two texts, by their bytes and not by hashes.
    smallest document; the estimate from the union of two sketches filters, the exact Jaccard
    verifies, and components grow.
 4. Lists that still hold several components: in lists of up to ``SMALL_LIST`` members, each pair of
-   members in different components goes through the same filters. Longer lists are gone through in
-   blocks, with sketches of size ``FINER`` (for most texts the whole set). There each document first meets the
+   members in different components goes through the same filters. Longer lists are split by the size of sets
+   and gone through in blocks, with sketches of size ``FINER`` (for most texts the whole set). There each document first meets the
    likeliest partner in every other component; what is still apart is then held against
    all members of other components, each pair in the first list that it shares. Pairs within a
    component need no look, so a group of n copies costs n checks and not n squared.
@@ -31,6 +31,7 @@ a null component and ``kept`` true; an empty table gives an empty result; extra
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,8 @@ SHINGLE, BUCKETS, COUNT_CHUNK = 5, 1 << 18, 1 << 12
 FIRST, FINER = (64, 30), (384, 243)
 """(k, least) of sketches: least lies 5.3 standard deviations below 0.75 k."""
 LIKE, OF = 75, 100
-SMALL_LIST, LIST_BLOCK, COMMON = 64, 3072, 64
+SMALL_LIST, LIST_BLOCK, COMMON, BAND = 64, 3072, 64, 1.34
+"""BAND lies above OF / LIKE, so that rounding never puts linked sets two bands apart."""
 VERIFY_BYTES, CROSS_ROWS = 1 << 20, 512
 """Texts verified at once, in bytes, and rows of a block held against all of it at once: they bound a task's memory."""
 BROADCAST_IDS = 500_000
@@ -291,7 +293,8 @@ def _crossed(k: int, least: int, best_only: bool):
 
     def run(table: pa.Table) -> pa.Table:
         value = table["value"][0].as_py()
-        rep, comp, n, side = (table[c].to_numpy() for c in ("rep", "component", "n", "side"))
+        rep, comp, n, side, band = (table[c].to_numpy() for c in ("rep", "component", "n", "side", "band"))
+        zone = table["zone"][0].as_py()
         total = len(rep)
         flat, offsets = _unpack(table["sketch"].combine_chunks())
         length = np.diff(offsets)
@@ -311,6 +314,7 @@ def _crossed(k: int, least: int, best_only: bool):
             rows = minor[lo : lo + CROSS_ROWS]
             good = comp[rows][:, None] != comp[None, :]
             good &= OF * np.minimum.outer(n[rows], n) >= LIKE * np.maximum.outer(n[rows], n)
+            good &= np.maximum.outer(band[rows], band) == zone
             if two_sides:
                 good &= side[rows][:, None] != side[None, :]
             good &= ~is_minor[None, :] | (rep[rows][:, None] < rep[None, :])
@@ -357,13 +361,19 @@ def short_pairs(members: DataFrame) -> DataFrame:
 
 
 def long_pairs(work: Workspace, members: DataFrame, finer: DataFrame, best_only: bool) -> DataFrame:
-    """Candidate pairs across components of longer lists, from blocks of LIST_BLOCK members that meet."""
+    """Candidate pairs across components of longer lists, from blocks of LIST_BLOCK members that meet.
+
+    Linked sets differ in size by a third at most, so a list is first split by size: bands of the factor BAND, of which neighbours meet
+    in the zone of the larger one."""
     long = members.where(F.col("c") > SMALL_LIST)
     lists = long.groupBy("rep").agg(F.array_sort(F.collect_list("value")).alias("lists"))  # a sketch's values at most
-    dealt = long.withColumn("blocks", F.ceil(F.col("c") / LIST_BLOCK)).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("value", "rep", "component", "side", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"))
+    band = F.floor(F.log(F.col("n")) / math.log(BAND)).cast("int")
+    zoned = long.join(finer.select("rep", band.alias("band")), "rep").withColumn("zone", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    zones = work.table(zoned.groupBy("value", "zone").agg(F.count("*").alias("met"), F.max("band").alias("top")).where("top = zone AND met > 1").select("value", "zone", "met"), "zones")
+    dealt = zoned.join(zones, ["value", "zone"]).withColumn("blocks", F.ceil(F.col("met") / LIST_BLOCK)).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("value", "rep", "component", "band", "zone", "side", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"))
     full = dealt.join(work.table(lists.join(finer, "rep"), "long-lists"), "rep")
-    return work.table(full.groupBy("value", "x", "y").applyInArrow(_crossed(*FINER, best_only), "a long, b long").distinct(), "long-pairs")
+    return work.table(full.groupBy("value", "zone", "x", "y").applyInArrow(_crossed(*FINER, best_only), "a long, b long").distinct(), "long-pairs")
 
 
 def estimated(work: Workspace, classes: DataFrame, pairs: DataFrame) -> DataFrame:
