@@ -55,15 +55,16 @@ STARTUP = made(
 STARTUP_CODE = f"SELECT p_partkey AS seq, concat('src/Api', {KEY}, '/Program.cs') AS path, {STARTUP} AS text FROM <<part>>"
 
 
-def code_facts(rows: DataFrame) -> DataFrame:
-    """All facts of files (seq, path, text); Arrow-batched, without a shuffle."""
+def code_facts(rows: DataFrame, *kinds: str) -> DataFrame:
+    """The facts of files (seq, path, text), of all kinds or of these; Arrow-batched, without a shuffle."""
+    wanted = frozenset(kinds) or None
     names = ["seq", *(c.split()[0] for c in csharp.FACT.split(", "))]
     kinds = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
     schema = pa.schema([("seq", pa.int64()), *((c.split()[0], kinds[c.split()[1]]) for c in csharp.FACT.split(", "))])
 
     def run(batches):
         for batch in batches:
-            found = [(seq, *fact) for seq, path, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) for fact in csharp.code_facts(path, text)]
+            found = [(seq, *fact) for seq, path, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) for fact in csharp.code_facts(path, text, wanted)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(schema.types)], names)
 
     return rows.select(F.col("seq").cast("long"), "path", "text").mapInArrow(run, f"seq long, {csharp.FACT}")
@@ -74,8 +75,8 @@ def _facts(key: str, statement: str, kinds: str, columns: list[str], oracle: str
 
     @register(key, oracle)
     def plan(spark, sf_dir):
-        found = code_facts(B.source(spark, sf_dir, statement))
-        return found.where(F.col("kind").isin(kinds.split())).select("seq", *(F.col(c.split()[0]).alias(c.split()[-1]) for c in columns))
+        found = code_facts(B.source(spark, sf_dir, statement), *kinds.split())
+        return found.select("seq", *(F.col(c.split()[0]).alias(c.split()[-1]) for c in columns))
 
     return plan
 
