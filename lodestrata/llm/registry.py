@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, html_text, language_id, mixing, near_dedup, nearest, packing, quality_model, quality_rules, token_files
+from lodestrata.llm import bpe_codec, chat_format, html_text, language_id, mixing, near_dedup, nearest, packing, quality_model, quality_rules, token_files
 from lodestrata.llm.storage import Workspace, load
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -159,6 +159,16 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe_codec.encode(load(spark, sf_dir, "documents"), path)
+    digests = coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    back = bpe_codec.decode(digests, path, keep=("doc_id", "n_tokens", "ids_sha256"))
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_text": op1_html_text,
@@ -171,6 +181,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_nearest": op10_nearest,
+        "op11_bpe_codec": op11_bpe_codec,
         "pipeline": corpus_pipeline.run,
     }
 

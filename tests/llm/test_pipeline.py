@@ -30,7 +30,7 @@ def test_stages_take_effect(spark):
 def test_run_and_registry(spark):
     assert [name for name, _ in P.STAGES] == ["language_id", "quality_rules", "near_dedup", "mixing", "packing"]
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
-    assert {k.split("_")[0] for k in queries()} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {k.split("_")[0] for k in queries()} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
 
 
 def test_texts_in_scripts_not_learned_go_and_clean_documents_stay(spark):
