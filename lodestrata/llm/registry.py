@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe_codec, chat_format, html_text, language_id, mixing, near_dedup, nearest, packing, quality_model, quality_rules, token_files
+from lodestrata.llm import bpe_codec, chat_format, html_text, language_id, mixing, near_dedup, nearest, packing, quality_model, quality_rules, resampling, token_files
 from lodestrata.llm.storage import Workspace, load
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -169,6 +169,35 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+#: crc32 by halves of bytes: its table of sixteen numbers comes from the polynomial.
+OP12_SQL = r"""
+WITH h AS (SELECT list_transform(range(16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS half
+), d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), t AS (SELECT row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), f AS (
+  SELECT 0 AS side, r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS x FROM d
+  UNION ALL SELECT 1, r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) FROM t
+), e AS (SELECT DISTINCT x, hex(encode(x)) AS digits FROM f
+), b AS (
+  SELECT x, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, len(digits), 2), lambda i: [strpos('0123456789ABCDEF', digits[i + 1]) - 1, strpos('0123456789ABCDEF', digits[i]) - 1]))),
+    lambda c, v: xor(c >> 4, half[(xor(c, v) & 15) + 1])), 4294967295::BIGINT) % 10000 AS bucket FROM e, h
+), c AS (SELECT bucket, count(*) FILTER (WHERE side = 0) AS s, count(*) FILTER (WHERE side = 1) AS t FROM f JOIN b USING (x) GROUP BY bucket
+), g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM c
+), w AS (SELECT r, count(*)::BIGINT AS n_features, sum(gain)::BIGINT AS total FROM f JOIN b USING (x) JOIN g USING (bucket) WHERE side = 0 GROUP BY r
+), k AS (
+  SELECT doc_id::BIGINT AS doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    ('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h FROM d LEFT JOIN w USING (r)
+), s AS (SELECT doc_id, n_words, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM k
+), o AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE n_words >= 20) OVER () AS n FROM s
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END::BIGINT AS rank FROM o
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_text": op1_html_text,
@@ -182,9 +211,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_nearest": op10_nearest,
         "op11_bpe_codec": op11_bpe_codec,
+        "op12_resampling": op12_resampling,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_html_text": OP1_SQL, "op2_near_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": OP6_SQL}
+    return {"op1_html_text": OP1_SQL, "op2_near_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": OP6_SQL, "op12_resampling": OP12_SQL}
