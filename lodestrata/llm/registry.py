@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe_codec, chat_format, html_text, language_id, mixing, near_dedup, nearest, packing, quality_model, quality_rules, resampling, token_files
+from lodestrata.llm import bpe_codec, chat_format, html_text, language_id, lexical_search, mixing, near_dedup, nearest, packing, quality_model, quality_rules, resampling, token_files
 from lodestrata.llm.storage import Workspace, load
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -198,6 +198,25 @@ SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 2
 """
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id::BIGINT AS doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), i AS (SELECT row_number() OVER () AS q, item_id::BIGINT AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark
+), g AS (SELECT count(*) AS n, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0
+), x AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(ts) AS t FROM i) u GROUP BY q, t
+), p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) u WHERE t IN (SELECT t FROM x) GROUP BY r, t
+), w AS (SELECT t, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, g GROUP BY t
+), m AS (SELECT r, doc_id, 75 + (25 * len(ts) * n) // l AS m FROM d, g WHERE len(ts) > 0
+), s AS (SELECT q, doc_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score FROM x JOIN p USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY q, r, doc_id
+), o AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s JOIN i USING (q) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_text": op1_html_text,
@@ -212,9 +231,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_nearest": op10_nearest,
         "op11_bpe_codec": op11_bpe_codec,
         "op12_resampling": op12_resampling,
+        "op13_lexical_search": op13_lexical_search,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_html_text": OP1_SQL, "op2_near_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": OP6_SQL, "op12_resampling": OP12_SQL}
+    return {"op1_html_text": OP1_SQL, "op2_near_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": OP6_SQL, "op12_resampling": OP12_SQL, "op13_lexical_search": OP13_SQL}

@@ -103,15 +103,19 @@ def range_hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
-def _encoded(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
+def column(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes of the ranges (in order, none over another) as a column."""
     edge = np.zeros(len(data) + 1, dtype=np.int8)
     edge[begin] += 1
     edge[end] -= 1
     inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
     offsets = np.zeros(len(begin) + 1, dtype=np.int64)
     np.cumsum(end - begin, out=offsets[1:])
-    column = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))])
-    return column.dictionary_encode()
+    return pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))])
+
+
+def _encoded(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
+    return column(data, begin, end).dictionary_encode()
 
 
 def codes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
