@@ -5,8 +5,9 @@ fewer words, the whole sequence is the one shingle. Two documents are linked whe
 100 * |A and B| >= 75 * |A or B|. Candidates come from 64-bit hashes of shingles; links are confirmed on the full
 sets of the two texts, by their bytes and not by hashes.
 
-1. Equal sets are one class, named by its smallest doc_id; only that document goes on. (Two 64-bit sums of different
-   mixes of all hashes; a set of one shingle is known by a 128-bit hash of its words.)
+1. Texts of the same words in the same order (A-Z lower-cased) are one class, named by its smallest doc_id; only that
+   document goes on. A class is known by a 128-bit keyed blake2b of its words, never by hashes of shingles; equal sets of
+   other word orders are linked like all near copies. (``n_shingles`` counts different 64-bit hashes of shingles.)
 2. A class's sketch is the ``k`` smallest hashes of its set. Linked sets share at least
    ``least`` of them (chance of a miss below 1e-6 a link at a similarity of exactly 0.75; sets below k hashes
    are their own sketch and miss nothing). So of the sketch, ordered by rarity in the corpus, all but the last
@@ -55,27 +56,23 @@ BROADCAST_IDS = 500_000
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, bytes]]:
-    """(sorted distinct shingle hashes, 16-byte key of the set) of each row of a slice of bytes."""
+    """(sorted distinct shingle hashes, 16-byte key of the words in order) of each row of a slice of bytes."""
     data = W.LOWER[data]
+    text = data.tobytes()
     begin, end, row = W.spans(W.SPACE[data], starts, ends)
     words = W.range_hash(data, begin, end)
     every = W.grams(words, SHINGLE)
     count = np.bincount(row, minlength=len(starts)) if len(row) else np.zeros(len(starts), np.int64)
     first = np.cumsum(count) - count
     out = []
-    for at, n in zip(first.tolist(), count.tolist(), strict=True):
+    for at, n, lo, hi in zip(first.tolist(), count.tolist(), starts.tolist(), ends.tolist(), strict=True):
         if n >= SHINGLE:
             found = np.unique(every[at : at + n - SHINGLE + 1])
         elif n:
             found = W.grams(words[at : at + n], n)
         else:
             found = np.zeros(0, np.uint64)
-        if len(found) == 1:
-            only = b" ".join(data[begin[k] : end[k]].tobytes() for k in range(at, at + min(n, SHINGLE)))
-            key = hashlib.blake2b(only, digest_size=16, key=W.KEY).digest()
-        else:
-            key = np.array([found.sum(dtype=np.uint64), W.mix(found).sum(dtype=np.uint64)], np.uint64).tobytes()
-        out.append((found, key))
+        out.append((found, hashlib.blake2b(b" ".join(text[lo:hi].split()), digest_size=16, key=W.KEY).digest()))
     return out
 
 

@@ -19,6 +19,8 @@ pieces come longest first (ties by document, piece and hash of the row).
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -124,21 +126,14 @@ SIZED = "doc_id long, source string, row_hash long, words long, cluster long"
 
 
 def measure_columns(column: pa.Array) -> list[pa.Array]:
-    """Words of each text, and the hash of its words in order, letter case aside (null for a null text)."""
+    """Words of each text, and a keyed blake2b of its words in order, letter case aside (null for a null text)."""
     raw, offsets = W.buffers(pc.utf8_lower(column))
-    words, plain = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for lo, hi in W.slices(offsets):
-        data, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        begin, end, row = W.spans(W.SPACE[data], at[:-1], at[1:])
-        count = np.bincount(row, minlength=hi - lo).astype(np.int64)
-        edge = np.append(0, np.cumsum(count))
-        place = np.arange(len(row)) - edge[row]
-        total = np.zeros(len(row) + 1, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum(W.mix(W.range_hash(data, begin, end) ^ W.mix(place.astype(np.uint64))), dtype=np.uint64, out=total[1:])
-            plain.append(W.mix(total[edge[1:]] - total[edge[:-1]] + count.astype(np.uint64)).view(np.int64))
-        words.append(count)
-    return [pa.array(np.concatenate(words)), pa.array(np.concatenate(plain), mask=column.is_null().to_numpy(zero_copy_only=False))]
+    words, plain = np.zeros(len(column), np.int64), np.zeros(len(column), np.int64)
+    for k, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+        parts = raw[lo:hi].tobytes().split()  # at the bytes that part words
+        words[k] = len(parts)
+        plain[k] = int.from_bytes(hashlib.blake2b(b" ".join(parts), digest_size=8, key=W.KEY).digest(), "little", signed=True)
+    return [pa.array(words), pa.array(plain, mask=column.is_null().to_numpy(zero_copy_only=False))]
 
 
 def measured(docs: DataFrame, sketches: bool = False) -> DataFrame:

@@ -132,7 +132,7 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FRO
   FROM d JOIN b USING (r) LEFT JOIN x USING (r) LEFT JOIN y USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND sl <= 0.25::DOUBLE AND s5 <= 0.4::DOUBLE AND s7 <= 0.36::DOUBLE AND s10 <= 0.3::DOUBLE AND n_symbols <= 0.3::DOUBLE * n_words AS kept FROM f
+  NOT base_failed AND sl <= 0.15::DOUBLE AND s5 <= 0.3::DOUBLE AND s7 <= 0.28::DOUBLE AND s10 <= 0.2::DOUBLE AS kept FROM f
 """
 
 

@@ -3,7 +3,8 @@
 A word is a run of bytes outside ``\\x20\\x09-\\x0D``; those bytes never occur inside a
 multi-byte UTF-8 sequence, so work on bytes equals work on characters. ``range_hash`` is the same in
 every process: eight bytes a step, all bits mixed after each, ranges above ``LONG`` bytes by keyed blake2b. It is
-no polynomial, so no family of strings collides by its form. ``codes`` and ``exact_grams`` compare the
+fast and no secret: strings that collide can be made on purpose, so it finds candidates and sketches, and whatever makes two texts one
+is confirmed on bytes or by a keyed digest of 64 bits or more. ``codes`` and ``exact_grams`` compare the
 bytes themselves, within one call.
 """
 

@@ -146,3 +146,27 @@ def test_exact_sets_match_brute_force(small):
     assert [len(x) for x in sets] == [len(x) for x in want]
     for k in range(1, len(texts)):
         assert len(np.intersect1d(sets[k - 1], sets[k])) == len(want[k - 1] & want[k])
+
+
+def test_words_made_to_collide_make_no_class(spark):
+    """Words of 16 printable bytes whose second half undoes the difference of the first under ``range_hash``: equal hashes, no word in common."""
+    rng, one, two = random.Random(8), [], []
+    with np.errstate(over="ignore"):
+        state = N.W.mix(np.array([16], np.uint64) * N.W._STEPS[0] + N.W._STEPS[1])
+    printable = lambda b: all(0x21 <= x < 0x7F for x in b)
+    while len(one) < 20:
+        a, b = (bytes(rng.randrange(0x61, 0x7B) for _ in range(8)) for _ in range(2))
+        gap = (N.W.mix(state ^ np.frombuffer(a, "<u8")) ^ N.W.mix(state ^ np.frombuffer(b, "<u8"))).tobytes()
+        if max(gap) >= 0x80:
+            continue
+        c = bytes(next((x for x in rng.sample(range(0x21, 0x7F), 94) if 0x21 <= x ^ g < 0x7F and not {x, x ^ g} & set(range(0x41, 0x5B))), 0) for g in gap)
+        d = bytes(x ^ g for x, g in zip(c, gap))
+        if printable(c) and printable(d):
+            one.append((a + c).decode())
+            two.append((b + d).decode())
+    data = np.frombuffer("".join(one + two).encode(), np.uint8)
+    at = np.arange(40) * 16
+    hashes = N.W.range_hash(data, at, at + 16)
+    assert (hashes[:20] == hashes[20:]).all() and not set(one) & set(two)
+    got = {r["doc_id"]: r for r in N.near_duplicates(spark.createDataFrame([(1, " ".join(one)), (2, " ".join(two))], "doc_id long, text string")).collect()}
+    assert got[1]["component_id"] == 1 and got[2]["component_id"] == 2 and got[1]["kept"] and got[2]["kept"]

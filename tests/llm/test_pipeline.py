@@ -81,23 +81,23 @@ def test_run_matches_brute_force(spark, tmp_path):
     rows = fixture_rows()
     kind = "doc_id long, text string, lang string, source string, value string"
     spark.createDataFrame(rows, kind).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
-    # language: cosine with prototypes of all labelled texts, floor by noise and by a low quantile of labelled texts
+    # language: cosine with prototypes of all labelled texts, floor by noise
     unit = [plain_vector(t) if t else np.zeros(language_id.DIMENSIONS) for _, t, *_ in rows]
     unit = [v / np.linalg.norm(v) if v.any() and any(c.isalpha() for c in rows[k][1]) else None for k, v in enumerate(unit)]
     table = np.stack([sum(u for u, r in zip(unit, rows) if u is not None and r[2] == x) for x in ("xa", "xb", "xc")])
     table /= np.linalg.norm(table, axis=1, keepdims=True)
     score = [None if u is None else round(float((table @ u).max()), 6) for u in unit]
-    floor = max(P.LEAST_LANGUAGE_SCORE, min(s for s, r in zip(score, rows) if s is not None and r[2]))
+    floor = P.LEAST_LANGUAGE_SCORE
     kept = [r for s, r in zip(score, rows) if s is not None and s >= floor]
     assert len(kept) < len(rows) and 902 not in [r[0] for r in kept]
     # quality
     limits = quality_rules.LIMITS
     good = []
     for r in kept:
-        n, _, symbols, _, _, failed = base(r[1])
+        *_, failed = base(r[1])
         lines = [x for x in r[1].split("\n") if x.strip()]
         twice = sum(len(re.sub(r"\s", "", x)) for k, x in enumerate(lines) if x in lines[:k]) / max(1, len(re.sub(r"\s", "", r[1])))
-        if not failed and all(coverage(r[1], k) <= limits[k] for k in quality_rules.LENGTHS) and twice <= limits["lines"] and symbols <= quality_rules.SYMBOL_LIMIT * n:
+        if not failed and all(coverage(r[1], k) <= limits[k] for k in quality_rules.LENGTHS) and twice <= limits["lines"]:
             good.append(r)
     assert 0 < len(good) < len(kept)
     # near duplicates: the smallest id of each group, one row of it

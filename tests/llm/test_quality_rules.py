@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from lodestrata.llm import quality_rules as Q
 
 
@@ -31,11 +33,22 @@ def test_counts_match_brute_force(small):
             assert abs(r[f"dup_{n}gram_share"] - coverage(texts[r["doc_id"]], n)) < 1e-9
 
 
-def test_clean_documents_stay_and_junk_goes(spark, small):
+def test_clean_documents_stay_and_junk_has_its_own_column(spark, small):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    found = Q.measure_quality(small).join(labels, "doc_id").where("n_words >= 50").groupBy("quality").avg().collect()
-    shares = {r["quality"]: r for r in Q.measure_quality(small).join(labels, "doc_id").where("n_words >= 50").selectExpr("quality", "cast(kept as int) as k").groupBy("quality").avg("k").collect()}
-    assert found and shares[1]["avg(k)"] == 1.0 and shares[0]["avg(k)"] < 0.2
+    found = Q.measure_quality(small).join(labels, "doc_id").where("n_words >= 50").selectExpr("quality", "cast(kept as int) as k", "cast(kept and not symbols_failed as int) as s").groupBy("quality").avg("k", "s").collect()
+    shares = {r["quality"]: r for r in found}
+    assert shares[1]["avg(k)"] == shares[1]["avg(s)"] == 1.0 and shares[0]["avg(s)"] < 0.2
+
+
+@pytest.mark.parametrize("share", [0.1, 0.16, 0.22, 0.28, 0.34])
+def test_planted_repetition_is_judged_by_its_share(spark, share):
+    """A passage that stands twice, of 10 words or more, on this share of 400 words of equal length."""
+    rng = random.Random(int(100 * share))
+    words = [f"w{k:06d}" for k in rng.sample(range(10**6), 400)]
+    again = int(200 * share)
+    words[300 : 300 + again] = words[:again]
+    r = Q.measure_quality(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).collect()[0]
+    assert abs(r["dup_10gram_share"] - 2 * again / 400) < 1e-9 and not r["base_failed"] and r["kept"] == (2 * again / 400 <= Q.LIMITS[10])
 
 
 def test_edges(edge_docs, no_docs):
