@@ -18,19 +18,15 @@ from lodestrata.llm import language_id, mixing, near_dedup, packing, quality_rul
 from lodestrata.llm.storage import Workspace, load, scope
 
 LEAST_LANGUAGE_SCORE = 4 / language_id.DIMENSIONS**0.5
-"""Four standard deviations of the cosine of unrelated vectors."""
-LOW_QUANTILE = 0.001
+"""Four standard deviations of the cosine of unrelated vectors. Clean texts of one or two short words can lie below it."""
 ORACLE_SQL = None
 """Random vectors, rounding draws and packing order are not SQL; a test holds run() against brute force."""
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language: a letter, and a cosine with some language's profile above noise and above what nearly all learned documents reach."""
+    """Documents with a recognised language: a letter, and a cosine with some language's profile above noise, the same at every size."""
     learned, score = language_id.model(language_id.learn(docs)), "__language_score"
-    scored = Workspace(spark, "language").table(language_id.with_score(docs, learned, score), "scored")  # texts are encoded once
-    known = scored.where(F.col("lang").isNotNull() & (F.col(score) > -1))
-    low = known.agg(F.percentile_approx(score, LOW_QUANTILE, 10000)).first()[0]
-    return scored.where(F.col(score) >= max(LEAST_LANGUAGE_SCORE, low or 0.0)).drop(score)
+    return language_id.with_score(docs, learned, score).where(F.col(score) >= LEAST_LANGUAGE_SCORE).drop(score)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
