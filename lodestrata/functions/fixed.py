@@ -87,6 +87,12 @@ MAJOR_TYPES = "Controller Service Repository ExternalClient Gateway Middleware H
 SUPPORTING_TYPES = "Entity DTO Mapper Validator Configuration FrontendComponent FrontendService RouteGuard StateStore".split()
 
 PRIMITIVE_TYPES = "ActionResult bool byte CancellationToken char DateTime decimal double float Guid IActionResult IEnumerable IResult int long object short string Task uint ulong void".split()
+
+# Names before a dot that are no component: of statics and of a request in methods, and in a type's body elsewhere.
+IGNORED_STATIC_TARGETS = "Array Convert Console DateTime Enum Guid JsonSerializer Math Path Results StringComparer Task".split()
+IGNORED_INSTANCE_TARGETS = "HttpContext ModelState Request Response User".split()
+IGNORED_BODY_TARGETS = "Task Math Guid DateTime JsonSerializer Enum Results Console Path Convert StringComparer".split()
+
 DTO_SUFFIXES = "Dto DTO Request Response Result ViewModel Model".split()
 DEPENDENCY_HINTS = "Client Context Gateway Logger Manager Mapper Mediator Repository Sender Service Store".split()
 

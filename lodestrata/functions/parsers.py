@@ -1,81 +1,18 @@
-"""Parsers for what regular expressions cannot say, and the table functions that run them.
+"""The parser of Python sources, and the table function that runs it.
 
-``register`` makes them callable from SQL: ``python_symbols``, ``csharp_types``, and the scalar
-``matching_brace`` and ``split_commas``. Inputs that are null or do not parse give no rows.
+``register`` makes it callable from SQL as ``python_symbols``. Inputs that are null or do not parse give no
+rows. C# sources are read by ``lodestrata.operators.code``.
 """
 
 from __future__ import annotations
 
 import ast
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.functions import fixed
 
-_TOKEN = re.compile(r"""//[^\n]*|/\*.*?(?:\*/|\Z)|\$?@\$?"(?:[^"]|"")*"|\$?"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|[{}]""", re.S)
-
-
-def matching_brace(text: str, start: int) -> int | None:
-    """The place of the brace that closes the one at ``start``; braces in strings, characters and comments don't count."""
-    if text is None or start is None or not 0 <= start < len(text) or text[start] != "{":
-        return None
-    depth = 0
-    for found in _TOKEN.finditer(text, start):
-        if found[0] == "{":
-            depth += 1
-        elif found[0] == "}":
-            depth -= 1
-            if depth == 0:
-                return found.start()
-    return None
-
-
-def split_commas(text: str) -> list[str]:
-    """Parts between commas outside (), <>, [] and {}."""
-    parts, depth, begin = [], 0, 0
-    for at, c in enumerate(text or ""):
-        if c in "(<[{":
-            depth += 1
-        elif c in ")>]}":
-            depth -= 1
-        elif c == "," and depth == 0:
-            parts.append(text[begin:at])
-            begin = at + 1
-    parts.append((text or "")[begin:])
-    return [p.strip() for p in parts if p.strip()]
-
-
-def parameters(text: str) -> list[tuple[str, str]]:
-    """(type, name) of a parameter list without comments, attributes, modifiers and defaults."""
-    plain = re.sub(r"//[^\n]*|/\*.*?\*/", " ", text or "", flags=re.S)
-    out = []
-    for part in split_commas(plain):
-        part = re.sub(r"^(\[[^\]]*\]\s*)+", "", part).split("=")[0].strip()
-        part = re.sub(r"^(this|in|out|ref|params|readonly)\s+", "", part)
-        kind, _, name = part.rpartition(" ")
-        if kind and name:
-            out.append((kind.strip().rstrip("?"), name))
-    return out
-
-
-_HEAD = re.compile(r"(?m)^[ \t]*((?:\[[^\]\n]*\][ \t]*\n?[ \t]*)*)(?:(?:public|internal|private|protected|abstract|static|sealed|partial|readonly)\s+)*(class|interface|struct|enum|record)\s+(\w+)(?:\s*<[^>{}\n]+>)?(?:\s*:\s*([^{;\n]+))?")
-
-
-def csharp_types(text: str):
-    """(kind, name, bases, annotations, start line, end line, public methods) of each type in C# source."""
-    for head in _HEAD.finditer(text or ""):
-        open_ = text.find("{", head.end())
-        close = matching_brace(text, open_)
-        if close is None:
-            continue
-        body = text[open_ + 1 : close]
-        methods = re.findall(r"(?m)^\s*public\s+(?:(?:static|async|override|virtual)\s+)*[\w<>,\[\]\?\.]+\s+(\w+)\s*\(", body)
-        line = text.count("\n", 0, head.start(2)) + 1
-        yield head[2], head[3], split_commas(head[4] or ""), re.findall(r"\[([^\]\n]*)\]", head[1]), line, text.count("\n", 0, close) + 1, [m for m in methods if m != head[3]]
-
-
 def python_symbols(text: str):
     """(kind, name, line, arguments, docstring, is_async) of each class and function; none if the source does not parse."""
     try:
@@ -89,26 +26,11 @@ def python_symbols(text: str):
             yield "method", node.name, node.lineno, [a.arg for a in node.args.args], (ast.get_docstring(node) or "")[:300], isinstance(node, ast.AsyncFunctionDef)
 
 
-def registrations(text: str):
-    """(lifetime, service, implementation, line) of generic DI calls, with nested generics kept whole."""
-    for call in re.finditer(r"\.Add(Scoped|Transient|Singleton|DbContext|HostedService)\s*<", text or ""):
-        depth, at = 1, call.end()
-        while at < len(text) and depth:
-            depth += {"<": 1, ">": -1}.get(text[at], 0)
-            at += 1
-        if depth:
-            continue
-        args = split_commas(text[call.end() : at - 1])
-        yield call[1], args[0], args[1] if len(args) > 1 else args[0], text.count("\n", 0, call.start()) + 1
-
-
 _TABLES = {
     "python_symbols": (python_symbols, "kind string, name string, line long, arguments array<string>, docstring string, is_async boolean"),
-    "csharp_types": (csharp_types, "kind string, name string, bases array<string>, annotations array<string>, start_line long, end_line long, methods array<string>"),
-    "di_calls": (registrations, "lifetime string, service string, implementation string, line long"),
 }
 #: Extractors by language, for callers that add their own.
-EXTRACTORS = {"python": "python_symbols", "dotnet": "csharp_types"}
+EXTRACTORS = {"python": "python_symbols"}
 
 
 def extract(rows: DataFrame, function: str, *keys: str, text: str = "text") -> DataFrame:

@@ -6,14 +6,16 @@ the texts, and share no rule, pattern or parser with the queries.
 
 from __future__ import annotations
 
-import pyarrow as pa
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.functions import csharp, parsers
+from lodestrata.functions import parsers
 from lodestrata.functions.rules import quote as q
 from lodestrata.operators import aggregates as A
 from lodestrata.operators import classify as C
+from lodestrata.operators.code import Code, matching_brace, parameters, split_commas
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import register
 from lodestrata.sources import files as S
@@ -55,58 +57,45 @@ STARTUP = made(
 STARTUP_CODE = f"SELECT p_partkey AS seq, concat('src/Api', {KEY}, '/Program.cs') AS path, {STARTUP} AS text FROM <<part>>"
 
 
-def code_facts(rows: DataFrame, *kinds: str) -> DataFrame:
-    """The facts of files (seq, path, text), of all kinds or of these; Arrow-batched, without a shuffle."""
-    wanted = frozenset(kinds) or None
-    names = ["seq", *(c.split()[0] for c in csharp.FACT.split(", "))]
-    kinds = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
-    schema = pa.schema([("seq", pa.int64()), *((c.split()[0], kinds[c.split()[1]]) for c in csharp.FACT.split(", "))])
-
-    def run(batches):
-        for batch in batches:
-            found = [(seq, *fact) for seq, path, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) for fact in csharp.code_facts(path, text, wanted)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(schema.types)], names)
-
-    return rows.select(F.col("seq").cast("long"), "path", "text").mapInArrow(run, f"seq long, {csharp.FACT}")
-
-
-def _facts(key: str, statement: str, kinds: str, columns: list[str], oracle: str):
-    """A query of some kinds of facts, with these columns."""
+def _facts(key: str, statement: str, rows: Callable[[Code], DataFrame], columns: list[str], oracle: str):
+    """A query of one kind of facts, with these columns."""
 
     @register(key, oracle)
     def plan(spark, sf_dir):
-        found = code_facts(B.source(spark, sf_dir, statement), *kinds.split())
-        return found.select("seq", *(F.col(c.split()[0]).alias(c.split()[-1]) for c in columns))
+        found = rows(Code(B.source(spark, sf_dir, statement)))
+        return found.select("seq", *(F.expr(c.rpartition(" AS ")[0] or c).alias(c.rpartition(" AS ")[2]) for c in columns))
 
     return plan
 
 
-_facts("code_types", CONTROLLER_CODE, "type", ["owner name", "member kind", "name bases", "detail attributes", "line"], expected(
+BASES, LISTED, PARAMETERS = "array_join(bases, ',') AS bases", "array_join(attributes, ';') AS attributes", "array_join(transform(params, p -> concat(p.type, ' ', p.name)), ',') AS parameters"
+
+_facts("code_types", CONTROLLER_CODE, lambda c: c.types, ["owner AS name", "kind", BASES, LISTED, "line"], expected(
     "'W<key>Controller' AS name, 'class' AS kind, 'ControllerBase,IDisposable' AS bases, '[Area(\"zone<size>\")];[Route(\"api/[controller]\")]' AS attributes, 5 AS line", "'Spare<key>', 'class', '', '', 40"))
-_facts("program_types", STARTUP_CODE, "type", ["owner name", "member kind", "line"], expected("'Program' AS name, 'top-level-statements' AS kind, 1 AS line"))
-_facts("type_members", CONTROLLER_CODE, "member", ["owner", "member name", "name returns", "detail parameters", "line"], expected(
+_facts("program_types", STARTUP_CODE, lambda c: c.types, ["owner AS name", "kind", "line"], expected("'Program' AS name, 'top-level-statements' AS kind, 1 AS line"))
+_facts("type_members", CONTROLLER_CODE, lambda c: c.methods, ["owner", "member AS name", "returns", PARAMETERS, "line"], expected(
     "'W<key>Controller' AS owner, 'Find' AS name, 'Task' AS returns, 'int id,IMediator mediator,ICatalogService catalog' AS parameters, 20 AS line", "'W<key>Controller', 'Drop', 'void', 'string s,OrderDto dto', 35", "'W<key>Controller', 'Plain', 'int', '', 37"))
-_facts("dependency_facts", CONTROLLER_CODE, "dependency", ["member source", "name", "type", "detail method", "confidence"], expected(
+_facts("dependency_facts", CONTROLLER_CODE, Code.dependencies, ["source", "name", "type", "method", "confidence"], expected(
     "'constructor' AS source, 'orders' AS name, 'IOrderService' AS type, NULL AS method, 0.9::DOUBLE AS confidence", "'constructor', 'mediator', 'IMediator', NULL, 0.9", "'property_injection', 'Store', 'IStore', NULL, 0.9",
     "'method_parameter', 'mediator', 'IMediator', 'Find', 0.76", "'method_parameter', 'catalog', 'ICatalogService', 'Find', 0.76"))
-_facts("call_facts", CONTROLLER_CODE, "call", ["owner", "member source_method", "detail target", "type", "name method", "line"], expected(
+_facts("call_facts", CONTROLLER_CODE, Code.calls, ["owner", "source_method", "target", "type", "method", "line"], expected(
     "'W<key>Controller' AS owner, 'Find' AS source_method, '_orders' AS target, 'IOrderService' AS type, 'Load' AS method, 23 AS line", "'W<key>Controller', 'Find', 'catalog', 'ICatalogService', 'Fetch', 24", "'W<key>Controller', 'Find', 'made', 'Basket<size>', 'Fill', 24",
     "'W<key>Controller', 'Find', 'Helper', 'Helper', 'Check', 25", "'W<key>Controller', 'Find', 'mediator', 'IMediator', 'Send', 26", "'W<key>Controller', 'Find', '_cache', 'ICache', 'Send', 28", "'Spare<key>', NULL, '_store', 'IStore', 'Count', 43"))
-_facts("send_facts", CONTROLLER_CODE, "send", ["member source_method", "detail target", "type", "name request", "line"], expected(
+_facts("send_facts", CONTROLLER_CODE, Code.sends, ["source_method", "target", "type", "request", "line"], expected(
     "'Find' AS source_method, 'mediator' AS target, 'IMediator' AS type, 'FindQuery<size>' AS request, 26 AS line", "'Find', 'other', 'IMediator', 'Later', 27"))
-_facts("http_call_facts", CONTROLLER_CODE, "api_call http_client_call", ["kind", "member target", "name method", "detail path", "line", "confidence"], expected(
+_facts("http_call_facts", CONTROLLER_CODE, Code.http_calls, ["kind", "target", "method", "address AS path", "line", "confidence"], expected(
     "'api_call' AS kind, 'http' AS target, 'GET' AS method, 'api/items/<size>' AS path, 29 AS line, 0.78::DOUBLE AS confidence", "'http_client_call', 'client', 'POST', 'url<size>', 30, 0.5"))
-_facts("called_services", CONTROLLER_CODE, "called_services", ["owner", "member", "name services"], expected("'W<key>Controller' AS owner, 'Find' AS member, 'ICache.Send,IOrderService.Load' AS services"))
-_facts("attribute_route_facts", CONTROLLER_CODE, "route", ["member action", "name method", "detail path", "line", "confidence"], expected(
+_facts("called_services", CONTROLLER_CODE, Code.called_services, ["owner", "member", "services"], expected("'W<key>Controller' AS owner, 'Find' AS member, 'ICache.Send,IOrderService.Load' AS services"))
+_facts("attribute_route_facts", CONTROLLER_CODE, Code.attribute_routes, ["action", "method", "route AS path", "line", "confidence"], expected(
     "'Find' AS action, 'GET' AS method, '/zone<size>/api/W<key>/items/{id}/<size>' AS path, 20 AS line, 0.9::DOUBLE AS confidence", "'Find', 'POST', '/zone<size>/api/W<key>/items', 20, 0.9", "'Drop', 'DELETE', '/zone<size>/api/W<key>/gone/Drop', 35, 0.9",
     "'Plain', 'PATCH', '/zone<size>/api/W<key>', 37, 0.9"))
-_facts("mapped_route_facts", STARTUP_CODE, "mapped_route", ["member target", "name method", "detail path", "line", "confidence"], expected(
+_facts("mapped_route_facts", STARTUP_CODE, Code.mapped_routes, ["target", "method", "route AS path", "line", "confidence"], expected(
     "'e' AS target, 'GET' AS method, '/api<size>/v1/shop/deep/end/items' AS path, 7 AS line, 0.92::DOUBLE AS confidence", "'c', 'PUT', '/api<size>/v1/shop/<key>', 8, 0.92", "'app', 'POST', '/orders', 9, 0.9", "'none', 'DELETE', '/x', 10, 0.92"))
-_facts("framework_route_facts", STARTUP_CODE, "framework_route", ["member action", "type", "name method", "detail path", "line"], expected(
+_facts("framework_route_facts", STARTUP_CODE, Code.framework_routes, ["action", "type", "method", "route AS path", "line"], expected(
     "'ASP.NET conventional MVC route' AS action, 'HTTP_API' AS type, 'unknown' AS method, '/{controller}/<size>' AS path, 11 AS line", "'ASP.NET Razor Pages route registration', 'HTTP_API', 'unknown', 'ASP.NET Razor Pages route registration', 13",
     "'ASP.NET controller route registration', 'HTTP_API', 'unknown', 'ASP.NET controller route registration', 14", "'MinimalApi.Endpoint route registration', 'HTTP_API', 'unknown', 'MinimalApi.Endpoint route registration', 15",
     "'SPA fallback route', 'FrontendRoute', 'unknown', '/index.html', 16", "'ASP.NET health check route', 'HTTP_API', 'GET', '/health<size>', 17"))
-_facts("registration_facts", STARTUP_CODE, "di_registration db_context_registration", ["kind", "member lifetime", "name service", "type implementation", "line", "confidence"], expected(
+_facts("registration_facts", STARTUP_CODE, Code.registrations, ["kind", "lifetime", "service", "implementation", "line", "confidence"], expected(
     "'di_registration' AS kind, 'Scoped' AS lifetime, 'IRepo' AS service, 'Repo' AS implementation, 18 AS line, 0.86::DOUBLE AS confidence", "'db_context_registration', 'DbContext', 'Db<size>', 'Db<size>', 19, 0.86", "'di_registration', 'Singleton', 'Only<key>', 'Only<key>', 20, 0.86",
     "'di_registration', 'Transient', 'IRead', 'Reader<size>', 21, 0.88"))
 
@@ -133,19 +122,20 @@ def symbol_registry_rows(spark, sf_dir):
     """Components with their class, routes, distinct dependencies and entry points, from one reading of all files.
 
     Entry points are start-up files, and controllers by the shortest of their routes."""
-    files = B.source(spark, sf_dir, CONTROLLER_CODE).unionByName(B.source(spark, sf_dir, STARTUP_CODE))
-    facts = cut(code_facts(files).join(files.select(F.col("seq").alias("file_seq"), "path"), F.col("seq") == F.col("file_seq")).drop("file_seq").where(
-        ((F.col("owner") == "Program") | F.col("owner").isNull()) == F.col("path").endswith("Program.cs")))
-    types = facts.where("kind = 'type'").select("seq", F.col("owner").alias("name"), F.col("member").alias("kind"), F.col("path").alias("file"), F.col("name").alias("bases"), F.col("detail").alias("annotations"), F.lit("").alias("dep_types"), F.lit("backend").alias("category"))
-    components = C.classify_components(types).select(F.lit("component").alias("section"), "seq", "name", F.col("component_type").alias("type"), F.col("layer").alias("detail"))
-    routed = facts.where("kind IN ('route', 'mapped_route', 'framework_route')")
-    routes = routed.select(F.lit("route").alias("section"), "seq", F.concat_ws(" ", "name", "detail").alias("name"), "type", F.col("owner").alias("detail"))
-    linked = facts.where("kind IN ('call', 'dependency')").select("seq", F.col("type").alias("name"), F.when(F.col("kind") == "call", "calls").otherwise(F.col("member")).alias("type"), F.col("owner").alias("detail")).distinct()
-    shortest = facts.where("kind = 'route'").groupBy("seq", "owner").agg(F.min(F.struct(F.length("detail"), "detail"))["detail"].alias("name"))
-    entries = shortest.select("seq", "name", F.lit("controller").alias("type"), F.col("owner").alias("detail")).unionByName(
-        facts.where("kind = 'type' AND owner = 'Program'").select("seq", F.col("path").alias("name"), F.lit("bootstrap").alias("type"), F.col("owner").alias("detail")))
-    section = lambda name, rows: rows.select(F.lit(name).alias("section"), "seq", "name", "type", "detail")
-    return components.unionByName(routes).unionByName(section("dependency", linked)).unionByName(section("entry_point", entries))
+    code = Code(B.source(spark, sf_dir, CONTROLLER_CODE).unionByName(B.source(spark, sf_dir, STARTUP_CODE)))
+    section = lambda name, rows, *parts: rows.select(F.lit(name).alias("section"), "seq", *(c.alias(to) for c, to in zip(parts, ("name", "type", "detail"), strict=True)))
+    col = F.col
+    types = code.types.select("seq", col("owner").alias("name"), "kind", col("path").alias("file"), F.array_join("bases", ",").alias("bases"), F.array_join("attributes", ";").alias("annotations"), F.lit("").alias("dep_types"), F.lit("backend").alias("category"))
+    components = section("component", C.classify_components(types), col("name"), col("component_type"), col("layer"))
+    by_attribute = cut(code.attribute_routes())
+    mapped, framework = code.mapped_routes(), code.framework_routes()
+    said = F.concat_ws(" ", "method", "route")
+    routes = section("route", by_attribute, said, F.lit("HTTP_API"), col("owner")).unionByName(section("route", mapped, said, F.lit("HTTP_API"), col("owner"))).unionByName(section("route", framework, said, col("type"), col("owner")))
+    linked = section("dependency", code.calls(), col("type"), F.lit("calls"), col("owner")).unionByName(section("dependency", code.dependencies(), col("type"), col("source"), col("owner"))).distinct()
+    shortest = by_attribute.groupBy("seq", "owner").agg(F.min(F.struct(F.length("route"), "route"))["route"].alias("route"))
+    starts = code.types.where("owner = 'Program'")
+    entries = section("entry_point", shortest, col("route"), F.lit("controller"), col("owner")).unionByName(section("entry_point", starts, col("path"), F.lit("bootstrap"), col("owner")))
+    return components.unionByName(routes).unionByName(linked).unionByName(entries)
 
 
 PYTHON = made("import os", "", "class A<key>(Base):", '    """About."""', "    def save<size>(self, x, y=1):", '        """Saves <key>."""', "        return x", "", "async def load(*names):", "    pass")
@@ -159,8 +149,11 @@ def python_facts(spark, sf_dir):
 
 @register("type_headers", expected("'class' AS kind, 'W<key>Controller' AS name, 'ControllerBase,IDisposable' AS bases, 5 AS start_line, 38 AS end_line, 'Find,Drop,Plain' AS methods", "'class', 'Spare<key>', '', 40, 44, ''"))
 def type_headers(spark, sf_dir):
-    found = parsers.extract(B.source(spark, sf_dir, CONTROLLER_CODE), "csharp_types", "seq")
-    return found.select("seq", "kind", "name", F.array_join("bases", ",").alias("bases"), "start_line", "end_line", F.array_join("methods", ",").alias("methods"))
+    code = Code(B.source(spark, sf_dir, CONTROLLER_CODE))
+    ends = code.segments.select("seq", "path", F.col("n").alias("last"), F.col("line").alias("end_line"))
+    methods = code.methods.groupBy("seq", "path", "first").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "member"))), lambda m: m["member"]), ",").alias("methods"))
+    types = code.types.join(ends, ["seq", "path", "last"]).join(methods, ["seq", "path", "first"], "left")
+    return types.select("seq", "kind", F.col("owner").alias("name"), F.array_join("bases", ",").alias("bases"), F.col("line").alias("start_line"), "end_line", F.coalesce("methods", F.lit("")).alias("methods"))
 
 
 BRACES = made("{ a<key> \"}\" /* } */ '}' // }", "  { b } @\"q\"\"}\" } tail")
@@ -168,22 +161,19 @@ BRACES = made("{ a<key> \"}\" /* } */ '}' // }", "  { b } @\"q\"\"}\" } tail")
 
 @register("brace_ends", f"SELECT p_partkey AS seq, length({BRACES}) - 6 AS closed_at FROM part")
 def brace_ends(spark, sf_dir):
-    end = F.udf(lambda text: parsers.matching_brace(text, 0), "long")
-    return B.source(spark, sf_dir, f"SELECT p_partkey AS seq, {BRACES} AS text FROM <<part>>").select("seq", end("text").alias("closed_at"))
+    return B.source(spark, sf_dir, f"SELECT p_partkey AS seq, {BRACES} AS text FROM <<part>>").select("seq", matching_brace(F.col("text")).alias("closed_at"))
 
 
 @register("comma_parts", expected("0 AS place, 'Map<int, W<key>>' AS part", "1, 'f(a, b)'", "2, '[x, <size>]'", "3, 'plain'"))
 def comma_parts(spark, sf_dir):
-    parts = F.udf(parsers.split_commas, "array<string>")
     rows = B.source(spark, sf_dir, f"SELECT p_partkey AS seq, {made('Map<int, W<key>>, f(a, b),[x, <size>], , plain')} AS text FROM <<part>>")
-    return rows.select("seq", F.posexplode(parts("text")).alias("place", "part"))
+    return rows.select("seq", F.posexplode(split_commas(F.col("text"))).alias("place", "part"))
 
 
 @register("parameter_rows", expected("0 AS place, 'Map<int, W<key>>' AS type, 'a' AS name", "1, 'int', 'b'", "2, 'IStore', 'store<size>'"))
 def parameter_rows(spark, sf_dir):
-    pairs = F.udf(lambda text: [{"type": t, "name": n} for t, n in parsers.parameters(text)], "array<struct<type:string,name:string>>")
     rows = B.source(spark, sf_dir, f"SELECT p_partkey AS seq, {made('[FromBody] Map<int, W<key>> a = null, ref int? b /* , no */, this IStore store<size> // end')} AS text FROM <<part>>")
-    return rows.select("seq", F.posexplode(pairs("text")).alias("place", "p")).select("seq", "place", "p.type", "p.name")
+    return rows.select("seq", F.posexplode(parameters(F.col("text"))).alias("place", "p")).select("seq", "place", "p.type", "p.name")
 
 
 @register("text_reads", f"SELECT p_partkey AS seq, concat('a', {KEY}, chr(65533), 'é') AS replaced, concat('a', {KEY}, 'é') AS ignored FROM part")

@@ -1,24 +1,6 @@
 from lodestrata.functions import parsers as P
 
 
-def test_braces_in_strings_and_comments_do_not_count():
-    text = 'class A { var s = "}"; /* } */ char c = \'}\'; var v = @"a""}"; // }\n }'
-    assert P.matching_brace(text, text.index("{")) == len(text) - 1
-    assert P.matching_brace("{ {", 0) is None and P.matching_brace(None, 0) is None and P.matching_brace("x", 0) is None
-
-
-def test_parameters():
-    assert P.parameters('[FromBody] Dict<int, string> a = null, ref int? b /* x */, string c = "q"') == [("Dict<int, string>", "a"), ("int", "b"), ("string", "c")]
-    assert P.parameters("") == [] and P.parameters(None) == []
-
-
-def test_types_and_registrations():
-    text = "[ApiController]\npublic class A : B<int, C>, D {\n  public void X(int a) { }\n}\ninterface I { int F(); }\nclass Open {"
-    got = list(P.csharp_types(text))
-    assert got == [("class", "A", ["B<int, C>", "D"], ["ApiController"], 2, 4, ["X"]), ("interface", "I", [], [], 5, 5, [])]
-    assert list(P.registrations("services.AddScoped<IRepo<A>, Repo<A>>();\nx.AddDbContext<Db>();")) == [("Scoped", "IRepo<A>", "Repo<A>", 1), ("DbContext", "Db", "Db", 2)]
-
-
 def test_python_symbols(spark):
     rows = spark.createDataFrame([("a.py", 'class A:\n  async def f(self, x):\n    """d"""\n'), ("b.py", "def ("), ("c.py", None)], "path string, text string")
     got = [tuple(r) for r in P.extract(rows, "python_symbols", "path").collect()]
