@@ -6,6 +6,8 @@ driver. Self-loops and repeated edges don't matter unless stated; an empty graph
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,54 +15,43 @@ from lodestrata.operators.windows import top_k
 from lodestrata.sources.shared import cut
 
 
-def _spread(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labels after every node has taken the smallest label that reaches it along ``edges`` within its own group."""
+def _least_reaching(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
+    """(node, label): for every node of ``edges`` the smallest node from which it can be reached, itself included.
+
+    A round takes the labels of the nodes before and then the label of the label, so what is known of a path about doubles each time."""
+    labels = cut(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("label", F.col("node")))
     while True:
-        got = edges.join(labels.select(F.col("node").alias("src"), F.col("label").alias("l"), F.col("part").alias("p")), "src").groupBy(F.col("dst").alias("node"), F.col("p").alias("part")).agg(F.min("l").alias("l"))
-        new = cut(labels.join(got, ["node", "part"], "left").select("node", "part", F.least("label", F.coalesce("l", "label")).alias("label"), (F.coalesce("l", "label") < F.col("label")).alias("moved")))
-        labels = new.drop("moved")
-        if not new.where("moved").limit(1).count():
+        got = edges.join(labels.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("got"))
+        near = labels.join(got, "node", "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("got", "label")).alias("label"))
+        further = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        new = cut(near.join(further, "label").select("node", "old", F.least("label", "further").alias("label")))
+        if rounds is not None:
+            rounds.append(1)
+        labels = new.select("node", "label")
+        if not new.where("label < old").limit(1).count():
             return labels
 
 
-def strong_components(edges: DataFrame) -> DataFrame:
+def strong_components(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     """(node, scc): the strongly connected components of two nodes or more, each named by its smallest node.
 
-    Colouring: labels spread forward, so a node's label is the smallest node that reaches it; within
-    a colour, what reaches the colour's own node backward is its component. What is left goes round again; nodes without a
-    way in or out are cut first. Rounds follow the graph's depth, not its size."""
+    Every node learns the smallest node that reaches it and the smallest that it reaches. Where both are the same, that is its component.
+    Nodes of one component agree in both, so edges between nodes that differ are dropped, and what is left goes round again:
+    each round settles the smallest node of every remaining part. ``rounds`` gets an entry for each step of labels."""
     edges = cut(edges.where("src <> dst").select("src", "dst").distinct())
     found = None
-    while True:
-        while True:  # trim what cannot lie on a cycle
-            live = edges.join(edges.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(edges.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
-            live = cut(live)
-            before, after = edges.count(), live.count()
-            edges = live
-            if before == after:
-                break
-        if not after:
-            break
-        nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-        colour = _spread(edges, nodes.select("node", F.lit(0).alias("part"), F.col("node").alias("label")))
-        both = edges.join(colour.select(F.col("node").alias("src"), F.col("label").alias("cs")), "src").join(colour.select(F.col("node").alias("dst"), F.col("label").alias("cd")), "dst").where("cs = cd")
-        back = cut(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("cs").alias("colour")))
-        reached = cut(colour.where("node = label").select("node", F.col("label").alias("colour")))
-        front = reached
-        while True:
-            step = front.withColumnRenamed("node", "src").join(back, ["src", "colour"]).select(F.col("dst").alias("node"), "colour").distinct().join(reached, ["node", "colour"], "left_anti")
-            front = cut(step)
-            if not front.limit(1).count():
-                break
-            reached = cut(reached.unionByName(front))
-        done = reached.select("node", F.col("colour").alias("scc"))
+    while edges.limit(1).count():
+        ahead, back = _least_reaching(edges, rounds), _least_reaching(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), rounds)
+        known = cut(ahead.join(back.withColumnRenamed("label", "reached"), "node"))
+        done = known.where("label = reached").select("node", F.col("label").alias("scc"))
         found = done if found is None else found.unionByName(done)
-        gone = reached.select("node")
-        edges = cut(edges.join(gone.withColumnRenamed("node", "src"), "src", "left_anti").join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti"))
+        left = known.where("label <> reached")
+        side = lambda s: left.select(F.col("node").alias(s), F.col("label").alias(f"l_{s}"), F.col("reached").alias(f"r_{s}"))
+        edges = cut(edges.join(side("src"), "src").join(side("dst"), "dst").where("l_src = l_dst AND r_src = r_dst").select("src", "dst"))
     if found is None:
         return edges.select(F.col("src").alias("node"), F.col("src").alias("scc"))
-    many = found.groupBy("scc").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
-    return found.join(many, "scc").select("node", F.col("least").alias("scc"))
+    many = found.groupBy("scc").agg(F.count("*").alias("n")).where("n > 1")
+    return found.join(many, "scc").select("node", "scc")
 
 
 def label_communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
@@ -75,6 +66,49 @@ def label_communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
     return labels
 
 
+PIVOTS = 2000
+"""Nodes from which shortest paths are counted; graphs of more nodes are sampled."""
+
+
+def betweenness(edges: DataFrame, pivots: int = PIVOTS, confidence: float = 0.95) -> DataFrame:
+    """(node, betweenness, error_bound): on how many shortest paths between two other nodes a node lies, each pair's paths weighing one in all.
+
+    Path counts spread forward level by level from all pivots at once, and dependencies are added up backward over the same levels, so the
+    rounds are twice the longest shortest path and the state is a row a pivot and node that it reaches. With at most ``pivots`` nodes every node is a
+    pivot and the result is exact. Above, the pivots are those of least hash, sums are scaled by nodes / pivots, and
+    with a chance of ``confidence`` no node is off by more than ``error_bound`` (Hoeffding over the pivots, all nodes at once)."""
+    edges = cut(edges.where("src <> dst").select("src", "dst").distinct())
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    n = nodes.count()
+    chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(pivots) if n > pivots else nodes
+    levels = [cut(chosen.select(F.col("node").alias("pivot"), "node", F.lit(1.0).alias("paths")))]
+    seen = levels[0].select("pivot", "node")
+    while True:
+        met = levels[-1].withColumnRenamed("node", "src").join(edges, "src").groupBy("pivot", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
+        new = cut(met.join(seen, ["pivot", "node"], "left_anti"))
+        if not new.limit(1).count():
+            break
+        levels.append(new)
+        seen = seen.unionByName(new.select("pivot", "node"))
+    below, parts = None, []
+    for level in reversed(levels[1:]):
+        if below is None:
+            own = level.withColumn("share", F.lit(0.0))
+        else:
+            met = level.withColumnRenamed("node", "src").join(edges, "src").select("pivot", "src", "paths", F.col("dst").alias("node")).join(below, ["pivot", "node"])
+            given = met.groupBy("pivot", F.col("src").alias("node")).agg(F.sum(F.col("paths") / F.col("b_paths") * (1 + F.col("b_share"))).alias("share"))
+            own = level.join(given, ["pivot", "node"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+        own = cut(own)
+        parts.append(own.select("node", "share"))
+        below = own.select("pivot", "node", F.col("paths").alias("b_paths"), F.col("share").alias("b_share"))
+    k = min(n, pivots)
+    bound = 0.0 if n <= pivots else n * (n - 2) * math.sqrt(math.log(2 * n / (1 - confidence)) / (2 * k))
+    total = nodes.select("node", F.lit(0.0).alias("share"))
+    for part in parts:
+        total = total.unionByName(part)
+    return total.groupBy("node").agg((F.sum("share") * (n / max(1, k))).alias("betweenness")).withColumn("error_bound", F.lit(bound))
+
+
 def call_flows(edges: DataFrame, starts: DataFrame, depth: int = 4, fan_out: int = 6, steps: int = 10) -> DataFrame:
     """(entry, step, node, level): a bounded breadth-first walk from each entry's owner.
 

@@ -45,6 +45,18 @@ def isolated_nodes(spark, sf_dir):
     return names.join(degree, "name", "left").select("name", F.coalesce("degree", F.lit(0)).alias("degree")).where("degree <= 1")
 
 
+#: Pairs of nodes with their distance and number of shortest paths, from walks counted by length; a node lies between two others where the distances add up.
+BRIDGE_SQL = f"""WITH RECURSIVE e AS ({B.duck(B.DIGRAPH)}), w(s, v, steps, walks) AS (SELECT src, dst, 1, 1::DOUBLE FROM e UNION ALL (SELECT w.s, e.dst, any_value(w.steps) + 1, sum(w.walks) FROM w JOIN e ON e.src = w.v WHERE w.steps < 7 GROUP BY w.s, e.dst)),
+  d AS (SELECT s, v, min(steps) AS far, arg_min(walks, steps) AS paths FROM w WHERE s <> v GROUP BY s, v),
+  b AS (SELECT x.v AS node, sum(x.paths * y.paths / z.paths) AS score FROM d x JOIN d y ON y.s = x.v JOIN d z ON z.s = x.s AND z.v = y.v AND z.far = x.far + y.far GROUP BY x.v)
+  SELECT node, round(coalesce(score, 0), 3) AS betweenness FROM (SELECT DISTINCT unnest([src, dst]) AS node FROM e) n LEFT JOIN b USING (node)"""
+
+
+@register("bridge_nodes", BRIDGE_SQL)
+def bridge_nodes(spark, sf_dir):
+    return G.betweenness(B.source(spark, sf_dir, B.DIGRAPH)).select("node", F.round("betweenness", 3).alias("betweenness"))
+
+
 @register("communities")
 def communities(spark, sf_dir):
     edges = B.source(spark, sf_dir, B.DIGRAPH)

@@ -212,8 +212,7 @@ def dedup_multikey(spark, sf_dir):
 
 @register("array_distinct", f"SELECT src, count(*) AS n FROM (SELECT DISTINCT src, dst, kind, line FROM ({EDGE}) t) u GROUP BY src")
 def array_distinct(spark, sf_dir):
-    listed = B.source(spark, sf_dir, B.EDGES).groupBy("src").agg(F.collect_list(F.struct("dst", "kind", "line")).alias("all"))
-    return listed.select("src", F.size(F.array_distinct("all")).cast("long").alias("n"))
+    return B.source(spark, sf_dir, B.EDGES).select("src", "dst", "kind", "line").distinct().groupBy("src").agg(F.count("*").alias("n"))
 
 
 @register("unique_sorted", f"SELECT project, string_agg(DISTINCT module, ',' ORDER BY module) FILTER (WHERE module NOT IN ('', 'unknown', 'Unknown')) AS modules FROM ({COMP}) t GROUP BY project")
@@ -310,6 +309,26 @@ def context_trim(spark, sf_dir):
     return B.source(spark, sf_dir, "SELECT doc_id, text FROM <<documents>>").orderBy("doc_id").limit(50).select("doc_id", F.substring("text", 1, 800).alias("head"), (F.length("text") > 800).alias("cut"))
 
 
+PROMPT_BUDGET = 60_000
+
+#: Of each layer (source) the first 10 documents with 3000 characters each, serialised in order.
+SERIALISED = "SELECT layer, doc_id, concat(chr(34), layer, '/', cast(doc_id AS varchar(20)), chr(34), ': ', chr(34), substring(text, 1, 3000), chr(34), ',', chr(10)) AS entry FROM (SELECT coalesce(source, 'none') AS layer, doc_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) AS k FROM <<documents>>) d WHERE k <= 10"
+
+
+@register("prompt_budget", f"WITH e AS ({B.duck(SERIALISED)}), r AS (SELECT *, sum(length(entry)) OVER (ORDER BY layer, doc_id) - length(entry) AS start FROM e) SELECT layer, doc_id, start::BIGINT AS start, length(entry) > {PROMPT_BUDGET} - start AS cut, sha256(substring(entry, 1, ({PROMPT_BUDGET} - start)::BIGINT)) AS entry_sha256 FROM r WHERE start < {PROMPT_BUDGET}")
+def prompt_budget(spark, sf_dir):
+    """What of all layers' serialised outputs fits the prompt: entries in order, the last one cut in its midst."""
+    found = W.within_budget(B.source(spark, sf_dir, SERIALISED), "entry", PROMPT_BUDGET, "layer", "doc_id")
+    return found.select("layer", "doc_id", "start", "cut", F.sha2("entry", 256).alias("entry_sha256"))
+
+
+@register("context_budget", f"WITH e AS (SELECT doc_id, substring(coalesce(text, ''), 1, 800) AS head FROM documents), r AS (SELECT *, sum(length(head)) OVER (ORDER BY doc_id) - length(head) AS start FROM e) SELECT doc_id, start::BIGINT AS start, length(head) > {PROMPT_BUDGET} - start AS cut, sha256(substring(head, 1, ({PROMPT_BUDGET} - start)::BIGINT)) AS head_sha256 FROM r WHERE start < {PROMPT_BUDGET} AND head <> ''")
+def context_budget(spark, sf_dir):
+    """Heads of 800 characters of all documents in order, as far as the budget goes."""
+    heads = B.source(spark, sf_dir, "SELECT doc_id, substring(coalesce(text, ''), 1, 800) AS head FROM <<documents>>")
+    return W.within_budget(heads, "head", PROMPT_BUDGET, "doc_id").select("doc_id", "start", "cut", F.sha2("head", 256).alias("head_sha256"))
+
+
 CONTEXT = f"(regexp_like(lower_name, {quote('^(' + '|'.join(fixed.CONTEXT_FILES) + ')$')}) OR regexp_like(concat('/', lower_path), {quote('/(' + '|'.join(x.replace('.', '[.]') for x in fixed.CONTEXT_FOLDERS) + ')/')}))"
 
 

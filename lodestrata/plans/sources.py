@@ -16,9 +16,11 @@ from lodestrata.functions.rules import quote as q
 from lodestrata.operators import aggregates as A
 from lodestrata.operators import classify as C
 from lodestrata.operators.code import Code, matching_brace, parameters, split_commas
+from lodestrata.operators import extract as X
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import register
 from lodestrata.sources import files as S
+from lodestrata.sources import named_files as N
 from lodestrata.sources.shared import cut
 
 KEY, SIZE = B.KEY, B.SIZE
@@ -238,14 +240,42 @@ def phase_tables(spark, sf_dir):
     return read("inventory").unionByName(read("parsed"))
 
 
-CONTRACTS = [("part", ["p_partkey", "p_brand"]), ("part", ["p_partkey", "owner"]), ("region", ["r_regionkey"]), ("orders", ["o_x", "o_y"])]
+#: Files in marked answers with their place: the first names a row's own file, the second one that rows of a size share.
+SAVED = f"""WITH m AS (SELECT seq, unnest(regexp_extract_all(text, {q(X.MARKER)}, 1)) AS marked, unnest(regexp_extract_all(text, {q(X.MARKER)}, 2)) AS body FROM ({B.duck(B.MARKED)}) t), n AS (SELECT seq, concat('answers/', regexp_replace(marked, '^.*/', '')) AS name, trim(body, chr(10)) AS body FROM m),
+  p AS (SELECT concat('phases/inventory/', p_brand, '.json') AS name, concat('{{"brand":"', p_brand, '","parts":', count(*), ',"largest":', max(p_size), '}}') AS body FROM part GROUP BY p_brand)
+  SELECT name, strlen(any_value(body))::BIGINT AS n_bytes, sha256(arg_max(body, seq)) AS sha256 FROM n GROUP BY name HAVING strlen(arg_max(body, seq)) > 0 UNION ALL SELECT name, strlen(body)::BIGINT, sha256(body) FROM p"""
 
 
-@register("contract_rows", "SELECT 1 AS number, 'part: column owner is missing' AS problem UNION ALL SELECT 3, 'orders: column o_x is missing' UNION ALL SELECT 3, 'orders: column o_y is missing' UNION ALL SELECT 4, 'none: no rows'")
+@register("saved_files", SAVED)
+def saved_files(spark, sf_dir):
+    """Marked answers and phase artifacts put down as files by name, and read back from the folder."""
+    from lodestrata.sources.shared import folder
+
+    marked = X.matches(B.source(spark, sf_dir, B.MARKED), X.MARKER, [1, 2], "seq").select(
+        "seq", "pos", F.concat(F.lit("answers/"), F.substring_index("g1", "/", -1)).alias("name"), F.trim(F.col("g2"), F.lit("\n")).alias("content"))
+    brands = B.source(spark, sf_dir, "SELECT p_brand AS brand, count(*) AS parts, max(p_size) AS largest FROM <<part>> GROUP BY p_brand")
+    phases = brands.select(F.concat(F.lit("phases/inventory/"), "brand", F.lit(".json")).alias("name"), F.to_json(F.struct("brand", "parts", "largest")).alias("content"))
+    at = folder(spark, "saved")
+    N.save(N.last_of_each(marked, "seq", "pos").unionByName(phases), at)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
+    return found.select(F.regexp_extract("path", "((?:answers|phases)/.*)$", 1).alias("name"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+CONTRACTS = [
+    ("part", ["p_partkey", "p_brand"], ["p_partkey"], []), ("part", ["p_partkey", "owner"], [], []), ("region", ["r_regionkey"], ["r_regionkey"], []), ("orders", ["o_x", "o_y"], [], []),
+    ("events", ["event_id", "props"], ["event_id"], ["props", "event_type"]), ("documents", ["doc_id"], ["doc_id", "source"], []),
+]
+
+
+@register("contract_rows", """SELECT 1 AS number, 'part: column owner is missing' AS problem UNION ALL SELECT 3, 'orders: column o_x is missing' UNION ALL SELECT 3, 'orders: column o_y is missing' UNION ALL SELECT 6, 'none: no rows'
+  UNION ALL SELECT 4, concat('events: ', count(*), ' rows of event_type are no JSON') FROM events WHERE event_type IS NOT NULL AND NOT json_valid(event_type) HAVING count(*) > 0
+  UNION ALL SELECT 4, concat('events: ', count(*), ' rows of props are no JSON') FROM events WHERE props IS NOT NULL AND NOT json_valid(props) HAVING count(*) > 0
+  UNION ALL SELECT 4, concat('events: ', count(*), ' rows without event_id') FROM events WHERE event_id IS NULL HAVING count(*) > 0
+  UNION ALL SELECT 5, concat('documents: ', count(*), ' rows without source') FROM documents WHERE source IS NULL HAVING count(*) > 0
+  UNION ALL SELECT 5, concat('documents: ', count(*), ' rows without doc_id') FROM documents WHERE doc_id IS NULL HAVING count(*) > 0""")
 def contract_rows(spark, sf_dir):
-    tables = [(name, needed, B.source(spark, sf_dir, f"SELECT * FROM <<{name}>>")) for name, needed in CONTRACTS] + [("none", ["id"], spark.range(0))]
-    found = [(k, problem) for k, (name, needed, table) in enumerate(tables) for problem in S.check_contract(table, needed, name)]
-    return spark.createDataFrame(found, "number int, problem string")
+    tables = [S.Contract(name, B.source(spark, sf_dir, f"SELECT * FROM <<{name}>>"), needed, keys, json) for name, needed, keys, json in CONTRACTS]
+    return S.contract_problems([*tables, S.Contract("none", spark.range(0), ["id"])])
 
 
 STEPS = "SELECT concat('step', cast(o_custkey % 7 as varchar(20))) AS label, CASE WHEN o_orderkey % 5 = 0 THEN 1 WHEN o_orderkey % 11 = 0 THEN NULL ELSE 0 END AS returncode, cast(o_orderkey % 8 as double) / 4 AS duration FROM <<orders>>"

@@ -10,16 +10,16 @@ from __future__ import annotations
 import json
 import os
 import re
-import tempfile
 import xml.etree.ElementTree as ET
-import zipfile
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.functions import fixed
 from lodestrata.functions.text import line_count, looks_binary
 from lodestrata.operators import classify
+from lodestrata.sources import archives
 
 REPOSITORY_URL = re.compile(r"^(?:https?://|git@|ssh://git@)[\w.@:/~-]+$")
 
@@ -27,19 +27,12 @@ REPOSITORY_URL = re.compile(r"^(?:https?://|git@|ssh://git@)[\w.@:/~-]+$")
 def resolve_source(source: str) -> dict[str, str]:
     """``local_path, source_type, original_source`` of a directory or a zip; URLs are named, not fetched.
 
-    A zip with one folder at its root is entered. Anything else raises ValueError."""
+    A zip is not unpacked: its path is that of the archive, ``!/`` and the one folder at its root, if there is one. ``scan``
+    reads both kinds. An archive with an unsafe path, and anything else, raises ValueError."""
     if os.path.isdir(source):
         return {"local_path": source, "source_type": "directory", "original_source": source}
-    if source.lower().endswith(".zip") and os.path.isfile(source):
-        target = tempfile.mkdtemp(prefix="lodestrata-zip-")
-        with zipfile.ZipFile(source) as archive:
-            for member in archive.namelist():
-                if os.path.isabs(member) or ".." in member.split("/"):
-                    raise ValueError(f"unsafe path in {source}: {member}")
-            archive.extractall(target)
-        inside = os.listdir(target)
-        root = os.path.join(target, inside[0]) if len(inside) == 1 and os.path.isdir(os.path.join(target, inside[0])) else target
-        return {"local_path": root, "source_type": "zip", "original_source": source}
+    if source.lower().endswith(".zip") and ("://" in source or os.path.isfile(source)):
+        return {"local_path": f"{source}!/{archives.single_root(source)}", "source_type": "zip", "original_source": source}
     if REPOSITORY_URL.match(source) and "/" in source:
         raise ValueError(f"{source} must be cloned first: this engine has no network")
     raise ValueError(f"no such source: {source}")
@@ -48,7 +41,12 @@ def resolve_source(source: str) -> dict[str, str]:
 def scan(spark: SparkSession, root: str) -> DataFrame:
     """``path, name, folder, suffix, lower_*, size_bytes, content`` of every file under ``root``, recursively.
 
-    Spark lists no empty files; they hold no facts."""
+    ``root`` is a folder, or a folder in an archive as ``resolve_source`` names it. Empty files are not listed; they hold no facts."""
+    if "!/" in root or root.lower().endswith(".zip"):
+        archive, _, inner = root.partition("!/")
+        archives.register(spark)
+        rows = spark.read.format("zip_entries").option("root", inner).load(archive).where("length > 0").select("path", F.col("length").alias("size_bytes"), "content")
+        return with_names(rows.withColumn("name", F.substring_index("path", "/", -1)))
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     base = root.rstrip("/") + "/"
     path = F.regexp_replace(F.col("path"), "^file:/*", "/")
@@ -199,13 +197,67 @@ def project_files(files: DataFrame) -> DataFrame:
     return files.select("path", "text").mapInPandas(run, PROJECT)
 
 
-def write_phase(tables: dict[str, DataFrame], folder: str) -> None:
-    """Each table as Parquet under ``folder``."""
+@dataclass
+class Contract:
+    """What a table must hold: columns, rows, keys that are never null, columns whose texts are JSON."""
+
+    name: str
+    table: DataFrame
+    required: list[str]
+    keys: list[str] = field(default_factory=list)
+    json: list[str] = field(default_factory=list)
+
+    def missing(self) -> list[str]:
+        return [c for c in self.required if c not in self.table.columns]
+
+    def measures(self) -> list[Column]:
+        """Rows, rows without each key, and rows of each column that are no JSON: what one pass over the table can count."""
+        lost = [F.count_if(F.col(c).isNull()).alias(f"key_{k}") for k, c in enumerate(self.keys) if c in self.table.columns]
+        bad = [F.count_if(F.col(c).isNotNull() & F.try_parse_json(F.col(c)).isNull()).alias(f"json_{k}") for k, c in enumerate(self.json) if c in self.table.columns]
+        return [F.count(F.lit(1)).alias("rows"), *lost, *bad]
+
+    def said(self, measured: dict[str, int]) -> list[str]:
+        """The problems that these measures show, in words."""
+        if self.missing():
+            return [f"{self.name}: column {c} is missing" for c in self.missing()]
+        if not measured["rows"]:
+            return [f"{self.name}: no rows"]
+        lost = [f"{self.name}: {n} rows without {c}" for k, c in enumerate(self.keys) if (n := measured.get(f"key_{k}"))]
+        return lost + [f"{self.name}: {n} rows of {c} are no JSON" for k, c in enumerate(self.json) if (n := measured.get(f"json_{k}"))]
+
+    def problems(self) -> Column:
+        """``said`` as an array over the columns of ``measures``."""
+        if self.missing():
+            return F.array(*(F.lit(f"{self.name}: column {c} is missing") for c in self.missing()))
+        counted = [(f"key_{k}", f" rows without {c}") for k, c in enumerate(self.keys) if c in self.table.columns] + [(f"json_{k}", f" rows of {c} are no JSON") for k, c in enumerate(self.json) if c in self.table.columns]
+        none = F.lit(None).cast("string")
+        shown = [F.when(F.col(m) > 0, F.concat(F.lit(f"{self.name}: "), F.col(m).cast("string"), F.lit(words))) for m, words in counted]
+        return F.when(F.col("rows") == 0, F.array(F.lit(f"{self.name}: no rows"))).otherwise(F.array_compact(F.array(none, *shown)))
+
+
+def contract_problems(contracts: list[Contract]) -> DataFrame:
+    """(number, problem) of all contracts, numbered from 0: one pass a table, and nothing on the driver."""
+    out = None
+    for number, c in enumerate(contracts):
+        rows = c.table.agg(*c.measures()).select(F.lit(number).alias("number"), F.explode(c.problems()).alias("problem"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def write_phase(tables: dict[str, DataFrame], folder: str, contracts: dict[str, Contract] | None = None) -> list[str]:
+    """Each table as Parquet under ``folder``. The pass that writes a table also measures its contract (``DataFrame.observe``); what the contracts lack is returned."""
+    problems = []
     for name, df in tables.items():
+        contract, seen = (contracts or {}).get(name), None
+        if contract:
+            seen = Observation(f"contract-{name}")
+            df = df.observe(seen, *contract.measures())
         df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+        if contract:
+            problems += contract.said(seen.get)
+    return problems
 
 
 def check_contract(df: DataFrame, required: list[str], name: str) -> list[str]:
     """What a table lacks: missing columns, no rows. An empty list means that the contract holds."""
-    lost = [f"{name}: column {c} is missing" for c in required if c not in df.columns]
-    return lost or ([] if df.limit(1).count() else [f"{name}: no rows"])
+    return [r["problem"] for r in contract_problems([Contract(name, df, required)]).collect()]

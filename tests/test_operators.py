@@ -131,3 +131,82 @@ def test_communities_match_brute_force(spark):
         want[c] = (len(members), round(inner / possible, 4) if possible else 0.0, len(members) < 3)
     got = {r["community"]: (r["members"], r["cohesion"], r["thin"]) for r in graphs.communities(spark, sf).collect()}
     assert got == want
+
+
+def shortest_paths(edges, start):
+    """(distance, number of shortest paths) of every node that ``start`` reaches, by a plain queue."""
+    far, paths, queue = {start: 0}, {start: 1}, [start]
+    for node in queue:
+        for a, b in edges:
+            if a == node and b not in far:
+                far[b], paths[b] = far[node] + 1, 0
+                queue.append(b)
+            if a == node and far[b] == far[node] + 1:
+                paths[b] += paths[node]
+    return far, paths
+
+
+def brute_betweenness(edges):
+    edges = {(a, b) for a, b in edges if a != b}
+    nodes = {n for e in edges for n in e}
+    known = {n: shortest_paths(edges, n) for n in nodes}
+    out = dict.fromkeys(nodes, 0.0)
+    for s in nodes:
+        for t in nodes - {s}:
+            for v in nodes - {s, t}:
+                if t in known[s][0] and v in known[s][0] and t in known[v][0] and known[s][0][v] + known[v][0][t] == known[s][0][t]:
+                    out[v] += known[s][1][v] * known[v][1][t] / known[s][1][t]
+    return out
+
+
+def test_betweenness_matches_brute_force(spark):
+    for seed in range(1):
+        rng = random.Random(seed)
+        edges = [(rng.randrange(14), rng.randrange(14)) for _ in range(30)] + [(20, 21), (21, 22), (20, 23), (23, 22), (22, 24), (21, 21)]
+        frame = spark.createDataFrame(edges + edges[:5], "src long, dst long")
+        want = brute_betweenness(edges)
+        got = {r["node"]: r for r in graph.betweenness(frame).collect()}
+        assert {n: round(r["betweenness"], 6) for n, r in got.items()} == {n: round(x, 6) for n, x in want.items()} and {r["error_bound"] for r in got.values()} == {0.0}
+        some = {r["node"]: r for r in graph.betweenness(frame, pivots=8).collect()}
+        assert set(some) == set(want) and all(abs(r["betweenness"] - want[n]) <= r["error_bound"] for n, r in some.items())
+    assert graph.betweenness(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_components_of_long_chains_need_few_rounds(spark):
+    n, rounds = 4096, []
+    chain = spark.range(n - 1).selectExpr("id AS src", "id + 1 AS dst")
+    assert graph.strong_components(chain, rounds).count() == 0 and len(rounds) <= 20
+    ring, rounds = spark.range(64).selectExpr("id AS src", "(id + 1) % 64 AS dst"), []
+    assert graph.strong_components(ring, rounds).selectExpr("count(*) n", "max(scc) m").first() == (64, 0) and len(rounds) <= 16
+
+
+def test_components_match_brute_force(spark):
+    for seed in range(1):
+        rng = random.Random(seed)
+        edges = [(rng.randrange(30), rng.randrange(30)) for _ in range(38)]
+        reach = {n: set(shortest_paths(edges, n)[0]) for n in range(30)}
+        want = {(a, min(b for b in reach[a] if a in reach[b])) for a in range(30) if sum(a in reach[b] for b in reach[a]) > 1}
+        assert {tuple(r) for r in graph.strong_components(spark.createDataFrame(edges, "src long, dst long")).collect()} == want
+
+
+def test_pairs_and_sums_cross_the_ranges(spark):
+    rng = random.Random(2)
+    rows = [(k * 3, rng.choice("ABC")) for k in range(500)]
+    frame = spark.createDataFrame(rows, "seq long, action string").repartition(7)
+    pairs = windows.bigrams(frame, [])
+    assert sorted(tuple(r) for r in pairs.collect()) == [(b[0], f"{a[1]} → {b[1]}") for a, b in zip(rows, rows[1:])]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert all("[part#" in line for line in plan.split("\n") if "Window" in line) and "Window" in plan
+    sizes = [(k, rng.choice([0, 1, 5, 40])) for k in range(300)]
+    got = {r["k"]: r["before"] for r in windows.running_sum(spark.createDataFrame(sizes, "k long, v long"), "v", "k").collect()}
+    assert got == {k: sum(v for j, v in sizes if j < k) for k, _ in sizes}
+    for frame in (pairs.limit(0).selectExpr("seq", "sequence AS action"), spark.createDataFrame([(1, "A")], "seq long, action string")):
+        assert windows.bigrams(frame, []).count() == 0
+
+
+def test_budget_cuts_in_the_midst(spark):
+    texts = [(1, "abcd"), (2, ""), (3, None), (4, "efghij"), (5, "k"), (6, "lmn")]
+    frame = spark.createDataFrame(texts, "k long, t string").repartition(3)
+    for budget in (0, 7, 10, 100):
+        got = sorted(windows.within_budget(frame, "t", budget, "k").collect())
+        assert "".join(r["t"] for r in got) == "abcdefghijklmn"[:budget] and [r["cut"] for r in got] == [False] * (len(got) - 1) + [budget not in (4, 10, 11, 100)] * bool(got)

@@ -1,9 +1,12 @@
+import os
 import zipfile
 
 import pytest
 
 from lodestrata.functions.flatten import flatten_json
+from lodestrata.sources import archives
 from lodestrata.sources import files as S
+from lodestrata.sources import named_files as N
 
 
 @pytest.fixture
@@ -70,3 +73,80 @@ def test_flatten(spark):
 def test_contract(spark):
     df = spark.range(1)
     assert S.check_contract(df, ["id"], "t") == [] and S.check_contract(df, ["x"], "t") == ["t: column x is missing"] and S.check_contract(df.limit(0), ["id"], "t") == ["t: no rows"]
+
+
+def zipped(path, entries):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in entries:
+            z.writestr(name, content)
+    return str(path)
+
+
+def test_an_archive_is_scanned_where_it_lies(spark, tmp_path):
+    entries = [("root/", b"")] + [(f"root/d{k % 3}/f{k}.cs", f"class A{k} {{}}\n".encode() * (k + 1)) for k in range(40)] + [("root/empty.txt", b""), ("root/twice.md", b"one"), ("root/\u00e9\u65e5.bin", bytes(range(256)))]
+    path = zipped(tmp_path / "r.zip", entries)
+    with pytest.warns(UserWarning), zipfile.ZipFile(path, "a") as z:
+        z.writestr("root/twice.md", b"two!")
+    archives.register(spark)
+    frame = spark.read.format("zip_entries").option("partition_bytes", "2000").load(path)
+    want = {name: content for name, content in entries if not name.endswith("/")} | {"root/twice.md": b"two!"}
+    assert {r["path"]: bytes(r["content"]) for r in frame.collect()} == want and all(r["length"] == len(r["content"]) for r in frame.collect()) and frame.rdd.getNumPartitions() > 3
+    at = S.resolve_source(path)["local_path"]
+    files = S.scan(spark, at)
+    assert {r["path"] for r in files.collect()} == {n[5:] for n, c in want.items() if c} and {r["path"] for r in S.scan(spark, f"{path}!/root/d1").collect()} == {f"f{k}.cs" for k in range(40) if k % 3 == 1}
+    assert {r["language"] for r in S.inventory(files).where("path LIKE '%.cs'").collect()} == {"csharp"}
+    assert {r["path"] for r in spark.read.format("zip_entries").load(f"file://{path}").collect()} == set(want)
+    assert os.listdir(tmp_path) == ["r.zip"]
+
+
+@pytest.mark.parametrize("name", ["../up.txt", "/abs.txt", "a/../../b", "C:/x", "..\\w.txt", "a\\..\\..\\b"])
+def test_paths_that_leave_an_archive_are_refused(spark, tmp_path, name):
+    path = zipped(tmp_path / "bad.zip", [("fine.txt", b"x"), (name, b"x")])
+    with pytest.raises(ValueError):
+        S.resolve_source(path)
+    with pytest.raises(Exception, match="unsafe path"):
+        S.scan(spark, path).collect()
+    assert os.listdir(tmp_path) == ["bad.zip"]
+
+
+def files_in(folder):
+    return {os.path.relpath(os.path.join(d, n), folder): open(os.path.join(d, n), "rb").read() for d, _, names in os.walk(folder) for n in names}
+
+
+def test_named_files_and_their_bytes(spark, tmp_path):
+    rows = [(f"d{k % 4}/{k}.md", f"text {k} \u00e9\n".encode() * k) for k in range(50)] + [("top.bin", bytes(range(256)))]
+    N.save(spark.createDataFrame(rows, "name string, content binary").repartition(6), f"{tmp_path}/out")
+    assert files_in(tmp_path / "out") == dict(rows) and os.listdir(tmp_path) == ["out"]
+    N.save(spark.createDataFrame([("top.bin", b"new"), ("more", None)], "name string, content binary"), f"file://{tmp_path}/out")
+    assert files_in(tmp_path / "out") == dict(rows) | {"top.bin": b"new", "more": b""}
+    last = N.last_of_each(spark.createDataFrame([("a", b"1", 1), ("a", b"3", 3), ("a", b"2", 2)], "name string, content binary, seq long"), "seq")
+    assert [bytes(r["content"]) for r in last.collect()] == [b"3"]
+
+
+@pytest.mark.parametrize("bad", ["../x", "/x", "", None, "dup"])
+def test_a_failed_write_leaves_nothing(spark, tmp_path, bad):
+    rows = [(f"f{k}", b"x") for k in range(20)] + [("dup", b"1"), (bad, b"2")]
+    with pytest.raises(Exception):
+        N.save(spark.createDataFrame(rows, "name string, content binary").repartition(4), f"{tmp_path}/out")
+    assert files_in(tmp_path) == {}
+
+
+def test_attempts_that_are_lost_leave_nothing(tmp_path):
+    writer = N.NamedFilesWriter(f"{tmp_path}/out")
+    lost = iter([("a", b"lost"), ("b", b"lost")])
+    writer.write(lost)  # its message never arrives: the task runs again
+    with pytest.raises(ValueError):
+        writer.write(iter([("c", b"half"), ("..", b"x")]))
+    done = [writer.write(iter([("a", b"1"), ("s/b", b"2")])), writer.write(iter([])), None]
+    assert not os.path.exists(tmp_path / "out")
+    writer.commit(done)
+    assert files_in(tmp_path) == {"out/a": b"1", "out/s/b": b"2"}
+
+
+def test_contracts_from_one_pass(spark, tmp_path):
+    table = spark.createDataFrame([(1, '{"a": 1}'), (None, "{"), (3, None)], "id long, doc string")
+    contract = S.Contract("t", table, ["id", "doc"], ["id"], ["doc"])
+    want = ["t: 1 rows without id", "t: 1 rows of doc are no JSON"]
+    assert [r["problem"] for r in S.contract_problems([contract, S.Contract("u", table, ["x", "y"]), S.Contract("v", table.limit(0), ["id"], ["id"])]).collect()] == [*want, "u: column x is missing", "u: column y is missing", "v: no rows"]
+    assert S.write_phase({"t": table, "free": table}, str(tmp_path), {"t": contract}) == want and spark.read.parquet(f"{tmp_path}/t").count() == 3
+    assert S.write_phase({"t": table.where("id = 1")}, str(tmp_path), {"t": contract}) == []
