@@ -105,6 +105,17 @@ GENERIC_SUFFIX = "(Controller|Endpoint|Service|Repository|Handler|Dto|DTO|Reques
 GENERIC_VERB = "^(Get|List|Create|Update|Delete|Remove|Add|Edit|Set|Read|Write|Post|Put|Patch|Search|Find)(By|For|With)?([A-Z])"
 CHUNK_SKIP_FOLDERS = "src main java kotlin lib app source sources code module modules".split()
 
+# Modules by words of a component's name, namespace and path, first match wins.
+SEMANTIC_MODULES = {
+    "Catalog": "catalog catalogaggregate catalogbrand catalogbrands catalogitem catalogitems catalogtype catalogtypes product products".split(),
+    "Basket": "basket basketaggregate basketitem basketitems checkout cart".split(),
+    "Order": "order orders orderaggregate orderitem orderitems buyer buyeraggregate payment paymentmethod address".split(),
+    "Identity": "identity auth authenticate authorization account login logout register manage user token claims".split(),
+    "Admin": "admin blazoradmin".split(),
+    "SharedContracts": "shared blazorshared contract contracts".split(),
+}
+DATA_ACCESS_WORDS = "data dbcontext repository context migration migrations seed".split()
+
 # Words of module names that name no capability.
 GENERIC_TOKENS = (
     "api app base blazor client component config configuration controller create custom delete default details dto edit endpoint endpoints external functional generate get "

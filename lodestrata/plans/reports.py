@@ -13,7 +13,7 @@ from lodestrata.operators import classify as C
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import ORACLES, register
 from lodestrata.plans.classification import CAPABILITIES, CLASSED, ENTRIES, FLOWS, MODULES, PACKAGES, PROJECTS
-from lodestrata.plans.rollups import risk_register
+from lodestrata.plans.rollups import BODIES, risk_register, violations
 
 COMP, EDGE, FILE = B.duck(B.COMPONENTS), B.duck(B.EDGES), B.duck(B.FILES)
 HAND_CLASS = """CASE WHEN all_tests THEN 'TestVerification' WHEN name = 'Cache' THEN 'TechnicalSupport' WHEN repositories >= 1 THEN 'DataInfrastructure' WHEN entities >= 1 THEN 'DomainCapabilityCandidate' WHEN interfaces >= 1 THEN 'InterfaceCapabilityCandidate' ELSE 'Other' END"""
@@ -126,6 +126,64 @@ def open_question_rows(spark, sf_dir):
     return a.select(F.inline(F.array(*(F.struct(F.lit(k).alias("number"), text.alias("question")) for k, text in enumerate(asked, 1)))))
 
 
+# What a decision input asks and advises, and the sentence on retirement.
+BOUNDARY_ASKED = "Should `{}` be a separate future module/service boundary, remain internal, or merge with another capability?"
+BOUNDARY_REVIEW = "confirm ownership, public interfaces, data ownership, and call flows before extraction."
+QUESTION_EVIDENCE = "`open-questions.md` and related final JSON artifacts."
+QUESTION_REVIEW = "assign to architecture/product/application owner and record preserve/redesign/review decision."
+NOTHING_RETIRED = "No component or API is marked for retirement from static architecture evidence alone. Retirement requires usage, telemetry, production logs, or explicit product-owner confirmation."
+
+
+@register("decision_inputs", f"""WITH k AS ({HAND_CAPS}), o AS ({{questions}}), i AS (
+  (SELECT 1 AS g, row_number() OVER (ORDER BY seq) AS p, concat('Confirm `', name, '` Boundary') AS title, replace({quote(BOUNDARY_ASKED)}, '{{}}', name) AS asked, concat('capability ', seq, '; risks ', risk_count, ', weak modules ', weak_modules, ', coupling ', efferent) AS evidence, {quote(BOUNDARY_REVIEW)} AS review FROM k WHERE decision = 'review_before_extraction' ORDER BY seq LIMIT 8)
+  UNION ALL (SELECT 2, number, 'Resolve Open Question', question, {quote(QUESTION_EVIDENCE)}, {quote(QUESTION_REVIEW)} FROM o ORDER BY number LIMIT 10))
+  SELECT concat('ADR-INPUT-', lpad(cast(row_number() OVER (ORDER BY g, p) AS VARCHAR), 3, '0')) AS input_id, title, asked, evidence, review FROM i""".replace("{questions}", ORACLES["open_question_rows"]).replace("{{}}", "{}"))
+def decision_inputs(spark, sf_dir):
+    """What architects must decide: the first eight boundaries to review, then the first ten open questions; at most 18 rows."""
+    caps = first(capabilities(spark, sf_dir).where("decision = 'review_before_extraction'"), 8, "seq")
+    evidence = F.format_string("capability %d; risks %d, weak modules %d, coupling %d", "seq", "risk_count", "weak_modules", "efferent")
+    before, after = BOUNDARY_ASKED.split("{}")
+    bounds = caps.select(F.lit(1).alias("g"), F.col("place").alias("p"), F.concat(F.lit("Confirm `"), "name", F.lit("` Boundary")).alias("title"), F.concat(F.lit(before), "name", F.lit(after)).alias("asked"), evidence.alias("evidence"), F.lit(BOUNDARY_REVIEW).alias("review"))
+    asked = open_question_rows(spark, sf_dir).where("number <= 10").select(F.lit(2).alias("g"), F.col("number").alias("p"), F.lit("Resolve Open Question").alias("title"), F.col("question").alias("asked"), F.lit(QUESTION_EVIDENCE).alias("evidence"), F.lit(QUESTION_REVIEW).alias("review"))
+    number = F.row_number().over(Window.orderBy("g", "p"))  # 18 rows at most
+    return bounds.unionByName(asked).select(F.format_string("ADR-INPUT-%03d", number).alias("input_id"), "title", "asked", "evidence", "review")
+
+
+@register("preserve_redesign_retire", f"""WITH k AS ({HAND_CAPS}), t AS ({HAND_CONTRACTS}), r AS ({ORACLES['risk_register']}), v AS ({ORACLES['violations']})
+  (SELECT 'preserve' AS section, row_number() OVER (ORDER BY seq) AS place, name AS item FROM t WHERE decision = 'preserve' ORDER BY seq LIMIT 15) UNION ALL (SELECT 'redesign_risk', row_number() OVER (ORDER BY risk_id), concat(risk_id, ': ', category, ' ', subject) FROM r ORDER BY risk_id LIMIT 10)
+  UNION ALL (SELECT 'redesign_violation', row_number() OVER (ORDER BY violation_id), concat(violation_id, ': ', type, ' ', subject) FROM v ORDER BY violation_id LIMIT 10) UNION ALL (SELECT 'review', row_number() OVER (ORDER BY seq), name FROM t WHERE decision = 'review' ORDER BY seq LIMIT 15)
+  UNION ALL (SELECT 'review_capability', row_number() OVER (ORDER BY seq), concat(name, ': risks ', risk_count, ', weak modules ', weak_modules) FROM k WHERE decision = 'review_before_extraction' ORDER BY seq LIMIT 12) UNION ALL SELECT 'retire', 1, {quote(NOTHING_RETIRED)}""")
+def preserve_redesign_retire(spark, sf_dir):
+    """Contracts to preserve (15), risks and violations not to carry forward (10 each), contracts (15) and capabilities (12) to review, and what may be retired: nothing, on this evidence."""
+    told, caps = contracts(spark, sf_dir), capabilities(spark, sf_dir).where("decision = 'review_before_extraction'")
+    part = lambda section, rows, k, order, item: first(rows, k, order).select(F.lit(section).alias("section"), "place", item.alias("item"))
+    parts = [
+        part("preserve", told.where("decision = 'preserve'"), 15, "seq", F.col("name")), part("redesign_risk", risk_register(spark, sf_dir), 10, "risk_id", F.concat("risk_id", F.lit(": "), "category", F.lit(" "), "subject")),
+        part("redesign_violation", violations(spark, sf_dir), 10, "violation_id", F.concat("violation_id", F.lit(": "), "type", F.lit(" "), "subject")), part("review", told.where("decision = 'review'"), 15, "seq", F.col("name")),
+        part("review_capability", caps, 12, "seq", F.format_string("%s: risks %d, weak modules %d", "name", "risk_count", "weak_modules")), spark.range(1).select(F.lit("retire").alias("section"), F.lit(1).alias("place"), F.lit(NOTHING_RETIRED).alias("item")),
+    ]
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+@register("data_ownership", f"""WITH c AS ({COMP}), n AS (SELECT project, count(*) AS n FROM c GROUP BY project), o AS (SELECT module, project, row_number() OVER (PARTITION BY module ORDER BY n, project DESC) AS k FROM (SELECT DISTINCT module, project FROM c) m JOIN n USING (project)), w AS (SELECT module, project AS capability FROM o WHERE k = 1)
+  SELECT 'entity' AS section, seq, name, component_type AS type, layer, module, capability, file, NULL AS note FROM c JOIN w USING (module) WHERE component_type = 'Entity'
+  UNION ALL SELECT 'data_access', seq, name, component_type, layer, module, capability, file, CASE WHEN component_type = 'Repository' OR layer = 'DataAccess' THEN 'review shared ownership' ELSE 'review' END FROM c JOIN w USING (module) WHERE component_type = 'Repository' OR layer IN ('DataAccess', 'Infrastructure')""")
+def data_ownership(spark, sf_dir):
+    """Every entity, and every repository or component of a data layer, with the capability of its module: the last in the capabilities' order that holds the module."""
+    c = B.source(spark, sf_dir, B.COMPONENTS)
+    sizes = c.groupBy("project").agg(F.count("*").alias("n"))
+    held = c.select("module", "project").distinct().join(sizes, "project").groupBy("module").agg(F.min(F.struct("n", "project")).alias("least"), F.collect_set(F.struct("n", "project")).alias("every"))
+    last = F.array_max(F.transform(F.filter("every", lambda x: x["n"] == F.col("least.n")), lambda x: x["project"]))
+    owned = c.join(held.select("module", last.alias("capability")), "module")
+    shown = lambda section, rows, note: rows.select(F.lit(section).alias("section"), "seq", "name", F.col("component_type").alias("type"), "layer", "module", "capability", "file", note.alias("note"))
+    is_data = (F.col("component_type") == "Repository") | F.col("layer").isin("DataAccess", "Infrastructure")
+    shared = F.when((F.col("component_type") == "Repository") | (F.col("layer") == "DataAccess"), "review shared ownership").otherwise("review")
+    return shown("entity", owned.where("component_type = 'Entity'"), F.lit(None).cast("string")).unionByName(shown("data_access", owned.where(is_data), shared))
+
+
 # Stacks in their published order: (name, evidence, how it is parsed, condition over counts).
 STACKS = [
     (".NET / C#", "language-summary:csharp", "compiler/AST-backed parser when available; otherwise C# source structural parser; project XML parsed structurally", "csharp > 0"),
@@ -217,9 +275,9 @@ def system_inventory(spark, sf_dir):
 CONTEXT_SUFFIXES, CONTEXT_CHARS, CONTEXT_FILES = [".json", ".md", ".mmd"], 3500, 40
 
 
-@register("artifact_context", f"SELECT path, seq, concat(substring(repeat(concat(path, ' '), 200), 1, 3500), CASE WHEN 200 * (length(path) + 1) > 3500 THEN chr(10) || '... [truncated]' ELSE '' END) AS body FROM ({FILE}) f WHERE path LIKE '%.json' OR path LIKE '%.md' OR path LIKE '%.mmd' ORDER BY path, seq LIMIT 40")
+@register("artifact_context", f"SELECT path, seq, concat(substring(text, 1, 3500), CASE WHEN length(text) > 3500 THEN chr(10) || '... [truncated]' ELSE '' END) AS body FROM ({B.duck(BODIES)}) f WHERE (path LIKE '%.json' OR path LIKE '%.md' OR path LIKE '%.mmd') AND text IS NOT NULL ORDER BY path, seq LIMIT 40")
 def artifact_context(spark, sf_dir):
     """The first 40 artifacts by path, at most 3,500 characters of each: the collector's own limits."""
-    rows = B.source(spark, sf_dir, B.FILES).where(F.lower("suffix").isin(CONTEXT_SUFFIXES)).orderBy("path", "seq").limit(CONTEXT_FILES).withColumn("text", F.repeat(F.concat("path", F.lit(" ")), 200))
+    rows = B.source(spark, sf_dir, BODIES).where(F.lower("suffix").isin(CONTEXT_SUFFIXES) & F.col("text").isNotNull()).orderBy("path", "seq").limit(CONTEXT_FILES)
     more = F.when(F.length("text") > CONTEXT_CHARS, "\n... [truncated]").otherwise("")
     return rows.select("path", "seq", F.concat(F.substring("text", 1, CONTEXT_CHARS), more).alias("body"))

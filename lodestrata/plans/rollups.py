@@ -332,10 +332,16 @@ def context_budget(spark, sf_dir):
 CONTEXT = f"(regexp_like(lower_name, {quote('^(' + '|'.join(fixed.CONTEXT_FILES) + ')$')}) OR regexp_like(concat('/', lower_path), {quote('/(' + '|'.join(x.replace('.', '[.]') for x in fixed.CONTEXT_FOLDERS) + ')/')}))"
 
 
-@register("context_topk_truncate", f"SELECT path, seq, substring(repeat(path, 200), 1, 4000) AS content, length(repeat(path, 200)) > 4000 AS truncated FROM ({FILE}) t WHERE {CONTEXT} ORDER BY path, seq LIMIT 80")
+#: Files with the texts of documents as their bodies.
+BODIES = f"SELECT f.path, f.seq, f.lower_path, f.lower_name, f.suffix, d.text FROM ({B.FILES}) f JOIN <<documents>> d ON d.doc_id = f.seq"
+PRUNED = "regexp_like(concat('/', lower_path), '/(node_modules|bin|obj|dist|build|target|vendor)/') OR regexp_like(lower_name, '[.]min[.](js|css)$')"
+
+
+@register("context_topk_truncate", f"SELECT path, seq, substring(text, 1, 4000) AS content, length(text) > 4000 AS truncated FROM ({B.duck(BODIES)}) t WHERE {CONTEXT} AND NOT ({PRUNED}) AND text IS NOT NULL ORDER BY path, seq LIMIT 80")
 def context_topk_truncate(spark, sf_dir):
-    rows = B.source(spark, sf_dir, B.FILES).where(CONTEXT).orderBy("path", "seq").limit(80).withColumn("all", F.repeat("path", 200))
-    return rows.select("path", "seq", F.substring("all", 1, 4000).alias("content"), (F.length("all") > 4000).alias("truncated"))
+    """The first 80 build and deployment files by path, at most 4,000 characters of each, without pruned folders and minified files: the collector's own limits."""
+    rows = B.source(spark, sf_dir, BODIES).where(f"{CONTEXT} AND NOT ({PRUNED}) AND text IS NOT NULL").orderBy("path", "seq").limit(80)
+    return rows.select("path", "seq", F.substring("text", 1, 4000).alias("content"), (F.length("text") > 4000).alias("truncated"))
 
 
 @register("per_layer_top10", f"SELECT layer, seq, substring(file, 1, 30) AS head, rank FROM (SELECT *, row_number() OVER (PARTITION BY layer ORDER BY file, seq) AS rank FROM ({COMP}) t) t WHERE rank <= 10")
