@@ -13,7 +13,9 @@ from lodestrata.functions.rules import quote
 from lodestrata.operators import classify as C
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import register
-from lodestrata.plans.classification import FLOWS
+from lodestrata.functions.rules import case_sql
+from lodestrata.plans.classification import CLASSED, FLOWS, MODULES
+from lodestrata.plans.rollups import VIOLATIONS_SQL, violating_edges
 
 COMP, EDGE, FLOW = B.duck(B.COMPONENTS), B.duck(B.EDGES), B.duck(FLOWS)
 HIGH = 8
@@ -28,12 +30,17 @@ COMPONENT_COUNTS = {
 EDGE_COUNTS = {"edges": "true", "missing_from": "src IS NULL", "missing_to": "dst IS NULL"}
 FLOW_COUNTS = {
     "flows": "true", "http_apis": "type = 'HTTP_API'", "frontend_routes": "type = 'FrontendRoute'", "cli_entries": "type = 'CLI'", "interfaces_missing_source": "source_file IS NULL", "strategies": f"{STRATEGY} <> 'unknown'", "partial_flows": C.FLOW_PARTIAL,
-    "downstream_flows": "steps > 1", "data_flows": "data_access",
+    "downstream_flows": "steps > 1", "data_flows": "data_access", "jobs": "type = 'Job'",
 }
 
-METRICS = f"""c AS (SELECT * FROM ({COMP}) t), e AS (SELECT * FROM ({EDGE}) t), f AS (SELECT * FROM ({FLOW}) t), hot AS (SELECT src FROM e GROUP BY src HAVING count(DISTINCT dst) >= {HIGH}),
-  q AS (SELECT {', '.join(f'(SELECT count(*) FROM c WHERE {w}) AS {n}' for n, w in COMPONENT_COUNTS.items())}, {', '.join(f'(SELECT count(*) FROM e WHERE {w}) AS {n}' for n, w in EDGE_COUNTS.items())}, {', '.join(f'(SELECT count(*) FROM f WHERE {w}) AS {n}' for n, w in FLOW_COUNTS.items())},
-    (SELECT count(DISTINCT project) FROM c) AS deployables, (SELECT count(DISTINCT module) FROM c WHERE module <> 'Unknown') AS modules, (SELECT count(*) FROM (SELECT module FROM c GROUP BY module HAVING count(file) = 0) m) AS modules_without_source,
+READINESS = case_sql(C.READINESS_RULES, "'Needs Refactoring'")
+MODULE_COUNTS = {"module_candidates": "true", "module_cycles": "in_cycle", "coupled_modules": "coupling >= 6", "candidates": f"({READINESS}) = 'Ready'", "blocked_modules": f"({READINESS}) = 'Blocked'"}
+DECISION = case_sql(C.CAPABILITY_DECISION, "'review'")
+CAPABILITY_COUNTS = {"early": f"({DECISION}) = 'candidate_for_early_modernization'", "to_review": f"({DECISION}) = 'review_before_extraction'"}
+
+METRICS = f"""mo AS (SELECT * FROM ({B.duck(MODULES)}) t), ca AS (SELECT * FROM ({B.duck(CLASSED)}) t), lv AS (WITH {VIOLATIONS_SQL} SELECT count(*) AS n FROM g1), c AS (SELECT * FROM ({COMP}) t), e AS (SELECT * FROM ({EDGE}) t), f AS (SELECT * FROM ({FLOW}) t), hot AS (SELECT src FROM e GROUP BY src HAVING count(DISTINCT dst) >= {HIGH}),
+  q AS (SELECT {', '.join(f'(SELECT count(*) FROM c WHERE {w}) AS {n}' for n, w in COMPONENT_COUNTS.items())}, {', '.join(f'(SELECT count(*) FROM e WHERE {w}) AS {n}' for n, w in EDGE_COUNTS.items())}, {', '.join(f'(SELECT count(*) FROM f WHERE {w}) AS {n}' for n, w in FLOW_COUNTS.items())}, {', '.join(f'(SELECT count(*) FROM mo WHERE {w}) AS {n}' for n, w in MODULE_COUNTS.items())}, {', '.join(f'(SELECT count(*) FROM ca WHERE {w}) AS {n}' for n, w in CAPABILITY_COUNTS.items())},
+    (SELECT n FROM lv) AS layer_violations, (SELECT count(DISTINCT layer) FROM c) AS known_layers, (SELECT count(DISTINCT project) FROM c) AS deployables, (SELECT count(DISTINCT module) FROM c WHERE module <> 'Unknown') AS modules, (SELECT count(*) FROM (SELECT module FROM c GROUP BY module HAVING count(file) = 0) m) AS modules_without_source,
     (SELECT cast(sum(steps) AS BIGINT) FROM f) AS steps, (SELECT count(*) FROM f WHERE owner NOT IN (SELECT name FROM c)) AS missing_steps, (SELECT count(*) FROM hot) AS risks, (SELECT count(*) FROM hot WHERE src NOT IN (SELECT name FROM c)) AS risks_without_component,
     (SELECT count(DISTINCT src) FROM hot JOIN c ON c.name = hot.src WHERE c.module = 'Unknown') AS risks_without_module, (SELECT count(*) FROM e WHERE dst NOT IN (SELECT name FROM c)) AS dangling, (SELECT string_agg(concat(layer, '=', n), ', ' ORDER BY layer) FROM (SELECT layer, count(*) AS n FROM c GROUP BY layer) x) AS layers)"""
 
@@ -47,7 +54,8 @@ def metrics(spark, sf_dir) -> DataFrame:
     lost = lambda rows, column, name: rows.select(F.col(column).alias("name")).join(names, "name", "left_anti").agg(F.count("*").alias(name))
     shown = F.array_join(F.array_sort(F.collect_list(F.concat("layer", F.lit("="), F.col("n").cast("string")))), ", ")
     rows = [
-        counted(c, COMPONENT_COUNTS, F.count_distinct("project").alias("deployables"), F.count_distinct(F.when(F.col("module") != "Unknown", F.col("module"))).alias("modules")),
+        counted(B.source(spark, sf_dir, MODULES), MODULE_COUNTS), counted(B.source(spark, sf_dir, CLASSED), CAPABILITY_COUNTS), violating_edges(spark, sf_dir).select("src", "dst", "violation").distinct().agg(F.count("*").alias("layer_violations")),
+        counted(c, COMPONENT_COUNTS, F.count_distinct("layer").alias("known_layers"), F.count_distinct("project").alias("deployables"), F.count_distinct(F.when(F.col("module") != "Unknown", F.col("module"))).alias("modules")),
         counted(e, EDGE_COUNTS), counted(f, FLOW_COUNTS, F.sum("steps").alias("steps")), lost(f, "owner", "missing_steps"), lost(e, "dst", "dangling"), lost(hot, "name", "risks_without_component"), hot.agg(F.count("*").alias("risks")),
         hot.join(c.where("module = 'Unknown'"), "name").agg(F.count_distinct("name").alias("risks_without_module")), c.groupBy("module").agg(F.count("file").alias("n")).where("n = 0").agg(F.count("*").alias("modules_without_source")),
         c.groupBy("layer").agg(F.count("*").alias("n")).agg(shown.alias("layers")),
@@ -73,25 +81,25 @@ QUALITY = [
     ("All major services/components classified", "major_unknown = 0", "PARTIAL", "{components} components; major production Unknown={major_unknown}; verification/support Unknown={support_unknown}; total Unknown type classifications={unknown}; Unknown module ownership cases={unknown_module}.", "Some architecture-significant components remain Unknown and can hide ownership or migration risk.", "Review major Unknown component classifications."),
     ("All repositories/data-access components classified if present", "repositories > 0", "PARTIAL", "{repositories} Repository components detected; high-coupling data-access components captured where evidence exists.", "No repository type detected, although data-access may still exist under other classifications.", NO_FIX),
     ("Frontend apps/components/routes detected if present", "frontend_components > 0 OR frontend_routes > 0", "PARTIAL", "{frontend_components} frontend components, {frontend_services} frontend services, {frontend_routes} frontend routes.", "Frontend evidence is limited.", NO_FIX),
-    ("Scheduled jobs/message consumers/batch jobs detected if present", None, "", "", "", ""),
+    ("Scheduled jobs/message consumers/batch jobs detected if present", "jobs > 0", "PARTIAL", "{jobs} job entry points detected.", "No static evidence found.", NO_FIX),
     ("Modules have clear responsibilities", "modules > 0 AND modules_without_source = 0 AND unknown_module = 0", "PARTIAL", "{modules} modules have source-backed responsibility candidates; unknown boundary: {unknown_module}.", "Some modules lack enough source-backed responsibility evidence.", "Review low-evidence module responsibility candidates."),
-    ("Layers are identified", None, "", "Detected layers: {layers}", "", ""),
+    ("Layers are identified", "known_layers > 0", "PARTIAL", "Detected layers: {layers}", "No layer was found.", NO_FIX),
     ("Architecture pattern has evidence", None, "", "", "", ""),
-    ("Layer violations are detected", None, "", "", "", ""),
-    ("Circular dependencies are checked", None, "", "", "", ""),
-    ("High-coupling components/modules are flagged", None, "", "{risks} high-coupling components flagged.", "", ""),
-    ("Migration candidates are identified", None, "", "", "", ""),
+    ("Layer violations are detected", "edges > 0", "PARTIAL", "Architecture violation register contains {layer_violations} layer findings and the dependency graph was checked for layer/coupling issues.", "No dependency was checked.", NO_FIX),
+    ("Circular dependencies are checked", "module_candidates > 0", "PARTIAL", "{module_cycles} modules in cycles detected.", "No module was checked.", NO_FIX),
+    ("High-coupling components/modules are flagged", "edges > 0 AND module_candidates > 0", "PARTIAL", "{risks} high-coupling components and {coupled_modules} high-coupling modules flagged.", "No dependency or module was checked.", NO_FIX),
+    ("Migration candidates are identified", "candidates > 0", "PARTIAL", "{candidates} modules are ready, {blocked_modules} blocked.", "No module is ready.", NO_FIX),
     ("Every major claim has source file evidence", "missing_file = 0 AND modules_without_source = 0 AND interfaces_missing_source = 0", "PARTIAL", "JSON artifacts carry evidence; summary, pattern, risk, interface, and module outputs include source anchors.", "Some evidence fields/source anchors are missing.", "Backfill missing source evidence."),
     ("Every risk has affected module/component", "risks_without_module = 0 AND risks_without_component = 0", "PARTIAL", "{risks} risks; missing module={risks_without_module}; missing component={risks_without_component}.", "Some risks lack affected fields.", "Populate affected fields or mark unknown."),
     ("Every module has source folders or source evidence", "modules_without_source = 0", "PARTIAL", "{modules_without_source} modules missing source/evidence.", "Some module claims lack source traceability.", NO_FIX),
     ("Every dependency has from/to", "missing_from = 0 AND missing_to = 0", "FAIL", "{edges} edges; missing from={missing_from}; missing to={missing_to}.", "Invalid dependency edge shape.", NO_FIX),
     ("Every call flow has entry point and steps", "missing_steps = 0", "PARTIAL", "{flows} flows and {steps} steps; missing step components={missing_steps}.", "Some flow steps reference components missing from the registry.", "Normalize call-flow step component references."),
     ("Unknowns are listed in open questions", "unknown > 0 OR unknown_module > 0", "FAIL", "{unknown} unknown types and {unknown_module} unknown modules are asked about.", "Unknowns are not documented.", NO_FIX),
-    ("Candidate future modules/services are identified", None, "", "", "", ""),
-    ("Risky modules are identified", None, "", "", "", ""),
-    ("Architecture violations are marked not to blindly carry forward", None, "", "", "", ""),
+    ("Candidate future modules/services are identified", "early > 0", "PARTIAL", "{early} lower-risk capabilities and {to_review} that need review.", "No lower-risk capability was found.", NO_FIX),
+    ("Risky modules are identified", "module_candidates > 0", "PARTIAL", "{coupled_modules} high-coupling and {module_cycles} cyclic modules identified.", "No module was checked.", NO_FIX),
+    ("Architecture violations are marked not to blindly carry forward", "edges > 0 AND module_candidates > 0", "PARTIAL", "{layer_violations} layer violations and {module_cycles} modules in cycles are not to be carried forward.", "No violation was looked for.", NO_FIX),
     ("Existing APIs/flows are mapped for preserve/redesign decisions", "partial_flows = 0", "PARTIAL", "{flows} interfaces and {flows} flows; partial flows={partial_flows}; flows with downstream steps={downstream_flows}; flows with data access={data_flows}.", "Partial flows limit behavior-preservation completeness.", "Review remaining partial flows before using as behavior contracts."),
-    ("Suggested migration order exists", None, "", "", "", ""),
+    ("Suggested migration order exists", "candidates > 0", "PARTIAL", "{candidates} candidates stand in the suggested order.", "No candidate to order.", NO_FIX),
     ("No generic textbook explanation", None, "", "", "", ""),
     ("No unsupported claims", None, "", "", "", ""),
     ("No invented cloud/platform assumptions", None, "", "", "", ""),
@@ -137,8 +145,8 @@ SANITY = [
     ("Do diagrams match the JSON artifacts?", None, ""),
     ("Does `architecture-pattern-report.md` provide evidence from the repo?", None, ""),
     ("Does `executive-summary-for-review.md` avoid unsupported claims?", None, ""),
-    ("Are migration candidates justified by coupling and boundary evidence?", None, ""),
-    ("Are all limitations clearly stated?", None, "Partial flows: {partial_flows}; Unknown module components: {unknown_module}."),
+    ("Are migration candidates justified by coupling and boundary evidence?", "module_candidates > 0", "{candidates} of {module_candidates} module candidates are ready by coupling, cycles and entries."),
+    ("Are all limitations clearly stated?", "flows > 0", "Partial flows: {partial_flows}; Unknown module components: {unknown_module}."),
     ("Are there any claims that sound invented or not source-backed?", None, ""),
     ("Is the output usable for SDLC reverse engineering and forward engineering?", None, ""),
 ]
