@@ -1,9 +1,11 @@
 """Chat formatting by schema fingerprinting, with DataFrame functions only.
 
 A record's nested field paths are hashed. Of the declared layouts (``MAPPINGS``) the one with the most paths that the record has
-all of is taken, whatever further fields there are; the hash of its paths is the record's layout fingerprint, and this
+all of is taken, if no further path of the record belongs to any layout: fields that hold conversation are never dropped
+in silence, other fields don't matter. The hash of its paths is the record's layout fingerprint, and this
 hash selects the mapping that names where turns, roles and texts lie, and so turns prompt, instruction and message
-layouts into canonical turns ``array<struct<role, text>>``. A template then writes the turns with a loss mask, and
+layouts into canonical turns ``array<struct<role, text>>``. In a list whose elements name their text differently, each
+element is read by its own name. A template then writes the turns with a loss mask, and
 ``parse`` and ``masked_text`` read them back.
 
 Template, one turn after another::
@@ -17,7 +19,8 @@ split. Unescaping drops each backslash and keeps the character behind it.
 The loss mask lists, for each assistant turn, the turn's number and the code points [begin, end) of its line that the text takes.
 
 - A null role, text or prompt field counts as empty; a list's paths are those of all its elements, and an empty list gives no turns. A
-  record without a mapping gets null turns from ``canonical_turns`` and no formatted text; ``unmapped`` lists its fingerprint.
+  record without a mapping, with two answers (``response`` and ``completion``), or with an element of two texts gets null turns from
+  ``canonical_turns`` and no formatted text; ``unmapped`` lists its fingerprint.
 - A null conv_id is a conversation of its own.
 - Turns of rows are ordered by (turn, role, text), nulls first, so ties and repeated rows have
   one order; repeated rows stay. A conversation's rows meet in one row, as a conversation does in any format.
@@ -38,11 +41,15 @@ TURN = "struct<role:string,text:string>"
 MAPPINGS: dict[tuple[str, ...], list[tuple]] = {
     ("messages[].content", "messages[].role"): [("messages", "role", "content")],
     ("messages[].role", "messages[].text"): [("messages", "=role", "text")],
+    ("messages[].content", "messages[].role", "messages[].text"): [("messages", "role", "content|text")],
     ("conversations[].from", "conversations[].value"): [("conversations", "from", "value")],
     ("prompt", "response"): [("user", "prompt"), ("assistant", "response")],
     ("completion", "prompt"): [("user", "prompt"), ("assistant", "completion")],
     ("instruction", "output"): [("user", "instruction"), ("assistant", "output")],
     ("input", "instruction", "output"): [("user", "instruction"), ("user", "input"), ("assistant", "output")],
+    ("instruction", "output", "system"): [("system", "system"), ("user", "instruction"), ("assistant", "output")],
+    ("input", "instruction", "output", "system"): [("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")],
+    ("completion", "prompt", "system"): [("system", "system"), ("user", "prompt"), ("assistant", "completion")],
     ("prompt", "response", "system"): [("system", "system"), ("user", "prompt"), ("assistant", "response")],
     ("messages[]",): [],
     ("conversations[]",): [],
@@ -79,7 +86,13 @@ def _turns(frame: Column, layout: tuple[str, ...], mapping: list[tuple]) -> Colu
     if len(mapping[0]) == 3:
         items, role, content = mapping[0]
         named = lambda t: text(t[role[1:]]) if role[0] == "=" else _role(t[role])
-        return F.transform(frame[items], lambda t: F.struct(named(t).alias("role"), text(t[content]).alias("text")))
+        names = content.split("|")
+        said = lambda t: F.coalesce(*(t[n] for n in names))
+        turns = F.transform(frame[items], lambda t: F.struct(named(t).alias("role"), text(said(t)).alias("text")))
+        if len(names) == 1:
+            return turns
+        twice = F.exists(frame[items], lambda t: t[names[0]].isNotNull() & t[names[1]].isNotNull())
+        return F.when(~F.coalesce(twice, F.lit(False)), turns)
     made = [F.struct(F.lit(role).alias("role"), text(frame[field]).alias("text")) for role, field in mapping]
     optional = {"input", "system"} & set(layout)
     return F.filter(F.array(*made), lambda t: (t["text"] != "") | ~F.lit(bool(optional)))
@@ -124,9 +137,11 @@ def paths_in_struct(record: Column, kind: T.StructType) -> Column:
 
 
 def layout_of(paths: Column) -> Column:
-    """The layout fingerprint: the hash of the paths of the largest layout that ``paths`` hold; null without one."""
-    held = [F.when(F.size(F.array_except(F.array(*(F.lit(p) for p in layout)), paths)) == 0, fingerprint(layout)) for layout in _allowed({p for x in MAPPINGS for p in x})]
-    return F.coalesce(*held)
+    """The layout fingerprint: the hash of the paths of the layout that has all paths of ``paths`` which any layout has; null without one."""
+    every = {p for x in MAPPINGS for p in x}
+    spoken = F.array_intersect(paths, F.array(*(F.lit(p) for p in sorted(every) if not p.endswith("[]"))))
+    whole = lambda listed: (F.size(F.array_except(listed, paths)) == 0) & (F.size(F.array_except(spoken, listed)) == 0)
+    return F.coalesce(*(F.when(whole(F.array(*(F.lit(p) for p in layout))), fingerprint(layout)) for layout in _allowed(every)))
 
 
 def canonical_turns(records: DataFrame, column: str = "record") -> DataFrame:

@@ -86,3 +86,19 @@ def test_edges(spark):
     got = {r["conv_id"]: r for r in made.collect()}
     assert [tuple(t) for t in got[None]["turns"]] == [("assistant", ""), ("user", "x")] and len(got[1]["turns"]) == 2
     assert got[2]["loss"] == "z#" * 200000 and got[1]["loss"] == ""
+
+
+def test_no_part_of_a_conversation_is_dropped_in_silence(spark):
+    """Elements of different names, a system text beside an instruction, two answers, two texts in an element, two conversations in a record."""
+    records = [
+        {"messages": [{"role": "user", "content": "a"}, {"role": "gpt", "text": "b"}, {"role": "user"}]}, {"system": "s", "instruction": "i", "output": "o"}, {"system": "s", "instruction": "i", "input": "x", "output": "o", "id": 1},
+        {"system": "s", "prompt": "p", "completion": "c"}, {"prompt": "p", "response": "r", "completion": "c"}, {"messages": [{"role": "user", "content": "a", "text": "b"}]},
+        {"messages": [{"role": "user", "content": "a"}], "prompt": "p", "response": "r"}, {"prompt": "p"}, {"messages": [], "prompt": "p", "response": "r"}, {"prompt": "p", "response": "r", "instruction": "i"},
+    ]
+    turned = C.canonical_turns(spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(records)], "id long, record string"))
+    got = {r["id"]: r["turns"] and [tuple(t) for t in r["turns"]] for r in turned.collect()}
+    assert got[0] == [("user", "a"), ("assistant", "b"), ("user", "")]
+    assert got[1] == [("system", "s"), ("user", "i"), ("assistant", "o")] and got[2] == [("system", "s"), ("user", "i"), ("user", "x"), ("assistant", "o")]
+    assert got[3] == [("system", "s"), ("user", "p"), ("assistant", "c")] and got[8] == [("user", "p"), ("assistant", "r")]
+    assert [got[k] for k in (4, 5, 6, 7, 9)] == [None] * 5
+    assert C.unmapped(turned).agg(F.sum("n")).first()[0] == 5
