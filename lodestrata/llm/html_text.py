@@ -61,16 +61,16 @@ P_SCOPE = frozenset("article aside body button div dd dt li main section table t
 PART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr notice notices popup modal "
     "overlay newsletter subscribe subscription signup nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars footer comment comments commentlist disqus respond reply replies "
-    "related recommended recommendations share sharing social widget widgets pagination pager toolbar login masthead alert alerts paywall outbrain taboola".split()
+    "related recommended recommendations share sharing social widget widgets pagination pager toolbar login masthead alert alerts paywall outbrain taboola discussion".split()
 )
 PAGE_WORDS = frozenset("header topbar".split())
 # Words that name such a part alone, or with one of the words beside it (related-posts is one, related-work is none).
-VAGUE_WORDS = frozenset("related notice notices alert alerts share sharing social reply replies respond banner banners menu menus promo promos promotion comment comments recommended widget widgets".split())
+VAGUE_WORDS = frozenset("related notice notices alert alerts share sharing social reply replies respond banner banners menu menus promo promos promotion recommended widget widgets".split())
 BESIDE_WORDS = frozenset(
     "post posts article articles link links story stories content contents news box bar button buttons list lists container wrapper wrap block area item items section sections form title head top bottom left right "
-    "main site page primary secondary mobile header icon icons group row inner outer close info warning danger success error thread body text author meta date count first last global".split()
+    "main site page primary secondary mobile header icon icons group row inner outer close info warning danger success error thread body text author meta date count first last global this media breaking".split()
 )
-REPLY_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+REPLY_WORDS = frozenset("comment comments commentlist discussion disqus respond reply replies".split())
 WRAPPERS = frozenset("form fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 
@@ -80,25 +80,27 @@ DEPTH = 512
 _name = re.compile(r"/?[a-zA-Z][^\s/>]*")
 _mark = re.compile(r"[\"'>]")
 _attr = re.compile(r"(?<![\w-])(class|id|role|hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_elsewhere = re.compile(r"(?:no|with|has|without|show|hide)[-_]|.*[-_](?:enabled|disabled|open|closed|on|off)$", re.I)
+_elsewhere = re.compile(r"(?:no|with|has|without|show|hide)[-_]|.*[-_](?:enabled|disabled|open|closed|on|off|free|less)$", re.I)
 _word = re.compile(r"[A-Za-z][a-z]+|[A-Z]+|[a-z]+")
 
 
-def _attributes(rest: str) -> tuple[str, str, bool]:
-    """(class and id, role, hidden) of a start tag."""
-    named, role, hidden = "", "", False
+def _attributes(rest: str) -> tuple[str, str, str, bool]:
+    """(class, id, role, hidden) of a start tag."""
+    named, anchor, role, hidden = "", "", "", False
     if "=" in rest or "hidden" in rest:
         for key, value in _attr.findall(rest):
             key, value = key.lower(), value.strip("\"'")
-            if key in ("class", "id"):
+            if key == "class":
                 named += " " + value
+            elif key == "id":
+                anchor = value.strip()
             elif key == "role":
                 role = value.strip().lower()
             elif key == "hidden":
                 hidden = True
             elif re.search(r"display\s*:\s*none", value):
                 hidden = True
-    return named.strip(), role, hidden
+    return named.strip(), anchor, role, hidden
 
 
 def _words(named: str) -> set[str]:
@@ -249,12 +251,18 @@ def tree(page: str) -> Tree:
         if node.depth >= DEPTH and name not in RAW:
             below[name] = below.get(name, 0) + 1
             continue
-        named, role, hidden = _attributes(rest)
+        said, anchor, role, hidden = _attributes(rest)
+        named = f"{said} {anchor}".strip()
         element = _Element(name, node, named)
         element.root = (name in ("article", "main") or role == "main") and not element.in_replies  # an article among comments is one
         element.hidden = hidden
         if name not in ("html", "body", "article", "main"):
-            words = _words(named)
+            words, anchors = _words(said), _words(anchor)
+            if element.in_root:  # there an id is as often a heading's anchor: it names comments alone
+                anchors &= REPLY_WORDS
+            words |= anchors
+            if name in INLINE:  # a token of code that is shown
+                words -= {"comment", "comments", "discussion"}
             element.replies = bool(REPLY_WORDS.intersection(words))
             element.dropped = name in DROPPED or hidden or role in ROLES or bool(PART_WORDS.intersection(words)) or (not element.in_root and (name == "header" or bool(PAGE_WORDS.intersection(words))))
         elif name == "article":

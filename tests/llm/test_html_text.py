@@ -137,3 +137,13 @@ def test_counts_alone_tell_templates(spark):
     want = {page: " ".join(plain(x) for x in mine if len(on[page // 100, x]) < H.CONTAINER_PAGES[0]) for page, mine in parts.items()}
     got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == want and any("rare" in t for t in got.values())
+
+
+def test_comments_and_notices_inside_an_article_go_and_anchors_stay():
+    story = "".join(f"<p>Paragraph {k} of the story with some words to read.</p>" for k in range(30))
+    text = lambda part: " ".join(t for t, _ in H.parse(f"<html><body><article><h1>Title</h1>{story}{part}</article></body></html>"))
+    whole = text("")
+    for part in ("<section class='reader-comments'><p>gone</p></section>", "<div id='discussion'><p>gone</p></div>", "<div id='comments'><p>gone</p></div>", "<div class='breaking-alert'>gone</div>", "<div class='share-this'>gone</div>", "<ul class='social-media-links'><li>gone</li></ul>", "<div class='articleComments'><p>gone</p></div>"):
+        assert text(part) == whole, part
+    for part in ("<section id='consent'><p>stays</p></section>", "<section id='cookies'><p>stays</p></section>", "<div id='navigation'><p>stays</p></div>", "<div class='story ad-free'><p>stays</p></div>", "<pre><span class='comment'>stays</span></pre>", "<div class='no-comments'>stays</div>", "<div class='related-work'>stays</div>"):
+        assert text(part) == whole + " stays", part
