@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lodestrata.llm import quality_model as M
@@ -82,3 +85,29 @@ def test_long_documents_train_on_evenly_spaced_passages(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
     scores = {r["doc_id"]: r["score"] for r in M.score_documents(docs, M.learn(docs, labels)).collect()}
     assert scores[1] > scores[2]
+
+
+def plain_score(model, passages):
+    """Gated attention over one document's passages, number by number."""
+    dot = lambda a, b: sum(float(p) * float(q) for p, q in zip(a, b))
+    column = lambda m, k: [row[k] for row in m]
+    hidden = range(len(model["b"]))
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    encoded, logits = [], []
+    for x in passages:
+        x = [min(8.0, max(-8.0, (float(v) - m) / s)) for v, m, s in zip(x, model["mean"], model["scale"])]
+        e = [math.tanh(dot(x, column(model["W"], k)) + model["b"][k]) for k in hidden]
+        gated = [math.tanh(dot(e, column(model["V"], k))) * sigmoid(dot(e, column(model["U"], k))) for k in hidden]
+        encoded.append(e)
+        logits.append(dot(gated, model["w"]))
+    weights = [math.exp(v - max(logits)) for v in logits]
+    z = [sum(w * e[k] for w, e in zip(weights, encoded)) / sum(weights) for k in hidden]
+    return sigmoid(dot(z, model["c"]) + float(model["d"]))
+
+
+def test_scores_match_plain_loops(spark, small, edge_docs):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").selectExpr("doc_id", "quality AS label")
+    model = M.learn(small, labels)
+    docs = small.select("doc_id", "text").limit(40).unionByName(edge_docs.selectExpr("doc_id + 1000000 AS doc_id", "text"))
+    want = sorted((str(r["doc_id"]), round(plain_score(model, M.bags(pa.array([r["text"]], pa.string()))[0]), 7)) for r in docs.collect())
+    assert sorted((str(r["doc_id"]), round(r["score"], 7)) for r in M.score_documents(docs, model).collect()) == want
