@@ -101,6 +101,56 @@ _facts("registration_facts", STARTUP_CODE, Code.registrations, ["kind", "lifetim
     "'di_registration' AS kind, 'Scoped' AS lifetime, 'IRepo' AS service, 'Repo' AS implementation, 18 AS line, 0.86::DOUBLE AS confidence", "'db_context_registration', 'DbContext', 'Db<size>', 'Db<size>', 19, 0.86", "'di_registration', 'Singleton', 'Only<key>', 'Only<key>', 20, 0.86",
     "'di_registration', 'Transient', 'IRead', 'Reader<size>', 21, 0.88"))
 
+# Four texts that differ in spacing, nesting and missing parts, by the size of the part: nested types, expression bodies and comments; a body that is
+# never closed; attribute routes; start-up code.
+NESTED = made(
+    "using System;", "namespace A.B", "{", "    /* public class Hidden { } */", '    [ApiController, Route("api/[controller]")]', "    public sealed partial class Outer<key><T>", "        : Base<int, T>, IOuter", "        where T : class, new()", "    {",
+    "        private readonly IStore<size> _store; // IGone _gone;", "        private ILogger<Outer<T>> _log = null;", '        public Outer<key>(IStore<size> store) : base("{") => _store = store;', "        public int Sum(int[] xs, Clock clock) => _store.Load(xs) + clock.Now();", "        public abstract void Nothing();",
+    "        public async Task<Dictionary<int, string>> Find(", '            [FromQuery] string q = "a,b(",', "            CancellationToken stop = default)", "        {", "            foreach (var x in xs) { Helper", '                .Run(); if (x) { var cart = await new Cart<size>(); cart.Put(@"', 'two lines } _store.Fake(); "); } }',
+    "            IRepository repo = Make(); repo.Save(q); Array.Sort(xs); Request.Read();", "        }", "        public class Inner { public void Deep(IMailer m) { m.Send(new Note()); _store.Drop(); } }", "    }", "    interface IOuter { int Sum(int[] xs, Clock clock); string Name { get; } void Reset (); }", "    public record struct Point(int X, int Y);", "    enum Kind { One, Two }", "}",
+)
+OPEN = made("class Left<key>", "{", "  static int n = Store.Count(1);", "  void Hide() { _x.Do(); Array.Sort(n); User.Go(); }", "  public void Shown() {", "    Store.Run<size>();")
+ROUTED = made('[Area("shop<size>")]', "public class CartController", "{", '    [HttpGet][HttpPost("add/{id:int}")]', "    public void Change(int id) { }", "", '    [HttpDeleteAttribute("/gone/")]', "", "    public void Gone() { }", '    [Route("own<key>"), HttpPut]', "    public void Own() { }", "    public void NotAdded() { }", "}", "public class PlainController { [HttpGet] public int List() { return 1; } }")
+STARTED = made(
+    'var b = WebApplication.Create(); // app.MapGet("no", X);', "builder.Services.AddScoped<IA<B, C<D>>, A<B>>(); services.AddHostedService< Worker<size> >();", "services.AddTransient(typeof(IX<>), typeof(N.X<key>)); services.AddScoped<Open<A>();", 'var g = app.MapGroup($"/api<size>"); var h = g.MapGroup("v1"); g = h.MapGroup("again");',
+    'g.MapGet("x/", A); other.MapPost("/y<key>", B); app.MapDelete("z", C);', 'app.MapControllerRoute("n",', '   "{a}/{b}"); app.MapHealthChecks("ok");', "if (x) { app.MapRazorPages(); }",
+)
+VARIED_CODE = f"SELECT p_partkey AS seq, CASE WHEN p_size % 4 = 3 THEN concat('src/Api', {KEY}, '/Program.cs') ELSE concat('src/F', {KEY}, '.cs') END AS path, CASE p_size % 4 WHEN 0 THEN {NESTED} WHEN 1 THEN {OPEN} WHEN 2 THEN {ROUTED} ELSE {STARTED} END AS text FROM <<part>>"
+
+
+def varied(columns: str, **rows: list[str]) -> str:
+    """``expected`` for the parts of one remainder each: ``of0`` to ``of3``."""
+    named = [f"SELECT {columns} FROM (SELECT NULL) z WHERE false"]
+    for key, lines in rows.items():
+        for line in lines:
+            shown = line.replace("<key>", f"' || {KEY} || '").replace("<size>", f"' || {SIZE} || '")
+            named.append(f"SELECT p_partkey, {shown} FROM part WHERE p_size % 4 = {key[2:]}")
+    return " UNION ALL ".join(named)
+
+
+_facts("varied_types", VARIED_CODE, lambda c: c.types, ["owner AS name", "kind", BASES, LISTED, "line"], varied(
+    "NULL::BIGINT AS seq, '' AS name, '' AS kind, '' AS bases, '' AS attributes, 0 AS line",
+    of0=["'Outer<key>', 'class', 'Base<int, T>,IOuter', '[ApiController, Route(\"api/[controller]\")]', 6", "'Inner', 'class', '', '', 24", "'IOuter', 'interface', '', '', 26", "'Point', 'record struct', '', '', 27", "'Kind', 'enum', '', '', 28"],
+    of1=["'Left<key>', 'class', '', '', 1"], of2=["'CartController', 'class', '', '[Area(\"shop<size>\")]', 2", "'PlainController', 'class', '', '', 14"], of3=["'Program', 'top-level-statements', '', '', 1"]))
+_facts("varied_members", VARIED_CODE, lambda c: c.methods, ["owner", "member AS name", "returns", PARAMETERS, "line"], varied(
+    "NULL::BIGINT AS seq, '' AS owner, '' AS name, '' AS returns, '' AS parameters, 0 AS line",
+    of0=["'Outer<key>', 'Sum', 'int', 'int[] xs,Clock clock', 13", "'Outer<key>', 'Nothing', 'void', '', 14", "'Outer<key>', 'Find', 'Task', 'string q,CancellationToken stop', 15", "'Outer<key>', 'Deep', 'void', 'IMailer m', 24", "'Inner', 'Deep', 'void', 'IMailer m', 24", "'IOuter', 'Sum', 'int', 'int[] xs,Clock clock', 26", "'IOuter', 'Reset', 'void', '', 26"],
+    of1=["'Left<key>', 'Shown', 'void', '', 5"], of2=["'CartController', 'Change', 'void', 'int id', 5", "'CartController', 'Gone', 'void', '', 9", "'CartController', 'Own', 'void', '', 11", "'CartController', 'NotAdded', 'void', '', 12", "'PlainController', 'List', 'int', '', 14"]))
+_facts("varied_calls", VARIED_CODE, Code.calls, ["owner", "source_method", "target", "type", "method", "line"], varied(
+    "NULL::BIGINT AS seq, '' AS owner, '' AS source_method, '' AS target, '' AS type, '' AS method, 0 AS line",
+    of0=["'Outer<key>', 'Sum', '_store', 'IStore<size>', 'Load', 13", "'Outer<key>', 'Sum', 'clock', 'Clock', 'Now', 13", "'Outer<key>', 'Find', 'cart', 'Cart<size>', 'Put', 20", "'Outer<key>', 'Find', 'repo', 'IRepository', 'Save', 22", "'Outer<key>', 'Deep', 'm', 'IMailer', 'Send', 24", "'Outer<key>', 'Deep', '_store', 'IStore<size>', 'Drop', 24", "'Inner', 'Deep', 'm', 'IMailer', 'Send', 24"],
+    of1=["'Left<key>', 'Shown', 'Store', 'Store', 'Run<size>', 6"], of3=["'Program', NULL, 'WebApplication', 'WebApplication', 'Create', 1"]))
+_facts("varied_dependencies", VARIED_CODE, Code.dependencies, ["owner", "source", "name", "type", "method"], varied(
+    "NULL::BIGINT AS seq, '' AS owner, '' AS source, '' AS name, '' AS type, '' AS method",
+    of0=["'Outer<key>', 'constructor', 'store', 'IStore<size>', NULL", "'Outer<key>', 'method_parameter', 'm', 'IMailer', 'Deep'", "'Inner', 'method_parameter', 'm', 'IMailer', 'Deep'"]))
+_facts("varied_routes", VARIED_CODE, lambda c: c.attribute_routes().select("seq", "owner", "method", "route", "line").unionByName(c.mapped_routes().select("seq", "owner", "method", "route", "line")).unionByName(c.framework_routes().select("seq", "owner", "method", "route", "line")), ["owner", "method", "route", "line"], varied(
+    "NULL::BIGINT AS seq, '' AS owner, '' AS method, '' AS route, 0 AS line",
+    of2=["'CartController', 'GET', '/shop<size>', 5", "'CartController', 'POST', '/shop<size>/add/{id}', 5", "'CartController', 'DELETE', '/shop<size>/gone', 9", "'CartController', 'PUT', '/shop<size>/own<key>', 11", "'PlainController', 'GET', '/Plain/List', 14"],
+    of3=["'Program', 'GET', '/api<size>/v1/again/x', 5", "'Program', 'POST', '/y<key>', 5", "'Program', 'DELETE', '/z', 5", "'Program', 'unknown', '/{a}/{b}', 6", "'Program', 'GET', '/ok', 7", "'Program', 'unknown', 'ASP.NET Razor Pages route registration', 8"]))
+_facts("varied_registrations", VARIED_CODE, Code.registrations, ["lifetime", "service", "implementation", "line"], varied(
+    "NULL::BIGINT AS seq, '' AS lifetime, '' AS service, '' AS implementation, 0 AS line", of3=["'Scoped', 'IA', 'A', 2", "'HostedService', 'Worker<size>', 'Worker<size>', 2", "'Transient', 'IX', 'X<key>', 3"]))
+
+
 REGISTRY_ORACLE = (
     "WITH r AS (" + expected("'GET' AS method, '/zone<size>/api/W<key>/items/{id}/<size>' AS path, 1 AS k", "'POST', '/zone<size>/api/W<key>/items', 2", "'DELETE', '/zone<size>/api/W<key>/gone/Drop', 3", "'PATCH', '/zone<size>/api/W<key>', 4",
                               "'GET', '/api<size>/v1/shop/deep/end/items', 5", "'PUT', '/api<size>/v1/shop/<key>', 6", "'POST', '/orders', 7", "'DELETE', '/x', 8", "'unknown', '/{controller}/<size>', 9", "'unknown', 'ASP.NET Razor Pages route registration', 10",
