@@ -162,7 +162,9 @@ class Code:
     """The tables of some files' code. Lines count from 1."""
 
     def __init__(self, rows: DataFrame):
-        self.files = rows.select(F.col("seq").cast("long").alias("seq"), "path", "text").where(F.col("text").isNotNull())
+        files = rows.select(F.col("seq").cast("long").alias("seq"), "path", "text").where(F.col("text").isNotNull())
+        # the texts move once, before they are taken apart; all windows of a file then lie where it lies
+        self.files = files.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *FILE)
 
     @cached_property
     def segments(self) -> DataFrame:
