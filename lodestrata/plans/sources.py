@@ -15,7 +15,7 @@ from lodestrata.functions import parsers
 from lodestrata.functions.rules import quote as q
 from lodestrata.operators import aggregates as A
 from lodestrata.operators import classify as C
-from lodestrata.operators.code import Code, matching_brace, parameters, split_commas
+from lodestrata.operators.code import Code, matching_brace, meet, parameters, split_commas
 from lodestrata.operators import extract as X
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import register
@@ -196,7 +196,7 @@ PYTHON_CODE = f"SELECT p_partkey AS seq, CASE WHEN p_size % 10 = 0 THEN 'def ('
 
 @register("python_facts", "SELECT * FROM (" + expected("'class' AS kind, 'A<key>' AS name, 3 AS line, '' AS arguments, '' AS docstring, false AS is_async", "'method', 'save<size>', 5, 'self,x,y', 'Saves <key>.', false", "'method', 'load', 9, '', '', true") + ") t WHERE seq NOT IN (SELECT p_partkey FROM part WHERE p_size % 10 = 0)")
 def python_facts(spark, sf_dir):
-    return parsers.extract(B.source(spark, sf_dir, PYTHON_CODE), "python_symbols", "seq").withColumn("arguments", F.array_join("arguments", ","))
+    return parsers.extract(B.texts(spark, sf_dir, PYTHON_CODE), "python_symbols", "seq").withColumn("arguments", F.array_join("arguments", ","))
 
 
 @register("type_headers", expected("'class' AS kind, 'W<key>Controller' AS name, 'ControllerBase,IDisposable' AS bases, 5 AS start_line, 38 AS end_line, 'Find,Drop,Plain' AS methods", "'class', 'Spare<key>', '', 40, 44, ''"))
@@ -204,7 +204,7 @@ def type_headers(spark, sf_dir):
     code = Code(B.source(spark, sf_dir, CONTROLLER_CODE))
     ends = code.segments.select("seq", "path", F.col("n").alias("last"), F.col("line").alias("end_line"))
     methods = code.methods.groupBy("seq", "path", "first").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "member"))), lambda m: m["member"]), ",").alias("methods"))
-    types = code.types.join(ends, ["seq", "path", "last"]).join(methods, ["seq", "path", "first"], "left")
+    types = meet(meet(code.types, ends, ["seq", "path", "last"]), methods, ["seq", "path", "first"], "left")
     return types.select("seq", "kind", F.col("owner").alias("name"), F.array_join("bases", ",").alias("bases"), F.col("line").alias("start_line"), "end_line", F.coalesce("methods", F.lit("")).alias("methods"))
 
 
@@ -245,12 +245,12 @@ YAML_CONFIG = _files("app.yml", made("server:", "  port: <size>", "  hosts:", "
 
 @register("xml_params", f"SELECT concat('d/', {KEY}, '/web.config') AS path, unnest(['Size', 'ApiKey', 'Main']) AS key, unnest([{SIZE}, '***REDACTED***', concat('Server=h', {KEY})]) AS value FROM part")
 def xml_params(spark, sf_dir):
-    return S.parameters(B.source(spark, sf_dir, XML_CONFIG)).select("path", "key", "value")
+    return S.parameters(B.texts(spark, sf_dir, XML_CONFIG)).select("path", "key", "value")
 
 
 @register("yaml_params", f"SELECT concat('d/', {KEY}, '/app.yml') AS path, unnest(['server.port', 'server.hosts[0]', 'server.hosts[1].name', 'empty']) AS key, unnest([{SIZE}, concat('h', {KEY}), 'two', '']) AS value FROM part")
 def yaml_params(spark, sf_dir):
-    return S.parameters(B.source(spark, sf_dir, YAML_CONFIG)).select("path", "key", "value")
+    return S.parameters(B.texts(spark, sf_dir, YAML_CONFIG)).select("path", "key", "value")
 
 
 PROJECT = _files("A.csproj", made('<Project xmlns="urn:x" Sdk="Microsoft.NET.Sdk.Web"><PropertyGroup><TargetFrameworks>net8.0;net<size>.0</TargetFrameworks><OutputType>Exe</OutputType></PropertyGroup>', '<ItemGroup><PackageReference Include="P<size>" /><PackageReference Include="A" /><ProjectReference Include="..\\B\\B<key>.csproj" /></ItemGroup></Project>'))
@@ -259,7 +259,7 @@ PROJECT = _files("A.csproj", made('<Project xmlns="urn:x" Sdk="Microsoft.NET.Sdk
 @register("csproj_rows", f"SELECT concat('d/', {KEY}, '/A.csproj') AS path, 'Microsoft.NET.Sdk.Web' AS sdk, concat('net8.0,net', {SIZE}, '.0') AS frameworks, concat('A,P', {SIZE}) AS packages, concat('../B/B', {KEY}, '.csproj') AS project_references, 'Exe' AS output_type FROM part")
 def csproj_rows(spark, sf_dir):
     listed = lambda c: F.array_join(c, ",").alias(c)
-    return S.project_files(B.source(spark, sf_dir, PROJECT)).select("path", "sdk", listed("frameworks"), listed("packages"), listed("project_references"), "output_type")
+    return S.project_files(B.texts(spark, sf_dir, PROJECT)).select("path", "sdk", listed("frameworks"), listed("packages"), listed("project_references"), "output_type")
 
 
 NODE = _files("package.json", f"CASE p_size % 4 WHEN 0 THEN {made('{\"dependencies\": {\"vue\": \"1\", \"x<key>\": \"2\"}, \"devDependencies\": {\"vite\": \"3\"}}')} WHEN 1 THEN '{{}}' WHEN 2 THEN '{{\"devDependencies\": {{\"react\": \"1\", \"@angular/core\": \"1\"}}}}' ELSE '{{' END")
@@ -268,7 +268,7 @@ NODE = _files("package.json", f"CASE p_size % 4 WHEN 0 THEN {made('{\"dependenci
 @register("package_rows", f"""SELECT concat('d/', {KEY}, '/package.json') AS path, CASE p_size % 4 WHEN 0 THEN 'Vue' WHEN 2 THEN 'React' ELSE 'unknown' END AS framework, CASE p_size % 4 WHEN 0 THEN concat('vite,vue,x', {KEY}) WHEN 2 THEN '@angular/core,react' ELSE '' END AS packages,
   CASE p_size % 4 WHEN 3 THEN 0.2 WHEN 1 THEN 0.75 ELSE 0.9 END::DOUBLE AS confidence FROM part""")
 def package_rows(spark, sf_dir):
-    return S.packages(B.source(spark, sf_dir, NODE)).withColumn("packages", F.array_join("packages", ","))
+    return S.packages(B.texts(spark, sf_dir, NODE)).withColumn("packages", F.array_join("packages", ","))
 
 
 SOLUTION = _files("App.sln", made('Project("{9A19}") = "Web<size>", "src\\Web\\Web<key>.csproj", "{1}"', "EndProject", 'Project("{2}")="Core",  "Core.csproj", "{3}"'))
@@ -276,7 +276,7 @@ SOLUTION = _files("App.sln", made('Project("{9A19}") = "Web<size>", "src\\Web\\W
 
 @register("solution_rows", f"SELECT concat('d/', {KEY}, '/App.sln') AS path, unnest([concat('Web', {SIZE}), 'Core']) AS name, unnest([concat('src/Web/Web', {KEY}, '.csproj'), 'Core.csproj']) AS project FROM part")
 def solution_rows(spark, sf_dir):
-    return S.solution_projects(B.source(spark, sf_dir, SOLUTION))
+    return S.solution_projects(B.texts(spark, sf_dir, SOLUTION))
 
 
 @register("phase_tables", "SELECT 'inventory' AS phase, count(*) AS n, count(DISTINCT p_brand) AS kinds FROM part UNION ALL SELECT 'parsed', count(*), count(DISTINCT s_nationkey) FROM supplier")
@@ -301,7 +301,7 @@ def saved_files(spark, sf_dir):
     """Marked answers and phase artifacts put down as files by name, and read back from the folder."""
     from lodestrata.sources.shared import folder
 
-    marked = X.matches(B.source(spark, sf_dir, B.MARKED), X.MARKER, [1, 2], "seq").select(
+    marked = X.matches(B.texts(spark, sf_dir, B.MARKED), X.MARKER, [1, 2], "seq").select(
         "seq", "pos", F.concat(F.lit("answers/"), F.substring_index("g1", "/", -1)).alias("name"), F.trim(F.col("g2"), F.lit("\n")).alias("content"))
     brands = B.source(spark, sf_dir, "SELECT p_brand AS brand, count(*) AS parts, max(p_size) AS largest FROM <<part>> GROUP BY p_brand")
     phases = brands.select(F.concat(F.lit("phases/inventory/"), "brand", F.lit(".json")).alias("name"), F.to_json(F.struct("brand", "parts", "largest")).alias("content"))
