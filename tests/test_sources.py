@@ -2,6 +2,7 @@ import os
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodestrata.functions.flatten import flatten_json
 from lodestrata.sources import archives
@@ -150,3 +151,33 @@ def test_contracts_from_one_pass(spark, tmp_path):
     assert [r["problem"] for r in S.contract_problems([contract, S.Contract("u", table, ["x", "y"]), S.Contract("v", table.limit(0), ["id"], ["id"])]).collect()] == [*want, "u: column x is missing", "u: column y is missing", "v: no rows"]
     assert S.write_phase({"t": table, "free": table}, str(tmp_path), {"t": contract}) == want and spark.read.parquet(f"{tmp_path}/t").count() == 3
     assert S.write_phase({"t": table.where("id = 1")}, str(tmp_path), {"t": contract}) == []
+
+
+def test_texts_are_made_in_many_tasks(spark, monkeypatch):
+    from lodestrata.plans import bridge
+
+    monkeypatch.setattr(bridge, "TEXTS_A_PART", 10)
+    rows = bridge.texts(spark, "/root/testdata/sf0.001", bridge.CS)
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+    assert rows.exceptAll(bridge.source(spark, "/root/testdata/sf0.001", bridge.CS)).count() == 0 and rows.count() == 200
+
+
+def test_yaml_is_read_by_libyaml_and_refused_as_before(monkeypatch):
+    import yaml
+
+    from lodestrata.sources import files
+
+    for text in ("a: [1, 2", "a: 1\n\tb: 2", "- x", "", "a: {b: [c, 'd']}\ne: 2024-01-01\nf: !!int '3'\ng: &x 1\nh: *x"):
+        try:
+            want = yaml.safe_load(text)
+        except yaml.YAMLError as error:
+            with pytest.raises(type(error)):
+                files._yaml(text)
+        else:
+            assert files._yaml(text) == want
+
+    def slow(_):
+        raise AssertionError("parsed in Python")
+
+    monkeypatch.setattr(yaml, "safe_load", slow)
+    assert files._yaml("a:\n  b: 1\n") == {"a": {"b": 1}}
