@@ -137,15 +137,26 @@ def _xml(text: str):
                 yield key, node.get("value") or node.get("connectionString") or ""
 
 
+def _yaml(text: str):
+    """``yaml.safe_load``, by libyaml's parser where that is built in; what libyaml refuses, the parser in Python decides."""
+    import yaml
+
+    fast = getattr(yaml, "CSafeLoader", None)
+    if fast:
+        try:
+            return yaml.load(text, Loader=fast)  # a safe loader
+        except yaml.YAMLError:
+            pass
+    return yaml.safe_load(text)
+
+
 def _parse(kind: str, text: str):
     if kind == "json":
         yield from _walk(json.loads(text), "")
     elif kind == "xml":
         yield from _xml(text)
     elif kind == "yaml":
-        import yaml
-
-        loaded = yaml.safe_load(text)
+        loaded = _yaml(text)
         if isinstance(loaded, dict):
             yield from _walk(loaded, "")
 
