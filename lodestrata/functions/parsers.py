@@ -41,7 +41,7 @@ def extract(rows: DataFrame, function: str, *keys: str, text: str = "text") -> D
 
     def mapped(batches):
         for frame in batches:
-            made = [(*(frame[k].iloc[n] for k in keys), *fact) for n, value in enumerate(frame[text]) for fact in run(value)]
+            made = [(*key, *fact) for *key, value in zip(*(frame[c] for c in (*keys, text)), strict=True) for fact in run(value)]
             yield type(frame)(made, columns=[*keys, *names])
 
     return rows.select(*keys, text).mapInPandas(mapped, schema)
