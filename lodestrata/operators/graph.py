@@ -70,16 +70,17 @@ PIVOTS = 2000
 """Nodes from which shortest paths are counted; graphs of more nodes are sampled."""
 
 
-def betweenness(edges: DataFrame, pivots: int = PIVOTS, confidence: float = 0.95) -> DataFrame:
+def betweenness(edges: DataFrame, pivots: int | None = PIVOTS, confidence: float = 0.95) -> DataFrame:
     """(node, betweenness, error_bound): on how many shortest paths between two other nodes a node lies, each pair's paths weighing one in all.
 
     Path counts spread forward level by level from all pivots at once, and dependencies are added up backward over the same levels, so the
     rounds are twice the longest shortest path and the state is a row a pivot and node that it reaches. With at most ``pivots`` nodes every node is a
-    pivot and the result is exact. Above, the pivots are those of least hash, sums are scaled by nodes / pivots, and
+    pivot and the result is exact, as it is at any size with ``pivots`` None. Above, the pivots are those of least hash, sums are scaled by nodes / pivots, and
     with a chance of ``confidence`` no node is off by more than ``error_bound`` (Hoeffding over the pivots, all nodes at once)."""
     edges = cut(edges.where("src <> dst").select("src", "dst").distinct())
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     n = nodes.count()
+    pivots = max(n, 1) if pivots is None else pivots
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(pivots) if n > pivots else nodes
     levels = [cut(chosen.select(F.col("node").alias("pivot"), "node", F.lit(1.0).alias("paths")))]
     seen = levels[0].select("pivot", "node")

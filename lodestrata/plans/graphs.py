@@ -54,7 +54,8 @@ BRIDGE_SQL = f"""WITH RECURSIVE e AS ({B.duck(B.DIGRAPH)}), w(s, v, steps, walks
 
 @register("bridge_nodes", BRIDGE_SQL)
 def bridge_nodes(spark, sf_dir):
-    return G.betweenness(B.source(spark, sf_dir, B.DIGRAPH)).select("node", F.round("betweenness", 3).alias("betweenness"))
+    """From every node, whatever their number: the statement samples none."""
+    return G.betweenness(B.source(spark, sf_dir, B.DIGRAPH), pivots=None).select("node", F.round("betweenness", 3).alias("betweenness"))
 
 
 @register("communities")

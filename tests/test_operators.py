@@ -210,3 +210,13 @@ def test_budget_cuts_in_the_midst(spark):
     for budget in (0, 7, 10, 100):
         got = sorted(windows.within_budget(frame, "t", budget, "k").collect())
         assert "".join(r["t"] for r in got) == "abcdefghijklmn"[:budget] and [r["cut"] for r in got] == [False] * (len(got) - 1) + [budget not in (4, 10, 11, 100)] * bool(got)
+
+
+def test_bridge_nodes_are_exact_above_the_pivots(spark, monkeypatch):
+    """The statement counts all shortest paths, so the query must not sample, however many nodes there are."""
+    from lodestrata.plans import graphs
+
+    sf = "/root/testdata/sf0.001"
+    want = {tuple(r) for r in graphs.bridge_nodes(spark, sf).collect()}
+    monkeypatch.setattr(graph.betweenness, "__defaults__", (8, 0.95))
+    assert len(want) > 8 and {tuple(r) for r in graphs.bridge_nodes(spark, sf).collect()} == want
