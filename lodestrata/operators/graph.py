@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.windows import top_k
-from lodestrata.sources.shared import cut
+from lodestrata.sources.shared import cut, parts_for
 
 
 def _least_reaching(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
@@ -58,14 +58,22 @@ def label_communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
     """(node, community): each node takes its neighbours' most frequent label (ties: the smallest), ``rounds`` times.
 
     The method is this engine's own; a community's cohesion is its inner edges over the possible ones."""
-    both = cut(edges.where("src <> dst").select("src", "dst").union(edges.where("src <> dst").select("dst", "src")).distinct())
+    one_way = cut(edges.where("src <> dst").select("src", "dst"))
+    shares = parts_for(one_way, EDGES_A_PART)
+    both = one_way.unionByName(one_way.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    # shares do not grow with the graph
+    both = cut(both.repartition(shares, "src", "dst").distinct())
     labels = both.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node"))
     for _ in range(rounds):
-        votes = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src", "community").agg(F.count("*").alias("n"))
+        met = both.join(labels.withColumnRenamed("node", "dst").hint("merge"), "dst").repartition(shares, "src")
+        votes = met.groupBy("src", "community").agg(F.count("*").alias("n"))
         labels = cut(votes.groupBy("src").agg(F.min(F.struct((-F.col("n")).alias("n"), "community")).alias("best")).select(F.col("src").alias("node"), F.col("best.community").alias("community")))
     return labels
 
 
+EDGES_A_PART = 1 << 19
+"""Edges in one partition, about."""
+
 PIVOTS = 2000
 """Nodes from which shortest paths are counted; graphs of more nodes are sampled."""
 

@@ -220,3 +220,11 @@ def test_bridge_nodes_are_exact_above_the_pivots(spark, monkeypatch):
     want = {tuple(r) for r in graphs.bridge_nodes(spark, sf).collect()}
     monkeypatch.setattr(graph.betweenness, "__defaults__", (8, 0.95))
     assert len(want) > 8 and {tuple(r) for r in graphs.bridge_nodes(spark, sf).collect()} == want
+
+
+def test_communities_in_many_shares(spark, monkeypatch):
+    monkeypatch.setattr(graph, "EDGES_A_PART", 10)
+    edges = [(n, (n * 7 + 1) % 60) for n in range(60)] + [(n, (n + 1) % 60) for n in range(60)]
+    frame = spark.createDataFrame(edges, "src long, dst long")
+    want, _ = brute_communities(edges)
+    assert {r["node"]: r["community"] for r in graph.label_communities(frame).collect()} == want
