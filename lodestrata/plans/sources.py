@@ -15,7 +15,7 @@ from lodestrata.functions import parsers
 from lodestrata.functions.rules import quote as q
 from lodestrata.operators import aggregates as A
 from lodestrata.operators import classify as C
-from lodestrata.operators.code import Code, matching_brace, meet, parameters, split_commas
+from lodestrata.operators.code import Code, matching_brace, parameters, split_commas
 from lodestrata.operators import extract as X
 from lodestrata.plans import bridge as B
 from lodestrata.plans.catalog import register
@@ -59,12 +59,12 @@ STARTUP = made(
 STARTUP_CODE = f"SELECT p_partkey AS seq, concat('src/Api', {KEY}, '/Program.cs') AS path, {STARTUP} AS text FROM <<part>>"
 
 
-def _facts(key: str, statement: str, rows: Callable[[Code], DataFrame], columns: list[str], oracle: str):
-    """A query of one kind of facts, with these columns."""
+def _facts(key: str, statement: str, rows: Callable[[Code], DataFrame], columns: list[str], oracle: str, keep: bool = False):
+    """A query of facts with these columns; ``keep`` where they are of several kinds."""
 
     @register(key, oracle)
     def plan(spark, sf_dir):
-        found = rows(Code(B.source(spark, sf_dir, statement)))
+        found = rows(Code(B.texts(spark, sf_dir, statement), keep))
         return found.select("seq", *(F.expr(c.rpartition(" AS ")[0] or c).alias(c.rpartition(" AS ")[2]) for c in columns))
 
     return plan
@@ -146,7 +146,7 @@ _facts("varied_dependencies", VARIED_CODE, Code.dependencies, ["owner", "source"
 _facts("varied_routes", VARIED_CODE, lambda c: c.attribute_routes().select("seq", "owner", "method", "route", "line").unionByName(c.mapped_routes().select("seq", "owner", "method", "route", "line")).unionByName(c.framework_routes().select("seq", "owner", "method", "route", "line")), ["owner", "method", "route", "line"], varied(
     "NULL::BIGINT AS seq, '' AS owner, '' AS method, '' AS route, 0 AS line",
     of2=["'CartController', 'GET', '/shop<size>', 5", "'CartController', 'POST', '/shop<size>/add/{id}', 5", "'CartController', 'DELETE', '/shop<size>/gone', 9", "'CartController', 'PUT', '/shop<size>/own<key>', 11", "'PlainController', 'GET', '/Plain/List', 14"],
-    of3=["'Program', 'GET', '/api<size>/v1/again/x', 5", "'Program', 'POST', '/y<key>', 5", "'Program', 'DELETE', '/z', 5", "'Program', 'unknown', '/{a}/{b}', 6", "'Program', 'GET', '/ok', 7", "'Program', 'unknown', 'ASP.NET Razor Pages route registration', 8"]))
+    of3=["'Program', 'GET', '/api<size>/v1/again/x', 5", "'Program', 'POST', '/y<key>', 5", "'Program', 'DELETE', '/z', 5", "'Program', 'unknown', '/{a}/{b}', 6", "'Program', 'GET', '/ok', 7", "'Program', 'unknown', 'ASP.NET Razor Pages route registration', 8"]), keep=True)
 _facts("varied_registrations", VARIED_CODE, Code.registrations, ["lifetime", "service", "implementation", "line"], varied(
     "NULL::BIGINT AS seq, '' AS lifetime, '' AS service, '' AS implementation, 0 AS line", of3=["'Scoped', 'IA', 'A', 2", "'HostedService', 'Worker<size>', 'Worker<size>', 2", "'Transient', 'IX', 'X<key>', 3"]))
 
@@ -174,7 +174,7 @@ def symbol_registry_rows(spark, sf_dir):
     """Components with their class, routes, distinct dependencies and entry points, from one reading of all files.
 
     Entry points are start-up files, and controllers by the shortest of their routes."""
-    code = Code(B.source(spark, sf_dir, CONTROLLER_CODE).unionByName(B.source(spark, sf_dir, STARTUP_CODE)))
+    code = Code(B.texts(spark, sf_dir, CONTROLLER_CODE).unionByName(B.texts(spark, sf_dir, STARTUP_CODE)), keep=True)
     section = lambda name, rows, *parts: rows.select(F.lit(name).alias("section"), "seq", *(c.alias(to) for c, to in zip(parts, ("name", "type", "detail"), strict=True)))
     col = F.col
     types = code.types.select("seq", col("owner").alias("name"), "kind", col("path").alias("file"), F.array_join("bases", ",").alias("bases"), F.array_join("attributes", ";").alias("annotations"), F.lit("").alias("dep_types"), F.lit("backend").alias("category"))
@@ -201,11 +201,8 @@ def python_facts(spark, sf_dir):
 
 @register("type_headers", expected("'class' AS kind, 'W<key>Controller' AS name, 'ControllerBase,IDisposable' AS bases, 5 AS start_line, 38 AS end_line, 'Find,Drop,Plain' AS methods", "'class', 'Spare<key>', '', 40, 44, ''"))
 def type_headers(spark, sf_dir):
-    code = Code(B.source(spark, sf_dir, CONTROLLER_CODE))
-    ends = code.segments.select("seq", "path", F.col("n").alias("last"), F.col("line").alias("end_line"))
-    methods = code.methods.groupBy("seq", "path", "first").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "member"))), lambda m: m["member"]), ",").alias("methods"))
-    types = meet(meet(code.types, ends, ["seq", "path", "last"]), methods, ["seq", "path", "first"], "left")
-    return types.select("seq", "kind", F.col("owner").alias("name"), F.array_join("bases", ",").alias("bases"), F.col("line").alias("start_line"), "end_line", F.coalesce("methods", F.lit("")).alias("methods"))
+    types = Code(B.texts(spark, sf_dir, CONTROLLER_CODE)).headers()
+    return types.select("seq", "kind", F.col("owner").alias("name"), F.array_join("bases", ",").alias("bases"), F.col("line").alias("start_line"), "end_line", F.array_join("members", ",").alias("methods"))
 
 
 BRACES = made("{ a<key> \"}\" /* } */ '}' // }", "  { b } @\"q\"\"}\" } tail")
