@@ -304,8 +304,8 @@ def saved_files(spark, sf_dir):
     phases = brands.select(F.concat(F.lit("phases/inventory/"), "brand", F.lit(".json")).alias("name"), F.to_json(F.struct("brand", "parts", "largest")).alias("content"))
     at = folder(spark, "saved")
     N.save(N.last_of_each(marked, "seq", "pos").unionByName(phases), at)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
-    return found.select(F.regexp_extract("path", "((?:answers|phases)/.*)$", 1).alias("name"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+    found = N.contents(marked.select("name").distinct().unionByName(phases.select("name")), at)
+    return found.where("length(content) > 0").select("name", F.length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 CONTRACTS = [

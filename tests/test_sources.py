@@ -124,6 +124,26 @@ def test_named_files_and_their_bytes(spark, tmp_path):
     assert [bytes(r["content"]) for r in last.collect()] == [b"3"]
 
 
+def test_names_of_many_files_stay_out_of_the_driver(spark, tmp_path, monkeypatch):
+    """Files are moved and read by tasks, a bounded number each; the writer hands over ids of attempts alone."""
+    monkeypatch.setattr(N, "NAMES_A_TASK", 10)
+    rows = spark.range(200).selectExpr("concat('a/', id, '.txt') AS name", "cast(concat('text ', id) AS binary) AS content").coalesce(1)
+    N.save(rows, f"{tmp_path}/out")
+    found = N.contents(rows.select("name"), f"{tmp_path}/out")
+    assert found.rdd.getNumPartitions() == 20
+    assert {r["name"]: bytes(r["content"]) for r in found.collect()} == {f"a/{k}.txt": f"text {k}".encode() for k in range(200)} and os.listdir(tmp_path) == ["out"]
+    writer = N.NamedFilesWriter(f"{tmp_path}/more", f"{tmp_path}/more.staging-x")
+    message = writer.write(iter([("a", b"1"), ("b/c", b"2")]))
+    writer.commit([message])
+    assert message.names == [] and not os.path.exists(tmp_path / "more")
+    move = N._mover(f"{tmp_path}/more.staging-x", f"{tmp_path}/more")
+    move(message.attempt)
+    move(message.attempt)  # the task ran again
+    assert files_in(tmp_path / "more") == {"a": b"1", "b/c": b"2"}
+    with pytest.raises(Exception):
+        N.contents(spark.createDataFrame([("gone",)], "name string"), f"{tmp_path}/out").collect()
+
+
 @pytest.mark.parametrize("bad", ["../x", "/x", "", None, "dup"])
 def test_a_failed_write_leaves_nothing(spark, tmp_path, bad):
     rows = [(f"f{k}", b"x") for k in range(20)] + [("dup", b"1"), (bad, b"2")]
