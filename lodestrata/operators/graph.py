@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.windows import top_k
-from lodestrata.sources.shared import cut, parts_for
+from lodestrata.sources.shared import cut, folder, parts_for
 
 
 def _least_reaching(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
@@ -54,6 +56,28 @@ def strong_components(edges: DataFrame, rounds: list[int] | None = None) -> Data
     return found.join(many, "scc").select("node", "scc")
 
 
+def weak_components(edges: DataFrame) -> DataFrame:
+    """(node, part): every node of ``edges`` with the smallest node that edges of either direction connect it with.
+
+    Every node goes to its smallest neighbour, if that is smaller, and labels of labels lead to where these ways end. The ends are the nodes of a smaller graph,
+    which goes the same way: two such rounds leave at most half of the nodes, so only the first reads all edges."""
+    labels, left = None, edges
+    while True:
+        both = left.select(F.inline(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))))
+        near = cut(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("part")).select("node", F.least("node", "part").alias("part")))
+        while True:
+            further = near.select(F.col("node").alias("part"), F.col("part").alias("further"))
+            new = cut(near.join(further, "part").select("node", F.col("further").alias("part"), (F.col("further") < F.col("part")).alias("moved")))
+            near = new.select("node", "part")
+            if not new.where("moved").limit(1).count():
+                break
+        to = lambda c: near.select(F.col("node").alias(c), F.col("part").alias(f"to_{c}"))
+        labels = near if labels is None else cut(labels.join(to("part"), "part", "left").select("node", F.coalesce("to_part", "part").alias("part")))
+        left = cut(left.join(to("src"), "src").join(to("dst"), "dst").where("to_src <> to_dst").select(F.col("to_src").alias("src"), F.col("to_dst").alias("dst")).distinct())
+        if not left.limit(1).count():
+            return labels
+
+
 def label_communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
     """(node, community): each node takes its neighbours' most frequent label (ties: the smallest), ``rounds`` times.
 
@@ -78,18 +102,47 @@ PIVOTS = 2000
 """Nodes from which shortest paths are counted; graphs of more nodes are sampled."""
 
 
-def betweenness(edges: DataFrame, pivots: int | None = PIVOTS, confidence: float = 0.95) -> DataFrame:
-    """(node, betweenness, error_bound): on how many shortest paths between two other nodes a node lies, each pair's paths weighing one in all.
-
-    Path counts spread forward level by level from all pivots at once, and dependencies are added up backward over the same levels, so the
-    rounds are twice the longest shortest path and the state is a row a pivot and node that it reaches. With at most ``pivots`` nodes every node is a
-    pivot and the result is exact, as it is at any size with ``pivots`` None. Above, the pivots are those of least hash, sums are scaled by nodes / pivots, and
-    with a chance of ``confidence`` no node is off by more than ``error_bound`` (Hoeffding over the pivots, all nodes at once)."""
-    edges = cut(edges.where("src <> dst").select("src", "dst").distinct())
-    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    n = nodes.count()
-    pivots = max(n, 1) if pivots is None else pivots
-    chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(pivots) if n > pivots else nodes
+PART_NODES = 1024
+"""Nodes of a component whose shortest paths are counted in one task; larger ones go level by level over all tasks."""
+
+STEPS_AT_ONCE = 1 << 21
+"""Steps along edges in memory at once, about, while the paths of a component are counted."""
+
+
+def _between(part: pa.Table) -> pa.Table:
+    """(node, share) of one component (src, dst): its paths counted forward level by level from some nodes at once, their shares added up backward."""
+    coded = pa.chunked_array([*part["src"].chunks, *part["dst"].chunks]).combine_chunks().dictionary_encode()
+    names, (src, dst) = coded.dictionary, coded.indices.to_numpy().astype(np.int64).reshape(2, -1)
+    order, n = np.argsort(src, kind="stable"), len(names)
+    dst, degree = dst[order], np.bincount(src, minlength=n)
+    first, total = np.cumsum(degree) - degree, np.zeros(n)
+    at_once = max(1, STEPS_AT_ONCE // len(dst))
+    for begin in range(0, n, at_once):
+        count = min(at_once, n - begin)
+        at = np.arange(count) * n + np.arange(begin, begin + count)
+        paths, seen, levels = np.zeros(count * n), np.zeros(count * n, bool), []
+        paths[at], seen[at] = 1.0, True
+        while len(at):
+            node = at % n
+            steps = degree[node]
+            edge = np.arange(steps.sum()) + np.repeat(first[node] - np.cumsum(steps) + steps, steps)
+            back = np.repeat(at, steps)
+            to = back - back % n + dst[edge]
+            new = ~seen[to]
+            back, to = back[new], to[new]
+            levels.append((back, to))
+            paths += np.bincount(to, paths[back], count * n)
+            at = np.unique(to)
+            seen[at] = True
+        share = np.zeros(count * n)
+        for back, to in reversed(levels[1:]):
+            share += np.bincount(back, paths[back] / paths[to] * (1 + share[to]), count * n)
+        total += share.reshape(count, n).sum(0)
+    return pa.table({"node": names, "share": total})
+
+
+def _by_levels(edges: DataFrame, chosen: DataFrame) -> list[DataFrame]:
+    """Tables (node, share), whose sums are each node's share of the shortest paths from the nodes of ``chosen``."""
     levels = [cut(chosen.select(F.col("node").alias("pivot"), "node", F.lit(1.0).alias("paths")))]
     seen = levels[0].select("pivot", "node")
     while True:
@@ -110,9 +163,43 @@ def betweenness(edges: DataFrame, pivots: int | None = PIVOTS, confidence: float
         own = cut(own)
         parts.append(own.select("node", "share"))
         below = own.select("pivot", "node", F.col("paths").alias("b_paths"), F.col("share").alias("b_share"))
+    return parts
+
+
+def _by_parts(edges: DataFrame) -> list[DataFrame]:
+    """``_by_levels`` from all nodes, where a task counts all paths of a small component."""
+    labels = weak_components(edges)
+    large = cut(labels.groupBy("part").count().where(F.col("count") > PART_NODES).select("part"))
+    placed = edges.join(labels.withColumnRenamed("node", "src"), "src")
+    small = placed.join(large, "part", "left_anti").repartition(parts_for(edges, EDGES_A_PART), "part")
+    parts = [small.groupBy("part").applyInArrow(_between, f"node {edges.schema['src'].dataType.simpleString()}, share double")]
+    if large.limit(1).count():
+        wide = labels.join(large, "part")
+        parts += _by_levels(cut(placed.join(large, "part").select("src", "dst")), wide.select("node"))
+    return parts
+
+
+def betweenness(edges: DataFrame, pivots: int | None = PIVOTS, confidence: float = 0.95) -> DataFrame:
+    """(node, betweenness, error_bound): on how many shortest paths between two other nodes a node lies, each pair's paths weighing one in all.
+
+    With at most ``pivots`` nodes every node is a pivot and the result is exact, as it is at any size with ``pivots`` None. No path leaves a weak component, so
+    the edges go to the tasks by component: one of up to ``PART_NODES`` nodes is counted there and writes a row a node. Larger ones go level by level: path
+    counts spread forward from all pivots at once, and dependencies are added up backward, so the rounds are twice the longest shortest path and the state is
+    a row a pivot and node that it reaches. Above ``pivots``, the pivots are those of least hash, sums are scaled by nodes / pivots, and
+    with a chance of ``confidence`` no node is off by more than ``error_bound`` (Hoeffding over the pivots, all nodes at once)."""
+    at = folder(edges.sparkSession, "edges")
+    edges.where("src <> dst").select("src", "dst").distinct().write.parquet(at)
+    edges = edges.sparkSession.read.parquet(at)
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    n = nodes.count()
+    pivots = max(n, 1) if pivots is None else pivots
+    total = nodes.select("node", F.lit(0.0).alias("share"))
+    if n > pivots:
+        parts = _by_levels(edges, nodes.orderBy(F.xxhash64("node"), "node").limit(pivots))
+    else:
+        parts = _by_parts(edges)
     k = min(n, pivots)
     bound = 0.0 if n <= pivots else n * (n - 2) * math.sqrt(math.log(2 * n / (1 - confidence)) / (2 * k))
-    total = nodes.select("node", F.lit(0.0).alias("share"))
     for part in parts:
         total = total.unionByName(part)
     return total.groupBy("node").agg((F.sum("share") * (n / max(1, k))).alias("betweenness")).withColumn("error_bound", F.lit(bound))

@@ -222,6 +222,44 @@ def test_bridge_nodes_are_exact_above_the_pivots(spark, monkeypatch):
     assert len(want) > 8 and {tuple(r) for r in graphs.bridge_nodes(spark, sf).collect()} == want
 
 
+def test_small_components_write_no_row_a_pair(spark, monkeypatch):
+    """The rows that betweenness writes down follow the nodes, not the pairs of nodes in a component."""
+    edges = [(100 * c + a, 100 * c + b) for c in range(3) for a in range(40) for b in range(a + 1, min(a + 4, 40))]
+    written, cut = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: written.append((out := cut(df)).count()) or out)
+    got = {r["node"]: r["betweenness"] for r in graph.betweenness(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert len(got) == 120 and sum(written) <= 120 * 10
+    want = brute_betweenness([e for e in edges if e[0] < 40])
+    assert all(abs(got[n] - want[n % 100]) < 1e-9 for n in got)
+
+
+def test_betweenness_of_small_and_large_components(spark, monkeypatch):
+    rng = random.Random(3)
+    edges = [(f"a{rng.randrange(9)}", f"a{rng.randrange(9)}") for _ in range(20)] + [("b", "c"), ("c", "d"), ("e", "c")]
+    want = {n: round(x, 6) for n, x in brute_betweenness(edges).items()}
+    monkeypatch.setattr(graph, "PART_NODES", 4)
+    got = graph.betweenness(spark.createDataFrame(edges, "src string, dst string")).collect()
+    assert {r["node"]: round(r["betweenness"], 6) for r in got} == want
+    import pyarrow as pa
+
+    for steps in (1, 30, 1 << 21):
+        monkeypatch.setattr(graph, "STEPS_AT_ONCE", steps)
+        kinds = [e for e in {*edges} if e[0] != e[1]]
+        found = graph._between(pa.table({"src": [a for a, _ in kinds], "dst": [b for _, b in kinds]})).to_pylist()
+        assert {r["node"]: round(r["share"], 6) for r in found} == want
+
+
+def test_weak_components_match_brute_force(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + k, 101 + k) for k in range(50)] + [(200 + k, 299) for k in range(20)] + [(320 - k, 319 - k) for k in range(15)]
+    edges = [(a, b) for a, b in edges if a != b]
+    part = {n: n for e in edges for n in e}
+    for _ in part:
+        for a, b in edges:
+            part[a] = part[b] = min(part[a], part[b])
+    assert {tuple(r) for r in graph.weak_components(spark.createDataFrame(edges, "src long, dst long")).collect()} == {*part.items()}
+
+
 def test_communities_in_many_shares(spark, monkeypatch):
     monkeypatch.setattr(graph, "EDGES_A_PART", 10)
     edges = [(n, (n * 7 + 1) % 60) for n in range(60)] + [(n, (n + 1) % 60) for n in range(60)]
