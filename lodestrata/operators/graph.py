@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.windows import top_k
-from lodestrata.sources.shared import cut, folder, parts_for
+from lodestrata.sources.shared import cut, parts_for, written
 
 
 def _least_reaching(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
@@ -64,16 +64,16 @@ def weak_components(edges: DataFrame) -> DataFrame:
     labels, left = None, edges
     while True:
         both = left.select(F.inline(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))))
-        near = cut(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("part")).select("node", F.least("node", "part").alias("part")))
+        near = written(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("part")).select("node", F.least("node", "part").alias("part")))
         while True:
             further = near.select(F.col("node").alias("part"), F.col("part").alias("further"))
-            new = cut(near.join(further, "part").select("node", F.col("further").alias("part"), (F.col("further") < F.col("part")).alias("moved")))
+            new = written(near.join(further, "part").select("node", F.col("further").alias("part"), (F.col("further") < F.col("part")).alias("moved")))
             near = new.select("node", "part")
             if not new.where("moved").limit(1).count():
                 break
         to = lambda c: near.select(F.col("node").alias(c), F.col("part").alias(f"to_{c}"))
-        labels = near if labels is None else cut(labels.join(to("part"), "part", "left").select("node", F.coalesce("to_part", "part").alias("part")))
-        left = cut(left.join(to("src"), "src").join(to("dst"), "dst").where("to_src <> to_dst").select(F.col("to_src").alias("src"), F.col("to_dst").alias("dst")).distinct())
+        labels = near if labels is None else written(labels.join(to("part"), "part", "left").select("node", F.coalesce("to_part", "part").alias("part")))
+        left = written(left.join(to("src"), "src").join(to("dst"), "dst").where("to_src <> to_dst").select(F.col("to_src").alias("src"), F.col("to_dst").alias("dst")).distinct())
         if not left.limit(1).count():
             return labels
 
@@ -187,9 +187,7 @@ def betweenness(edges: DataFrame, pivots: int | None = PIVOTS, confidence: float
     counts spread forward from all pivots at once, and dependencies are added up backward, so the rounds are twice the longest shortest path and the state is
     a row a pivot and node that it reaches. Above ``pivots``, the pivots are those of least hash, sums are scaled by nodes / pivots, and
     with a chance of ``confidence`` no node is off by more than ``error_bound`` (Hoeffding over the pivots, all nodes at once)."""
-    at = folder(edges.sparkSession, "edges")
-    edges.where("src <> dst").select("src", "dst").distinct().write.parquet(at)
-    edges = edges.sparkSession.read.parquet(at)
+    edges = written(edges.where("src <> dst").select("src", "dst").distinct(), "edges")
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     n = nodes.count()
     pivots = max(n, 1) if pivots is None else pivots
